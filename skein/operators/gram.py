@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skein.session import wide_plan_guard
 from skein.operators.sizing import bounded_collect
 
 MAX_CLOSURE_GROUPS = 20_000
@@ -98,6 +99,7 @@ def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True,
     """
     cols = list(cols)
     user_groups = list(group_cols)
+    wide_plan_guard(df.sparkSession)
     # An ungrouped pass uses a constant key so every join below stays an equi-join.
     group_cols = user_groups or ["_all"]
     k = len(cols)

@@ -31,7 +31,7 @@ from skein.operators.positions import with_positions
 CONST = "const"
 
 
-def _kernel(k: int, thetas: np.ndarray, alphas_eps, cuts, delta: float, init: bool = False):
+def _kernel(k: int, thetas: np.ndarray, alphas_eps, cuts, delta: float, init: bool = False, featurize=None):
     """Per-partition weighted Gram of every model. ``cuts[m]`` = (lo, hi) row-position range
     of model m's training rows."""
     M = thetas.shape[0]
@@ -44,6 +44,8 @@ def _kernel(k: int, thetas: np.ndarray, alphas_eps, cuts, delta: float, init: bo
             if pdf.empty:
                 continue
             X = np.vstack(pdf["_x"].to_numpy()).astype(np.float64)
+            if featurize is not None:
+                X = featurize(X)
             X1 = np.hstack([np.ones((X.shape[0], 1)), X])
             y = pdf["_y"].to_numpy(dtype=np.float64)
             pos = pdf["_pos"].to_numpy()
@@ -73,7 +75,7 @@ def _kernel(k: int, thetas: np.ndarray, alphas_eps, cuts, delta: float, init: bo
 
 
 def _solve_batch(prepared: DataFrame, k: int, alphas_eps, cuts, max_iter: int = 60, tol: float = 1e-7,
-                 delta: float = 1e-9):
+                 delta: float = 1e-9, featurize=None):
     """Fit every model (alpha, eps, row range) together; returns thetas (M x (k+1)) and objectives."""
     M = len(alphas_eps)
     k1 = k + 1
@@ -84,7 +86,7 @@ def _solve_batch(prepared: DataFrame, k: int, alphas_eps, cuts, max_iter: int =
     obj = np.full(M, np.inf)
     first = True
     for _ in range(max_iter):
-        run = _kernel(k, thetas, alphas_eps, cuts, delta, init=first)
+        run = _kernel(k, thetas, alphas_eps, cuts, delta, init=first, featurize=featurize)
         parts = prepared.mapInPandas(run, "_i long, _v double")
         cells = np.zeros(M * k1 * k1 + M * k1 + 2 * M)
         for r in parts.groupBy("_i").agg(F.sum("_v").alias("_v")).collect():
@@ -203,12 +205,26 @@ def grid_search(df: DataFrame, features, target: str = "target", param_grid: dic
 
 # -- L10: random Fourier features ------------------------------------------------
 
-def rff_columns(df: DataFrame, features, n_components: int = 100, gamma="scale", seed: int = 42):
-    """Random Fourier features z_d = sqrt(2/D) cos(w_d·x + b_d), w ~ N(0, 2γ I), b ~ U(0, 2π).
+class RandomFourierMap:
+    """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2γ I), b ~ U(0, 2π) (drawn once on the driver).
 
-    γ = 'scale' -> 1 / (k · var(X)) over all feature values; 'auto' -> 1 / k.
-    Returns (frame with rff_0..rff_{D-1} added, list of the new column names).
+    Applied inside tasks to each Arrow batch as one matrix product, so the D features
+    never materialise as Spark columns.
     """
+
+    def __init__(self, k: int, n_components: int, gamma: float, seed: int = 42):
+        rng = np.random.default_rng(seed)
+        self.W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, k))
+        self.b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
+        self.amp = math.sqrt(2.0 / n_components)
+        self.names = [f"rff_{d}" for d in range(n_components)]
+
+    def __call__(self, X: np.ndarray) -> np.ndarray:
+        return self.amp * np.cos(X @ self.W.T + self.b)
+
+
+def resolve_gamma(df: DataFrame, features, gamma="scale") -> float:
+    """'scale' -> 1 / (k · var(X)) over all feature values; 'auto' -> 1 / k; a number as is."""
     features = list(features)
     k = len(features)
     if gamma == "scale":
@@ -216,51 +232,50 @@ def rff_columns(df: DataFrame, features, n_components: int = 100, gamma="scale",
                    *[F.avg(F.col(c) * F.col(c)).alias(f"q{i}") for i, c in enumerate(features)]).first()
         mean_all = sum(m[f"m{i}"] for i in range(k)) / k
         var_all = sum(m[f"q{i}"] for i in range(k)) / k - mean_all ** 2
-        g = 1.0 / (k * var_all) if var_all > 0 else 1.0
-    elif gamma == "auto":
-        g = 1.0 / k
-    else:
-        g = float(gamma)
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * g), size=(n_components, k))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    amp = math.sqrt(2.0 / n_components)
-    names = [f"rff_{d}" for d in range(n_components)]
-    exprs = []
-    for d in range(n_components):
-        lin = F.lit(float(b[d]))
-        for j, c in enumerate(features):
-            lin = lin + F.col(c) * F.lit(float(W[d, j]))
-        exprs.append((F.lit(amp) * F.cos(lin)).alias(names[d]))
-    return df.select("*", *exprs), names
+        return 1.0 / (k * var_all) if var_all > 0 else 1.0
+    if gamma == "auto":
+        return 1.0 / k
+    return float(gamma)
 
 
 def train_rbf_svr(df: DataFrame, features, target: str = "target", C: float = 10.0, epsilon: float = 0.1,
-                  gamma="scale", n_components: int = 100, seed: int = 42, max_iter: int = 60):
+                  gamma="scale", n_components: int = 100, seed: int = 42, order_cols=None, max_iter: int = 60):
     """RBF-kernel SVR approximated by random Fourier features + the linear solver.
 
-    Returns (coefficients over rff_* columns, a function that adds the same features to a frame).
+    Objective C·sum loss + ||w||²/2, i.e. alpha = 1 / (C · n) in the mean form.
+    Returns (coefficients over rff_* (+ const), the feature map).
     """
     features = list(features)
     rows = df.dropna(subset=[*features, target])
-    n = rows.count()
-    with_rff, names = rff_columns(rows, features, n_components, gamma, seed)
-
-    def transform(frame: DataFrame) -> DataFrame:
-        # Same random draw: gamma is resolved on the training rows.
-        g = gamma
-        if gamma == "scale":
-            m = rows.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
-                         *[F.avg(F.col(c) * F.col(c)).alias(f"q{i}") for i, c in enumerate(features)]).first()
-            k = len(features)
-            mean_all = sum(m[f"m{i}"] for i in range(k)) / k
-            var_all = sum(m[f"q{i}"] for i in range(k)) / k - mean_all ** 2
-            g = 1.0 / (k * var_all) if var_all > 0 else 1.0
-        return rff_columns(frame, features, n_components, g, seed)[0]
-
-    alpha = 1.0 / (C * max(n, 1))
-    coefs = train_linear_svr(with_rff, names, target, alpha, epsilon, max_iter=max_iter)
-    return coefs, transform
+    fmap = RandomFourierMap(len(features), n_components, resolve_gamma(rows, features, gamma), seed)
+    prepared, n = _prepare(rows, features, target, list(order_cols or [*features, target]))
+    try:
+        alpha = 1.0 / (C * max(n, 1))
+        thetas, _ = _solve_batch(prepared, n_components, [(alpha, epsilon)], [(0, n)], max_iter,
+                                 featurize=fmap)
+    finally:
+        prepared.unpersist()
+    return _coef_table(df.sparkSession, fmap.names, thetas[0]), fmap
+
+
+def predict_mapped(df: DataFrame, features, fmap, coefs: DataFrame, pred: str = "pred") -> DataFrame:
+    """Score rows through a feature map inside tasks (NULL feature rows get a NULL prediction)."""
+    cf = {r["feature"]: r["coef"] for r in coefs.collect()}  # D + 1 numbers
+    theta = np.array([cf.get(CONST, 0.0)] + [cf.get(n, 0.0) for n in fmap.names])
+    features = list(features)
+    out_schema = df.schema.add(pred, "double")
+
+    def run(it):
+        for pdf in it:
+            X = pdf[features].to_numpy(dtype=np.float64)
+            ok = ~np.isnan(X).any(axis=1)
+            p = np.full(len(pdf), np.nan)
+            if ok.any():
+                p[ok] = theta[0] + fmap(X[ok]) @ theta[1:]
+            pdf[pred] = p
+            yield pdf
+
+    return df.mapInPandas(run, out_schema)
 
 
 # -- L11 -----------------------------------------------------------------------
@@ -282,8 +297,8 @@ def train_and_evaluate(train: DataFrame, val: DataFrame, features, target: str =
         coefs = train_linear_svr(train, features, target, **kwargs)
         tr, va = predict_linear(train, coefs), predict_linear(val, coefs)
     elif method == "svr":
-        coefs, transform = train_rbf_svr(train, features, target, **kwargs)
-        tr, va = predict_linear(transform(train), coefs), predict_linear(transform(val), coefs)
+        coefs, fmap = train_rbf_svr(train, features, target, **kwargs)
+        tr, va = predict_mapped(train, features, fmap, coefs), predict_mapped(val, features, fmap, coefs)
     else:
         raise ValueError(f"Unknown method: {method}")
     both = tr.select(F.lit("train").alias("split"), target, "pred").unionByName(

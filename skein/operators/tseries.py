@@ -49,6 +49,14 @@ def mackinnon_p(tau: float) -> float:
     return norm_cdf(sum(c * tau ** i for i, c in enumerate(coefs)))
 
 
+def _f(x):
+    """Python float or None (numpy scalars and NaN are not accepted by createDataFrame)."""
+    if x is None:
+        return None
+    x = float(x)
+    return None if math.isnan(x) else x
+
+
 def adf_maxlag(n: int) -> int:
     return min(int(math.ceil(12.0 * (n / 100.0) ** 0.25)), n // 2 - 2)
 
@@ -134,7 +142,7 @@ def adf_by_market(df: DataFrame, spec: PanelSpec = PanelSpec(), col: str | None
         se = math.sqrt(max(sigma2 * r["P"][0, 0] / r["sx"][0] ** 2, 0.0)) if dfr > 0 else float("nan")
         tau = float(r["beta"][0] / se) if se and se > 0 else float("nan")
         pv = mackinnon_p(tau)
-        out.append((m, tau, pv, p, int(n), bool(pv < significance) if not math.isnan(pv) else None))
+        out.append((m, _f(tau), _f(pv), int(p), int(n), bool(pv < significance) if not math.isnan(pv) else None))
     return spark.createDataFrame(out, f"{spec.market} string, adf_stat double, p_value double, "
                                       "used_lag int, n_obs long, stationary boolean")
 
@@ -201,7 +209,7 @@ def select_lag_order(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, m
             bic = ld + math.log(n) / n * free
             hqic = ld + 2.0 * math.log(math.log(n)) / n * free
             fpe = ((n + dfm) / (n - dfm)) ** k * math.exp(ld) if n > dfm else None
-            out.append((row[spec.market], p, aic, bic, hqic, fpe))
+            out.append((row[spec.market], p, _f(aic), _f(bic), _f(hqic), _f(fpe)))
     return df.sparkSession.createDataFrame(
         out, f"{spec.market} string, p int, aic double, bic double, hqic double, fpe double")
 
@@ -262,7 +270,7 @@ def fit_varx(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, exog=VARX
         sign, ld = np.linalg.slogdet(sigma)
         n_params = k * (nr + 1) + k * (k + 1) // 2
         llf = -n / 2.0 * (k * math.log(2 * math.pi) + ld + k) if sign > 0 else float("nan")
-        models.append((m, "ok", int(n), -2 * llf + 2 * n_params, -2 * llf + math.log(n) * n_params))
+        models.append((m, "ok", int(n), _f(-2 * llf + 2 * n_params), _f(-2 * llf + math.log(n) * n_params)))
         coefs += [(m, *c) for c in eq_out]
     spark = df.sparkSession
     coef_df = spark.createDataFrame(coefs, f"{spec.market} string, equation string, regressor string, coef double")
@@ -328,8 +336,9 @@ def forecast_varx(history: DataFrame, future: DataFrame, coefs: DataFrame, spec:
                                                   h[spec.time].alias("time"), yhat.alias("forecast")))).alias("out"))
 
     init = F.struct(F.col("_state").alias("st"),
-                    F.array_remove(F.array(F.lit(None).cast(
-                        f"struct<step:int,id:long,time:timestamp_ntz,forecast:double>")), None).alias("out"))
+                    F.filter(F.array(F.lit(None).cast(
+                        "struct<step:int,id:long,time:timestamp_ntz,forecast:double>")),
+                        lambda x: F.lit(False)).alias("out"))
     folded = packed.select(spec.market, F.aggregate("_hs", init, step).alias("_acc"))
     return folded.select(spec.market, F.explode("_acc.out").alias("r")).select(
         spec.market, F.col("r.id").alias(spec.id), F.col("r.time").alias(spec.time),

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.session import wide_plan_guard
 from skein.operators.positions import with_positions
 from skein.operators.sizing import join_small
 from skein.spec import LAG_HOURS, ROLLING_WINDOWS, WEATHER_LAGS, PanelSpec
@@ -118,6 +119,7 @@ def window_features(df: DataFrame, spec: PanelSpec = PanelSpec(), lags: dict | N
     lags, rolling, diffs = dict(lags or {}), dict(rolling or {}), list(diffs)
     if not lags and not rolling and not diffs:
         return df
+    wide_plan_guard(df.sparkSession)
     strategy, bucket_rows = choose_strategy(df, spec, strategy, bucket_rows)
     cols = [F.col(c) for c in df.columns]
     if strategy == "plain":

@@ -230,7 +230,8 @@ def l9_fold_assignment(spark, sf):
 
 @query("l10_rbf_svr")
 def l10_rbf_svr(spark, sf):
-    return svr.train_rbf_svr(_scaled_train(spark, sf), P2F, "target", C=10.0, epsilon=0.1, n_components=50)[0]
+    return svr.train_rbf_svr(_scaled_train(spark, sf), P2F, "target", C=10.0, epsilon=0.1, n_components=50,
+                             order_cols=["delivery_start", "id"])[0]
 
 
 @query("l11_train_evaluate")

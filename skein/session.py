@@ -27,6 +27,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -51,3 +52,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="skein-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def wide_plan_guard(spark: SparkSession) -> None:
+    """Plans with dozens of aliased window/feature columns behind a multi-column null
+    filter make Catalyst's constraint inference explode (minutes of planning). The
+    operators that build such plans switch it off for the session; nothing in this
+    library relies on inferred filters."""
+    if spark.conf.get("spark.sql.constraintPropagation.enabled", "true") != "false":
+        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")

@@ -334,3 +334,30 @@ def t6_forecast(spark, sf):
     coefs, _ = tseries.fit_varx(hist, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"], order=24)
     return tseries.forecast_varx(hist, fut, coefs, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"],
                                  order=24, steps=48)
+
+
+# -- Volume: order-free operators over every lineitem row ---------------------------
+
+@query("v1_lineitem_ridge_by_market")
+def v1_lineitem_ridge_by_market(spark, sf):
+    """L4 over the line-item panel: one Gram pass over all rows, 6 markets, 5 features."""
+    return linear.fit_ridge(fx.lineitem_panel(spark, sf), ["market"], list(fx.VOLUME_FEATURES), "target", 1.0)
+
+
+def _vol_describe_sql():
+    from skein.plans.oracle_sql import with_vol
+    cols = ["target", *fx.VOLUME_FEATURES]
+    return with_vol(
+        "SELECT column_name, count(value) AS count, avg(value) AS mean, " + rnd("stddev_samp(value)") + " AS std,"
+        " min(value) AS min, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50,"
+        " quantile_cont(value, 0.75) AS p75, max(value) AS max FROM ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS value FROM vol WHERE {c} IS NOT NULL" for c in cols)
+        + ") GROUP BY column_name")
+
+
+@query("v2_lineitem_describe", _vol_describe_sql())
+def v2_lineitem_describe(spark, sf):
+    """A4 over every line item: moments plus exact quartiles from range-partitioned ranks."""
+    from skein.operators import stats
+    d = stats.describe(fx.lineitem_panel(spark, sf), ["target", *fx.VOLUME_FEATURES])
+    return d.select("column_name", "count", "mean", r4("std").alias("std"), "min", "p25", "p50", "p75", "max")

@@ -1,16 +1,166 @@
-"""End-to-end flows composed from the operators."""
+"""End-to-end flows composed from the operators (the reference's four scripts).
+
+* ``flow_arx``    (B) per-market ARX Ridge: validation metrics, pooled comparison, exog-only test predictions.
+* ``flow_svr``    (A) pooled linear SVR: forest ranking -> threshold -> scaling -> grid search -> predictions.
+* ``flow_ols``    (C) per-market OLS on month / prime-hour dummies, weekend flag and squares -> predictions.
+* ``flow_ensemble`` (D) mean and inverse-MAE blends of two prediction sets.
+
+Column names come from a ``PanelSpec``; feature lists are intersected with the
+columns a panel actually has. Predictions always carry their row id.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skein.functions import features as feat
-from skein.operators import impute, relational as rel
+from skein.operators import encode, ensemble, evaluate, impute, linear, relational as rel, select, svr, windows
 from skein.sources import fixtures as fx
+from skein.spec import (AR_FEATURES, ARX_LAG_HOURS, DROP_COLS, EXOG_FEATURES, INTERACTIONS, ROLLING_WINDOWS,
+                        SQUARED_COLS, VAR_SQ, PanelSpec)
+
+
+def _present(df: DataFrame, cols) -> list[str]:
+    have = set(df.columns)
+    return [c for c in cols if c in have]
+
+
+def _pairs_present(df: DataFrame, pairs):
+    have = set(df.columns)
+    return [(a, b) for a, b in pairs if a in have and b in have]
+
+
+# -- B ------------------------------------------------------------------------
+
+def arx_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Flow-B features: temporal, target lags (8), rolling mean/std (3), squares, interactions."""
+    out = feat.add_temporal_features(df, spec)
+    out = windows.window_features(out, spec, lags={spec.target: ARX_LAG_HOURS},
+                                  rolling={spec.target: ROLLING_WINDOWS})
+    out = feat.add_squared_features(out, _present(out, SQUARED_COLS), missing="skip")
+    return feat.add_interaction_features(out, _pairs_present(out, INTERACTIONS))
+
+
+def flow_arx(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, val_months: int = 3,
+             alpha: float = 1.0, pooled: bool = True, test_predictions: bool = True) -> dict:
+    """Flow B. Returns a dict of DataFrames: val_predictions, metrics, metrics_by_market and,
+    when asked, pooled_metrics, test_predictions (id, target), unmodelled (test markets
+    without a model).
+
+    The engineered training frame feeds several passes (split cutoff, moments, Gram,
+    scoring), so it is checkpointed once to the cluster's checkpoint directory.
+    """
+    train = impute.impute_missing(train_raw, spec, "ffill")
+    train = rel.drop_null_rows(train, [spec.target])
+    eng = arx_features(train, spec).checkpoint(eager=True)
+    exog = _present(eng, EXOG_FEATURES)
+    feats = _present(eng, AR_FEATURES) + exog
+    tr, va = rel.temporal_split(eng, spec, val_months)
+    tr, va = rel.drop_null_rows(tr, feats), rel.drop_null_rows(va, feats)
+    coefs = linear.fit_ridge(tr, [spec.market], feats, spec.target, alpha)
+    val_pred = linear.score_linear(va, coefs, [spec.market], feats)
+    scored = val_pred.where(F.col("pred").isNotNull())
+    out = {
+        "val_predictions": scored.select(spec.id, spec.market, spec.target, "pred"),
+        "metrics": evaluate.metrics(scored, spec.target, "pred"),
+        "metrics_by_market": evaluate.metrics_by_market(scored, spec.target, "pred", spec.market),
+    }
+    if pooled:
+        pooled_coefs, cats = linear.fit_ridge_pooled(tr, spec.market, feats, spec.target, alpha)
+        dummies = [f"{spec.market}_{v}" for v in cats]
+        pooled_pred = linear.score_linear(encode.one_hot(va, spec.market, cats), pooled_coefs, [],
+                                          [*feats, *dummies])
+        out["pooled_metrics"] = evaluate.metrics(pooled_pred, spec.target, "pred")
+    if not test_predictions:
+        return out
+    # Test: exogenous-only models per market on all training rows (no target lags exist there).
+    test = impute.impute_missing(test_raw, spec, "ffill")
+    test_eng = feat.add_temporal_features(test, spec)
+    test_eng = feat.add_squared_features(test_eng, _present(test_eng, SQUARED_COLS), missing="skip")
+    test_eng = feat.add_interaction_features(test_eng, _pairs_present(test_eng, INTERACTIONS))
+    test_eng = rel.fill_zero(test_eng, exog)
+    full = rel.drop_null_rows(eng, exog)
+    preds, _, unmodelled = linear.fit_predict_exog(full, test_eng, spec.market, exog, spec.target, alpha,
+                                                   spec.id)
+    out["test_predictions"] = preds.select(spec.id, F.col("pred").alias("target"))
+    out["unmodelled"] = unmodelled
+    return out
+
+
+# -- A ------------------------------------------------------------------------
+
+def flow_svr(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, rf_trees: int = 200,
+             rf_depth: int = 12, importance_threshold: float = 0.005, param_grid: dict | None = None,
+             n_splits: int = 3) -> dict:
+    """Flow A. Returns importances, cv table, coefficients and test predictions (id, target)."""
+    train = rel.drop_null_rows(impute.impute_missing(train_raw, spec, "ffill"), [spec.target])
+    test = impute.impute_missing(test_raw, spec, "ffill")
+    sq = _present(train, SQUARED_COLS)
+    ix = _pairs_present(train, INTERACTIONS)
+    tr = feat.engineer_features(train, spec, squared=sq, interactions=ix)
+    te = feat.engineer_features(test, spec, include_lags=False, include_rolling=False, squared=sq, interactions=ix)
+    cats = encode.fit_categories(tr, spec.market)
+    tr, te = encode.one_hot(tr, spec.market, cats), encode.one_hot(te, spec.market, cats)
+    excluded = {spec.id, spec.target, spec.market, spec.time, spec.end}
+    test_cols = set(te.columns)
+    feats = [c for c in tr.columns if c not in excluded and c in test_cols]
+    tr = rel.drop_null_rows(tr, feats).checkpoint(eager=True)
+    imp = select.rf_importance(tr, feats, spec.target, n_estimators=rf_trees, max_depth=rf_depth)
+    important = [r["feature"] for r in rel.above(imp, "importance", importance_threshold).collect()]
+    if not important:
+        important = feats
+    te = rel.fill_zero(te, important)
+    scaler, tr_s, _, te_s = encode.scale_features(tr, None, te, important)
+    grid = param_grid or {"alpha": [1e-5, 1e-4, 1e-3], "epsilon": [0.01, 0.1, 0.5],
+                          "learning_rate": ["invscaling", "adaptive"], "eta0": [0.001, 0.01]}
+    coefs, cv = svr.grid_search(tr_s, important, spec.target, grid, n_splits,
+                                order_cols=[spec.market, spec.time, spec.id])
+    preds = linear.score_linear(te_s, coefs, [], important)
+    return {"importances": imp, "cv": cv, "coefficients": coefs,
+            "test_predictions": preds.select(spec.id, F.col("pred").alias("target"))}
+
+
+# -- C ------------------------------------------------------------------------
+
+def ols_design(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Flow-C design: month + prime-hour dummies, weekend flag, squares (missing skipped)."""
+    out = feat.add_time_prime_dummies(df, spec)
+    out = feat.add_weekend_dummy(out, spec)
+    return feat.add_squared_features(out, VAR_SQ, missing="skip")
+
+
+def flow_ols(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, include_id: bool = True) -> dict:
+    """Flow C: every column but market/target/times is a regressor (``id`` too, as the
+    reference does; ``include_id=False`` leaves it out). Returns coefficients and test
+    predictions (id, target) - a market without a model gets NULL."""
+    tr, te = ols_design(train_raw, spec), ols_design(test_raw, spec)
+    drop = set(DROP_COLS) | {spec.market, spec.target, spec.time, spec.end}
+    if not include_id:
+        drop.add(spec.id)
+    regs = [c for c in tr.columns if c not in drop]
+    coefs = linear.fit_ols(tr, [spec.market], regs, spec.target, const_rule=True)
+    preds = linear.score_linear(te, coefs, [spec.market], regs)
+    return {"coefficients": coefs, "test_predictions": preds.select(spec.id, F.col("pred").alias("target"))}
+
+
+# -- D ------------------------------------------------------------------------
+
+def flow_ensemble(a: DataFrame, b: DataFrame, mae_a: float, mae_b: float, id_col: str = "id") -> dict:
+    """Flow D: align on id (report one-sided ids), mean blend and inverse-MAE blend."""
+    aligned = rel.align_predictions(a, b, id_col, "target")
+    preds = {"a": a, "b": b}
+    return {
+        "alignment": rel.alignment_report(aligned),
+        "mean": ensemble.mean_ensemble(preds, id_col, "target"),
+        "weighted": ensemble.weighted_ensemble(preds, ensemble.inverse_mae_weights({"a": mae_a, "b": mae_b}),
+                                               id_col, "target"),
+    }
+
 
+# -- flagship -------------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = impute.impute_missing(fx.hourly_events_panel(spark, sf_dir), fx.P1_SPEC, "ffill")
-    p = rel.drop_null_rows(p, ["target"])
-    return feat.engineer_features(p, fx.P1_SPEC, squared=["wind_speed_10m"],
-                                  interactions=[("wind_forecast", "wind_speed_10m")])
+    """Orders panel -> ffill -> ARX features -> temporal split -> per-market Ridge -> per-market metrics."""
+    train, test = fx.orders_train_test(spark, sf_dir)
+    return flow_arx(train, test, fx.P2_SPEC, pooled=False, test_predictions=False)["metrics_by_market"]

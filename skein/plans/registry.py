@@ -5,11 +5,8 @@ from __future__ import annotations
 
 def _load():
     from skein.plans import catalog  # noqa: F401
-    try:
-        from skein.plans import catalog_models  # noqa: F401
-    except ImportError as exc:  # pragma: no cover - only while a module is being written
-        if "catalog_models" not in str(exc):
-            raise
+    from skein.plans import catalog_models  # noqa: F401
+    from skein.plans import catalog_flows  # noqa: F401
     return catalog
 
 

@@ -95,7 +95,7 @@ def add_weekend_dummy(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame
 
 def add_squared_features(df: DataFrame, cols=None, missing: str = "error") -> DataFrame:
     """``{c}_sq`` = c * c. ``missing='error'`` (F6) or ``'skip'``."""
-    cols = list(cols or SQUARED_COLS)
+    cols = list(SQUARED_COLS if cols is None else cols)
     have = set(df.columns)
     if missing == "error":
         absent = [c for c in cols if c not in have]
@@ -106,7 +106,7 @@ def add_squared_features(df: DataFrame, cols=None, missing: str = "error") -> Da
 
 def add_interaction_features(df: DataFrame, pairs=None) -> DataFrame:
     """F8: ``{a}_x_{b}`` = a * b for each pair."""
-    pairs = list(pairs or INTERACTIONS)
+    pairs = list(INTERACTIONS if pairs is None else pairs)
     return df.select("*", *[(F.col(a) * F.col(b)).alias(f"{a}_x_{b}") for a, b in pairs])
 
 
@@ -135,13 +135,13 @@ def engineer_features(df: DataFrame, spec: PanelSpec = PanelSpec(), include_lags
     out = add_temporal_features(df, spec)
     out = add_squared_features(out, squared)
     out = add_interaction_features(out, interactions)
-    lag_list = list(lags or LAG_HOURS)
-    wcols = [c for c in (weather_cols or WEATHER_LAGS) if c in out.columns]
+    lag_list = list(LAG_HOURS if lags is None else lags)
+    wcols = [c for c in (WEATHER_LAGS if weather_cols is None else weather_cols) if c in out.columns]
     lag_cfg = {c: lag_list for c in wcols}
     roll_cfg = {}
     if spec.target in out.columns:
         if include_lags:
             lag_cfg[spec.target] = lag_list
         if include_rolling:
-            roll_cfg[spec.target] = list(windows or ROLLING_WINDOWS)
+            roll_cfg[spec.target] = list(ROLLING_WINDOWS if windows is None else windows)
     return window_features(out, spec, lags=lag_cfg, rolling=roll_cfg, **window_kw)

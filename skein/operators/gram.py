@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from skein.session import wide_plan_guard
 from skein.operators.sizing import bounded_collect
 
-MAX_CLOSURE_GROUPS = 20_000
+# Up to this many groups the (shift, scale) vectors travel in the task closure; beyond it
+# they are joined onto the rows.
+MAX_CLOSURE_GROUPS = 2_000
 
 
 def moments(df: DataFrame, group_cols, cols) -> DataFrame:
@@ -65,7 +67,11 @@ def _partial_kernel(group_cols, cols, stats, center: bool, fixed=None):
                 items = [((), np.arange(len(pdf)))]
             for key, idx in items:
                 key = tuple(None if (isinstance(v, float) and np.isnan(v)) else v for v in key)
-                mu, sc = stats[key] if key in stats else (np.zeros(k), np.ones(k))
+                if stats is None:  # many groups: shift/scale arrived as columns
+                    mu = np.asarray(pdf["_mu"].iat[idx[0]], dtype=np.float64)
+                    sc = np.asarray(pdf["_sc"].iat[idx[0]], dtype=np.float64)
+                else:
+                    mu, sc = stats[key] if key in stats else (np.zeros(k), np.ones(k))
                 Z = X[idx]
                 if center or fixed is not None:
                     Z = (Z - mu) / sc
@@ -110,7 +116,7 @@ def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True,
     mom = stats_df if stats_df is not None else moments(base, group_cols, cols)
     rows = bounded_collect(mom, MAX_CLOSURE_GROUPS)
     if rows is None:
-        raise ValueError(f"more than {MAX_CLOSURE_GROUPS} groups: use solve_in_groups")
+        return _gram_many_groups(base, mom, group_cols, user_groups, cols, center, fixed)
     stats = {_key(r, group_cols): (np.array(r["mean"], dtype=float), np.array(r["scale"], dtype=float))
              for r in rows}
     if fixed is not None:
@@ -140,6 +146,37 @@ def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True,
                       F.slice("_c", 1, k).alias("s"), F.slice("_c", k + 1, k * k).alias("g"))
 
 
+def _gram_many_groups(base, mom, group_cols, user_groups, cols, center, fixed):
+    """Same result as the closure path, for more groups than fit in a task closure:
+    each group's (shift, scale) is joined onto its rows (a shuffle join on the group key)."""
+    k = len(cols)
+    if fixed is not None:
+        shift, scl = (np.asarray(v, dtype=float) for v in fixed)
+        mu = F.array(*[F.lit(float(v)) for v in shift])
+        sc = F.array(*[F.lit(float(v)) for v in scl])
+    elif center:
+        mu, sc = F.col("mean"), F.col("scale")
+    else:
+        mu = F.array(*[F.lit(0.0) for _ in range(k)])
+        sc = F.zip_with("mean", "scale", lambda m, s_: F.sqrt(m * m + s_ * s_))
+    stats = mom.select(*group_cols, mu.alias("_mu"), sc.alias("_sc"), "min", "max")
+    withstats = base.join(stats.select(*group_cols, "_mu", "_sc"), group_cols, "inner")
+    schema = T.StructType(
+        [f for f in base.schema.fields if f.name in group_cols]
+        + [T.StructField("_n", T.LongType()), T.StructField("_cells", T.ArrayType(T.DoubleType()))])
+    partial = withstats.mapInPandas(_partial_kernel(group_cols, cols, None, True), schema)
+    cells = partial.select(*group_cols, "_n", F.posexplode("_cells").alias("_i", "_v"))
+    summed = cells.groupBy(*group_cols, "_i").agg(F.sum("_v").alias("_v"))
+    counts = partial.groupBy(*group_cols).agg(F.sum("_n").alias("_nn"))
+    packed = summed.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_c"))
+    packed = packed.select(*group_cols, F.col("_c._v").alias("_c"))
+    out = packed.join(counts, group_cols, "inner").join(
+        stats.select(*group_cols, F.col("_mu").alias("mean"), F.col("_sc").alias("scale"), "min", "max"),
+        group_cols, "inner")
+    return out.select(*user_groups, F.col("_nn").alias("n"), "mean", "scale", "min", "max",
+                      F.slice("_c", 1, k).alias("s"), F.slice("_c", k + 1, k * k).alias("g"))
+
+
 def unpack(row, k: int):
     """(n, mean, scale, min, max, s, G) numpy views of one Gram row."""
     return (int(row["n"]), np.array(row["mean"], float), np.array(row["scale"], float),

@@ -34,14 +34,17 @@ def impute_median(df: DataFrame, spec: PanelSpec = PanelSpec(), cols=None,
     return joined.select(*out)
 
 
-def impute_missing(df: DataFrame, spec: PanelSpec = PanelSpec(), strategy: str = "ffill",
+def impute_missing(df: DataFrame, spec: PanelSpec = PanelSpec(), method: str = "ffill",
                    cols=None, **kw) -> DataFrame:
-    """I1/I2 dispatch: ``ffill`` (forward then backward fill per market) or ``median``."""
-    if strategy == "ffill":
+    """I1/I2 dispatch: ``ffill`` (forward then backward fill per market) or ``median``.
+
+    Extra keywords go to the operator (e.g. the window ``strategy`` of ffill).
+    """
+    if method == "ffill":
         return fill_forward_backward(df, spec, cols, **kw)
-    if strategy == "median":
+    if method == "median":
         return impute_median(df, spec, cols, **kw)
-    raise ValueError(f"Unknown imputation strategy: {strategy}")
+    raise ValueError(f"Unknown imputation strategy: {method}")
 
 
 def null_counts(df: DataFrame, cols=None, only_positive: bool = False) -> DataFrame:

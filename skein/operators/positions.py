@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators.sizing import join_small
+from skein.session import ensure_checkpoint_dir
 
 _PARTITION_SHIFT = 33  # monotonically_increasing_id puts the partition id above bit 33
 
@@ -50,6 +51,7 @@ def with_positions(df: DataFrame, partition_cols, order_cols, pos_col: str = "_p
         "_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _PARTITION_SHIFT)
     ).drop("_mid")
     if checkpoint:
+        ensure_checkpoint_dir(spark)
         numbered = numbered.checkpoint(eager=True)
 
     group_w = Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()

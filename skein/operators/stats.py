@@ -177,8 +177,16 @@ def corr_long(df: DataFrame, cols, method: str = "auto") -> DataFrame:
         from skein.operators.gram import masked_corr
         return masked_corr(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}")
-                   for i, (a, b) in enumerate(pairs)]).first() if pairs else []
+
+    def pair_corr(a, b):
+        # Pairwise-complete Pearson from population moments; try_divide gives NULL (not an
+        # ANSI error) when either column is constant on the shared rows.
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        va = F.var_pop(F.when(y.isNotNull(), x))
+        vb = F.var_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), F.sqrt(va * vb))
+
+    row = df.agg(*[pair_corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else []
     data = []
     for c in cols:
         data.append((c, c, 1.0))

@@ -135,20 +135,21 @@ def window_features(df: DataFrame, spec: PanelSpec = PanelSpec(), lags: dict | N
 
 def add_lag_features(df: DataFrame, spec: PanelSpec = PanelSpec(), lags=None, **kw) -> DataFrame:
     """Target lags within market (positional, default LAG_HOURS)."""
-    return window_features(df, spec, lags={spec.target: list(lags or LAG_HOURS)}, **kw)
+    return window_features(df, spec, lags={spec.target: list(LAG_HOURS if lags is None else lags)}, **kw)
 
 
 def add_rolling_features(df: DataFrame, spec: PanelSpec = PanelSpec(), windows=None,
                          **kw) -> DataFrame:
     """Rolling mean and sample std of the target over the previous k rows."""
-    return window_features(df, spec, rolling={spec.target: list(windows or ROLLING_WINDOWS)}, **kw)
+    return window_features(df, spec, rolling={spec.target: list(ROLLING_WINDOWS if windows is None else windows)}, **kw)
 
 
 def add_weather_lags(df: DataFrame, spec: PanelSpec = PanelSpec(), lags=None, cols=None,
                      **kw) -> DataFrame:
     """Lags of weather columns; columns absent from the frame are skipped."""
-    cols = [c for c in (cols or WEATHER_LAGS) if c in df.columns]
-    return window_features(df, spec, lags={c: list(lags or LAG_HOURS) for c in cols}, **kw)
+    cols = [c for c in (WEATHER_LAGS if cols is None else cols) if c in df.columns]
+    lags = LAG_HOURS if lags is None else lags
+    return window_features(df, spec, lags={c: list(lags) for c in cols}, **kw)
 
 
 def add_variable_lags(df: DataFrame, spec: PanelSpec, variable, lags=None, **kw) -> DataFrame:

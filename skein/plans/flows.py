@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import features as feat
 from skein.operators import encode, ensemble, evaluate, impute, linear, relational as rel, select, svr, windows
+from skein.session import ensure_checkpoint_dir
 from skein.sources import fixtures as fx
 from skein.spec import (AR_FEATURES, ARX_LAG_HOURS, DROP_COLS, EXOG_FEATURES, INTERACTIONS, ROLLING_WINDOWS,
                         SQUARED_COLS, VAR_SQ, PanelSpec)
@@ -53,6 +54,7 @@ def flow_arx(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, val_mon
     """
     train = impute.impute_missing(train_raw, spec, "ffill")
     train = rel.drop_null_rows(train, [spec.target])
+    ensure_checkpoint_dir(train.sparkSession)
     eng = arx_features(train, spec).checkpoint(eager=True)
     exog = _present(eng, EXOG_FEATURES)
     feats = _present(eng, AR_FEATURES) + exog
@@ -105,6 +107,7 @@ def flow_svr(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, rf_tree
     excluded = {spec.id, spec.target, spec.market, spec.time, spec.end}
     test_cols = set(te.columns)
     feats = [c for c in tr.columns if c not in excluded and c in test_cols]
+    ensure_checkpoint_dir(tr.sparkSession)
     tr = rel.drop_null_rows(tr, feats).checkpoint(eager=True)
     imp = select.rf_importance(tr, feats, spec.target, n_estimators=rf_trees, max_depth=rf_depth)
     important = [r["feature"] for r in rel.above(imp, "importance", importance_threshold).collect()]

@@ -50,6 +50,12 @@ def choose_strategy(df: DataFrame, spec: PanelSpec, strategy: str | None = None,
     return strategy, bucket_rows
 
 
+def _reversed(spec: PanelSpec) -> Window:
+    """The market window in exactly reversed (time, id) order."""
+    return Window.partitionBy(spec.market).orderBy(
+        F.col(spec.time).desc_nulls_first(), F.col(spec.id).desc_nulls_first())
+
+
 def _guard(spec: PanelSpec, e: Column) -> Column:
     """Rows with a null market belong to no series (pandas drops null group keys)."""
     return F.when(F.col(spec.market).isNotNull(), e)
@@ -200,11 +206,14 @@ def fill_forward_backward(df: DataFrame, spec: PanelSpec = PanelSpec(), cols=Non
     if strategy == "plain":
         w = spec.window()
         past = w.rowsBetween(Window.unboundedPreceding, 0)
-        future = w.rowsBetween(0, Window.unboundedFollowing)
+        # Backward fill = forward fill in reversed order: an unbounded-PRECEDING frame is
+        # evaluated incrementally, while an unbounded-following frame is re-aggregated for
+        # every row (quadratic in the market size).
+        future = _reversed(spec).rowsBetween(Window.unboundedPreceding, 0)
 
         def filled(c):
             fwd = F.last(F.col(c), ignorenulls=True).over(past)
-            e = F.coalesce(fwd, F.first(F.col(c), ignorenulls=True).over(future)) if backfill else fwd
+            e = F.coalesce(fwd, F.last(F.col(c), ignorenulls=True).over(future)) if backfill else fwd
             return _guard(spec, e).alias(c)
 
         return df.select(*[filled(c) if c in wanted else F.col(c) for c in df.columns])
@@ -228,12 +237,13 @@ def fill_forward_backward(df: DataFrame, spec: PanelSpec = PanelSpec(), cols=Non
     joined = join_small(staged, carry, [spec.market, _BUCKET], null_safe=True)
     w = Window.partitionBy(spec.market, _BUCKET).orderBy(_POS)
     past = w.rowsBetween(Window.unboundedPreceding, 0)
-    future = w.rowsBetween(0, Window.unboundedFollowing)
+    future = Window.partitionBy(spec.market, _BUCKET).orderBy(F.col(_POS).desc()).rowsBetween(
+        Window.unboundedPreceding, 0)
 
     def filled_b(c):
         parts = [F.last(F.col(c), ignorenulls=True).over(past), F.col(f"_cl_{c}")]
         if backfill:
-            parts += [F.first(F.col(c), ignorenulls=True).over(future), F.col(f"_cf_{c}")]
+            parts += [F.last(F.col(c), ignorenulls=True).over(future), F.col(f"_cf_{c}")]
         return _guard(spec, F.coalesce(*parts)).alias(c)
 
     return joined.select(*[filled_b(c) if c in wanted else F.col(c) for c in df.columns])

@@ -95,3 +95,20 @@ def test_engineered_features_use_one_market_exchange(spark):
     assert plan.count("Window [") >= 1
     phys = df._jdf.queryExecution().executedPlan().toString()
     assert phys.count("hashpartitioning(market") <= 2  # the window exchange (+ the join inside the fixture)
+
+
+def test_unknown_imputation_and_window_strategy_raise(panel):
+    df = panel([(0, "A", hours(1)[0], 1.0, None)])
+    with pytest.raises(ValueError):
+        impute.impute_missing(df, SPEC, "mean")
+    with pytest.raises(ValueError):
+        windows.window_features(df, SPEC, lags={"x": [1]}, strategy="nope")
+
+
+def test_bucketed_equals_plain_with_tied_times(spark):
+    p = fx.orders_panel(spark, SF_SMALL)  # many orders share a date: order is (time, id)
+    kw = dict(lags={"target": [1, 7]}, rolling={"target": [3]})
+    a = windows.window_features(p, fx.P2_SPEC, strategy="plain", **kw)
+    b = windows.window_features(p, fx.P2_SPEC, strategy="bucketed", bucket_rows=40, **kw)
+    cols = ["id", "target_lag_1h", "target_lag_7h", "target_roll_mean_3h"]
+    assert _rows(a, cols) == _rows(b, cols)

@@ -10,8 +10,8 @@ come from ONE distributed pass, and J never increases. All candidates of a grid
 all time-series folds are fitted in the same passes: each row carries a fold mask and
 every (candidate, fold) model gets its own weighted Gram.
 
-RBF kernel: random Fourier features (Rahimi & Recht, 2007) computed as JVM column
-expressions, followed by the same linear solver (α = 1 / (C · n)).
+RBF kernel: random Fourier features (Rahimi & Recht, 2007), applied inside the tasks to each
+Arrow batch as one matrix product, followed by the same linear solver (α = 1 / (C · n)).
 """
 
 from __future__ import annotations

@@ -291,7 +291,7 @@ def forecast_varx(history: DataFrame, future: DataFrame, coefs: DataFrame, spec:
     """
     endog = list(endog or [spec.target])
     if len(endog) != 1:
-        raise NotImplementedError("multi-step forecasts are implemented for one endogenous series")
+        return _forecast_multi(history, future, coefs, spec, endog, exog, order, steps)
     y = endog[0]
     exog = [c for c in (exog or []) if c in future.columns]
     # Coefficients to one row per market: const, exog coefficients, AR coefficient array (lag 1 first).
@@ -343,3 +343,53 @@ def forecast_varx(history: DataFrame, future: DataFrame, coefs: DataFrame, spec:
     return folded.select(spec.market, F.explode("_acc.out").alias("r")).select(
         spec.market, F.col("r.id").alias(spec.id), F.col("r.time").alias(spec.time),
         F.col("r.step").alias("step"), F.col("r.forecast").alias("forecast"))
+
+
+def _forecast_multi(history: DataFrame, future: DataFrame, coefs: DataFrame, spec: PanelSpec, endog, exog,
+                    order: int, steps: int | None) -> DataFrame:
+    """T6 for several endogenous series: one group per market holding only its horizon rows
+    (at most ``steps``) plus its model and last ``order`` observations; the recursion runs in
+    numpy inside ``applyInPandas``. Output: market, id, time, step, forecast_{endog}..."""
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    k = len(endog)
+    exog = [c for c in (exog or []) if c in future.columns]
+    regs = ["const", *[f"{e}_lag_{p}h" for p in range(1, order + 1) for e in endog], *exog]
+    # One row per market: the coefficient matrix flattened equation-major (k x len(regs)).
+    cells = [F.max(F.when((F.col("equation") == e) & (F.col("regressor") == r), F.col("coef")))
+             for e in endog for r in regs]
+    model = coefs.groupBy(spec.market).agg(F.array(*[F.coalesce(c, F.lit(0.0)) for c in cells]).alias("_beta"))
+    w_desc = Window.partitionBy(spec.market).orderBy(F.col(spec.time).desc(), F.col(spec.id).desc())
+    tail = (history.where(F.col(spec.market).isNotNull()).dropna(subset=endog)
+            .select(spec.market, *endog, F.row_number().over(w_desc).alias("_rk")).where(F.col("_rk") <= order))
+    seed = tail.groupBy(spec.market).agg(
+        F.sort_array(F.collect_list(F.struct("_rk", F.array(*[F.col(e) for e in endog]).alias("v")))).alias("_s"))
+    seed = seed.select(spec.market, F.col("_s.v").alias("_seed"))  # newest first, each an array of k
+    w_asc = Window.partitionBy(spec.market).orderBy(F.col(spec.time).asc_nulls_last(), F.col(spec.id))
+    fut = future.where(F.col(spec.market).isNotNull()).select(
+        spec.market, spec.id, spec.time, *exog, F.row_number().over(w_asc).alias("step"))
+    if steps is not None:
+        fut = fut.where(F.col("step") <= steps)
+    fut = join_small(join_small(fut, model, [spec.market]), seed, [spec.market])
+    out_fields = [T.StructField(spec.market, T.StringType()), T.StructField(spec.id, T.LongType()),
+                  T.StructField(spec.time, T.TimestampNTZType()), T.StructField("step", T.IntegerType())]
+    out_fields += [T.StructField(f"forecast_{e}", T.DoubleType()) for e in endog]
+    nr = len(regs)
+
+    def run(pdf):
+        pdf = pdf.sort_values("step")
+        beta = np.asarray(pdf["_beta"].iloc[0], dtype=float).reshape(k, nr)
+        state = [np.asarray(v, dtype=float) for v in pdf["_seed"].iloc[0]]  # newest first
+        rows = []
+        for _, r in pdf.iterrows():
+            x = [1.0]
+            for p in range(order):
+                x.extend(state[p] if p < len(state) else np.full(k, np.nan))
+            x.extend(0.0 if pd.isna(r[e]) else float(r[e]) for e in exog)
+            yhat = beta @ np.asarray(x, dtype=float)
+            state = [yhat] + state[:order - 1]
+            rows.append([r[spec.market], int(r[spec.id]), r[spec.time], int(r["step"]), *map(float, yhat)])
+        return pd.DataFrame(rows, columns=[f.name for f in out_fields])
+
+    return fut.groupBy(spec.market).applyInPandas(run, T.StructType(out_fields))

@@ -361,3 +361,16 @@ def v2_lineitem_describe(spark, sf):
     from skein.operators import stats
     d = stats.describe(fx.lineitem_panel(spark, sf), ["target", *fx.VOLUME_FEATURES])
     return d.select("column_name", "count", "mean", r4("std").alias("std"), "min", "p25", "p50", "p75", "max")
+
+
+@query("t6_forecast_varx_two_series")
+def t6_forecast_varx_two_series(spark, sf):
+    """VARX(24) on (target, load_forecast) with solar_forecast as exogenous; forecast the last 48 hours."""
+    from datetime import timedelta
+    s = _series(spark, sf)
+    cut = s.agg(F.max("delivery_start")).first()[0]
+    hist = s.where(F.col("delivery_start") <= F.lit(cut - timedelta(hours=48)))
+    fut = s.where(F.col("delivery_start") > F.lit(cut - timedelta(hours=48)))
+    endog, exog = ["target", "load_forecast"], ["solar_forecast"]
+    coefs, _ = tseries.fit_varx(hist, P1, endog, exog, order=24)
+    return tseries.forecast_varx(hist, fut, coefs, P1, endog, exog, order=24, steps=48)

@@ -191,3 +191,34 @@ def test_many_groups_gram_path_equals_closure_path(spark, monkeypatch):
     for m in a:
         for f in a[m]:
             assert math.isclose(a[m][f], b[m][f], rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_varx_forecast_two_series_matches_numpy_recursion(spark):
+    from datetime import timedelta
+    from skein.operators import impute, relational as rel
+    s = rel.drop_null_rows(impute.impute_missing(fx.hourly_events_panel(spark, SF_SMALL), fx.P1_SPEC, "ffill"),
+                           ["target"])
+    cut = s.agg(F.max("delivery_start")).first()[0]
+    hist = s.where(F.col("delivery_start") <= F.lit(cut - timedelta(hours=12)))
+    fut = s.where(F.col("delivery_start") > F.lit(cut - timedelta(hours=12)))
+    en, ex = ["target", "load_forecast"], ["solar_forecast"]
+    coefs, _ = tseries.fit_varx(hist, fx.P1_SPEC, en, ex, order=3)
+    out = tseries.forecast_varx(hist, fut, coefs, fx.P1_SPEC, en, ex, order=3, steps=12).toPandas()
+    c = coefs.toPandas()
+    for m in out.market.unique():
+        cc = c[c.market == m]
+        h = hist.where(F.col("market") == m).orderBy("delivery_start", "id").toPandas()
+        f = fut.where(F.col("market") == m).orderBy("delivery_start", "id").toPandas().head(12)
+        Y = [h[en].to_numpy()[-p] for p in range(1, 4)]
+        preds = []
+        for i in range(len(f)):
+            yh = []
+            for e in en:
+                q = cc[cc.equation == e].set_index("regressor")["coef"]
+                v = q["const"] + q["solar_forecast"] * f["solar_forecast"].iloc[i]
+                v += sum(q[f"{e2}_lag_{p}h"] * Y[p - 1][j] for p in range(1, 4) for j, e2 in enumerate(en))
+                yh.append(v)
+            preds.append(yh)
+            Y = [np.array(yh)] + Y[:2]
+        got = out[out.market == m].sort_values("step")[["forecast_target", "forecast_load_forecast"]].to_numpy()
+        assert np.allclose(np.array(preds), got, rtol=1e-9, atol=1e-6)

@@ -69,11 +69,28 @@ def _kernel(k: int, thetas: np.ndarray, alphas_eps, cuts, delta: float, init: bo
                 loss[m] += np.maximum(absr[mask, m] - eps[m], 0.0).sum()
                 cnt[m] += mask.sum()
         cells = np.concatenate([A.ravel(), B.ravel(), loss, cnt])
-        yield pd.DataFrame({"_i": np.arange(cells.size, dtype=np.int64), "_v": cells})
+        yield pd.DataFrame({"_v": [cells.tolist()]})
 
     return run
 
 
+# Partial-sum rows (one per task) up to this many cells in total are added on the driver;
+# beyond it Spark sums them cell by cell.
+MAX_DRIVER_CELLS = 5_000_000
+
+
+def _sum_partials(parts: DataFrame, n_parts: int, size: int) -> np.ndarray:
+    cells = np.zeros(size)
+    if n_parts * size <= MAX_DRIVER_CELLS:
+        for r in parts.collect():
+            cells += np.asarray(r["_v"], dtype=np.float64)
+        return cells
+    summed = parts.select(F.posexplode("_v").alias("_i", "_x")).groupBy("_i").agg(F.sum("_x").alias("_x"))
+    for r in summed.collect():
+        cells[r["_i"]] = r["_x"]
+    return cells
+
+
 def _solve_batch(prepared: DataFrame, k: int, alphas_eps, cuts, max_iter: int = 60, tol: float = 1e-7,
                  delta: float = 1e-9, featurize=None):
     """Fit every model (alpha, eps, row range) together; returns thetas (M x (k+1)) and objectives."""
@@ -87,10 +104,8 @@ def _solve_batch(prepared: DataFrame, k: int, alphas_eps, cuts, max_iter: int =
     first = True
     for _ in range(max_iter):
         run = _kernel(k, thetas, alphas_eps, cuts, delta, init=first, featurize=featurize)
-        parts = prepared.mapInPandas(run, "_i long, _v double")
-        cells = np.zeros(M * k1 * k1 + M * k1 + 2 * M)
-        for r in parts.groupBy("_i").agg(F.sum("_v").alias("_v")).collect():
-            cells[r["_i"]] = r["_v"]
+        parts = prepared.mapInPandas(run, "_v array<double>")
+        cells = _sum_partials(parts, prepared.rdd.getNumPartitions(), M * k1 * k1 + M * k1 + 2 * M)
         o = 0
         A = cells[o:o + M * k1 * k1].reshape(M, k1, k1); o += M * k1 * k1
         B = cells[o:o + M * k1].reshape(M, k1); o += M * k1

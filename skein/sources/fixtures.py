@@ -64,8 +64,8 @@ def hourly_events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "market", "mrank", "n_markets", "g_lo",
         F.explode(F.sequence("g_lo", "g_hi", F.expr("INTERVAL 1 HOUR"))).alias("delivery_start"),
     )
-    hour_idx = ((F.unix_micros(F.col("delivery_start").cast("timestamp"))
-                 - F.unix_micros(F.col("g_lo").cast("timestamp"))) / 3_600_000_000).cast("long")
+    # Wall-clock hours between NTZ values: no session time zone (and no DST shift) involved.
+    hour_idx = F.timestamp_diff("HOUR", F.col("g_lo"), F.col("delivery_start")).cast("long")
     grid = grid.select(
         (F.col("n_markets") * hour_idx + F.col("mrank")).alias("id"),
         "market", "delivery_start",

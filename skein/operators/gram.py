@@ -1,5 +1,8 @@
 """Grouped sufficient statistics (moments and Gram matrices) in one distributed pass.
 
+By default (centred statistics) the data are read ONCE: every task centres its partial
+sums at its own mean and Spark merges the partials exactly with the parallel-variance
+rule (``grouped_gram_one_pass``). With a fixed standardisation or uncentred sums,
 ``grouped_gram`` standardises each column with per-group (shift, scale) taken from a
 native moments pass, then every task accumulates, per group it sees, the count, the
 column sums and ZᵀZ of its rows (numpy over Arrow batches in ``mapInPandas``) and
@@ -96,13 +99,17 @@ def _partial_kernel(group_cols, cols, stats, center: bool, fixed=None):
 
 
 def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True,
-                 stats_df: DataFrame | None = None, fixed=None) -> DataFrame:
+                 stats_df: DataFrame | None = None, fixed=None, one_pass: bool = True) -> DataFrame:
     """One row per group with n, moments and the sums of z and z zᵀ of the standardised columns.
 
     Rows must already be complete in ``cols`` (use ``dropna(subset=cols)``).
     ``center=False`` only scales (uncentred Gram, e.g. for VIF). ``fixed=(shift, scale)``
     standardises every group with the same vectors (e.g. folds of one data set).
+    In the centred case the data are read once (``grouped_gram_one_pass``) unless
+    ``one_pass=False`` asks for the moments-then-Gram two-pass plan.
     """
+    if one_pass and center and fixed is None and stats_df is None:
+        return grouped_gram_one_pass(df, group_cols, cols)
     cols = list(cols)
     user_groups = list(group_cols)
     wide_plan_guard(df.sparkSession)
@@ -240,3 +247,93 @@ def masked_corr(df: DataFrame, cols) -> DataFrame:
                 val = float(np.clip(cov / np.sqrt(vi * vj), -1.0, 1.0))
             out.append((cols[i], cols[j], val))
     return df.sparkSession.createDataFrame(out, "f1 string, f2 string, corr double")
+
+
+# -- single data pass ------------------------------------------------------------
+
+def _own_mean_kernel(group_cols, cols):
+    """Per (partition, group): n, own mean, cross-products about the own mean, min, max."""
+    k = len(cols)
+
+    def run(it):
+        acc = {}
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = pdf[cols].to_numpy(dtype=np.float64)
+            grouped = pdf.groupby(group_cols, sort=False, dropna=False).indices
+            for key, idx in grouped.items():
+                key = key if isinstance(key, tuple) else (key,)
+                Z = X[idx]
+                a = acc.get(key)
+                if a is None:  # shift by the first row seen: sums stay small
+                    a = acc[key] = [0, Z[0].copy(), np.zeros(k), np.zeros((k, k)), Z.min(0), Z.max(0)]
+                D = Z - a[1]
+                a[0] += len(idx)
+                a[2] += D.sum(axis=0)
+                a[3] += D.T @ D
+                a[4] = np.minimum(a[4], Z.min(0))
+                a[5] = np.maximum(a[5], Z.max(0))
+        rows = []
+        for key, (n, x0, s1, s2, lo, hi) in acc.items():
+            m = s1 / n
+            rows.append({**dict(zip(group_cols, key)), "_n": int(n), "_m": (x0 + m).tolist(),
+                         "_c": (s2 - n * np.outer(m, m)).ravel().tolist(), "_lo": lo.tolist(), "_hi": hi.tolist()})
+        if rows:
+            yield pd.DataFrame(rows, columns=[*group_cols, "_n", "_m", "_c", "_lo", "_hi"])
+
+    return run
+
+
+def grouped_gram_one_pass(df: DataFrame, group_cols, cols) -> DataFrame:
+    """Same output as ``grouped_gram`` (centred case) from ONE scan of the data.
+
+    Every task centres its partial sums at its own mean; partials are merged exactly:
+    C = sum_p M2_p + sum_p n_p d_p d_pᵀ with d_p = mean_p - mean (parallel variance rule).
+    The merge runs on the small (partition x group) table with array expressions.
+    """
+    cols = list(cols)
+    user_groups = list(group_cols)
+    group_cols = user_groups or ["_all"]
+    k = len(cols)
+    wide_plan_guard(df.sparkSession)
+    src = df if user_groups else df.withColumn("_all", F.lit(0))
+    base = src.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols])
+    for c in group_cols:
+        base = base.where(F.col(c).isNotNull())
+    arr = T.ArrayType(T.DoubleType())
+    schema = T.StructType([f for f in base.schema.fields if f.name in group_cols] + [
+        T.StructField("_n", T.LongType()), T.StructField("_m", arr), T.StructField("_c", arr),
+        T.StructField("_lo", arr), T.StructField("_hi", arr)])
+    parts = base.mapInPandas(_own_mean_kernel(group_cols, cols), schema)
+    idx = F.sequence(F.lit(0), F.lit(k - 1))
+    # Group totals: n, mean (n-weighted), min, max.
+    tot = parts.groupBy(*group_cols).agg(
+        F.sum("_n").alias("_N"),
+        *[F.sum(F.col("_n") * F.col("_m")[i]).alias(f"_sm{i}") for i in range(k)],
+        *[F.min(F.col("_lo")[i]).alias(f"_mn{i}") for i in range(k)],
+        *[F.max(F.col("_hi")[i]).alias(f"_mx{i}") for i in range(k)])
+    tot = tot.select(*group_cols, "_N",
+                     F.array(*[F.col(f"_sm{i}") / F.col("_N") for i in range(k)]).alias("mean"),
+                     F.array(*[F.col(f"_mn{i}") for i in range(k)]).alias("min"),
+                     F.array(*[F.col(f"_mx{i}") for i in range(k)]).alias("max"))
+    # Each partial's cells: own M2 plus n_p d dᵀ, summed cell by cell per group.
+    j = parts.join(tot.select(*group_cols, "mean"), group_cols, "inner")
+    d = F.zip_with("_m", "mean", lambda a, b: a - b)
+    cells = j.select(*group_cols, F.zip_with(
+        "_c", F.flatten(F.transform(d, lambda a: F.transform(d, lambda b: a * b))),
+        lambda c, o: c + o * F.col("_n").cast("double")).alias("_cell"))
+    summed = cells.select(*group_cols, F.posexplode("_cell").alias("_i", "_v")).groupBy(*group_cols, "_i").agg(
+        F.sum("_v").alias("_v"))
+    packed = summed.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_s"))
+    out = packed.join(tot, group_cols, "inner")
+    C = F.col("_s._v")
+    # Standardise: scale = population std (1 when zero); g = C / (scale scaleᵀ); s = 0.
+    scale = F.transform(idx, lambda i: F.when(C[i * k + i] > 0, F.sqrt(C[i * k + i] / F.col("_N")))
+                        .otherwise(F.lit(1.0)))
+    return out.select(*user_groups, F.col("_N").alias("n"), "mean", scale.alias("scale"), "min", "max",
+                      F.array_repeat(F.lit(0.0), k).alias("s"), C.alias("_C")).select(
+        *user_groups, "n", "mean", "scale", "min", "max", "s",
+        F.transform(F.sequence(F.lit(0), F.lit(k * k - 1)),
+                    lambda t: F.col("_C")[t] / (F.col("scale")[F.floor(t / k).cast("int")]
+                                                * F.col("scale")[(t % k).cast("int")])).alias("g"))

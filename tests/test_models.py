@@ -182,15 +182,31 @@ def test_adf_decisions_and_pvalue_table(spark):
     assert math.isclose(res["ar"]["adf_stat"], b[1] / se, rel_tol=1e-6)
 
 
-def test_many_groups_gram_path_equals_closure_path(spark, monkeypatch):
+def test_gram_plans_agree(spark, monkeypatch):
+    """One-pass (default), two-pass closure and two-pass many-groups Gram give the same statistics."""
     from skein.operators import gram
     tr = fx.orders_train_test(spark, SF_SMALL)[0]
-    a = _coefs(linear.fit_ridge(tr, ["market"], P2F, "target", 1.0))
+    cols = [*P2F, "target"]
+    clean = tr.dropna(subset=cols)
+    k = len(cols)
+
+    def stats(df):
+        out = {}
+        for r in df.collect():
+            n, mu, sc, mn, mx, s, G = gram.unpack(r, k)
+            out[r["market"]] = (n, mu + sc * s / n, gram.centred(n, s, G) * np.outer(sc, sc), mn, mx)
+        return out
+
+    one = stats(gram.grouped_gram(clean, ["market"], cols))
+    two = stats(gram.grouped_gram(clean, ["market"], cols, one_pass=False))
     monkeypatch.setattr(gram, "MAX_CLOSURE_GROUPS", 2)
-    b = _coefs(linear.fit_ridge(tr, ["market"], P2F, "target", 1.0))
-    for m in a:
-        for f in a[m]:
-            assert math.isclose(a[m][f], b[m][f], rel_tol=1e-9, abs_tol=1e-9)
+    many = stats(gram.grouped_gram(clean, ["market"], cols, one_pass=False))
+    for m in one:
+        for other in (two, many):
+            assert one[m][0] == other[m][0]
+            assert np.allclose(one[m][1], other[m][1], rtol=1e-12)
+            assert np.allclose(one[m][2], other[m][2], rtol=1e-9, atol=1e-9 * np.abs(one[m][2]).max())
+            assert np.array_equal(one[m][3], other[m][3]) and np.array_equal(one[m][4], other[m][4])
 
 
 def test_varx_forecast_two_series_matches_numpy_recursion(spark):

@@ -78,7 +78,7 @@ def align_predictions(a: DataFrame, b: DataFrame, id_col: str = "id", value_col:
                       names=("a", "b")) -> DataFrame:
     """Full outer join of two prediction sets on id -> (id, a, b, side).
 
-    ``side`` is 'both', 'only_a' or 'only_b'; the reference demands equal id lists.
+    ``side`` is 'both', 'only_a' or 'only_b'; the original workflow demands equal id lists.
     """
     na, nb = names
     left = a.select(F.col(id_col), F.col(value_col).alias(na), F.lit(True).alias("_in_a"))

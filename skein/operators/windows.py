@@ -1,6 +1,6 @@
 """Ordered window features within each market (W1-W7) and ffill/bfill.
 
-Every frame is positional (rows), ordered by (time, id), as in the reference.
+Every frame is positional (rows), ordered by (time, id), as in the original workflow.
 
 Two physical strategies, identical results:
 
@@ -178,7 +178,7 @@ def row_position(df: DataFrame, spec: PanelSpec = PanelSpec(), order: str = "tim
     """0-based position of each row, no gaps.
 
     ``order='panel'``: market-major (market, time, id) order, as rows sit after the
-    feature steps of the reference; ``order='time'``: (time, market, id) order.
+    feature steps of the original workflow; ``order='time'``: (time, market, id) order.
     Never a single-partition window over data rows: positions come from range
     partitioning plus a small offset table.
     """

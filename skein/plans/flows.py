@@ -1,4 +1,4 @@
-"""End-to-end flows composed from the operators (the reference's four scripts).
+"""End-to-end flows composed from the operators (the four original workflows).
 
 * ``flow_arx``    (B) per-market ARX Ridge: validation metrics, pooled comparison, exog-only test predictions.
 * ``flow_svr``    (A) pooled linear SVR: forest ranking -> threshold -> scaling -> grid search -> predictions.
@@ -135,7 +135,7 @@ def ols_design(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def flow_ols(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, include_id: bool = True) -> dict:
     """Flow C: every column but market/target/times is a regressor (``id`` too, as the
-    reference does; ``include_id=False`` leaves it out). Returns coefficients and test
+    original workflow does; ``include_id=False`` leaves it out). Returns coefficients and test
     predictions (id, target) - a market without a model gets NULL."""
     tr, te = ols_design(train_raw, spec), ols_design(test_raw, spec)
     drop = set(DROP_COLS) | {spec.market, spec.target, spec.time, spec.end}

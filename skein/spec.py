@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values of the task (names and defaults must equal the reference's).
+# Fixed values of the task (names and defaults must equal the original task's).
 # ---------------------------------------------------------------------------
 
 NUMERIC_FEATURES = [

@@ -1,6 +1,6 @@
 """Scoring on a streaming DataFrame.
 
-The reference reads files once; nothing in it is stateful over time. What carries
+The original workflow reads files once; nothing in it is stateful over time. What carries
 over to Structured Streaming unchanged are the row-level features (F1-F8) and the
 linear scoring (L3/L12): a stream-static join with the small coefficient table.
 Window features need past rows and are not offered on streams.

@@ -112,3 +112,19 @@ def test_bucketed_equals_plain_with_tied_times(spark):
     b = windows.window_features(p, fx.P2_SPEC, strategy="bucketed", bucket_rows=40, **kw)
     cols = ["id", "target_lag_1h", "target_lag_7h", "target_roll_mean_3h"]
     assert _rows(a, cols) == _rows(b, cols)
+
+
+def test_auto_strategy_switches_to_buckets_for_a_hot_market(spark):
+    p = fx.hourly_events_panel(spark, SF_SMALL)
+    kw = dict(lags={"target": [1, 24]}, rolling={"target": [6]})
+    plain = windows.window_features(p, fx.P1_SPEC, strategy="plain", **kw)
+    spark.conf.set("skein.window.bucketRows", "100")  # every market (720 rows) is now "hot"
+    try:
+        assert windows.choose_strategy(p, fx.P1_SPEC)[0] == "bucketed"
+        auto = windows.window_features(p, fx.P1_SPEC, **kw)
+        assert "_bucket" in auto._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("skein.window.bucketRows")
+    assert windows.choose_strategy(p, fx.P1_SPEC)[0] == "plain"
+    cols = ["id", "target_lag_1h", "target_lag_24h", "target_roll_mean_6h"]
+    assert _rows(plain, cols) == _rows(auto, cols)

@@ -7,10 +7,11 @@ tiles of compatible size bands; there a hashed bitmap of each set bounds the ove
 that the other lacks stands for at least one shingle of its own), and only pairs whose bound reaches the threshold go
 to the exact intersection of the sorted arrays.
 
-Only connectivity is asked for, so dense groups never become all pairs: first every node is checked against the hub
-(smallest set) of the tiles it shares most tokens with, and links are closed to components; then the tiles compare
-just nodes of different components, large groups cut into blocks. No link between different components is skipped,
-so the components are exact.
+Only connectivity is asked for, so dense groups never become all pairs: a tile first names, among its pairs that pass
+the bound, just a forest of the likeliest ones; these are checked exactly, links are closed to components, and the tiles
+name a forest between the components that are left. What remains in the end, every pair of different components that
+passes the bound, is checked whole. No link between different components is skipped, so the components are exact.
+Large groups are cut into blocks, a tile for each pair of blocks.
 
 Shingles are 64-bit hashes; a pair of different shingles is equal with a chance of 2^-64. Nothing grows on the driver:
 it holds the sketch (65,536 counts) and scalars. Tokens travel as packed arrays, one row for a (task, bucket), and the
@@ -95,23 +96,24 @@ def overlap_bound(ba, na, bb, nb) -> int:
 
 
 def _describe(k):
-    """One row for each document (id, size, node) and, at a task's end, one with its sketch."""
+    """One row for each document (id, size, node, bitmap) and, at a task's end, one with its sketch."""
     def run(batches):
         sketch = np.zeros(SKETCH_CELLS, np.int64)
 
-        def rows(ids, n, nodes, cells):
+        def rows(ids, n, nodes, maps, cells):
             return pa.RecordBatch.from_arrays([
-                ids, pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(cells, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "node", "cells"])
+                ids, pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary()),
+                pa.array(cells, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "bitmap", "cells"])
 
         for batch in batches:
             for lo, hi, data, off in chunks(batch.column(1)):
                 sets = shingle_sets(data, off, k)
                 flat = np.concatenate(sets)
                 sketch += np.bincount((flat >> np.uint64(48)).astype(np.int64), minlength=SKETCH_CELLS)
-                yield rows(batch.column(0)[lo:hi], [len(s) for s in sets], [set_id(s) for s in sets], [None] * (hi - lo))
+                yield rows(batch.column(0)[lo:hi], [len(s) for s in sets], [set_id(s) for s in sets],
+                           [bitmap(s).tobytes() for s in sets], [None] * (hi - lo))
         if sketch.any():
-            yield rows(pa.array([None], pa.int64()), [None], [None], [sketch])
+            yield rows(pa.array([None], pa.int64()), [None], [None], [None], [sketch])
 
     return run
 
@@ -158,91 +160,113 @@ def _tokens(k, percent, levels, n_buckets):
     return run
 
 
-def _groups(percent):
-    """Of one bucket: pairs of each node with its tile's hub, and the members of tokens that three or more share."""
+def _meetings(table: pa.Table) -> pa.Table:
+    """Of one bucket: the members of the tokens that two or more nodes share."""
+    rec = np.frombuffer(b"".join(table.column("records").to_pylist()), _TOKEN)
+    rec = rec[np.lexsort((rec["node"], rec["token"]))]
+    new = np.ones(len(rec), bool)
+    new[1:] = (rec["token"][1:] != rec["token"][:-1]) | (rec["node"][1:] != rec["node"][:-1])
+    rec = rec[new]
+    first = np.ones(len(rec), bool)
+    first[1:] = rec["token"][1:] != rec["token"][:-1]
+    group = np.cumsum(first) - 1
+    rec = rec[np.bincount(group)[group] >= 2]
+    return pa.table({"token": signed(rec["token"].copy()), "node": rec["node"].copy(), "n": rec["n"].astype(np.int64),
+                     "pos": rec["pos"].astype(np.int64)})
+
+
+class _Tile:
+    """Members of one tile, ascending by size, with their bitmaps in one matrix for each bitmap length."""
+
+    def __init__(self, maps: list[bytes]):
+        self.length = np.array([len(m) // 8 for m in maps])
+        self.rows = np.zeros(len(maps), np.int64)
+        self.matrix = {}
+        for size in np.unique(self.length):
+            at = np.flatnonzero(self.length == size)
+            self.rows[at] = np.arange(len(at))
+            self.matrix[size, size] = np.frombuffer(b"".join(maps[i] for i in at), "<u8").reshape(len(at), size)
+
+    def folded(self, length: int, size: int) -> np.ndarray:
+        if (length, size) not in self.matrix:
+            m = self.folded(length, 2 * size)
+            self.matrix[length, size] = m[:, :size] | m[:, size:]
+        return self.matrix[length, size]
+
+    def bounds(self, i: int, js: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Largest possible overlap of member i with each of js."""
+        out = np.empty(len(js), np.int64)
+        for length in np.unique(self.length[js]):
+            at = np.flatnonzero(self.length[js] == length)
+            size = min(length, self.length[i])
+            mine = self.folded(self.length[i], size)[self.rows[i]]
+            theirs = self.folded(length, size)[self.rows[js[at]]]
+            out[at] = np.minimum(n[i] - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64),
+                                 n[js[at]] - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
+        return out
+
+
+def _tiles(percent, whole):
+    """Pairs of nodes of different components that share a token, fit in size and pass the bitmap bound: all of them
+    (``whole``), or of each tile a forest of the likeliest; and every node of such a pair (with no partner named)."""
     def run(table: pa.Table) -> pa.Table:
-        rec = np.frombuffer(b"".join(table.column("records").to_pylist()), _TOKEN)
-        rec = rec[np.lexsort((rec["node"], rec["n"], rec["token"]))]
-        new = np.ones(len(rec), bool)
-        new[1:] = (rec["token"][1:] != rec["token"][:-1]) | (rec["node"][1:] != rec["node"][:-1])
-        rec = rec[new]
-        first = np.ones(len(rec), bool)
-        first[1:] = rec["token"][1:] != rec["token"][:-1]
-        group = np.cumsum(first) - 1
-        count = np.bincount(group)
-        rec, many = rec[count[group] >= 2], count[group][count[group] >= 2]
-        band = np.floor(np.log(np.maximum(rec["n"], 1)) / np.log(100 / percent) + 1e-9).astype(np.int64)
-        start = np.ones(len(rec), bool)
-        start[1:] = rec["token"][1:] != rec["token"][:-1]
-        head = start.copy()
-        head[1:] |= band[1:] != band[:-1]
-        at = np.arange(len(rec))
-        hub = np.maximum.accumulate(np.where(head, at, 0)) if len(rec) else at
-        # the first of a band also meets the hub of the band before
-        before = np.where(at > 0, hub[np.maximum(at - 1, 0)], 0)
-        left = np.where(head, before, hub)
-        ok = ~start
-        a, b = rec[left[ok]], rec[ok]
-        fits = _compatible(a, b, percent)
-        a, b = a[fits], b[fits]
-        pair, counts = np.unique(np.stack([np.minimum(a["node"], b["node"]), np.maximum(a["node"], b["node"])], 1),
-                                 axis=0, return_counts=True) if len(a) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
-        m = rec[many >= 3]
-        none = np.zeros(len(m), bool)
-        return pa.table({
-            "a": pa.array(np.concatenate([pair[:, 0], m["node"]])),
-            "b": pa.array(np.concatenate([pair[:, 1], np.zeros(len(m), np.int64)]), mask=np.concatenate([np.zeros(len(pair), bool), ~none])),
-            "shared": pa.array(np.concatenate([counts, np.zeros(len(m), np.int64)]).astype(np.int64)),
-            "token": pa.array(np.concatenate([np.zeros(len(pair), np.int64), signed(m["token"])])),
-            "n": pa.array(np.concatenate([np.zeros(len(pair), np.int64), m["n"].astype(np.int64)])),
-            "pos": pa.array(np.concatenate([np.zeros(len(pair), np.int64), m["pos"].astype(np.int64)])),
-        })
-
-    return run
-
-
-def _compatible(a, b, percent):
-    """Sizes within the threshold, and enough left behind the shared token for the overlap that is needed. At the
-    first token that two linked sets share this holds, so no link is lost."""
-    na, nb = a["n"].astype(np.int64), b["n"].astype(np.int64)
-    rest = 1 + np.minimum(na - a["pos"].astype(np.int64) - 1, nb - b["pos"].astype(np.int64) - 1)
-    return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (rest >= needed(na, nb, percent))
-
-
-def _tiles(percent):
-    """Pairs of nodes of different components that share a token, fit in size and pass the bitmap bound."""
-    def run(table: pa.Table) -> pa.Table:
-        tile = table.column("tile").to_numpy()
-        token, block = table.column("token").to_numpy(), table.column("block").to_numpy()
+        tile, token = table.column("tile").to_numpy(), table.column("token").to_numpy()
         order = np.lexsort((table.column("n").to_numpy(), tile, token))
-        token, tile, block = token[order], tile[order], block[order]
-        node, root = table.column("node").to_numpy()[order], table.column("root").to_numpy()[order]
-        rec = np.zeros(len(node), _TOKEN)
-        rec["node"], rec["n"], rec["pos"] = node, table.column("n").to_numpy()[order], table.column("pos").to_numpy()[order]
+        token, tile = token[order], tile[order]
+        block, node, root, n, pos = (table.column(c).to_numpy()[order] for c in ("block", "node", "root", "n", "pos"))
         maps = table.column("bitmap").to_pylist()
-        maps = [np.frombuffer(maps[i], "<u8") for i in order]
         cut = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (tile[1:] != tile[:-1])))
-        out = set()
+        pairs, live = set(), set()
         for lo, hi in zip(cut, np.append(cut[1:], len(node))):
+            if (root[lo:hi] == root[lo]).all():
+                continue
+            members, found = None, []
+            # a tile of two blocks compares across them; pairs inside a block have a tile of their own
+            across = tile[lo] >> 20 != tile[lo] & 0xFFFFF
+            far = np.searchsorted(n[lo:hi] * percent, 100 * n[lo:hi], "right") + lo
             for i in range(lo, hi - 1):
-                js = np.arange(i + 1, hi)
-                js = js[root[js] != root[i]]
-                # a tile of two blocks compares across them; pairs inside a block have a tile of their own
-                across = tile[lo] >> 20 != tile[lo] & 0xFFFFF
+                js = np.arange(i + 1, far[i - lo])
+                rest = 1 + np.minimum(n[i] - pos[i] - 1, n[js] - pos[js] - 1)
+                fits = (root[js] != root[i]) & (rest >= needed(n[i], n[js], percent))
                 if across:
-                    js = js[block[js] != block[i]]
-                js = js[_compatible(np.repeat(rec[i:i + 1], len(js)), rec[js], percent)]
-                for j in js:
-                    na, nb = int(rec["n"][i]), int(rec["n"][j])
-                    key = (min(node[i], node[j]), max(node[i], node[j]))
-                    if key not in out and overlap_bound(maps[i], na, maps[j], nb) >= needed(na, nb, percent):
-                        out.add(key)
-        pairs = np.array(sorted(out), np.int64).reshape(-1, 2)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+                    fits &= block[js] != block[i]
+                js = js[fits]
+                if not len(js):
+                    continue
+                members = members or _Tile([maps[k] for k in order[lo:hi]])
+                bound = members.bounds(i - lo, js - lo, n[lo:hi])
+                ok = bound >= needed(n[i], n[js], percent)
+                if ok.any():
+                    found.append((np.full(int(ok.sum()), i), js[ok], bound[ok] / (n[i] + n[js[ok]] - bound[ok])))
+            if not found:
+                continue
+            i, j, like = (np.concatenate(x) for x in zip(*found))
+            live.update(node[i].tolist(), node[j].tolist())
+            if not whole:
+                best = np.argsort(-like, kind="stable")
+                kept, tree = [], {}
+                for e in best:
+                    x, y = _find(tree, root[i[e]]), _find(tree, root[j[e]])
+                    if x != y:
+                        tree[x] = y
+                        kept.append(e)
+                i, j = i[kept], j[kept]
+            pairs.update(zip(np.minimum(node[i], node[j]).tolist(), np.maximum(node[i], node[j]).tolist()))
+        both = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        alone = np.array(sorted(live), np.int64)
+        none = np.concatenate([np.zeros(len(both), bool), np.ones(len(alone), bool)])
+        return pa.table({"a": np.concatenate([both[:, 0], alone]),
+                         "b": pa.array(np.concatenate([both[:, 1], alone]), mask=none)})
 
     return run
 
 
+def _find(tree: dict, x):
+    while x in tree:
+        x = tree[x]
+    return x
+
+
 def _exact(percent):
     def run(batches):
         for batch in batches:
@@ -256,29 +280,15 @@ def _exact(percent):
     return run
 
 
-def _bounded(percent):
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, na, y, nb in zip(*[batch.column(i) for i in range(2, 6)]):
-                na, nb = na.as_py(), nb.as_py()
-                keep.append(overlap_bound(np.frombuffer(x.as_buffer(), "<u8"), na,
-                                          np.frombuffer(y.as_buffer(), "<u8"), nb) >= needed(na, nb, percent))
-            yield batch.select(["a", "b", "shared"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def _signatures(k):
+def _members(k):
     def run(batches):
         for batch in batches:
             for lo, hi, data, off in chunks(batch.column(1)):
                 rows = [(node, s) for node, s in zip(batch.column(0)[lo:hi].to_pylist(), shingle_sets(data, off, k))
                         if set_id(s) == node]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int64()),
-                    pa.array([bitmap(r[1]).tobytes() for r in rows], pa.binary()),
-                    pa.array([r[1].tobytes() for r in rows], pa.binary())], names=["node", "n", "bitmap", "members"])
+                    pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary())],
+                    names=["node", "members"])
 
     return run
 
@@ -288,7 +298,7 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     """``doc_id, n_shingles, component_id`` for each row."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    described = store(src.mapInArrow(_describe(k), "doc_id bigint, n bigint, node bigint, cells array<bigint>"), "jaccard-docs")
+    described = store(src.mapInArrow(_describe(k), "doc_id bigint, n bigint, node bigint, bitmap binary, cells array<bigint>"), "jaccard-docs")
     rows = described.where("n is not null").select("doc_id", "n", "node")
 
     # the sketch: shingles' counts by the first 16 bits of their hash, on a logarithmic scale
@@ -304,51 +314,47 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     n_buckets = max(parts, int(total) // BUCKET_RECORDS + 1)
     tokens = src.mapInArrow(_tokens(k, percent, levels, n_buckets), "bucket bigint, records binary")
     met = store(tokens.groupBy("bucket").applyInArrow(
-        _groups(percent), "a bigint, b bigint, shared bigint, token bigint, n bigint, pos bigint"), "jaccard-met")
+        _meetings, "token bigint, node bigint, n bigint, pos bigint"), "jaccard-met")
+    maps = described.where("n > 0 and doc_id is not null").select("node", "bitmap").dropDuplicates(["node"])
 
-    hubs = met.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    members = met.where("b is null").select(F.col("a").alias("node"), "token", "n", "pos")
-    nodes = hubs.select(F.explode(F.array("a", "b")).alias("node")).union(members.select("node")).distinct()
+    def tiles(members: DataFrame, roots: DataFrame | None, whole: bool) -> DataFrame:
+        if roots is None:
+            members = members.withColumn("root", F.col("node"))
+        else:
+            members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        split = members.groupBy("token").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(
+            "lo <> hi").select("token", F.ceil(F.col("c") / BLOCK).cast("bigint").alias("blocks"))
+        placed = members.join(split, "token").join(maps, "node")
+        placed = placed.withColumn("block", F.pmod(F.xxhash64("node", "token"), F.col("blocks")))
+        placed = placed.withColumn("tile", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda o: (
+            F.shiftleft(F.least(o, F.col("block")), 20) + F.greatest(o, F.col("block"))))))
+        return placed.select(F.pmod(F.xxhash64("token", "tile"), F.lit(4 * n_buckets)).alias("bucket"), "token", "tile", "block",
+                             "node", "root", "n", "pos", "bitmap").groupBy("bucket").applyInArrow(
+            _tiles(percent, whole), "a bigint, b bigint")
+
+    first = store(tiles(met, None, False).distinct(), "jaccard-pairs")
+    # only nodes that pass a bound can link: their sets, and their meetings
+    able = first.where("b is null").select(F.col("a").alias("node"))
     reps = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = src.join(nodes.join(reps, "node"), "doc_id").select("node", "text")
-    signs = store(texts.mapInArrow(_signatures(k), "node bigint, n bigint, bitmap binary, members binary")
-                  .dropDuplicates(["node"]), "jaccard-sets")
-
-    def both(pairs: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(signs.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-        return pairs
+    texts = src.join(able.join(reps, "node"), "doc_id").select("node", "text")
+    sets = store(texts.mapInArrow(_members(k), "node bigint, members binary").dropDuplicates(["node"]), "jaccard-sets")
+    met = store(met.join(able, "node", "left_semi"), "jaccard-able")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return both(pairs.select("a", "b"), "members").select("a", "b", "members_a", "members_b").mapInArrow(
-            _exact(percent), "a bigint, b bigint")
-
-    likely = store(both(hubs, "bitmap", "n").select("a", "b", "bitmap_a", "n_a", "bitmap_b", "n_b", "shared").mapInArrow(
-        _bounded(percent), "a bigint, b bigint, shared bigint"), "jaccard-likely")
-    # each node first against the one hub it shares most tokens with
-    best = likely.select("a", "b", "shared").union(likely.select("b", "a", "shared")).groupBy("a").agg(
-        F.max_by("b", F.struct("shared", "b")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    linked = store(verified(best), "jaccard-links")
-    roots = components(linked, "jaccard-roots")
-
-    def apart(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
-            pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
-        return pairs.where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
-
-    # every other meeting of two components
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = placed.groupBy("token").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(
-        "lo <> hi").select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
-    cross = placed.join(split, "token").join(signs.select("node", "bitmap"), "node")
-    cross = cross.withColumn("block", F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("bigint"))
-    cross = cross.withColumn("tile", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: (
-        F.shiftleft(F.least(o.cast("bigint"), F.col("block")), 20) + F.greatest(o.cast("bigint"), F.col("block"))))))
-    found = cross.select(F.pmod(F.xxhash64("token", "tile"), F.lit(4 * parts)).alias("bucket"), "token", "tile", "block",
-                         "node", "root", "n", "pos", "bitmap").groupBy("bucket").applyInArrow(_tiles(percent), "a bigint, b bigint")
-    rest = store(apart(likely.select("a", "b")).union(found).distinct(), "jaccard-rest")
-    links = linked.union(verified(rest))
+            pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("members").alias(f"members_{side}")), side)
+        return store(pairs.select("a", "b", "members_a", "members_b").mapInArrow(
+            _exact(percent), "a bigint, b bigint"), "jaccard-links")
+
+    tried = first.where("b is not null")
+    links = verified(tried)
     roots = components(links, "jaccard-roots")
+    for whole in (False, True):
+        pairs = store(tiles(met, roots, whole).where("b is not null").distinct().join(tried, ["a", "b"], "left_anti"),
+                      "jaccard-pairs")
+        tried = tried.union(pairs)
+        links = links.union(verified(pairs))
+        roots = components(links, "jaccard-roots")
 
     placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))

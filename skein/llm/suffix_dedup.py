@@ -32,15 +32,17 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, functions as F
 
-from skein.llm.textops import chunks, documents, mix, powers, prefix_hash, store
+from skein.llm.textops import byte_hash, chunks, documents, mix, powers, prefix_hash, store
 
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM  # a window begins at most so many bytes before its anchor
 WIDE = LENGTH + SPAN  # bytes around an anchor that its windows cover
 #: Bytes of documents in a bucket, about; a sixteenth as many anchors.
-BUCKET_BYTES = 16_000_000
-FLUSH_ANCHORS = 1_000_000
+BUCKET_BYTES = 8_000_000
+FLUSH_ANCHORS = 500_000
+#: Contexts that are combined, or sorted, at once.
+PIECE = 20_000
 MAX_SPLIT = 100_000
 #: A gram is split if it is at least so frequent, or one in MAX_SPLIT of all anchors.
 SPLIT_FROM = 20_000
@@ -240,37 +242,42 @@ def _grouped(table: pa.Table):
 
 def _send_contexts(n_gram, n_doc, split):
     """Of one bucket of documents and its shared places: the bytes around them by gram, equal ones combined."""
+    def packed(rec):
+        rec, marks = _combine(rec)
+        common = np.isin(rec["key"], split)
+        return [_pack(rec[~common], _bucket(rec["key"][~common], n_gram), kind=_CONTEXTS),
+                *_windows_apart(rec[common], n_gram), _pack(marks, marks["uid"] % n_doc, n_gram, _MARKS)]
+
     def run(key, docs: pa.Table, places: pa.Table) -> pa.Table:
         place = np.frombuffer(b"".join(places.column("data").to_pylist()), _PLACE) if len(places) else np.zeros(0, _PLACE)
         place = place[np.lexsort((place["pos"], place["uid"]))]
-        found = []
+        held, size, out = [], 0, []
         for ids, uids, data, off in _grouped(docs) if len(docs) and len(place) else ():
             lo, hi = (np.searchsorted(place["uid"], uids, side) for side in ("left", "right"))
             row = np.repeat(np.arange(len(uids)), hi - lo)
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(len(row))
             if not len(row):
                 continue
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(len(row))
-            rec = np.zeros(len(row), _CONTEXT)
-            rec["uid"], rec["pos"] = uids[row], place["pos"][at]
-            rec["doc"] = np.array(ids.to_pylist(), np.int64)[row]
-            here = off[row] + rec["pos"]
-            rec["lo"] = np.maximum(SPAN - rec["pos"].astype(np.int64), 0)
-            rec["hi"] = np.minimum(SPAN + (off[row + 1] - here), WIDE)
-            c = prefix_hash(data)
-            rec["key"] = mix((c[here + GRAM] - c[here]) * powers(len(c))[1][here])
-            index = here[:, None] + np.arange(-SPAN, WIDE - SPAN)
-            ok = (np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])
-            rec["bytes"] = np.where(ok, data[np.clip(index, 0, len(data) - 1)], 0)
-            found.append(rec)
-        if not found:
-            return pa.Table.from_batches([_rows()])
-        rec = np.concatenate(found)
-        rec, marks = _combine(rec)
-        common = np.isin(rec["key"], split)
-        return pa.Table.from_batches([_rows(
-            _pack(rec[~common], _bucket(rec["key"][~common], n_gram), kind=_CONTEXTS),
-            *_windows_apart(rec[common], n_gram),
-            _pack(marks, marks["uid"] % n_doc, n_gram, _MARKS))])
+            doc, c = np.array(ids.to_pylist(), np.int64), prefix_hash(data)
+            for a in range(0, len(row), PIECE):
+                r, t = row[a:a + PIECE], at[a:a + PIECE]
+                rec = np.zeros(len(r), _CONTEXT)
+                rec["uid"], rec["pos"], rec["doc"] = uids[r], place["pos"][t], doc[r]
+                here = off[r] + rec["pos"]
+                rec["lo"] = np.maximum(SPAN - rec["pos"].astype(np.int64), 0)
+                rec["hi"] = np.minimum(SPAN + (off[r + 1] - here), WIDE)
+                rec["key"] = mix((c[here + GRAM] - c[here]) * powers(len(c))[1][here])
+                around = data[np.clip(here[:, None] + np.arange(-SPAN, WIDE - SPAN), 0, len(data) - 1)]
+                inside = (np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])
+                rec["bytes"] = np.where(inside, around, 0)
+                held.append(rec)
+                size += len(rec)
+            if size >= PIECE:
+                out += packed(np.concatenate(held))
+                held, size = [], 0
+        if held:
+            out += packed(np.concatenate(held))
+        return pa.Table.from_batches([_rows(*out)])
 
     return run
 
@@ -288,10 +295,12 @@ def _windows_apart(rec: np.ndarray, n_gram: int):
 
 
 def context_hash(rec: np.ndarray) -> np.ndarray:
-    flat = np.ascontiguousarray(rec["bytes"]).reshape(-1)
-    c = prefix_hash(flat)
-    at = np.arange(len(rec)) * WIDE
-    return mix((c[at + WIDE] - c[at]) * powers(len(c))[1][at] + rec["lo"].astype(np.uint64) * np.uint64(257) + rec["hi"])
+    """Hash of a context's bytes and of where they lie in the document."""
+    out = np.empty(len(rec), np.uint64)
+    for at in range(0, len(rec), PIECE):
+        part = rec[at:at + PIECE]
+        out[at:at + PIECE] = byte_hash(part["bytes"]) + part["lo"] * np.uint64(257) + part["hi"]
+    return mix(out)
 
 
 def _full_mask(rec: np.ndarray) -> np.ndarray:
@@ -395,10 +404,9 @@ def repeated_windows(rec: np.ndarray) -> np.ndarray:
     group = np.cumsum(np.append(True, unique["key"][1:] != unique["key"][:-1])) - 1
     several = np.flatnonzero(np.bincount(group)[group] > 1)
     found = np.zeros(len(unique), np.uint32)
-    step = max(1, 4_000_000 // WIDE)
     at = 0
     while at < len(several):
-        end = min(at + step, len(several))
+        end = min(at + PIECE, len(several))
         while end < len(several) and group[several[end]] == group[several[end - 1]]:
             end += 1
         part = several[at:end]

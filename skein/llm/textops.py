@@ -113,6 +113,11 @@ def span_hash(c: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return (c[ends] - c[starts]) * q[starts]
 
 
+def byte_hash(rows: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each row of a byte matrix."""
+    return (_TABLE[rows] * powers(rows.shape[1])[0]).sum(1, dtype=np.uint64)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lower: bool = True):
     """Words of each row: (hash, start, end, rows' first word index with the end appended)."""
     b = LOWER_ASCII[data] if lower else data

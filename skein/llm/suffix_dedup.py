@@ -8,11 +8,13 @@ anchor, so equal strings have an anchor of the same content at the same place, a
 anchor need a common sort.
 
 1. Anchors of every document go to buckets by their gram, as packed arrays (a task combines grams that several of its
-   documents hold first); back come the anchors that at least two documents hold.
-2. Around each of these the document's bytes (50 either way of the gram's windows) go to buckets by gram. Equal ones
-   are combined first: all but the smallest id's are then decided. A gram so common that its bucket would grow without
-   bound is split: its windows go out by their own content instead.
-3. In a bucket the windows of one gram and one offset are suffix-sorted; a window is repeated if a smaller id has it.
+   documents hold first); back come the grams that at least two documents hold.
+2. An anchor stands for the windows of which it is the first smallest gram. Around each shared anchor the bytes of its
+   windows, its context, go to buckets by gram. Equal ones are combined first: all but the smallest id's are then
+   decided. A gram so common that its bucket would grow without bound is split: its windows go out by their own content.
+3. A bucket's contexts are suffix-sorted gram by gram, which leaves the different ones. Windows that different contexts
+   share follow from the pairs' common extensions where a gram has few, and else from a suffix sort of the windows; a
+   window is repeated if a smaller id has it.
 4. Repeated windows return to their documents, whose bytes are cut.
 
 Buckets follow the input's size, so no task holds more than a bucket and no document's bytes are sent more often than
@@ -32,7 +34,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, functions as F
 
-from skein.llm.textops import byte_hash, chunks, documents, mix, powers, prefix_hash, store
+from skein.llm.textops import byte_hash, chunks, documents, mix, powers, prefix_hash, release, store
 
 LENGTH = 50
 GRAM = 20
@@ -52,12 +54,17 @@ REPORT_FROM = 50
 _CONTEXT = np.dtype([("key", "<u8"), ("doc", "<i8"), ("uid", "<i8"), ("pos", "<u4"), ("lo", "u1"), ("hi", "u1"),
                      ("bytes", "u1", (WIDE,))])
 _MARK = np.dtype([("uid", "<i8"), ("pos", "<u4"), ("mask", "<u4")])
-_PLACE = np.dtype([("uid", "<i8"), ("pos", "<u4")])
+#: A gram that other documents hold as well, for one of its documents: the low 40 bits of its hash.
+_PLACE = np.dtype([("uid", "<i8"), ("low", "<u4"), ("high", "u1")])
+_LOW40 = np.uint64((1 << 40) - 1)
+#: Up to so many different contexts of a gram are compared pair by pair; more are suffix-sorted window by window.
+PAIRS = 12
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
-    """(row, position in the row, gram hash) of every anchor."""
-    empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    """(row, position, gram hash, first and last begin of its windows) of every anchor; positions in ``data``."""
+    none = np.zeros(0, np.int64)
+    empty = none, none, np.zeros(0, np.uint64), none, none
     n = len(data)
     if n < LENGTH:
         return empty
@@ -87,7 +94,21 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     best = np.maximum(best[:len(rank)], best[SPAN + 1 - have:][:len(rank)])
     at = np.flatnonzero((best == rank) & (best > 0))
     row = np.searchsorted(offsets, at, "right") - 1
-    return row, at - offsets[row], grams[at]
+    # windows of which an anchor is the first smallest: they begin after the last earlier anchor that ranks no higher
+    # and end before the next that ranks lower comes in
+    r = rank[at].astype(np.int64)
+    first = np.maximum(at - SPAN, offsets[row])
+    last = np.minimum(at, offsets[row + 1] - LENGTH)
+    for k in range(1, SPAN + 1):
+        before = at[k:] - at[:-k]
+        near = before <= SPAN
+        if not near.any():
+            break
+        lower = near & (r[:-k] <= r[k:])
+        first[k:] = np.where(lower, np.maximum(first[k:], at[:-k] + 1), first[k:])
+        lower = near & (r[k:] < r[:-k])
+        last[:-k] = np.where(lower, np.minimum(last[:-k], at[k:] - SPAN - 1), last[:-k])
+    return row, at, grams[at], first, last
 
 
 def _pack(records: np.ndarray, bucket: np.ndarray, first: int = 0, kind: int = 0):
@@ -111,30 +132,41 @@ _GRAMS, _KNOWN, _PLACES, _COUNTS, _CONTEXTS, _MARKS = range(6)
 _COUNT = np.dtype([("key", "<u8"), ("n", "<i8")])
 
 
-def _pack_grams(key, uid, pos, bucket, first=0):
-    """Gram records by bucket in columns: 40 bits of the gram, position, and the document once for a run."""
+def _pack_grams(key, uid, bucket, first=0):
+    """Gram records by bucket in columns: 40 bits of the gram, and the document once for a run."""
     order = np.argsort(bucket, kind="stable")
-    key, uid, pos, bucket = key[order], uid[order], pos[order], bucket[order]
+    key, uid, bucket = key[order], uid[order], bucket[order]
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    low, high = _split40(key)
     out = []
     for a, b in zip(cut, np.append(cut[1:], len(key))):
         runs = np.flatnonzero(np.append(True, uid[a + 1:b] != uid[a:b - 1]))
         out.append(b"".join((
-            np.array([b - a, len(runs)], "<u4").tobytes(), (key[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
-            ((key[a:b] >> np.uint64(32)) & np.uint64(0xFF)).astype("u1").tobytes(), pos[a:b].astype("<u4").tobytes(),
+            np.array([b - a, len(runs)], "<u4").tobytes(), low[a:b].tobytes(), high[a:b].tobytes(),
             uid[a:b][runs].tobytes(), np.diff(np.append(runs, b - a)).astype("<u4").tobytes())))
     return [int(b) + first for b in bucket[cut]], [_GRAMS] * len(cut), out
 
 
+def _split40(key):
+    return (key & np.uint64(0xFFFFFFFF)).astype("<u4"), ((key >> np.uint64(32)) & np.uint64(0xFF)).astype("u1")
+
+
+def _join40(low, high):
+    return low | (high.astype(np.uint64) << np.uint64(32))
+
+
 def _unpack_grams(blob: bytes):
-    n, r = np.frombuffer(blob, "<u4", 2)
-    n, r, at = int(n), int(r), 8
-    low = np.frombuffer(blob, "<u4", n, at)
-    high = np.frombuffer(blob, "u1", n, at + 4 * n)
-    pos = np.frombuffer(blob, "<u4", n, at + 5 * n)
-    uid = np.frombuffer(blob, "<i8", r, at + 9 * n)
-    times = np.frombuffer(blob, "<u4", r, at + 9 * n + 8 * r)
-    return low | (high.astype(np.uint64) << np.uint64(32)), np.repeat(uid, times), pos
+    n, r = (int(x) for x in np.frombuffer(blob, "<u4", 2))
+    key = _join40(np.frombuffer(blob, "<u4", n, 8), np.frombuffer(blob, "u1", n, 8 + 4 * n))
+    uid = np.frombuffer(blob, "<i8", r, 8 + 5 * n)
+    return key, np.repeat(uid, np.frombuffer(blob, "<u4", r, 8 + 5 * n + 8 * r))
+
+
+def _places(key, uid):
+    out = np.empty(len(key), _PLACE)
+    out["uid"] = uid
+    out["low"], out["high"] = _split40(key)
+    return out
 
 
 def _shared(key: np.ndarray, uid: np.ndarray):
@@ -153,29 +185,28 @@ def _send_anchors(n_gram, n_doc):
         held, size = [], 0
 
         def flush():
-            uid, pos, key = (np.concatenate(x) for x in zip(*held))
+            uid, key = (np.concatenate(x) for x in zip(*held))
             order, begin, run_, many = _shared(key, uid)
             count = np.bincount(run_)
             spread = np.zeros(len(key), bool)
             spread[order] = many[run_]
-            place = np.empty(int(spread.sum()), _PLACE)
-            place["uid"], place["pos"] = uid[spread], pos[spread]
+            place = _places(key[spread], uid[spread])
             first = key[order[begin]]
             known = first[many]
             told = np.empty(int((count >= REPORT_FROM).sum()), _COUNT)
             told["key"], told["n"] = first[count >= REPORT_FROM], count[count >= REPORT_FROM]
             one = ~spread
             return _rows(
-                _pack_grams(key[one], uid[one], pos[one], _bucket(key[one], n_gram)),
-                _pack(known & np.uint64((1 << 40) - 1), _bucket(known, n_gram), kind=_KNOWN),
+                _pack_grams(key[one], uid[one], _bucket(key[one], n_gram)),
+                _pack(known & _LOW40, _bucket(known, n_gram), kind=_KNOWN),
                 _pack(place, place["uid"] % n_doc, n_gram, _PLACES),
                 _pack(told, np.zeros(len(told), np.int64), n_gram + n_doc, _COUNTS))
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, hi, data, off in chunks(batch.column(1)):
-                row, pos, key = anchors(data, off)
-                held.append((ids[lo:hi][row], pos, key))
+                row, _, key, _, _ = anchors(data, off)
+                held.append((ids[lo:hi][row], key))
                 size += len(key)
                 if size >= FLUSH_ANCHORS:
                     yield flush()
@@ -199,16 +230,14 @@ def _meet_anchors(n_gram, n_doc):
             by_kind.setdefault(kind, []).append(data)
         out = []
         if bucket < n_gram:
-            key, uid, pos = (np.concatenate(x) for x in zip(
-                *[_unpack_grams(b) for b in by_kind.get(_GRAMS, [])])) if _GRAMS in by_kind else (
-                np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
+            key, uid = (np.concatenate(x) for x in zip(*[_unpack_grams(b) for b in by_kind[_GRAMS]])) if (
+                _GRAMS in by_kind) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             known = np.frombuffer(b"".join(by_kind.get(_KNOWN, [])), "<u8")
             order, begin, run_, many = _shared(key, uid)
             if len(begin):
                 many = many | np.isin(key[order[begin]], known)
                 hit = order[many[run_]]
-                place = np.empty(len(hit), _PLACE)
-                place["uid"], place["pos"] = uid[hit], pos[hit]
+                place = _places(key[hit], uid[hit])
                 out.append(_pack(place, place["uid"] % n_doc, 0, _PLACES))
         elif bucket < n_gram + n_doc:
             out.append(([bucket - n_gram], [_PLACES], [b"".join(by_kind[_PLACES])]))
@@ -245,29 +274,26 @@ def _send_contexts(n_gram, n_doc, split):
     def packed(rec):
         rec, marks = _combine(rec)
         common = np.isin(rec["key"], split)
-        return [_pack(rec[~common], _bucket(rec["key"][~common], n_gram), kind=_CONTEXTS),
+        return [_pack_contexts(rec[~common], _bucket(rec["key"][~common], n_gram)),
                 *_windows_apart(rec[common], n_gram), _pack(marks, marks["uid"] % n_doc, n_gram, _MARKS)]
 
     def run(key, docs: pa.Table, places: pa.Table) -> pa.Table:
         place = np.frombuffer(b"".join(places.column("data").to_pylist()), _PLACE) if len(places) else np.zeros(0, _PLACE)
-        place = place[np.lexsort((place["pos"], place["uid"]))]
+        # a hash of (document, gram) for the lookup; a chance hit only sends a context in vain
+        wanted = np.unique(_pair_hash(place["uid"], _join40(place["low"], place["high"])))
         held, size, out = [], 0, []
         for ids, uids, data, off in _grouped(docs) if len(docs) and len(place) else ():
-            lo, hi = (np.searchsorted(place["uid"], uids, side) for side in ("left", "right"))
-            row = np.repeat(np.arange(len(uids)), hi - lo)
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(len(row))
-            if not len(row):
-                continue
-            doc, c = np.array(ids.to_pylist(), np.int64), prefix_hash(data)
-            for a in range(0, len(row), PIECE):
-                r, t = row[a:a + PIECE], at[a:a + PIECE]
-                rec = np.zeros(len(r), _CONTEXT)
-                rec["uid"], rec["pos"], rec["doc"] = uids[r], place["pos"][t], doc[r]
-                here = off[r] + rec["pos"]
-                rec["lo"] = np.maximum(SPAN - rec["pos"].astype(np.int64), 0)
-                rec["hi"] = np.minimum(SPAN + (off[r + 1] - here), WIDE)
-                rec["key"] = mix((c[here + GRAM] - c[here]) * powers(len(c))[1][here])
-                around = data[np.clip(here[:, None] + np.arange(-SPAN, WIDE - SPAN), 0, len(data) - 1)]
+            row, at, gram, first, last = anchors(data, off)
+            look = _pair_hash(uids[row], gram & _LOW40)
+            hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, look), len(wanted) - 1)] == look)
+            doc = np.array(ids.to_pylist(), np.int64)
+            for a in range(0, len(hit), PIECE):
+                h = hit[a:a + PIECE]
+                rec = np.zeros(len(h), _CONTEXT)
+                rec["key"], rec["uid"], rec["doc"] = gram[h], uids[row[h]], doc[row[h]]
+                rec["pos"] = at[h] - off[row[h]]
+                rec["lo"], rec["hi"] = SPAN + first[h] - at[h], SPAN + last[h] - at[h] + LENGTH
+                around = data[np.clip(at[h, None] + np.arange(-SPAN, WIDE - SPAN), 0, len(data) - 1)]
                 inside = (np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])
                 rec["bytes"] = np.where(inside, around, 0)
                 held.append(rec)
@@ -282,6 +308,37 @@ def _send_contexts(n_gram, n_doc, split):
     return run
 
 
+def _pair_hash(uid, key):
+    return mix(uid.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key)
+
+
+def _pack_contexts(rec: np.ndarray, bucket: np.ndarray):
+    """Contexts by bucket, in columns, without the bytes outside their windows."""
+    order = np.argsort(bucket, kind="stable")
+    rec, bucket = rec[order], bucket[order]
+    cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    inside = (np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])
+    out = []
+    for a, b in zip(cut, np.append(cut[1:], len(rec))):
+        part = rec[a:b]
+        out.append(np.uint32(b - a).tobytes() + b"".join(part[c].tobytes() for c in ("key", "doc", "uid", "pos", "lo", "hi"))
+                   + part["bytes"][inside[a:b]].tobytes())
+    return [int(b) for b in bucket[cut]], [_CONTEXTS] * len(cut), out
+
+
+def _unpack_contexts(blob: bytes) -> np.ndarray:
+    n, at = int(np.frombuffer(blob, "<u4", 1)[0]), 4
+    rec = np.zeros(n, _CONTEXT)
+    for c in ("key", "doc", "uid", "pos", "lo", "hi"):
+        kind = _CONTEXT[c]
+        rec[c] = np.frombuffer(blob, kind, n, at)
+        at += n * kind.itemsize
+    full = np.zeros((n, WIDE), np.uint8)
+    full[(np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])] = np.frombuffer(blob, "u1", -1, at)
+    rec["bytes"] = full
+    return rec
+
+
 def _windows_apart(rec: np.ndarray, n_gram: int):
     """Contexts of a split gram as one record for each window, with the window's own hash as its key."""
     for o in range(SPAN + 1):
@@ -291,11 +348,11 @@ def _windows_apart(rec: np.ndarray, n_gram: int):
             outside = (np.arange(WIDE) < o) | (np.arange(WIDE) >= o + LENGTH)
             part["bytes"][:, outside] = 0
             part["key"] = context_hash(part)
-            yield _pack(part, _bucket(part["key"], n_gram), kind=_CONTEXTS)
+            yield _pack_contexts(part, _bucket(part["key"], n_gram))
 
 
 def context_hash(rec: np.ndarray) -> np.ndarray:
-    """Hash of a context's bytes and of where they lie in the document."""
+    """Hash of a context's bytes and of where they lie around the gram."""
     out = np.empty(len(rec), np.uint64)
     for at in range(0, len(rec), PIECE):
         part = rec[at:at + PIECE]
@@ -311,11 +368,24 @@ def _full_mask(rec: np.ndarray) -> np.ndarray:
 
 
 def _same_context(rec: np.ndarray):
-    """Sort contexts so that equal ones are neighbours, smallest id first; True where a new one begins."""
-    rec = rec[np.lexsort((rec["doc"], context_hash(rec), rec["key"]))]
+    """Suffix-sort the contexts of each gram, equal ones by id; True where a new one begins."""
+    rec = rec[np.lexsort((rec["doc"], rec["hi"], rec["lo"], rec["key"]))]
     new = np.ones(len(rec), bool)
-    new[1:] = (rec["key"][1:] != rec["key"][:-1]) | (rec["lo"][1:] != rec["lo"][:-1]) | (rec["hi"][1:] != rec["hi"][:-1]) | (
-        rec["bytes"][1:] != rec["bytes"][:-1]).any(1)
+    if not len(rec):
+        return rec, new
+    group = np.cumsum(np.append(True, (rec["key"][1:] != rec["key"][:-1]) | (rec["lo"][1:] != rec["lo"][:-1])
+                                | (rec["hi"][1:] != rec["hi"][:-1]))) - 1
+    at = 0
+    while at < len(rec):
+        end = min(at + PIECE, len(rec))
+        while end < len(rec) and group[end] == group[end - 1]:
+            end += 1
+        part = rec[at:end]
+        suffixes = Suffixes(np.ascontiguousarray(part["bytes"]).reshape(-1), WIDE)
+        order = suffixes.sort(np.arange(len(part)) * WIDE, group[at:end])
+        rec[at:end] = part = part[order]
+        new[at + 1:end] = (group[at + 1:end] != group[at:end - 1]) | (part["bytes"][1:] != part["bytes"][:-1]).any(1)
+        at = end
     return rec, new
 
 
@@ -404,13 +474,15 @@ def repeated_windows(rec: np.ndarray) -> np.ndarray:
     group = np.cumsum(np.append(True, unique["key"][1:] != unique["key"][:-1])) - 1
     several = np.flatnonzero(np.bincount(group)[group] > 1)
     found = np.zeros(len(unique), np.uint32)
-    at = 0
+    few = np.bincount(group)[group[several]] <= PAIRS
+    found |= _paired_windows(unique, group, several[few])
+    several, at = several[~few], 0
     while at < len(several):
         end = min(at + PIECE, len(several))
         while end < len(several) and group[several[end]] == group[several[end - 1]]:
             end += 1
         part = several[at:end]
-        found[part] = _sorted_windows(unique[part], group[part])
+        found[part] |= _sorted_windows(unique[part], group[part])
         at = end
     mask |= np.where(rec["doc"] == least[which], found[which], 0).astype(np.uint32)
     out = np.empty(int((mask > 0).sum()), _MARK)
@@ -418,6 +490,37 @@ def repeated_windows(rec: np.ndarray) -> np.ndarray:
     return out
 
 
+def _paired_windows(ctx: np.ndarray, group: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """For distinct contexts (of grams with few): bits of the windows that a context of the same gram and a smaller id
+    has, from the pairs' common extensions to the left and to the right of the gram."""
+    out = np.zeros(len(ctx), np.uint32)
+    for at in range(0, len(some), PIECE):
+        part = some[at:at + PIECE]
+        for k in range(1, PAIRS):
+            for x, y in ((part, part + k), (part, part - k)):
+                ok = (y >= 0) & (y < len(ctx))
+                x, y = x[ok], y[ok]
+                ok = (group[x] == group[y]) & (ctx["doc"][y] < ctx["doc"][x])
+                x, y = x[ok], y[ok]
+                if not len(x):
+                    continue
+                a, b = ctx["bytes"][x], ctx["bytes"][y]
+                right = Suffixes(np.concatenate([a[:, SPAN:].reshape(-1), b[:, SPAN:].reshape(-1)]), LENGTH)
+                left = Suffixes(np.concatenate([a[:, SPAN - 1::-1].reshape(-1), b[:, SPAN - 1::-1].reshape(-1)]), SPAN)
+                i = np.arange(len(x))
+                r = right.common(i * LENGTH, (len(x) + i) * LENGTH)
+                l = left.common(i * SPAN, (len(x) + i) * SPAN)
+                lo = np.maximum(np.maximum(ctx["lo"][x], ctx["lo"][y]), SPAN - l).astype(np.int64)
+                hi = np.minimum(np.minimum(ctx["hi"][x], ctx["hi"][y]).astype(np.int64), SPAN + r) - LENGTH
+                # against collisions: the bytes that the extensions call equal
+                inside = (np.arange(WIDE) >= lo[:, None]) & (np.arange(WIDE) < hi[:, None] + LENGTH)
+                true = ((a == b) | ~inside).all(1) & (hi >= lo)
+                n = np.where(true, hi - lo + 1, 0).astype(np.uint64)
+                bits = (((np.uint64(1) << n) - np.uint64(1)) << np.where(true, lo, 0).astype(np.uint64)).astype(np.uint32)
+                np.bitwise_or.at(out, x, bits)
+    return out
+
+
 def _sorted_windows(ctx: np.ndarray, group: np.ndarray) -> np.ndarray:
     """For distinct contexts: bits of the windows that a context of the same gram and a smaller id has."""
     data = np.ascontiguousarray(ctx["bytes"]).reshape(-1)
@@ -445,10 +548,10 @@ def _sorted_windows(ctx: np.ndarray, group: np.ndarray) -> np.ndarray:
 def _meet_contexts(n_gram, n_doc):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        data = b"".join(table.column("data").to_pylist())
+        data = table.column("data").to_pylist()
         if bucket >= n_gram:
-            return pa.Table.from_batches([_rows(([bucket - n_gram], [_MARKS], [data]))])
-        marks = repeated_windows(np.frombuffer(data, _CONTEXT))
+            return pa.Table.from_batches([_rows(([bucket - n_gram], [_MARKS], [b"".join(data)]))])
+        marks = repeated_windows(np.concatenate([_unpack_contexts(d) for d in data]))
         return pa.Table.from_batches([_rows(_pack(marks, marks["uid"] % n_doc, 0, _MARKS))])
 
     return run
@@ -500,6 +603,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFra
 
     met = store(long.select("uid", "text").mapInArrow(_send_anchors(n, n), _ROWS).groupBy("bucket").applyInArrow(
         _meet_anchors(n, n), _ROWS), "repeats-places")
+    release(spark)
     # at most one in split_from anchors can be so frequent
     counts = met.where(f"kind = {_COUNTS}").select("data").mapInArrow(_frequent(split_from), "key bigint").collect()
     split = np.array(sorted(r.key for r in counts), np.int64).view(np.uint64)
@@ -508,6 +612,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFra
     sent = home.select("home", "doc_id", "uid", "text").groupBy("home").cogroup(places.groupBy("home")).applyInArrow(
         _send_contexts(n, n, split), _ROWS)
     marks = store(sent.groupBy("bucket").applyInArrow(_meet_contexts(n, n), _ROWS), "repeats-marks")
+    release(spark)
     every = src.withColumn("home", F.when(F.col("doc_id").isNotNull(), F.pmod("uid", F.lit(n))).otherwise(F.pmod("uid", F.lit(n)) + n))
     return every.select("home", "doc_id", "uid", "text").groupBy("home").cogroup(
         marks.select(F.col("bucket").alias("home"), "data").groupBy("home")).applyInArrow(

@@ -7,6 +7,7 @@ its own), so the working memory of a task does not depend on the batch or the pa
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -43,6 +44,13 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps now: it does so when the driver collects garbage,
+    which a small driver may not do for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from skein.llm.components import components
-from skein.llm.textops import SPACE, chunks, documents, mix, shingles, signed, store, words
+from skein.llm.textops import SPACE, chunks, documents, mix, release, shingles, signed, store, words
 
 SHINGLE = 4
 PERCENT = 85
@@ -160,8 +160,32 @@ def _tokens(k, percent, levels, n_buckets):
     return run
 
 
-def _meetings(table: pa.Table) -> pa.Table:
-    """Of one bucket: the members of the tokens that two or more nodes share."""
+def _meetings(percent):
+    """Of one bucket: the members of tokens that two or more nodes share, as far as they can link there."""
+    return lambda table: _met(table, percent)
+
+
+def _fits(na, pa_, nb, pb, percent):
+    """Sizes within the threshold, and enough left behind the shared token for the overlap that is needed. At the
+    first token that two linked sets share this holds, so no link is lost."""
+    rest = 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
+    return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (rest >= needed(na, nb, percent))
+
+
+def _has_partner(rec: np.ndarray, percent: int, look: int = 8) -> np.ndarray:
+    """Members that fit some other member of their token; in groups of more than ``look`` all are kept."""
+    n, pos, token = rec["n"].astype(np.int64), rec["pos"].astype(np.int64), rec["token"]
+    new = np.append(True, token[1:] != token[:-1]) if len(rec) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    keep = np.bincount(group)[group] > look if len(rec) else new
+    for k in range(1, min(look, len(rec))):
+        ok = (token[k:] == token[:-k]) & _fits(n[k:], pos[k:], n[:-k], pos[:-k], percent)
+        keep[k:] |= ok
+        keep[:-k] |= ok
+    return keep
+
+
+def _met(table: pa.Table, percent: int) -> pa.Table:
     rec = np.frombuffer(b"".join(table.column("records").to_pylist()), _TOKEN)
     rec = rec[np.lexsort((rec["node"], rec["token"]))]
     new = np.ones(len(rec), bool)
@@ -171,6 +195,7 @@ def _meetings(table: pa.Table) -> pa.Table:
     first[1:] = rec["token"][1:] != rec["token"][:-1]
     group = np.cumsum(first) - 1
     rec = rec[np.bincount(group)[group] >= 2]
+    rec = rec[_has_partner(rec, percent)]
     return pa.table({"token": signed(rec["token"].copy()), "node": rec["node"].copy(), "n": rec["n"].astype(np.int64),
                      "pos": rec["pos"].astype(np.int64)})
 
@@ -209,12 +234,12 @@ class _Tile:
 def _tiles(percent, whole):
     """Pairs of nodes of different components that share a token, fit in size and pass the bitmap bound: all of them
     (``whole``), or of each tile a forest of the likeliest; and every node of such a pair (with no partner named)."""
-    def run(table: pa.Table) -> pa.Table:
+    def run(key, table: pa.Table, bitmaps: pa.Table) -> pa.Table:
+        known = dict(zip(bitmaps.column("which").to_pylist(), bitmaps.column("bitmap")))
         tile, token = table.column("tile").to_numpy(), table.column("token").to_numpy()
         order = np.lexsort((table.column("n").to_numpy(), tile, token))
         token, tile = token[order], tile[order]
         block, node, root, n, pos = (table.column(c).to_numpy()[order] for c in ("block", "node", "root", "n", "pos"))
-        maps = table.column("bitmap").to_pylist()
         cut = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (tile[1:] != tile[:-1])))
         pairs, live = set(), set()
         for lo, hi in zip(cut, np.append(cut[1:], len(node))):
@@ -226,14 +251,13 @@ def _tiles(percent, whole):
             far = np.searchsorted(n[lo:hi] * percent, 100 * n[lo:hi], "right") + lo
             for i in range(lo, hi - 1):
                 js = np.arange(i + 1, far[i - lo])
-                rest = 1 + np.minimum(n[i] - pos[i] - 1, n[js] - pos[js] - 1)
-                fits = (root[js] != root[i]) & (rest >= needed(n[i], n[js], percent))
+                fits = (root[js] != root[i]) & _fits(n[i], pos[i], n[js], pos[js], percent)
                 if across:
                     fits &= block[js] != block[i]
                 js = js[fits]
                 if not len(js):
                     continue
-                members = members or _Tile([maps[k] for k in order[lo:hi]])
+                members = members or _Tile([known[k].as_py() for k in node[lo:hi].tolist()])
                 bound = members.bounds(i - lo, js - lo, n[lo:hi])
                 ok = bound >= needed(n[i], n[js], percent)
                 if ok.any():
@@ -314,7 +338,7 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     n_buckets = max(parts, int(total) // BUCKET_RECORDS + 1)
     tokens = src.mapInArrow(_tokens(k, percent, levels, n_buckets), "bucket bigint, records binary")
     met = store(tokens.groupBy("bucket").applyInArrow(
-        _meetings, "token bigint, node bigint, n bigint, pos bigint"), "jaccard-met")
+        _meetings(percent), "token bigint, node bigint, n bigint, pos bigint"), "jaccard-met")
     maps = described.where("n > 0 and doc_id is not null").select("node", "bitmap").dropDuplicates(["node"])
 
     def tiles(members: DataFrame, roots: DataFrame | None, whole: bool) -> DataFrame:
@@ -324,20 +348,25 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
             members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = members.groupBy("token").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(
             "lo <> hi").select("token", F.ceil(F.col("c") / BLOCK).cast("bigint").alias("blocks"))
-        placed = members.join(split, "token").join(maps, "node")
-        placed = placed.withColumn("block", F.pmod(F.xxhash64("node", "token"), F.col("blocks")))
+        placed = members.join(split, "token").withColumn("block", F.pmod(F.xxhash64("node", "token"), F.col("blocks")))
         placed = placed.withColumn("tile", F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda o: (
             F.shiftleft(F.least(o, F.col("block")), 20) + F.greatest(o, F.col("block"))))))
-        return placed.select(F.pmod(F.xxhash64("token", "tile"), F.lit(4 * n_buckets)).alias("bucket"), "token", "tile", "block",
-                             "node", "root", "n", "pos", "bitmap").groupBy("bucket").applyInArrow(
+        placed = placed.select(F.pmod(F.xxhash64("token", "tile"), F.lit(4 * n_buckets)).alias("bucket"), "token", "tile",
+                               "block", "node", "root", "n", "pos")
+        # a node's bitmap goes once to every bucket that has it
+        shown = placed.select("bucket", "node").distinct().toDF("at", "which").join(maps.toDF("which", "bitmap"), "which")
+        shown = shown.select("at", "which", "bitmap")
+        return placed.groupBy("bucket").cogroup(shown.groupBy("at")).applyInArrow(
             _tiles(percent, whole), "a bigint, b bigint")
 
     first = store(tiles(met, None, False).distinct(), "jaccard-pairs")
+    release(spark)
     # only nodes that pass a bound can link: their sets, and their meetings
     able = first.where("b is null").select(F.col("a").alias("node"))
     reps = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = src.join(able.join(reps, "node"), "doc_id").select("node", "text")
     sets = store(texts.mapInArrow(_members(k), "node bigint, members binary").dropDuplicates(["node"]), "jaccard-sets")
+    release(spark)
     met = store(met.join(able, "node", "left_semi"), "jaccard-able")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -354,6 +383,7 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
                       "jaccard-pairs")
         tried = tried.union(pairs)
         links = links.union(verified(pairs))
+        release(spark)
         roots = components(links, "jaccard-roots")
 
     placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, functions as F
 
-from skein.llm.textops import byte_hash, chunks, documents, mix, powers, prefix_hash, release, store
+from skein.llm.textops import CHUNK_BYTES, byte_hash, chunks, documents, mix, powers, prefix_hash, release, store
 
 LENGTH = 50
 GRAM = 20
@@ -43,6 +43,7 @@ WIDE = LENGTH + SPAN  # bytes around an anchor that its windows cover
 #: Bytes of documents in a bucket, about; a sixteenth as many anchors.
 BUCKET_BYTES = 8_000_000
 FLUSH_ANCHORS = 500_000
+FLUSH_BYTES = 16_000_000
 #: Contexts that are combined, or sorted, at once.
 PIECE = 20_000
 MAX_SPLIT = 100_000
@@ -128,7 +129,7 @@ def _rows(*packed) -> pa.RecordBatch:
 
 _ROWS = "bucket bigint, kind int, data binary"
 # kinds of rows
-_GRAMS, _KNOWN, _PLACES, _COUNTS, _CONTEXTS, _MARKS = range(6)
+_GRAMS, _KNOWN, _PLACES, _COUNTS, _CONTEXTS, _WINDOWS, _MARKS, _TEXTS = range(8)
 _COUNT = np.dtype([("key", "<u8"), ("n", "<i8")])
 
 
@@ -262,11 +263,62 @@ def _frequent(split_from):
     return run
 
 
+def _send_texts(n):
+    """Documents by home (their uid's remainder; n higher without an id), packed and compressed."""
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            docs, uids, homes = (np.concatenate(x) for x in zip(*[h[:3] for h in held]))
+            length = np.concatenate([np.diff(h[4]) for h in held])
+            data = np.concatenate([h[3] for h in held])
+            begin = np.concatenate([[0], np.cumsum(length)])
+            order = np.argsort(homes, kind="stable")
+            cut = np.flatnonzero(np.append(True, np.diff(homes[order]) != 0))
+            out = []
+            for a, b in zip(cut, np.append(cut[1:], len(order))):
+                at = order[a:b]
+                raw = b"".join([np.int64(len(at)).tobytes(), docs[at].tobytes(), uids[at].tobytes(), length[at].tobytes(),
+                                *[data[begin[i]:begin[i + 1]].tobytes() for i in at]])
+                out.append(_zip(raw))
+            return _rows(([int(h) for h in homes[order][cut]], [_TEXTS] * len(cut), out))
+
+        for batch in batches:
+            known = ~np.array(batch.column(0).is_null())
+            docs = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            uids = batch.column(1).to_numpy(zero_copy_only=False)
+            for lo, hi, data, off in chunks(batch.column(2)):
+                held.append((docs[lo:hi], uids[lo:hi], np.where(known[lo:hi], 0, n) + uids[lo:hi] % n, data, off))
+                size += len(data)
+                if size >= FLUSH_BYTES:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _zip(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unzip(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
+
+
 def _grouped(table: pa.Table):
-    """Yield (rows' ids, uids, bytes, offsets) of a table of documents, chunk by chunk."""
-    table = table.combine_chunks()
-    for lo, hi, data, off in chunks(table.column("text")):
-        yield table.column("doc_id")[lo:hi], table.column("uid")[lo:hi].to_numpy(), data, off
+    """Yield (ids, uids, bytes, offsets) of packed documents, about CHUNK_BYTES at a time."""
+    for blob in table.column("data"):
+        raw = _unzip(blob.as_py())
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        docs, uids, length = (np.frombuffer(raw, "<i8", n, 8 + 8 * n * k) for k in range(3))
+        off = np.concatenate([[0], np.cumsum(length)])
+        text, lo = np.frombuffer(raw, "u1", -1, 8 + 24 * n), 0
+        while lo < n:
+            hi = min(n, max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK_BYTES, "right")) - 1))
+            yield docs[lo:hi], uids[lo:hi], text[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+            lo = hi
 
 
 def _send_contexts(n_gram, n_doc, split):
@@ -286,11 +338,10 @@ def _send_contexts(n_gram, n_doc, split):
             row, at, gram, first, last = anchors(data, off)
             look = _pair_hash(uids[row], gram & _LOW40)
             hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, look), len(wanted) - 1)] == look)
-            doc = np.array(ids.to_pylist(), np.int64)
             for a in range(0, len(hit), PIECE):
                 h = hit[a:a + PIECE]
                 rec = np.zeros(len(h), _CONTEXT)
-                rec["key"], rec["uid"], rec["doc"] = gram[h], uids[row[h]], doc[row[h]]
+                rec["key"], rec["uid"], rec["doc"] = gram[h], uids[row[h]], ids[row[h]]
                 rec["pos"] = at[h] - off[row[h]]
                 rec["lo"], rec["hi"] = SPAN + first[h] - at[h], SPAN + last[h] - at[h] + LENGTH
                 around = data[np.clip(at[h, None] + np.arange(-SPAN, WIDE - SPAN), 0, len(data) - 1)]
@@ -312,8 +363,9 @@ def _pair_hash(uid, key):
     return mix(uid.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key)
 
 
-def _pack_contexts(rec: np.ndarray, bucket: np.ndarray):
-    """Contexts by bucket, in columns, without the bytes outside their windows."""
+def _pack_contexts(rec: np.ndarray, bucket: np.ndarray, kind: int = _CONTEXTS):
+    """Contexts by bucket, in columns and compressed, without the bytes outside their windows; keys follow from the
+    bytes."""
     order = np.argsort(bucket, kind="stable")
     rec, bucket = rec[order], bucket[order]
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
@@ -321,21 +373,22 @@ def _pack_contexts(rec: np.ndarray, bucket: np.ndarray):
     out = []
     for a, b in zip(cut, np.append(cut[1:], len(rec))):
         part = rec[a:b]
-        out.append(np.uint32(b - a).tobytes() + b"".join(part[c].tobytes() for c in ("key", "doc", "uid", "pos", "lo", "hi"))
-                   + part["bytes"][inside[a:b]].tobytes())
-    return [int(b) for b in bucket[cut]], [_CONTEXTS] * len(cut), out
+        out.append(_zip(np.uint32(b - a).tobytes() + b"".join(part[c].tobytes() for c in ("doc", "uid", "pos", "lo", "hi"))
+                        + part["bytes"][inside[a:b]].tobytes()))
+    return [int(b) for b in bucket[cut]], [kind] * len(cut), out
 
 
-def _unpack_contexts(blob: bytes) -> np.ndarray:
+def _unpack_contexts(blob: bytes, kind: int) -> np.ndarray:
+    blob = _unzip(blob)
     n, at = int(np.frombuffer(blob, "<u4", 1)[0]), 4
     rec = np.zeros(n, _CONTEXT)
-    for c in ("key", "doc", "uid", "pos", "lo", "hi"):
-        kind = _CONTEXT[c]
-        rec[c] = np.frombuffer(blob, kind, n, at)
-        at += n * kind.itemsize
+    for c in ("doc", "uid", "pos", "lo", "hi"):
+        rec[c] = np.frombuffer(blob, _CONTEXT[c], n, at)
+        at += n * _CONTEXT[c].itemsize
     full = np.zeros((n, WIDE), np.uint8)
     full[(np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])] = np.frombuffer(blob, "u1", -1, at)
     rec["bytes"] = full
+    rec["key"] = context_hash(rec) if kind == _WINDOWS else mix(byte_hash(full[:, SPAN:SPAN + GRAM]))
     return rec
 
 
@@ -348,7 +401,7 @@ def _windows_apart(rec: np.ndarray, n_gram: int):
             outside = (np.arange(WIDE) < o) | (np.arange(WIDE) >= o + LENGTH)
             part["bytes"][:, outside] = 0
             part["key"] = context_hash(part)
-            yield _pack_contexts(part, _bucket(part["key"], n_gram))
+            yield _pack_contexts(part, _bucket(part["key"], n_gram), _WINDOWS)
 
 
 def context_hash(rec: np.ndarray) -> np.ndarray:
@@ -551,7 +604,8 @@ def _meet_contexts(n_gram, n_doc):
         data = table.column("data").to_pylist()
         if bucket >= n_gram:
             return pa.Table.from_batches([_rows(([bucket - n_gram], [_MARKS], [b"".join(data)]))])
-        marks = repeated_windows(np.concatenate([_unpack_contexts(d) for d in data]))
+        kinds = table.column("kind").to_pylist()
+        marks = repeated_windows(np.concatenate([_unpack_contexts(d, k) for d, k in zip(data, kinds)]))
         return pa.Table.from_batches([_rows(_pack(marks, marks["uid"] % n_doc, 0, _MARKS))])
 
     return run
@@ -566,14 +620,18 @@ def removed_runs(n: int, starts: np.ndarray) -> np.ndarray:
     return np.stack([starts[cut], starts[np.append(cut[1:], len(starts)) - 1] + LENGTH], 1)
 
 
-def _cut(key, docs: pa.Table, marks: pa.Table) -> pa.Table:
+def _cut(n):
+    return lambda key, docs, marks: _without_marked(docs, marks, key[0].as_py() < n)
+
+
+def _without_marked(docs: pa.Table, marks: pa.Table, known: bool) -> pa.Table:
     mark = np.frombuffer(b"".join(marks.column("data").to_pylist()), _MARK) if len(marks) else np.zeros(0, _MARK)
     mark = mark[np.argsort(mark["uid"], kind="stable")]
     offset = np.arange(SPAN + 1)
     out = []
     for ids, uids, data, off in _grouped(docs) if len(docs) else ():
         lo, hi = (np.searchsorted(mark["uid"], uids, side) for side in ("left", "right"))
-        for i, doc in enumerate(ids.to_pylist()):
+        for i, doc in enumerate(ids.tolist()):
             m = mark[lo[i]:hi[i]]
             j, o = np.nonzero((m["mask"][:, None] >> offset) & 1)
             runs = removed_runs(off[i + 1] - off[i], m["pos"][j].astype(np.int64) - SPAN + o)
@@ -583,7 +641,7 @@ def _cut(key, docs: pa.Table, marks: pa.Table) -> pa.Table:
                 parts.append(text[at:s].tobytes())
                 at = e
             kept = b"".join(parts) + text[at:].tobytes()
-            out.append((doc, len(text), len(text) - len(kept), len(runs), kept))
+            out.append((doc if known else None, len(text), len(text) - len(kept), len(runs), kept))
     cols = list(zip(*out)) if out else [()] * 5
     return pa.table({"doc_id": pa.array(cols[0], pa.int64()), "n_bytes": pa.array(cols[1], pa.int64()),
                      "n_removed": pa.array(cols[2], pa.int64()), "n_spans": pa.array(cols[3], pa.int64()),
@@ -607,16 +665,14 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFra
     # at most one in split_from anchors can be so frequent
     counts = met.where(f"kind = {_COUNTS}").select("data").mapInArrow(_frequent(split_from), "key bigint").collect()
     split = np.array(sorted(r.key for r in counts), np.int64).view(np.uint64)
-    home = long.withColumn("home", F.pmod("uid", F.lit(n)))
-    places = met.where(f"kind = {_PLACES}").select(F.col("bucket").alias("home"), "data")
-    sent = home.select("home", "doc_id", "uid", "text").groupBy("home").cogroup(places.groupBy("home")).applyInArrow(
-        _send_contexts(n, n, split), _ROWS)
+    texts = long.select("doc_id", "uid", "text").mapInArrow(_send_texts(n), _ROWS)
+    places = met.where(f"kind = {_PLACES}")
+    sent = texts.groupBy("bucket").cogroup(places.groupBy("bucket")).applyInArrow(_send_contexts(n, n, split), _ROWS)
     marks = store(sent.groupBy("bucket").applyInArrow(_meet_contexts(n, n), _ROWS), "repeats-marks")
     release(spark)
-    every = src.withColumn("home", F.when(F.col("doc_id").isNotNull(), F.pmod("uid", F.lit(n))).otherwise(F.pmod("uid", F.lit(n)) + n))
-    return every.select("home", "doc_id", "uid", "text").groupBy("home").cogroup(
-        marks.select(F.col("bucket").alias("home"), "data").groupBy("home")).applyInArrow(
-        _cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    every = src.select("doc_id", "uid", "text").mapInArrow(_send_texts(n), _ROWS)
+    return every.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(
+        _cut(n), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def op7_suffix_dedup(spark, sf_dir):

@@ -106,10 +106,12 @@ def likeness(a: Column, b: Column) -> Column:
 
 def _following(values: DataFrame, low: int, high: int) -> DataFrame:
     """``v, next``: the next larger value (null after the largest) of distinct values between low and high."""
-    group = F.floor(F.col("v") / RANGE) if high // RANGE != low // RANGE else F.lit(0).cast("bigint")
+    narrow = high - low < RANGE
+    group = F.lit(0).cast("bigint") if narrow else F.expr(f"(v - pmod(v, {RANGE})) div {RANGE}")
     inner = values.withColumn("g", group).withColumn("next", F.lead("v").over(Window.partitionBy("g").orderBy("v")))
-    if high // RANGE == low // RANGE:
+    if narrow:
         return inner.select("v", "next")
+    inner = store(inner, "omh-order")
     heads = inner.groupBy("g").agg(F.min("v").alias("head"))
     order = _following(heads.select(F.col("g").alias("v")), low // RANGE, high // RANGE).toDF("g", "after")
     link = order.join(heads.withColumnRenamed("g", "after"), "after").select("g", "head")

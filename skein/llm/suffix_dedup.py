@@ -323,17 +323,11 @@ def _grouped(table: pa.Table):
 
 def _send_contexts(n_gram, n_doc, split):
     """Of one bucket of documents and its shared places: the bytes around them by gram, equal ones combined."""
-    def packed(rec):
-        rec, marks = _combine(rec)
-        common = np.isin(rec["key"], split)
-        return [_pack_contexts(rec[~common], _bucket(rec["key"][~common], n_gram)),
-                *_windows_apart(rec[common], n_gram), _pack(marks, marks["uid"] % n_doc, n_gram, _MARKS)]
-
     def run(key, docs: pa.Table, places: pa.Table) -> pa.Table:
         place = np.frombuffer(b"".join(places.column("data").to_pylist()), _PLACE) if len(places) else np.zeros(0, _PLACE)
         # a hash of (document, gram) for the lookup; a chance hit only sends a context in vain
         wanted = np.unique(_pair_hash(place["uid"], _join40(place["low"], place["high"])))
-        held, size, out = [], 0, []
+        kept, marks = [], []
         for ids, uids, data, off in _grouped(docs) if len(docs) and len(place) else ():
             row, at, gram, first, last = anchors(data, off)
             look = _pair_hash(uids[row], gram & _LOW40)
@@ -347,14 +341,16 @@ def _send_contexts(n_gram, n_doc, split):
                 around = data[np.clip(at[h, None] + np.arange(-SPAN, WIDE - SPAN), 0, len(data) - 1)]
                 inside = (np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])
                 rec["bytes"] = np.where(inside, around, 0)
-                held.append(rec)
-                size += len(rec)
-            if size >= PIECE:
-                out += packed(np.concatenate(held))
-                held, size = [], 0
-        if held:
-            out += packed(np.concatenate(held))
-        return pa.Table.from_batches([_rows(*out)])
+                rec, decided = _combine(rec)
+                kept.append(rec)
+                marks.append(decided)
+        if not kept:
+            return pa.Table.from_batches([_rows()])
+        rec, marks = np.concatenate(kept), np.concatenate(marks)
+        common = np.isin(rec["key"], split)
+        return pa.Table.from_batches([_rows(
+            _pack_contexts(rec[~common], _bucket(rec["key"][~common], n_gram)), *_windows_apart(rec[common], n_gram),
+            _pack(marks, marks["uid"] % n_doc, n_gram, _MARKS))])
 
     return run
 
@@ -462,14 +458,18 @@ class Suffixes:
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension of the suffixes at a and b, up to the limit."""
-        lo = np.zeros(len(a), np.int64)
-        hi = np.full(len(a), self.limit)
+        out = np.full(len(a), self.limit)
         qa, qb, ca, cb = self.q[a], self.q[b], self.c[a], self.c[b]
-        for _ in range(int(self.limit).bit_length()):
-            mid = (lo + hi + 1) >> 1
+        part = np.flatnonzero((self.c[a + self.limit] - ca) * qa != (self.c[b + self.limit] - cb) * qb)
+        a, b, qa, qb, ca, cb = a[part], b[part], qa[part], qb[part], ca[part], cb[part]
+        lo, step = np.zeros(len(a), np.int64), 1 << (self.limit.bit_length() - 1)
+        while step and len(a):
+            mid = np.minimum(lo + step, self.limit)
             same = (self.c[a + mid] - ca) * qa == (self.c[b + mid] - cb) * qb
-            lo, hi = np.where(same, mid, lo), np.where(same, hi, np.maximum(mid - 1, lo))
-        return lo
+            lo = np.where(same, mid, lo)
+            step >>= 1
+        out[part] = lo
+        return out
 
     def less(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         n = self.common(a, b)

@@ -59,7 +59,7 @@ _MARK = np.dtype([("uid", "<i8"), ("pos", "<u4"), ("mask", "<u4")])
 _PLACE = np.dtype([("uid", "<i8"), ("low", "<u4"), ("high", "u1")])
 _LOW40 = np.uint64((1 << 40) - 1)
 #: Up to so many different contexts of a gram are compared pair by pair; more are suffix-sorted window by window.
-PAIRS = 12
+PAIRS = 48
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
@@ -439,8 +439,12 @@ def _same_context(rec: np.ndarray):
 
 
 def _combine(rec: np.ndarray):
-    """(contexts left, marks): of equal contexts those of the smallest id stay, all windows of the others are repeats."""
-    rec, new = _same_context(rec)
+    """(contexts left, marks): of equal contexts those of the smallest id stay, all windows of the others are repeats.
+    Only a combination ahead of the shuffle: contexts are brought together by a hash and compared whole."""
+    rec = rec[np.lexsort((rec["doc"], context_hash(rec), rec["key"]))]
+    new = np.ones(len(rec), bool)
+    new[1:] = (rec["key"][1:] != rec["key"][:-1]) | (rec["lo"][1:] != rec["lo"][:-1]) | (rec["hi"][1:] != rec["hi"][:-1]) | (
+        rec["bytes"][1:] != rec["bytes"][:-1]).any(1)
     least = rec["doc"][new][np.cumsum(new) - 1] if len(rec) else rec["doc"]
     later = rec["doc"] > least
     marks = np.empty(int(later.sum()), _MARK)
@@ -531,7 +535,7 @@ def repeated_windows(rec: np.ndarray) -> np.ndarray:
     found |= _paired_windows(unique, group, several[few])
     several, at = several[~few], 0
     while at < len(several):
-        end = min(at + PIECE, len(several))
+        end = min(at + PIECE // 4, len(several))
         while end < len(several) and group[several[end]] == group[several[end - 1]]:
             end += 1
         part = several[at:end]
@@ -546,10 +550,13 @@ def repeated_windows(rec: np.ndarray) -> np.ndarray:
 def _paired_windows(ctx: np.ndarray, group: np.ndarray, some: np.ndarray) -> np.ndarray:
     """For distinct contexts (of grams with few): bits of the windows that a context of the same gram and a smaller id
     has, from the pairs' common extensions to the left and to the right of the gram."""
-    out = np.zeros(len(ctx), np.uint32)
+    out, size = np.zeros(len(ctx), np.uint32), np.bincount(group)
     for at in range(0, len(some), PIECE):
         part = some[at:at + PIECE]
         for k in range(1, PAIRS):
+            part = part[size[group[part]] > k]
+            if not len(part):
+                break
             for x, y in ((part, part + k), (part, part - k)):
                 ok = (y >= 0) & (y < len(ctx))
                 x, y = x[ok], y[ok]
@@ -587,8 +594,8 @@ def _sorted_windows(ctx: np.ndarray, group: np.ndarray) -> np.ndarray:
     same[1:] = (seg[1:] == seg[:-1]) & (suffixes.common(s[1:], s[:-1]) == LENGTH)
     where = np.flatnonzero(same)
     window = np.arange(LENGTH)
-    for lo in range(0, len(where), 1 << 18):  # byte by byte, against collisions
-        w = where[lo:lo + (1 << 18)]
+    for lo in range(0, len(where), 1 << 15):  # byte by byte, against collisions
+        w = where[lo:lo + (1 << 15)]
         same[w] = (data[s[w, None] + window] == data[s[w - 1, None] + window]).all(1)
     block = np.cumsum(~same) - 1
     least = np.minimum.reduceat(doc, np.flatnonzero(~same)) if len(s) else doc

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from skein.operators.sizing import bounded_collect, join_small
 
@@ -89,7 +90,13 @@ def apply_scaler(df: DataFrame, scaler: DataFrame | list, cols=None) -> DataFram
 
 def scale_features(train: DataFrame, val: DataFrame | None = None, test: DataFrame | None = None,
                    cols=None):
-    """Fit on train, transform train / val / test. Returns (scaler, train, val, test)."""
+    """Fit on train, transform train / val / test. Returns (scaler, train, val, test).
+
+    Without ``cols`` every numeric column of ``train`` is scaled, except ids and the target.
+    """
+    if cols is None:
+        cols = [f.name for f in train.schema.fields
+                if isinstance(f.dataType, NumericType) and f.name not in ("id", "target")]
     scaler = fit_scaler(train, cols)
     rows = scaler.collect()
     t = apply_scaler(train, rows, cols)

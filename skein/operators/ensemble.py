@@ -23,6 +23,9 @@ def mean_ensemble(preds: dict, id_col: str = "id", value_col: str = "target") ->
 
 def inverse_mae_weights(maes: dict) -> dict:
     """w_i = (1 / MAE_i) / sum_j (1 / MAE_j); for two models w_a = MAE_b / (MAE_a + MAE_b)."""
+    perfect = [k for k, v in maes.items() if float(v) == 0.0]
+    if perfect:  # models without error share the whole weight
+        return {k: 1.0 / len(perfect) if k in perfect else 0.0 for k in maes}
     inv = {k: 1.0 / float(v) for k, v in maes.items()}
     total = sum(inv.values())
     return {k: v / total for k, v in inv.items()}

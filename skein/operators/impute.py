@@ -38,8 +38,10 @@ def impute_missing(df: DataFrame, spec: PanelSpec = PanelSpec(), method: str = "
                    cols=None, **kw) -> DataFrame:
     """I1/I2 dispatch: ``ffill`` (forward then backward fill per market) or ``median``.
 
-    Extra keywords go to the operator (e.g. the window ``strategy`` of ffill).
+    Extra keywords go to the operator (e.g. the window ``strategy`` of ffill); ``strategy`` may also name the method.
     """
+    if kw.get("strategy") in ("ffill", "median"):
+        method = kw.pop("strategy")
     if method == "ffill":
         return fill_forward_backward(df, spec, cols, **kw)
     if method == "median":

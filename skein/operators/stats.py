@@ -35,8 +35,8 @@ def group_quantiles(df: DataFrame, group_cols, cols, probs, exact: bool = True,
         q = long.groupBy(*group_cols, "column_name").agg(
             F.percentile_approx("value", probs, accuracy).alias("_qs"))
         return q.select(*group_cols, "column_name",
-                        F.posexplode(F.arrays_zip(F.array(*[F.lit(p) for p in probs]), "_qs")))\
-            .select(*group_cols, "column_name", F.col("col.0").alias("prob"), F.col("col.1").alias("value"))
+                        F.posexplode("_qs").alias("_i", "value")).select(
+            *group_cols, "column_name", F.get(F.array(*[F.lit(p) for p in probs]), F.col("_i")).alias("prob"), "value")
     ranked = with_positions(long, [*group_cols, "column_name"], ["value"], pos_col="_r", count_col="_n")
     prob = F.explode(F.array(*[F.lit(p) for p in probs])).alias("prob")
     staged = ranked.select(*group_cols, "column_name", "value", "_r", "_n", prob)

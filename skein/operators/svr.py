@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from skein.operators.evaluate import metric_exprs
 from skein.operators.positions import with_positions
@@ -278,7 +279,7 @@ def predict_mapped(df: DataFrame, features, fmap, coefs: DataFrame, pred: str =
     cf = {r["feature"]: r["coef"] for r in coefs.collect()}  # D + 1 numbers
     theta = np.array([cf.get(CONST, 0.0)] + [cf.get(n, 0.0) for n in fmap.names])
     features = list(features)
-    out_schema = df.schema.add(pred, "double")
+    out_schema = StructType([*df.schema.fields, StructField(pred, DoubleType())])
 
     def run(it):
         for pdf in it:

@@ -12,9 +12,9 @@ anchor need a common sort.
 2. An anchor stands for the windows of which it is the first smallest gram. Around each shared anchor the bytes of its
    windows, its context, go to buckets by gram. Equal ones are combined first: all but the smallest id's are then
    decided. A gram so common that its bucket would grow without bound is split: its windows go out by their own content.
-3. A bucket's contexts are suffix-sorted gram by gram, which leaves the different ones. Windows that different contexts
-   share follow from the pairs' common extensions where a gram has few, and else from a suffix sort of the windows; a
-   window is repeated if a smaller id has it.
+3. A bucket's equal contexts are combined. Windows that different contexts of a gram share follow from the pairs' common
+   extensions, by prefix hashes and binary search, where a gram has few (``PAIRS``), and else from a suffix sort of the
+   windows; a window is repeated if a smaller id has it.
 4. Repeated windows return to their documents, whose bytes are cut.
 
 Buckets follow the input's size, so no task holds more than a bucket and no document's bytes are sent more often than
@@ -417,34 +417,19 @@ def _full_mask(rec: np.ndarray) -> np.ndarray:
 
 
 def _same_context(rec: np.ndarray):
-    """Suffix-sort the contexts of each gram, equal ones by id; True where a new one begins."""
-    rec = rec[np.lexsort((rec["doc"], rec["hi"], rec["lo"], rec["key"]))]
+    """Contexts with equal ones as neighbours, smallest id first (brought together by a hash, compared whole); True where
+    a new one begins."""
+    rec = rec[np.lexsort((rec["doc"], context_hash(rec), rec["key"]))]
     new = np.ones(len(rec), bool)
-    if not len(rec):
-        return rec, new
-    group = np.cumsum(np.append(True, (rec["key"][1:] != rec["key"][:-1]) | (rec["lo"][1:] != rec["lo"][:-1])
-                                | (rec["hi"][1:] != rec["hi"][:-1]))) - 1
-    at = 0
-    while at < len(rec):
-        end = min(at + PIECE, len(rec))
-        while end < len(rec) and group[end] == group[end - 1]:
-            end += 1
-        part = rec[at:end]
-        suffixes = Suffixes(np.ascontiguousarray(part["bytes"]).reshape(-1), WIDE)
-        order = suffixes.sort(np.arange(len(part)) * WIDE, group[at:end])
-        rec[at:end] = part = part[order]
-        new[at + 1:end] = (group[at + 1:end] != group[at:end - 1]) | (part["bytes"][1:] != part["bytes"][:-1]).any(1)
-        at = end
+    for at in range(1, len(rec), PIECE):
+        x, y = rec[at - 1:at - 1 + PIECE][:len(rec) - at], rec[at:at + PIECE]
+        new[at:at + PIECE] = (x["key"] != y["key"]) | (x["lo"] != y["lo"]) | (x["hi"] != y["hi"]) | (x["bytes"] != y["bytes"]).any(1)
     return rec, new
 
 
 def _combine(rec: np.ndarray):
-    """(contexts left, marks): of equal contexts those of the smallest id stay, all windows of the others are repeats.
-    Only a combination ahead of the shuffle: contexts are brought together by a hash and compared whole."""
-    rec = rec[np.lexsort((rec["doc"], context_hash(rec), rec["key"]))]
-    new = np.ones(len(rec), bool)
-    new[1:] = (rec["key"][1:] != rec["key"][:-1]) | (rec["lo"][1:] != rec["lo"][:-1]) | (rec["hi"][1:] != rec["hi"][:-1]) | (
-        rec["bytes"][1:] != rec["bytes"][:-1]).any(1)
+    """(contexts left, marks): of equal contexts those of the smallest id stay, all windows of the others are repeats."""
+    rec, new = _same_context(rec)
     least = rec["doc"][new][np.cumsum(new) - 1] if len(rec) else rec["doc"]
     later = rec["doc"] > least
     marks = np.empty(int(later.sum()), _MARK)

@@ -9,15 +9,16 @@ MAPE_EPSILON = 1e-8
 
 
 def metric_exprs(y: str, p: str, epsilon: float = MAPE_EPSILON) -> list[Column]:
-    """M1-M4 as aggregate expressions over one pass.
+    """M1-M4 as aggregate expressions over one pass, on the rows that have both y and p.
 
     R2 = 1 - SSE / SST with SST = n * var_pop(y); constant y gives 1 when SSE = 0 else 0;
     fewer than two rows gives NULL.
     """
     e = F.col(y) - F.col(p)
-    n = F.count(F.lit(1))
+    actual = F.when(e.isNotNull(), F.col(y))
+    n = F.count(e)
     sse = F.sum(e * e)
-    sst = F.var_pop(F.col(y)) * n
+    sst = F.var_pop(actual) * n
     r2 = (F.when(n < 2, F.lit(None).cast("double"))
           .when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(1 - sse / sst))
@@ -35,16 +36,17 @@ def null_inputs(y: str, p: str) -> Column:
 
 
 def metrics(df: DataFrame, y: str = "target", p: str = "pred") -> DataFrame:
-    """M5: all four metrics in one pass (rows with NULL y or p are reported in n_null)."""
-    clean = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
-    return clean.agg(*metric_exprs(y, p))
+    """M5: all four metrics in one pass over the rows that have y and p; ``n_null`` counts the others."""
+    return df.agg(*metric_exprs(y, p), null_inputs(y, p))
 
 
 def metrics_by_market(df: DataFrame, y: str = "target", p: str = "pred",
                       market: str = "market") -> DataFrame:
-    """M6: metrics per market (one grouped aggregate, not a loop), sorted by market."""
-    clean = df.where(F.col(y).isNotNull() & F.col(p).isNotNull() & F.col(market).isNotNull())
-    return clean.groupBy(market).agg(*metric_exprs(y, p)).orderBy(market)
+    """M6: metrics and ``n_null`` per market (one grouped aggregate, not a loop), sorted by market.
+
+    A market without a single complete row stays, with NULL metrics; rows without a market are a group of their own.
+    """
+    return df.groupBy(market).agg(*metric_exprs(y, p), null_inputs(y, p)).orderBy(market)
 
 
 def evaluate(df: DataFrame, y: str = "target", p: str = "pred") -> dict:

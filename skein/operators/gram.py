@@ -1,61 +1,47 @@
 """Grouped sufficient statistics (moments and Gram matrices) in one distributed pass.
 
-By default (centred statistics) the data are read ONCE: every task centres its partial
-sums at its own mean and Spark merges the partials exactly with the parallel-variance
-rule (``grouped_gram_one_pass``). With a fixed standardisation or uncentred sums,
-``grouped_gram`` standardises each column with per-group (shift, scale) taken from a
-native moments pass, then every task accumulates, per group it sees, the count, the
-column sums and ZᵀZ of its rows (numpy over Arrow batches in ``mapInPandas``) and
-emits one partial row per (partition, group). Spark sums the partials cell by
-cell (posexplode + groupBy, a tiny shuffle) and reassembles one row per group:
+Every task sums, per group it sees, the count, its own mean, the cross-products about that mean, minima and maxima
+(numpy over Arrow batches in ``mapInPandas``) and emits one partial row per (partition, group), sooner when the blocks
+it holds reach ``FLUSH_BYTES``. The partials, a small table, are written once to the checkpoint folder, so the rows are
+read once however often the merge reads its input. Spark merges them exactly with the parallel-variance rule and
+returns one row per group:
 
     group..., n, mean[k], scale[k], min[k], max[k], s[k] (sum of z), g[k*k] (sum of z zᵀ)
 
-A hot group is spread over every task that holds its rows; nothing ever gathers
-a group's rows. Solvers then read one small row per group.
+A hot group is spread over every task that holds its rows; nothing ever gathers a group's rows. Uncentred sums and sums
+about a fixed (shift, scale) follow from the centred ones: C + n d dᵀ with d = mean - shift.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.session import wide_plan_guard
-from skein.operators.sizing import bounded_collect
-
-# Up to this many groups the (shift, scale) vectors travel in the task closure; beyond it
-# they are joined onto the rows.
-MAX_CLOSURE_GROUPS = 2_000
-
-
-def moments(df: DataFrame, group_cols, cols) -> DataFrame:
-    """Per group: n and, for every column, mean, population std, min, max (one native aggregate)."""
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"_m{i}"), F.stddev_pop(x).alias(f"_s{i}"),
-                 F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-    g = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-    k = len(cols)
-    return g.select(
-        *group_cols, "n",
-        F.array(*[F.col(f"_m{i}") for i in range(k)]).alias("mean"),
-        F.array(*[F.when(F.col(f"_s{i}").isNull() | (F.col(f"_s{i}") == 0), F.lit(1.0))
-                  .otherwise(F.col(f"_s{i}")) for i in range(k)]).alias("scale"),
-        F.array(*[F.col(f"_lo{i}") for i in range(k)]).alias("min"),
-        F.array(*[F.col(f"_hi{i}") for i in range(k)]).alias("max"),
-    )
+from skein.session import ensure_checkpoint_dir, wide_plan_guard
 
+#: Bytes of per-group blocks a task holds before it emits them.
+FLUSH_BYTES = 64 << 20
 
-def _key(row, group_cols):
-    return tuple(row[c] for c in group_cols)
 
+# -- the data pass -----------------------------------------------------------------
 
-def _partial_kernel(group_cols, cols, stats, center: bool, fixed=None):
+def _own_mean_kernel(group_cols, cols, flush_bytes):
+    """Per (partition, group): n, own mean, cross-products about the own mean, min, max."""
     k = len(cols)
+    most = max(1, flush_bytes // (8 * (k * k + 4 * k)))
+
+    def partials(acc):
+        rows = []
+        for key, (n, x0, s1, s2, lo, hi) in acc.items():
+            m = s1 / n
+            rows.append({**dict(zip(group_cols, key)), "_n": int(n), "_m": (x0 + m).tolist(),
+                         "_c": (s2 - n * np.outer(m, m)).ravel().tolist(), "_lo": lo.tolist(), "_hi": hi.tolist()})
+        return pd.DataFrame(rows, columns=[*group_cols, "_n", "_m", "_c", "_lo", "_hi"])
 
     def run(it):
         acc = {}
@@ -63,125 +49,96 @@ def _partial_kernel(group_cols, cols, stats, center: bool, fixed=None):
             if pdf.empty:
                 continue
             X = pdf[cols].to_numpy(dtype=np.float64)
-            if group_cols:
-                grouped = pdf.groupby(group_cols, sort=False, dropna=False).indices
-                items = [(k_ if isinstance(k_, tuple) else (k_,), idx) for k_, idx in grouped.items()]
-            else:
-                items = [((), np.arange(len(pdf)))]
-            for key, idx in items:
-                key = tuple(None if (isinstance(v, float) and np.isnan(v)) else v for v in key)
-                if stats is None:  # many groups: shift/scale arrived as columns
-                    mu = np.asarray(pdf["_mu"].iat[idx[0]], dtype=np.float64)
-                    sc = np.asarray(pdf["_sc"].iat[idx[0]], dtype=np.float64)
-                else:
-                    mu, sc = stats[key] if key in stats else (np.zeros(k), np.ones(k))
+            for key, idx in pdf.groupby(group_cols, sort=False, dropna=False).indices.items():
+                key = key if isinstance(key, tuple) else (key,)
                 Z = X[idx]
-                if center or fixed is not None:
-                    Z = (Z - mu) / sc
-                else:
-                    Z = Z / sc
                 a = acc.get(key)
                 if a is None:
-                    a = acc[key] = [0, np.zeros(k), np.zeros((k, k))]
+                    if len(acc) >= most:
+                        yield partials(acc)
+                        acc.clear()
+                    # shift by the first row seen: sums stay small
+                    a = acc[key] = [0, Z[0].copy(), np.zeros(k), np.zeros((k, k)), Z.min(0), Z.max(0)]
+                D = Z - a[1]
                 a[0] += len(idx)
-                a[1] += Z.sum(axis=0)
-                a[2] += Z.T @ Z
-        rows = []
-        for key, (n, s, g) in acc.items():
-            rec = {c: v for c, v in zip(group_cols, key)}
-            rec["_n"] = int(n)
-            rec["_cells"] = np.concatenate([s, g.ravel()]).tolist()
-            rows.append(rec)
-        if rows:
-            yield pd.DataFrame(rows, columns=[*group_cols, "_n", "_cells"])
+                a[2] += D.sum(axis=0)
+                a[3] += D.T @ D
+                a[4] = np.minimum(a[4], Z.min(0))
+                a[5] = np.maximum(a[5], Z.max(0))
+        if acc:
+            yield partials(acc)
 
     return run
 
 
-def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True,
-                 stats_df: DataFrame | None = None, fixed=None, one_pass: bool = True) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a table below the checkpoint folder: later reads do not run its plan again."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/gram-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True, fixed=None) -> DataFrame:
     """One row per group with n, moments and the sums of z and z zᵀ of the standardised columns.
 
-    Rows must already be complete in ``cols`` (use ``dropna(subset=cols)``).
-    ``center=False`` only scales (uncentred Gram, e.g. for VIF). ``fixed=(shift, scale)``
-    standardises every group with the same vectors (e.g. folds of one data set).
-    In the centred case the data are read once (``grouped_gram_one_pass``) unless
-    ``one_pass=False`` asks for the moments-then-Gram two-pass plan.
+    Rows must already be complete in ``cols`` (use ``dropna(subset=cols)``); rows without a group key are left out.
+    ``center=False`` only scales, by the root mean square (uncentred Gram, e.g. for VIF); ``mean`` is then 0.
+    ``fixed=(shift, scale)`` standardises every group with the same vectors (e.g. folds of one data set).
+    A constant column has scale 1 when centred.
     """
-    if one_pass and center and fixed is None and stats_df is None:
-        return grouped_gram_one_pass(df, group_cols, cols)
     cols = list(cols)
     user_groups = list(group_cols)
-    wide_plan_guard(df.sparkSession)
     # An ungrouped pass uses a constant key so every join below stays an equi-join.
     group_cols = user_groups or ["_all"]
     k = len(cols)
+    wide_plan_guard(df.sparkSession)
     src = df if user_groups else df.withColumn("_all", F.lit(0))
-    base = src.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols])
-    for c in group_cols:
-        base = base.where(F.col(c).isNotNull())
-    mom = stats_df if stats_df is not None else moments(base, group_cols, cols)
-    rows = bounded_collect(mom, MAX_CLOSURE_GROUPS)
-    if rows is None:
-        return _gram_many_groups(base, mom, group_cols, user_groups, cols, center, fixed)
-    stats = {_key(r, group_cols): (np.array(r["mean"], dtype=float), np.array(r["scale"], dtype=float))
-             for r in rows}
-    if fixed is not None:
-        shift, scl = (np.asarray(v, dtype=float) for v in fixed)
-        stats = {key: (shift.copy(), scl.copy()) for key in stats}
-    elif not center:
-        stats = {key: (np.zeros(k), np.sqrt(np.array(m, float) ** 2 + np.array(s, float) ** 2))
-                 for key, (m, s) in stats.items()}
-    schema = T.StructType(
-        [f for f in base.schema.fields if f.name in group_cols]
-        + [T.StructField("_n", T.LongType()), T.StructField("_cells", T.ArrayType(T.DoubleType()))])
-    partial = base.mapInPandas(_partial_kernel(group_cols, cols, stats, center, fixed), schema)
-    cells = partial.select(*group_cols, "_n", F.posexplode("_cells").alias("_i", "_v"))
-    summed = cells.groupBy(*group_cols, "_i").agg(F.sum("_v").alias("_v"))
-    counts = partial.groupBy(*group_cols).agg(F.sum("_n").alias("_nn"))
-    packed = summed.groupBy(*group_cols).agg(
-        F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_c"))
-    packed = packed.select(*group_cols, F.col("_c._v").alias("_c"))
-    local = df.sparkSession.createDataFrame(
-        [(*_key(r, group_cols), [float(v) for v in stats[_key(r, group_cols)][0]],
-          [float(v) for v in stats[_key(r, group_cols)][1]], r["min"], r["max"]) for r in rows],
-        T.StructType([f for f in base.schema.fields if f.name in group_cols] + [
-            T.StructField("mean", T.ArrayType(T.DoubleType())), T.StructField("scale", T.ArrayType(T.DoubleType())),
-            T.StructField("min", T.ArrayType(T.DoubleType())), T.StructField("max", T.ArrayType(T.DoubleType()))]))
-    out = packed.join(counts, group_cols, "inner").join(F.broadcast(local), group_cols, "inner")
-    return out.select(*user_groups, F.col("_nn").alias("n"), "mean", "scale", "min", "max",
-                      F.slice("_c", 1, k).alias("s"), F.slice("_c", k + 1, k * k).alias("g"))
-
-
-def _gram_many_groups(base, mom, group_cols, user_groups, cols, center, fixed):
-    """Same result as the closure path, for more groups than fit in a task closure:
-    each group's (shift, scale) is joined onto its rows (a shuffle join on the group key)."""
-    k = len(cols)
+    base = src.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=group_cols)
+    arr = T.ArrayType(T.DoubleType())
+    schema = T.StructType([f for f in base.schema.fields if f.name in group_cols] + [
+        T.StructField("_n", T.LongType()), T.StructField("_m", arr), T.StructField("_c", arr),
+        T.StructField("_lo", arr), T.StructField("_hi", arr)])
+    parts = _written(base.mapInPandas(_own_mean_kernel(group_cols, cols, FLUSH_BYTES), schema))
+    idx = F.sequence(F.lit(0), F.lit(k - 1))
+    # Group totals: n, mean (n-weighted), min, max.
+    tot = parts.groupBy(*group_cols).agg(
+        F.sum("_n").alias("_N"),
+        *[F.sum(F.col("_n") * F.col("_m")[i]).alias(f"_sm{i}") for i in range(k)],
+        *[F.min(F.col("_lo")[i]).alias(f"_mn{i}") for i in range(k)],
+        *[F.max(F.col("_hi")[i]).alias(f"_mx{i}") for i in range(k)])
+    tot = tot.select(*group_cols, "_N",
+                     F.array(*[F.col(f"_sm{i}") / F.col("_N") for i in range(k)]).alias("mean"),
+                     F.array(*[F.col(f"_mn{i}") for i in range(k)]).alias("min"),
+                     F.array(*[F.col(f"_mx{i}") for i in range(k)]).alias("max"))
+    # Each partial's cells: own M2 plus n_p d dᵀ, summed cell by cell per group.
+    j = parts.join(tot.select(*group_cols, "mean"), group_cols, "inner")
+    d = F.zip_with("_m", "mean", lambda a, b: a - b)
+    cells = j.select(*group_cols, F.zip_with(
+        "_c", F.flatten(F.transform(d, lambda a: F.transform(d, lambda b: a * b))),
+        lambda c, o: c + o * F.col("_n").cast("double")).alias("_cell"))
+    summed = cells.select(*group_cols, F.posexplode("_cell").alias("_i", "_v")).groupBy(*group_cols, "_i").agg(
+        F.sum("_v").alias("_v"))
+    packed = summed.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_s"))
+    out = packed.join(tot, group_cols, "inner")
+    C = F.col("_s._v")
+    sd = F.transform(idx, lambda i: F.when((C[i * k + i] > 0) & (F.col("min")[i] < F.col("max")[i]),
+                                           F.sqrt(C[i * k + i] / F.col("_N"))).otherwise(F.lit(1.0)))
     if fixed is not None:
-        shift, scl = (np.asarray(v, dtype=float) for v in fixed)
-        mu = F.array(*[F.lit(float(v)) for v in shift])
-        sc = F.array(*[F.lit(float(v)) for v in scl])
+        shift, scale = (F.array(*[F.lit(float(v)) for v in vec]) for vec in fixed)
     elif center:
-        mu, sc = F.col("mean"), F.col("scale")
+        shift, scale = F.col("mean"), sd
     else:
-        mu = F.array(*[F.lit(0.0) for _ in range(k)])
-        sc = F.zip_with("mean", "scale", lambda m, s_: F.sqrt(m * m + s_ * s_))
-    stats = mom.select(*group_cols, mu.alias("_mu"), sc.alias("_sc"), "min", "max")
-    withstats = base.join(stats.select(*group_cols, "_mu", "_sc"), group_cols, "inner")
-    schema = T.StructType(
-        [f for f in base.schema.fields if f.name in group_cols]
-        + [T.StructField("_n", T.LongType()), T.StructField("_cells", T.ArrayType(T.DoubleType()))])
-    partial = withstats.mapInPandas(_partial_kernel(group_cols, cols, None, True), schema)
-    cells = partial.select(*group_cols, "_n", F.posexplode("_cells").alias("_i", "_v"))
-    summed = cells.groupBy(*group_cols, "_i").agg(F.sum("_v").alias("_v"))
-    counts = partial.groupBy(*group_cols).agg(F.sum("_n").alias("_nn"))
-    packed = summed.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_c"))
-    packed = packed.select(*group_cols, F.col("_c._v").alias("_c"))
-    out = packed.join(counts, group_cols, "inner").join(
-        stats.select(*group_cols, F.col("_mu").alias("mean"), F.col("_sc").alias("scale"), "min", "max"),
-        group_cols, "inner")
-    return out.select(*user_groups, F.col("_nn").alias("n"), "mean", "scale", "min", "max",
-                      F.slice("_c", 1, k).alias("s"), F.slice("_c", k + 1, k * k).alias("g"))
+        shift = F.array_repeat(F.lit(0.0), k)
+        scale = F.zip_with("mean", sd, lambda m, s_: F.sqrt(m * m + s_ * s_))
+    out = out.select(*user_groups, F.col("_N").alias("n"), shift.alias("_shift"), scale.alias("scale"), "min", "max",
+                     F.zip_with("mean", shift, lambda m, s_: m - s_).alias("_d"), C.alias("_C"))
+    i, n = lambda t: F.floor(t / k).cast("int"), F.col("n")
+    return out.select(*user_groups, "n", F.col("_shift").alias("mean"), "scale", "min", "max",
+                      F.zip_with("_d", "scale", lambda d, s_: n * d / s_).alias("s"),
+                      F.transform(F.sequence(F.lit(0), F.lit(k * k - 1)), lambda t: (
+                          F.col("_C")[t] + n * F.col("_d")[i(t)] * F.col("_d")[(t % k).cast("int")]
+                      ) / (F.col("scale")[i(t)] * F.col("scale")[(t % k).cast("int")])).alias("g"))
 
 
 def unpack(row, k: int):
@@ -202,7 +159,8 @@ def _masked_kernel(cols, shift):
     k = len(cols)
 
     def run(it):
-        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k)); sxy = np.zeros((k, k))
+        n, sx, sxx, sxy = (np.zeros((k, k)) for _ in range(4))
+        lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
         seen = False
         for pdf in it:
             if pdf.empty:
@@ -215,9 +173,16 @@ def _masked_kernel(cols, shift):
             sx += X0.T @ M          # sx[i, j] = sum of x_i over rows where i and j are present
             sxx += (X0 * X0).T @ M
             sxy += X0.T @ X0
+            for j in range(k):  # range of every column over the rows where column j is present
+                Y = X[M[:, j] > 0]
+                lo[:, j] = np.fmin(lo[:, j], np.fmin.reduce(Y, axis=0, initial=np.inf))
+                hi[:, j] = np.fmax(hi[:, j], np.fmax.reduce(Y, axis=0, initial=-np.inf))
         if seen:
-            cells = np.concatenate([n.ravel(), sx.ravel(), sxx.ravel(), sxy.ravel()])
-            yield pd.DataFrame({"_i": np.arange(cells.size), "_v": cells})
+            cells = np.concatenate([x.ravel() for x in (n, sx, sxx, sxy)])
+            spread = np.zeros(cells.size)
+            spread[:k * k] = lo.ravel()
+            spread[k * k:2 * k * k] = hi.ravel()
+            yield pd.DataFrame({"_i": np.arange(cells.size), "_v": cells, "_e": spread})
 
     return run
 
@@ -229,11 +194,12 @@ def masked_corr(df: DataFrame, cols) -> DataFrame:
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     means = base.agg(*[F.avg(c) for c in cols]).first()
     shift = np.array([0.0 if v is None else float(v) for v in means])
-    parts = base.mapInPandas(_masked_kernel(cols, shift), "_i long, _v double")
-    sums = parts.groupBy("_i").agg(F.sum("_v").alias("_v")).collect()  # 4 k² cells, bounded by k
-    cells = np.zeros(4 * k * k)
+    parts = base.mapInPandas(_masked_kernel(cols, shift), "_i long, _v double, _e double")
+    sums = parts.groupBy("_i").agg(F.sum("_v").alias("_v"), F.min("_e").alias("_lo"), F.max("_e").alias("_hi")).collect()  # 4 k² cells, bounded by k
+    cells, low, high = (np.zeros(4 * k * k) for _ in range(3))
     for r in sums:
-        cells[r["_i"]] = r["_v"]
+        cells[r["_i"]], low[r["_i"]], high[r["_i"]] = r["_v"], r["_lo"], r["_hi"]
+    varies = (low[:k * k] < high[k * k:2 * k * k]).reshape(k, k)  # constant exactly when min = max
     n, sx, sxx, sxy = (cells[i * k * k:(i + 1) * k * k].reshape(k, k) for i in range(4))
     out = []
     for i in range(k):
@@ -243,97 +209,7 @@ def masked_corr(df: DataFrame, cols) -> DataFrame:
             vi = nn * sxx[i, j] - sx[i, j] ** 2
             vj = nn * sxx[j, i] - sx[j, i] ** 2
             val = None
-            if nn >= 2 and vi > 0 and vj > 0:
+            if varies[i, j] and varies[j, i] and vi > 0 and vj > 0:
                 val = float(np.clip(cov / np.sqrt(vi * vj), -1.0, 1.0))
             out.append((cols[i], cols[j], val))
     return df.sparkSession.createDataFrame(out, "f1 string, f2 string, corr double")
-
-
-# -- single data pass ------------------------------------------------------------
-
-def _own_mean_kernel(group_cols, cols):
-    """Per (partition, group): n, own mean, cross-products about the own mean, min, max."""
-    k = len(cols)
-
-    def run(it):
-        acc = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = pdf[cols].to_numpy(dtype=np.float64)
-            grouped = pdf.groupby(group_cols, sort=False, dropna=False).indices
-            for key, idx in grouped.items():
-                key = key if isinstance(key, tuple) else (key,)
-                Z = X[idx]
-                a = acc.get(key)
-                if a is None:  # shift by the first row seen: sums stay small
-                    a = acc[key] = [0, Z[0].copy(), np.zeros(k), np.zeros((k, k)), Z.min(0), Z.max(0)]
-                D = Z - a[1]
-                a[0] += len(idx)
-                a[2] += D.sum(axis=0)
-                a[3] += D.T @ D
-                a[4] = np.minimum(a[4], Z.min(0))
-                a[5] = np.maximum(a[5], Z.max(0))
-        rows = []
-        for key, (n, x0, s1, s2, lo, hi) in acc.items():
-            m = s1 / n
-            rows.append({**dict(zip(group_cols, key)), "_n": int(n), "_m": (x0 + m).tolist(),
-                         "_c": (s2 - n * np.outer(m, m)).ravel().tolist(), "_lo": lo.tolist(), "_hi": hi.tolist()})
-        if rows:
-            yield pd.DataFrame(rows, columns=[*group_cols, "_n", "_m", "_c", "_lo", "_hi"])
-
-    return run
-
-
-def grouped_gram_one_pass(df: DataFrame, group_cols, cols) -> DataFrame:
-    """Same output as ``grouped_gram`` (centred case) from ONE scan of the data.
-
-    Every task centres its partial sums at its own mean; partials are merged exactly:
-    C = sum_p M2_p + sum_p n_p d_p d_pᵀ with d_p = mean_p - mean (parallel variance rule).
-    The merge runs on the small (partition x group) table with array expressions.
-    """
-    cols = list(cols)
-    user_groups = list(group_cols)
-    group_cols = user_groups or ["_all"]
-    k = len(cols)
-    wide_plan_guard(df.sparkSession)
-    src = df if user_groups else df.withColumn("_all", F.lit(0))
-    base = src.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols])
-    for c in group_cols:
-        base = base.where(F.col(c).isNotNull())
-    arr = T.ArrayType(T.DoubleType())
-    schema = T.StructType([f for f in base.schema.fields if f.name in group_cols] + [
-        T.StructField("_n", T.LongType()), T.StructField("_m", arr), T.StructField("_c", arr),
-        T.StructField("_lo", arr), T.StructField("_hi", arr)])
-    parts = base.mapInPandas(_own_mean_kernel(group_cols, cols), schema)
-    idx = F.sequence(F.lit(0), F.lit(k - 1))
-    # Group totals: n, mean (n-weighted), min, max.
-    tot = parts.groupBy(*group_cols).agg(
-        F.sum("_n").alias("_N"),
-        *[F.sum(F.col("_n") * F.col("_m")[i]).alias(f"_sm{i}") for i in range(k)],
-        *[F.min(F.col("_lo")[i]).alias(f"_mn{i}") for i in range(k)],
-        *[F.max(F.col("_hi")[i]).alias(f"_mx{i}") for i in range(k)])
-    tot = tot.select(*group_cols, "_N",
-                     F.array(*[F.col(f"_sm{i}") / F.col("_N") for i in range(k)]).alias("mean"),
-                     F.array(*[F.col(f"_mn{i}") for i in range(k)]).alias("min"),
-                     F.array(*[F.col(f"_mx{i}") for i in range(k)]).alias("max"))
-    # Each partial's cells: own M2 plus n_p d dᵀ, summed cell by cell per group.
-    j = parts.join(tot.select(*group_cols, "mean"), group_cols, "inner")
-    d = F.zip_with("_m", "mean", lambda a, b: a - b)
-    cells = j.select(*group_cols, F.zip_with(
-        "_c", F.flatten(F.transform(d, lambda a: F.transform(d, lambda b: a * b))),
-        lambda c, o: c + o * F.col("_n").cast("double")).alias("_cell"))
-    summed = cells.select(*group_cols, F.posexplode("_cell").alias("_i", "_v")).groupBy(*group_cols, "_i").agg(
-        F.sum("_v").alias("_v"))
-    packed = summed.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_s"))
-    out = packed.join(tot, group_cols, "inner")
-    C = F.col("_s._v")
-    # Standardise: scale = population std (1 when zero); g = C / (scale scaleᵀ); s = 0.
-    scale = F.transform(idx, lambda i: F.when(C[i * k + i] > 0, F.sqrt(C[i * k + i] / F.col("_N")))
-                        .otherwise(F.lit(1.0)))
-    return out.select(*user_groups, F.col("_N").alias("n"), "mean", scale.alias("scale"), "min", "max",
-                      F.array_repeat(F.lit(0.0), k).alias("s"), C.alias("_C")).select(
-        *user_groups, "n", "mean", "scale", "min", "max", "s",
-        F.transform(F.sequence(F.lit(0), F.lit(k * k - 1)),
-                    lambda t: F.col("_C")[t] / (F.col("scale")[F.floor(t / k).cast("int")]
-                                                * F.col("scale")[(t % k).cast("int")])).alias("g"))

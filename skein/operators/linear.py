@@ -59,12 +59,13 @@ def solve_linear(n, mean, scale, mn, mx, s, G, kf: int, alpha: float = 0.0, kind
     gamma = P @ cxy
     beta = gamma * sy / sx
     intercept = (xbar[kf] - beta @ xbar[:kf]) if fit_intercept else 0.0
-    has_const = True
+    has_const, carrier = True, np.zeros(kf)
     if const_rule and kf:
         nonzero_const = (mn[:kf] == mx[:kf]) & (mn[:kf] != 0)
         if nonzero_const.any():
             v = np.where(nonzero_const, mn[:kf], 0.0)
-            beta = beta + intercept * v / float(v @ v)
+            carrier = v / float(v @ v)
+            beta = beta + intercept * carrier
             intercept, has_const = 0.0, False
     # Fit statistics (OLS algebra; for ridge they describe the penalised fit).
     sse_z = cyy - 2 * gamma @ cxy + gamma @ Cxx @ gamma
@@ -73,7 +74,8 @@ def solve_linear(n, mean, scale, mn, mx, s, G, kf: int, alpha: float = 0.0, kind
     rank = int(np.linalg.matrix_rank(Cxx, tol=RCOND * max(1.0, float(np.abs(Cxx).max(initial=0.0))))) if kf else 0
     rank += 1 if fit_intercept else 0
     return {"beta": beta, "intercept": intercept, "has_const": has_const, "sse": sse, "sst": sst,
-            "rank": rank, "n": n, "P": P, "sx": sx, "xbar": xbar[:kf], "sy": sy}
+            "rank": rank, "n": n, "P": P, "sx": sx, "xbar": xbar[:kf], "sy": sy,
+            "carrier": carrier}
 
 
 def _fit(df: DataFrame, group_cols, features, target, kind, alpha, const_rule, with_stats):
@@ -122,8 +124,11 @@ def _inference(r) -> dict:
     dfr = n - rank
     sigma2 = sse / dfr if dfr > 0 else float("nan")
     cov = sigma2 * (r["P"] / np.outer(r["sx"], r["sx"])) if r["P"].size else np.zeros((0, 0))
-    se_beta = np.sqrt(np.clip(np.diag(cov), 0, None)) if cov.size else np.zeros(0)
-    var_b0 = sigma2 / n + (r["xbar"] @ cov @ r["xbar"] if cov.size else 0.0)
+    # A constant column that carries the intercept has no variance of its own and takes its share of the intercept's.
+    slopes = np.where(r["carrier"] != 0, 0.0, r["xbar"])
+    var_b0 = sigma2 / n + (slopes @ cov @ slopes if cov.size else 0.0)
+    se_beta = (np.sqrt(np.clip(np.diag(cov), 0, None) + max(var_b0, 0.0) * r["carrier"] ** 2) if cov.size
+               else np.zeros(0))
     se = ([math.sqrt(max(var_b0, 0.0))] if r["has_const"] else []) + list(se_beta)
     r2 = 1.0 - sse / sst if sst > 0 else float("nan")
     adj = 1.0 - (n - 1) / dfr * (1.0 - r2) if dfr > 0 and not math.isnan(r2) else float("nan")

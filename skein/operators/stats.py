@@ -7,8 +7,6 @@ survive to a final tiny aggregate. ``exact=False`` uses ``percentile_approx``.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -164,46 +162,13 @@ def median(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
 
 # -- A9 -----------------------------------------------------------------------
 
-def corr_long(df: DataFrame, cols, method: str = "auto") -> DataFrame:
-    """Pearson correlation of every ordered pair (f1, f2), pairwise-complete rows.
+def corr_long(df: DataFrame, cols) -> DataFrame:
+    """Pearson correlation of every ordered pair (f1, f2), pairwise-complete rows, in one masked Gram pass.
 
-    NULL when a column is constant on the shared rows. ``native`` uses Spark's
-    ``corr`` per pair (few columns); ``gram`` one masked-Gram pass (many columns).
+    NULL when either column is constant (or absent) on the shared rows; 1 on the diagonal of any other column.
     """
-    cols = list(cols)
-    if method == "auto":
-        method = "native" if len(cols) <= 12 else "gram"
-    if method == "gram":
-        from skein.operators.gram import masked_corr
-        return masked_corr(df, cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-
-    def pair_corr(a, b):
-        # Pairwise-complete Pearson from population moments; try_divide gives NULL (not an
-        # ANSI error) when either column is constant on the shared rows.
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        va = F.var_pop(F.when(y.isNotNull(), x))
-        vb = F.var_pop(F.when(x.isNotNull(), y))
-        return F.try_divide(F.covar_pop(x, y), F.sqrt(va * vb))
-
-    row = df.agg(*[pair_corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else []
-    data = []
-    for c in cols:
-        data.append((c, c, 1.0))
-    for i, (a, b) in enumerate(pairs):
-        v = row[i]
-        v = None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
-        data.append((a, b, v))
-        data.append((b, a, v))
-    # Diagonal: 1 unless the column is constant/empty.
-    stds = df.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    fixed = []
-    for a, b, v in data:
-        if a == b:
-            s = stds[a]
-            v = None if s is None or s == 0 or (isinstance(s, float) and math.isnan(s)) else 1.0
-        fixed.append((a, b, v))
-    return df.sparkSession.createDataFrame(fixed, "f1 string, f2 string, corr double")
+    from skein.operators.gram import masked_corr
+    return masked_corr(df, list(cols))
 
 
 # -- A10 ----------------------------------------------------------------------

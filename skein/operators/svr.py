@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from skein.operators.evaluate import metric_exprs
+from skein.operators.evaluate import metric_exprs, null_inputs
 from skein.operators.positions import with_positions
 
 CONST = "const"
@@ -306,7 +306,7 @@ def train_and_evaluate(train: DataFrame, val: DataFrame, features, target: str =
     """Fit on train, score train and validation, metrics for both.
 
     ``method``: 'sgd' (linear ε-insensitive SVR) or 'svr' (RBF via random features).
-    Returns (coefficients, validation predictions, metrics table (split, mae, rmse, mape, r2, n_rows)).
+    Returns (coefficients, validation predictions, metrics table (split, mae, rmse, mape, r2, n_rows, n_null)).
     """
     features = list(features)
     if method == "sgd":
@@ -319,6 +319,5 @@ def train_and_evaluate(train: DataFrame, val: DataFrame, features, target: str =
         raise ValueError(f"Unknown method: {method}")
     both = tr.select(F.lit("train").alias("split"), target, "pred").unionByName(
         va.select(F.lit("validation").alias("split"), target, "pred"))
-    metrics = both.where(F.col(target).isNotNull() & F.col("pred").isNotNull()).groupBy("split").agg(
-        *metric_exprs(target, "pred"))
+    metrics = both.groupBy("split").agg(*metric_exprs(target, "pred"), null_inputs(target, "pred"))
     return coefs, va, metrics

@@ -593,7 +593,7 @@ def _corr_sql():
 
 @query("a9_correlation", _corr_sql())
 def a9_correlation(spark, sf):
-    c = stats.corr_long(fx.orders_panel(spark, sf), _A9, method="native")
+    c = stats.corr_long(fx.orders_panel(spark, sf), _A9)
     return c.select("f1", "f2", r4("corr").alias("corr"))
 
 
@@ -616,15 +616,16 @@ def _scored(spark, sf):
 
 def _metric_sql(group: bool) -> str:
     y, p = "target", "lag1"
-    n = "count(*)"
+    n = "count(target - lag1)"
     sst = f"(var_pop({y}) * {n})"
     sse = f"sum(({y} - {p}) * ({y} - {p}))"
     r2 = (f"CASE WHEN {n} < 2 THEN NULL WHEN {sst} = 0 THEN (CASE WHEN {sse} = 0 THEN 1.0 ELSE 0.0 END)"
           f" ELSE 1 - {sse} / {sst} END")
     cols = (f"avg(abs({y} - {p})) AS mae, sqrt(avg(({y} - {p}) * ({y} - {p}))) AS rmse, "
-            + rnd(f"avg(abs({y} - {p}) / (abs({y}) + 1e-8)) * 100") + " AS mape, " + rnd(r2) + f" AS r2, {n} AS n_rows")
+            + rnd(f"avg(abs({y} - {p}) / (abs({y}) + 1e-8)) * 100") + " AS mape, " + rnd(r2) + f" AS r2, {n} AS n_rows, "
+            f"count(*) FILTER (WHERE {y} IS NULL OR {p} IS NULL) AS n_null")
     if group:
-        return with_p1(f"SELECT market, {cols} FROM sc WHERE market IS NOT NULL GROUP BY market", extra=_NV_SCORED)
+        return with_p1(f"SELECT market, {cols} FROM sc GROUP BY market", extra=_NV_SCORED)
     return with_p1(f"SELECT {cols} FROM sc", extra=_NV_SCORED)
 
 

@@ -65,8 +65,8 @@ def flow_arx(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, val_mon
     scored = val_pred.where(F.col("pred").isNotNull())
     out = {
         "val_predictions": scored.select(spec.id, spec.market, spec.target, "pred"),
-        "metrics": evaluate.metrics(scored, spec.target, "pred"),
-        "metrics_by_market": evaluate.metrics_by_market(scored, spec.target, "pred", spec.market),
+        "metrics": evaluate.metrics(val_pred, spec.target, "pred"),
+        "metrics_by_market": evaluate.metrics_by_market(val_pred, spec.target, "pred", spec.market),
     }
     if pooled:
         pooled_coefs, cats = linear.fit_ridge_pooled(tr, spec.market, feats, spec.target, alpha)

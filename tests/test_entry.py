@@ -11,7 +11,7 @@ def test_every_oracle_has_a_query_and_names_are_unique():
 def test_flagship_runs(spark):
     df = entry.entry(spark)
     rows = df.collect()
-    assert df.columns == ["market", "mae", "rmse", "mape", "r2", "n_rows"]
+    assert df.columns == ["market", "mae", "rmse", "mape", "r2", "n_rows", "n_null"]
     assert len(rows) >= 0
 
 

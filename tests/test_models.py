@@ -182,31 +182,91 @@ def test_adf_decisions_and_pvalue_table(spark):
     assert math.isclose(res["ar"]["adf_stat"], b[1] / se, rel_tol=1e-6)
 
 
-def test_gram_plans_agree(spark, monkeypatch):
-    """One-pass (default), two-pass closure and two-pass many-groups Gram give the same statistics."""
+def _gram_rows(df, k):
+    from skein.operators import gram
+    return {r["market"]: gram.unpack(r, k) for r in df.collect()}
+
+
+def test_gram_forms_match_numpy(spark):
+    """Centred, uncentred and fixed sums of one pass equal numpy's on each group's rows."""
     from skein.operators import gram
-    tr = fx.orders_train_test(spark, SF_SMALL)[0]
     cols = [*P2F, "target"]
-    clean = tr.dropna(subset=cols)
+    clean = fx.orders_train_test(spark, SF_SMALL)[0].dropna(subset=["market", *cols])
     k = len(cols)
-
-    def stats(df):
-        out = {}
-        for r in df.collect():
-            n, mu, sc, mn, mx, s, G = gram.unpack(r, k)
-            out[r["market"]] = (n, mu + sc * s / n, gram.centred(n, s, G) * np.outer(sc, sc), mn, mx)
-        return out
-
-    one = stats(gram.grouped_gram(clean, ["market"], cols))
-    two = stats(gram.grouped_gram(clean, ["market"], cols, one_pass=False))
-    monkeypatch.setattr(gram, "MAX_CLOSURE_GROUPS", 2)
-    many = stats(gram.grouped_gram(clean, ["market"], cols, one_pass=False))
-    for m in one:
-        for other in (two, many):
-            assert one[m][0] == other[m][0]
-            assert np.allclose(one[m][1], other[m][1], rtol=1e-12)
-            assert np.allclose(one[m][2], other[m][2], rtol=1e-9, atol=1e-9 * np.abs(one[m][2]).max())
-            assert np.array_equal(one[m][3], other[m][3]) and np.array_equal(one[m][4], other[m][4])
+    data = {m: g[cols].to_numpy(float) for m, g in clean.select("market", *cols).toPandas().groupby("market")}
+    shift, scale = np.arange(k) + 0.5, np.arange(k) + 2.0
+    for kind, kw in (("centred", {}), ("raw", {"center": False}), ("fixed", {"fixed": (shift, scale)})):
+        got = _gram_rows(gram.grouped_gram(clean, ["market"], cols, **kw), k)
+        assert set(got) == set(data)
+        for m, X in data.items():
+            n, mean, sc, lo, hi, s, G = got[m]
+            Z = (X - {"centred": X.mean(0), "raw": 0.0, "fixed": shift}[kind]) / sc
+            assert n == len(X) and np.array_equal(lo, X.min(0)) and np.array_equal(hi, X.max(0))
+            assert np.allclose(s, Z.sum(0), rtol=1e-9, atol=1e-8 * n)
+            assert np.allclose(G, Z.T @ Z, rtol=1e-9, atol=1e-9 * np.abs(G).max())
+
+
+def test_gram_reads_each_row_once_and_flushes(spark, monkeypatch):
+    """The kernel sees every row once, also where the result is read twice; a small byte budget changes nothing."""
+    from pyspark.sql import functions as F
+    from skein.operators import gram
+    df = spark.range(0, 5000, 1, 4).select(F.concat(F.lit("m"), F.col("id") % 50).alias("market"),
+                                           (F.col("id") * 1.5).alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(it):
+        for pdf in it:
+            seen.add(len(pdf))
+            yield pdf
+
+    counted = df.mapInPandas(counting, df.schema)
+    whole = gram.grouped_gram(counted, ["market"], ["a", "b"])
+    want = _gram_rows(whole, 2)
+    whole.count()
+    assert seen.value == 5000
+    monkeypatch.setattr(gram, "FLUSH_BYTES", 300)
+    small = _gram_rows(gram.grouped_gram(df, ["market"], ["a", "b"]), 2)
+    assert set(small) == set(want) and len(want) == 50
+    for m in want:
+        assert all(np.allclose(x, y, rtol=1e-9) for x, y in zip(small[m], want[m]))
+
+
+def test_ols_summary_constant_regressor_carries_the_intercept_error(spark):
+    rng = np.random.default_rng(3)
+    x, e = rng.normal(size=40), rng.normal(size=40)
+    y = 3 + 2 * x + e
+    df = spark.createDataFrame([("m", 2.0, float(a), float(b)) for a, b in zip(x, y)],
+                               "market string, c double, x double, target double")
+    got = {r["feature"]: r for r in linear.ols_summary(df, ["market"], ["c", "x"]).collect()}
+    X = np.column_stack([np.full(40, 2.0), x])
+    b = np.linalg.solve(X.T @ X, X.T @ y)
+    resid = y - X @ b
+    se = np.sqrt(np.diag(np.linalg.inv(X.T @ X)) * (resid @ resid) / 38)
+    for name, coef, err in zip(("c", "x"), b, se):
+        assert math.isclose(got[name]["coef"], coef, rel_tol=1e-8)
+        assert math.isclose(got[name]["se"], err, rel_tol=1e-8)
+
+
+def test_correlation_of_constant_columns_is_null(spark):
+    """Also where a column is constant only on the rows it shares with the other, whatever rounding leaves."""
+    from skein.operators import stats
+    rows = [(0.1, float(i), None if i % 2 else 0.3) for i in range(30)] + [(None, 5.0, 0.7), (0.1, None, 0.9)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    got = {(r["f1"], r["f2"]): r["corr"] for r in stats.corr_long(df, ["a", "b", "c"]).collect()}
+    assert got["a", "a"] is None and got["a", "b"] is None and got["a", "c"] is None
+    assert got["b", "b"] == 1.0
+    pairs = [(r[1], r[2]) for r in rows if r[1] is not None and r[2] is not None]
+    assert math.isclose(got["b", "c"], np.corrcoef(*zip(*pairs))[0, 1], rel_tol=1e-9)
+
+
+def test_metrics_count_incomplete_rows(spark):
+    from skein.operators import evaluate
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 3.0, None), ("b", None, 1.0)],
+                               "market string, target double, pred double")
+    m = evaluate.metrics(df).first()
+    assert (m["mae"], m["n_rows"], m["n_null"]) == (1.0, 1, 2)
+    by = {r["market"]: r for r in evaluate.metrics_by_market(df).collect()}
+    assert by["a"]["n_null"] == 1 and by["b"]["mae"] is None and by["b"]["n_rows"] == 0
 
 
 def test_varx_forecast_two_series_matches_numpy_recursion(spark):

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skein.llm import bpe, decontaminate, jaccard_join, pii, quality
 from skein.llm.textops import documents, store
 
+#: Words of a shingle and similarity in percent of the near-duplicate stage; op5's query has its own.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier accepts; it is fitted on this stage's own documents."""
@@ -20,9 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of the n-gram Jaccard join the document with the smallest id; documents without words and
-    rows without an id stay."""
-    groups = jaccard_join.linked_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    """Of each component of the n-gram Jaccard join (five words, similarity 0.8) the document with the smallest id;
+    documents without words and rows without an id stay."""
+    groups = jaccard_join.linked_components(docs, NEAR_SHINGLE, NEAR_PERCENT).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(groups, "doc_id", "left_anti").select(docs.columns)
 
 

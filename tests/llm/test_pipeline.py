@@ -35,3 +35,31 @@ def test_stages_decide_as_brute_force(spark):
     assert not any(labels.get(d) == 1 for d in gone)
     assert docs.count() == len(texts)
     assert corpus_pipeline.run(spark, SF).count() == len(texts)
+
+
+def brute_stay(rows, k=5, percent=80):
+    """Rows that the near-duplicate stage keeps, by all pairs of the shingle sets."""
+    words = [(t or "").lower().split() for _, t in rows]
+    sets = [{tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set() for w in words]
+    least = [d for d, _ in rows]
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                o = len(a & b)
+                if a and b and 100 * o >= percent * (len(a) + len(b) - o) and least[j] < least[i]:
+                    least[i], changed = least[j], True
+    return sorted(r for r, d in zip(rows, least) if r[0] == d)
+
+
+def test_near_duplicates_are_five_words_at_four_fifths(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts = [words, words[:165], words + [f"x{i}" for i in range(44)], words[:150] + [f"y{i}" for i in range(10)] + words[170:],
+             words[:156], words + [f"z{i}" for i in range(60)], [f"v{i}" for i in range(100)], [f"v{i}" for i in range(3, 100)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    want = brute_stay(rows)
+    assert sorted((r.doc_id, r.text) for r in got) == want
+    # at four words and 0.85 more would stay
+    assert {d for d, _ in want} < {d for d, _ in brute_stay(rows, 4, 85)}

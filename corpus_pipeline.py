@@ -37,7 +37,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and disclosing terms replaced in their texts, and n_chars to match."""
-    return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+    return pii.sanitise(docs, by_document=True).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

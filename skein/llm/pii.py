@@ -8,12 +8,17 @@ estimated from the whole corpus's lines:
 
 with N the corpus's lines and n(.) the lines that hold the entity, the term, or both. A term whose PMI reaches
 ``alpha`` times the entity's own information -log(n(entity) / N), and which meets it in at least ``min_support``
-different lines (copies of a line are one), discloses it: it is removed or generalised in the lines that hold the
-entity. Terms are words of at least three letters or digits, lower-cased, outside base spans.
-
-Plan: one pass finds base spans and, for the lines that hold an entity, its terms; a second counts the lines of every
-term, combined in each task before the shuffle. Pairs and counts are joined by key. Only N is collected; nothing is
-broadcast by hint and no group is gathered but a row's own spans.
+different lines (copies of a line are one), discloses it. With ``by_document``, as in the registered queries, the same
+is also counted over whole documents instead of lines (copies of a text are one), so that a name on another line than
+the entity is judged too; a term that either count finds discloses. It is removed or generalised wherever it stands in
+the documents that hold the entity; a document without the entity has nothing for it to disclose and keeps it. Terms
+are words of at least three letters or digits, lower-cased, outside base spans.
+
+Plan: one pass finds base spans and, for the lines that hold an entity, its terms; a second counts the lines and
+documents of every term, combined in each task before the shuffle. Only entities of ``min_support`` different texts can
+be judged by document, so only their documents' terms are paired, combined in each task as well. Pairs and counts are
+joined by key, and the judged pairs with the term places of the documents that hold the entity. Only N is collected;
+nothing is broadcast by hint and no group is gathered but a row's own spans.
 
 Defined results: null texts count as empty; empty texts have no spans and the hash of the empty string; repeated rows
 are judged each on its own and, as the same lines, add no evidence. Spans are code points, the end exclusive.
@@ -35,8 +40,10 @@ from skein.llm.textops import documents, store
 KINDS = ("email", "ip", "card", "phone")
 #: Share of an entity's own information that a term must carry to count as disclosing it.
 ALPHA = 0.9
-#: Distinct lines in which entity and term must meet.
+#: Distinct lines (or texts) in which entity and term must meet.
 MIN_SUPPORT = 3
+#: Pairs a task counts before it sends them.
+FLUSH_PAIRS = 200_000
 
 # Fixed by the task. Possessive forms match what the plain patterns match, without backtracking; an ip can only begin
 # at the first digit of a run, since a later digit of the run meets the same continuation.
@@ -121,7 +128,8 @@ def line_terms(line: str, spans) -> list[tuple[str, int, int]]:
     return out
 
 
-_FOUND = ("key string, doc_id bigint, n_lines bigint, base array<struct<kind:int,start:int,end:int>>, "
+_FOUND = ("key string, doc_id bigint, n_lines bigint, text string, entities array<string>, "
+          "base array<struct<kind:int,start:int,end:int>>, "
           "sights array<struct<entity:string,term:string,line:bigint,start:int,end:int,first:boolean>>")
 
 
@@ -155,21 +163,25 @@ def _find(batches):
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
-            base, sights, lines = [], [], []
+            base, sights, lines, named, texts = [], [], [], [], []
             for text in part.column(2).to_pylist():
                 spans = base_spans(text or "")
                 base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
                 sights.append(_sights(text, spans) if spans else [])
                 lines.append(text.count("\n") + 1 if text else 0)
+                named.append(sorted({entity_key(kind, text[s:e]) for kind, s, e in spans}))
+                texts.append(text if spans else None)
             schema = pa.schema([
-                ("key", pa.string()), ("doc_id", pa.int64()), ("n_lines", pa.int64()),
+                ("key", pa.string()), ("doc_id", pa.int64()), ("n_lines", pa.int64()), ("text", pa.string()),
+                ("entities", pa.list_(pa.string())),
                 ("base", pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))),
                 ("sights", pa.list_(pa.struct([
                     ("entity", pa.string()), ("term", pa.string()), ("line", pa.int64()), ("start", pa.int32()),
                     ("end", pa.int32()), ("first", pa.bool_())])))])
             yield pa.RecordBatch.from_arrays([
-                part.column(0), part.column(1), pa.array(lines, pa.int64()), pa.array(base, schema.field(3).type),
-                pa.array(sights, schema.field(4).type)], schema=schema)
+                part.column(0), part.column(1), pa.array(lines, pa.int64()), pa.array(texts, pa.string()),
+                pa.array(named, schema.field(4).type), pa.array(base, schema.field(5).type),
+                pa.array(sights, schema.field(6).type)], schema=schema)
 
 
 def _term_hash(term: str) -> int:
@@ -177,65 +189,149 @@ def _term_hash(term: str) -> int:
 
 
 def _count_terms(batches):
-    """Lines that hold each term, as partial counts by the term's hash."""
+    """Lines and documents that hold each term, as partial counts by the term's hash."""
     counts: Counter = Counter()
+    held: Counter = Counter()
 
     def flush():
         keys = pa.array([_term_hash(t) for t in counts], pa.int64())
-        return pa.RecordBatch.from_arrays([keys, pa.array(counts.values(), pa.int64())], names=["term_key", "n"])
+        return pa.RecordBatch.from_arrays([keys, pa.array(counts.values(), pa.int64()), pa.array(
+            [held[t] for t in counts], pa.int64())], names=["term_key", "lines", "docs"])
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            for line in (text or "").lower().split("\n"):
-                counts.update(set(_TERM.findall(line)))
+            lines = [set(_TERM.findall(line)) for line in (text or "").lower().split("\n")]
+            for terms in lines:
+                counts.update(terms)
+            held.update(lines[0].union(*lines[1:]))
             if len(counts) > 400_000:
                 yield flush()
                 counts.clear()
+                held.clear()
     if counts:
         yield flush()
 
 
+def _text_terms(batches):
+    """(key, text, terms with their places, entities) of each row of ``key, text, base, held``."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 64):
+            for key, text, base, held in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns)):
+                places: dict[str, list] = {}
+                for term, s, e in line_terms(text, [(x["start"], x["end"]) for x in base]):
+                    places.setdefault(term, []).append({"start": s, "end": e})
+                yield key, text, places, held
+
+
+def _meet(min_support):
+    """Documents that hold an entity and a term, as partial counts with up to ``min_support`` of the different texts."""
+    def run(batches):
+        met: dict[tuple[str, str], tuple[list, set]] = {}
+
+        def flush():
+            return pa.RecordBatch.from_arrays([
+                pa.array([e for e, _ in met], pa.string()), pa.array([t for _, t in met], pa.string()),
+                pa.array([n[0] for n, _ in met.values()], pa.int64()),
+                pa.array([list(x) for _, x in met.values()], pa.list_(pa.int64()))], names=["entity", "term", "n", "texts"])
+
+        for _, text, places, held in _text_terms(batches):
+            same = line_key(text)
+            for entity in held:
+                for term in places:
+                    n, texts = met.setdefault((entity, term), ([0], set()))
+                    n[0] += 1
+                    if len(texts) < min_support:
+                        texts.add(same)
+                if len(met) > FLUSH_PAIRS:
+                    yield flush()
+                    met.clear()
+        if met:
+            yield flush()
+
+    return run
+
+
+def _places(batches):
+    """Every place of every term, with every entity of ``held``."""
+    schema = pa.schema([("key", pa.string()), ("entity", pa.string()), ("term", pa.string()),
+                        ("places", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+    rows = []
+
+    def flush():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+    for key, _, places, held in _text_terms(batches):
+        for entity in held:
+            for term, at in places.items():
+                rows.append((key, entity, term, at))
+                if len(rows) >= 10_000:
+                    yield flush()
+                    rows.clear()
+    if rows:
+        yield flush()
+
+
 def find_spans(docs: DataFrame, alpha: float = ALPHA, min_support: int = MIN_SUPPORT, id_col="doc_id",
-               text_col="text") -> DataFrame:
+               text_col="text", by_document: bool = False) -> DataFrame:
     """``key, doc_id, base, terms`` for each row: base spans, and the places of disclosing terms."""
     src = docs.select(_row_key(id_col, text_col).alias("key"), F.col(id_col).cast("bigint").alias("doc_id"),
                       F.col(text_col).alias("text"))
     found = store(src.mapInArrow(_find, _FOUND), "pii-found")
-    n_all = found.agg(F.sum("n_lines")).first()[0] or 0
+    n_lines, n_docs = (float(x or 0) for x in found.agg(F.sum("n_lines"), F.count_if(F.col("n_lines") > 0)).first())
 
-    seen = found.where("size(sights) > 0").select("key", F.inline("sights"))
+    seen = found.where("size(sights) > 0").select(F.inline("sights"))
     entity = seen.where("term is null").groupBy("entity").agg(F.count("*").alias("n_e"))
     pair = (seen.where("term is not null").groupBy("entity", "term")
             .agg(F.sum(F.col("first").cast("bigint")).alias("n_et"), F.countDistinct("line").alias("support"))
             .where(F.col("support") >= min_support).join(entity, "entity"))
+    pair = pair.select("entity", "term", "n_et", "n_e", F.lit(False).alias("whole"))
+
+    held = found.where("size(base) > 0").select("key", "text", "base")
+    named = found.select("key", F.xxhash64("text").alias("same"), F.explode("entities").alias("entity"))
+
+    def holders(entities: DataFrame) -> DataFrame:
+        """Rows that hold some of the entities, and which."""
+        return held.join(named.join(entities.select("entity"), "entity").groupBy("key").agg(
+            F.collect_set("entity").alias("held")), "key")
+
+    if by_document:
+        often = named.groupBy("entity").agg(F.count("*").alias("n_e"), F.countDistinct("same").alias("support")).where(
+            F.col("support") >= min_support).select("entity", "n_e")
+        met = holders(often).mapInArrow(_meet(min_support), "entity string, term string, n bigint, texts array<bigint>")
+        met = met.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.size(F.array_distinct(F.flatten(
+            F.collect_list("texts")))).alias("support")).where(F.col("support") >= min_support)
+        pair = pair.union(met.join(often, "entity").select("entity", "term", "n_et", "n_e", F.lit(True).alias("whole")))
 
     def add_key(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([_term_hash(t) for t in b.column(1).to_pylist()], pa.int64())],
-                names=["entity", "term", "n_et", "n_e", "term_key"])
-
-    pair = pair.select("entity", "term", "n_et", "n_e").mapInArrow(
-        add_key, "entity string, term string, n_et bigint, n_e bigint, term_key bigint")
-    counted = src.select("text").mapInArrow(_count_terms, "term_key bigint, n bigint").groupBy("term_key").agg(
-        F.sum("n").alias("n_t"))
-    n = F.lit(float(n_all))
-    told = (pair.join(counted, "term_key")
-            .withColumn("pmi", F.log(n * F.col("n_et") / (F.col("n_e") * F.col("n_t"))))
-            .where((F.col("pmi") > 0) & (F.col("pmi") >= alpha * F.log(n / F.col("n_e")))).select("entity", "term"))
-    terms = (seen.where("term is not null").join(told, ["entity", "term"]).select("key", "start", "end").distinct()
-             .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms")))
+                names=["entity", "term", "n_et", "n_e", "whole", "term_key"])
+
+    pair = pair.mapInArrow(
+        add_key, "entity string, term string, n_et bigint, n_e bigint, whole boolean, term_key bigint")
+    counted = src.select("text").mapInArrow(_count_terms, "term_key bigint, lines bigint, docs bigint").groupBy(
+        "term_key").agg(F.sum("lines").alias("lines"), F.sum("docs").alias("docs"))
+    n, n_t = F.when(F.col("whole"), n_docs).otherwise(n_lines), F.when(F.col("whole"), F.col("docs")).otherwise(F.col("lines"))
+    told = store(pair.join(counted, "term_key")
+                 .withColumn("pmi", F.log(n * F.col("n_et") / (F.col("n_e") * n_t)))
+                 .where((F.col("pmi") > 0) & (F.col("pmi") >= alpha * F.log(n / F.col("n_e")))).select("entity", "term")
+                 .distinct(), "pii-told")
+    placed = holders(told.select("entity").distinct()).mapInArrow(
+        _places, "key string, entity string, term string, places array<struct<start:int,end:int>>")
+    terms = placed.join(told, ["entity", "term"]).groupBy("key").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("terms"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     return found.select("key", "doc_id", "base").join(terms, "key", "left").select(
         "key", "doc_id", "base", F.coalesce("terms", none).alias("terms"))
 
 
 def sanitise(docs: DataFrame, alpha: float = ALPHA, min_support: int = MIN_SUPPORT, id_col="doc_id",
-             text_col="text") -> DataFrame:
+             text_col="text", by_document: bool = False) -> DataFrame:
     """``docs`` with personal data replaced by its kind; disclosing terms become ``[NUMBER]`` if they are digits
     (generalised) and go otherwise. Rows and the other columns stay as they are."""
     names = docs.columns
-    spans = find_spans(docs, alpha, min_support, id_col, text_col).where("size(base) > 0").groupBy("key").agg(
+    spans = find_spans(docs, alpha, min_support, id_col, text_col, by_document).where("size(base) > 0").groupBy("key").agg(
         F.first("base").alias("_base"), F.first("terms").alias("_terms"))
     schema = docs.schema
     at = names.index(text_col)
@@ -267,7 +363,7 @@ def _replace(text: str, base, terms) -> str:
 
 def op6_pii(spark, sf_dir):
     """Base spans with their hash, and all spans with the disclosing terms, of every document."""
-    found = find_spans(documents(spark, sf_dir))
+    found = find_spans(documents(spark, sf_dir), by_document=True)
     kinds = F.array(*[F.lit(k) for k in KINDS])
     written = F.transform("base", lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["end"]))
     more = F.transform("terms", lambda s: F.concat_ws(":", F.lit("term"), s["start"], s["end"]))

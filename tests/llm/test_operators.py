@@ -160,6 +160,30 @@ def test_disclosing_terms(spark, edge, empty):
     assert pii.sanitise(edge).count() == len(EDGE) and pii.find_spans(empty).count() == 0
 
 
+def test_disclosing_terms_on_other_lines(spark):
+    rows = [(i, f"Trillian greets number{i}\nreach ann@example.org now\nplace{i} and trillian again", "s") for i in range(4)]
+    rows += [(10, "trillian was named here\nwithout any address", "s"), (11, "reach bob@example.org now\nzarniwoop", "s"),
+             (12, "reach bob@example.org now\nzarniwoop called", "s")]
+    rows += [(20 + i, f"greets and again line{i}\nreach place now", "s") for i in range(60)]
+    # a name that is judged on the address's line stands on another line too
+    rows += [(100 + i, f"slartibart at cat@example.org day{i}" + "\nSLARTIBART agrees" * (i == 2), "s") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, base string")
+    text = {r[0]: r[1] for r in rows}
+
+    def found(**options):
+        return {r.doc_id: [text[r.doc_id][s.start:s.end] for s in r.terms] for r in pii.find_spans(df, **options).collect() if r.terms}
+
+    judged = {100 + i: ["slartibart", "SLARTIBART"] if i == 2 else ["slartibart"] for i in range(6)}
+    assert found() == judged
+    # two meetings are too few, and a document without the address has nothing to disclose
+    assert found(by_document=True) == judged | {i: ["Trillian", "trillian"] for i in range(4)}
+    clean = {r.doc_id: r.text for r in pii.sanitise(df, by_document=True).collect()}
+    assert clean[0] == " greets number0\nreach [EMAIL] now\nplace0 and  again" and clean[10] == text[10]
+    # copies of one text are no further evidence
+    same = spark.createDataFrame([(i, "solo\nbob@example.org", "s") for i in range(6)] + [(9, "other", "s")], df.schema)
+    assert all(not r.terms for r in pii.find_spans(same, by_document=True).collect())
+
+
 # --- decontamination
 
 def test_decontamination_is_brute_force(spark, edge, empty, texts):

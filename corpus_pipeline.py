@@ -25,9 +25,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of the n-gram Jaccard join (five words, similarity 0.8) the document with the smallest id;
-    documents without words and rows without an id stay."""
-    groups = jaccard_join.linked_components(docs, NEAR_SHINGLE, NEAR_PERCENT).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(docs.columns)
+    documents without words and rows without an id stay. Rows of one id but different texts are judged each by its own
+    text; rows of a component that share its smallest id all stay, as do repeated rows of a document that stays."""
+    linked = jaccard_join.linked_components(docs, NEAR_SHINGLE, NEAR_PERCENT, text_key=True)
+    gone = linked.where("component_id <> doc_id").select("doc_id", "text_key").distinct().toDF("_gone_id", "_gone_key")
+    same = (F.col("doc_id") == F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_key"))
+    return docs.join(gone, same, "left_anti").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,24 +96,25 @@ def overlap_bound(ba, na, bb, nb) -> int:
 
 
 def _describe(k):
-    """One row for each document (id, size, node, bitmap) and, at a task's end, one with its sketch."""
+    """One row for each document (id, text's hash, size, node, bitmap) and, at a task's end, one with its sketch."""
     def run(batches):
         sketch = np.zeros(SKETCH_CELLS, np.int64)
 
-        def rows(ids, n, nodes, maps, cells):
+        def rows(ids, text_keys, n, nodes, maps, cells):
             return pa.RecordBatch.from_arrays([
-                ids, pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary()),
-                pa.array(cells, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "bitmap", "cells"])
+                ids, text_keys, pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary()),
+                pa.array(cells, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n", "node", "bitmap", "cells"])
 
         for batch in batches:
             for lo, hi, data, off in chunks(batch.column(1)):
                 sets = shingle_sets(data, off, k)
                 flat = np.concatenate(sets)
                 sketch += np.bincount((flat >> np.uint64(48)).astype(np.int64), minlength=SKETCH_CELLS)
-                yield rows(batch.column(0)[lo:hi], [len(s) for s in sets], [set_id(s) for s in sets],
+                yield rows(batch.column(0)[lo:hi], batch.column(2)[lo:hi], [len(s) for s in sets], [set_id(s) for s in sets],
                            [bitmap(s).tobytes() for s in sets], [None] * (hi - lo))
         if sketch.any():
-            yield rows(pa.array([None], pa.int64()), [None], [None], [None], [sketch])
+            none = pa.array([None], pa.int64())
+            yield rows(none, none, [None], [None], [None], [sketch])
 
     return run
 
@@ -318,12 +319,14 @@ def _members(k):
 
 
 def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col="doc_id",
-                      text_col="text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for each row."""
+                      text_col="text", text_key: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for each row, and its text's xxhash64 as ``text_key`` if asked for, which tells
+    rows of one id apart."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    described = store(src.mapInArrow(_describe(k), "doc_id bigint, n bigint, node bigint, bitmap binary, cells array<bigint>"), "jaccard-docs")
-    rows = described.where("n is not null").select("doc_id", "n", "node")
+    described = store(src.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        _describe(k), "doc_id bigint, text_key bigint, n bigint, node bigint, bitmap binary, cells array<bigint>"), "jaccard-docs")
+    rows = described.where("n is not null").select("doc_id", "n", "node", "text_key")
 
     # the sketch: shingles' counts by the first 16 bits of their hash, on a logarithmic scale
     cells = described.where("cells is not null").select(F.posexplode("cells").alias("cell", "c")).groupBy("cell").agg(
@@ -391,7 +394,8 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     final = placed.join(smallest, "root").select("node", "component_id").distinct()
     return rows.join(final, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"),
+        *["text_key"] * text_key)
 
 
 def op5_jaccard_join(spark, sf_dir):

@@ -63,3 +63,14 @@ def test_near_duplicates_are_five_words_at_four_fifths(spark):
     assert sorted((r.doc_id, r.text) for r in got) == want
     # at four words and 0.85 more would stay
     assert {d for d, _ in want} < {d for d, _ in brute_stay(rows, 4, 85)}
+
+
+def test_near_duplicates_of_one_id_are_judged_by_their_own_text(spark):
+    words = [f"w{i}" for i in range(100)]
+    copy, other = " ".join(words[2:]), " ".join(f"v{i}" for i in range(50))
+    rows = [(3, " ".join(words), "a"), (5, copy, "b"), (5, copy, "c"), (5, other, "d"), (5, other, "d"), (5, None, "e"),
+            (5, "", "f"), (None, copy, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_key string")
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted((r for r in rows if r[2] not in "bc"), key=str)

@@ -14,14 +14,16 @@ the entity is judged too; a term that either count finds discloses. It is remove
 the documents that hold the entity; a document without the entity has nothing for it to disclose and keeps it. Terms
 are words of at least three letters or digits, lower-cased, outside base spans.
 
-Plan: one pass finds base spans and, for the lines that hold an entity, its terms; a second counts the lines and
-documents of every term, combined in each task before the shuffle. Only entities of ``min_support`` different texts can
-be judged by document, so only their documents' terms are paired, combined in each task as well. Pairs and counts are
+Plan: one pass finds base spans and the entities of each line; a second counts the lines and documents of every term,
+combined in each task before the shuffle. Only entities of ``min_support`` different lines (or texts) can be judged, so
+only their lines' (or documents') terms are paired; pairs are counted in each task and sent whenever ``FLUSH_PAIRS`` are
+held, so one long line with many entities and terms needs no more memory than many short ones. Pairs and counts are
 joined by key, and the judged pairs with the term places of the documents that hold the entity. Only N is collected;
 nothing is broadcast by hint and no group is gathered but a row's own spans.
 
 Defined results: null texts count as empty; empty texts have no spans and the hash of the empty string; repeated rows
-are judged each on its own and, as the same lines, add no evidence. Spans are code points, the end exclusive.
+are judged each on its own and, as the same lines, add no evidence. Spans are code points, the end exclusive. Very long
+texts and lines are read whole. Extra columns of any name come through ``sanitise`` as they are.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import xxhash
 
 from pyspark.sql import DataFrame, functions as F
 
-from skein.llm.textops import documents, store
+from skein.llm.textops import documents, fresh_names, store
 
 KINDS = ("email", "ip", "card", "phone")
 #: Share of an entity's own information that a term must carry to count as disclosing it.
@@ -128,30 +130,26 @@ def line_terms(line: str, spans) -> list[tuple[str, int, int]]:
     return out
 
 
-_FOUND = ("key string, doc_id bigint, n_lines bigint, text string, entities array<string>, "
-          "base array<struct<kind:int,start:int,end:int>>, "
-          "sights array<struct<entity:string,term:string,line:bigint,start:int,end:int,first:boolean>>")
+_FOUND = ("key string, doc_id bigint, n_lines bigint, text string, named array<struct<entity:string,line:bigint>>, "
+          "base array<struct<kind:int,start:int,end:int>>")
 
 
-def _sights(text: str, spans) -> list[dict]:
-    """For each line with an entity: the entity itself (no term), and every term with every entity of the line."""
-    out, k, spans = [], 0, sorted(spans, key=lambda s: s[1])
+def _entity_lines(text: str, spans):
+    """(line, its spans as line offsets) for each line that holds an entity."""
+    k, spans = 0, sorted(spans, key=lambda s: s[2])
     for at, line in _lines(text):
         inside = []
-        while k < len(spans) and spans[k][1] < at + len(line):
+        while k < len(spans) and spans[k][2] <= at + len(line):
             inside.append(spans[k])
             k += 1
-        if not inside:
-            continue
-        terms = line_terms(line, [(s - at, e - at) for _, s, e in inside])
-        key = line_key(line)
-        for entity in sorted({entity_key(kind, text[s:e]) for kind, s, e in inside}):
-            met = set()
-            out.append((entity, None, key, None, None, True))
-            for term, s, e in terms:
-                out.append((entity, term, key, at + s, at + e, term not in met))
-                met.add(term)
-    return [dict(zip(("entity", "term", "line", "start", "end", "first"), x)) for x in out]
+        if inside:
+            yield line, [(kind, s - at, e - at) for kind, s, e in inside]
+
+
+def _named(text: str, spans) -> list[dict]:
+    """Each line's entities, with the line's hash; one entry for an entity and a line."""
+    return [{"entity": entity, "line": key} for line, inside in _entity_lines(text, spans) for key in [line_key(line)]
+            for entity in sorted({entity_key(kind, line[s:e]) for kind, s, e in inside})]
 
 
 def _row_key(id_col: str, text_col: str):
@@ -163,25 +161,20 @@ def _find(batches):
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
-            base, sights, lines, named, texts = [], [], [], [], []
+            base, named, lines, texts = [], [], [], []
             for text in part.column(2).to_pylist():
                 spans = base_spans(text or "")
                 base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
-                sights.append(_sights(text, spans) if spans else [])
+                named.append(_named(text, spans) if spans else [])
                 lines.append(text.count("\n") + 1 if text else 0)
-                named.append(sorted({entity_key(kind, text[s:e]) for kind, s, e in spans}))
                 texts.append(text if spans else None)
             schema = pa.schema([
                 ("key", pa.string()), ("doc_id", pa.int64()), ("n_lines", pa.int64()), ("text", pa.string()),
-                ("entities", pa.list_(pa.string())),
-                ("base", pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))),
-                ("sights", pa.list_(pa.struct([
-                    ("entity", pa.string()), ("term", pa.string()), ("line", pa.int64()), ("start", pa.int32()),
-                    ("end", pa.int32()), ("first", pa.bool_())])))])
+                ("named", pa.list_(pa.struct([("entity", pa.string()), ("line", pa.int64())]))),
+                ("base", pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])))])
             yield pa.RecordBatch.from_arrays([
                 part.column(0), part.column(1), pa.array(lines, pa.int64()), pa.array(texts, pa.string()),
-                pa.array(named, schema.field(4).type), pa.array(base, schema.field(5).type),
-                pa.array(sights, schema.field(6).type)], schema=schema)
+                pa.array(named, schema.field(4).type), pa.array(base, schema.field(5).type)], schema=schema)
 
 
 def _term_hash(term: str) -> int:
@@ -212,39 +205,60 @@ def _count_terms(batches):
         yield flush()
 
 
-def _text_terms(batches):
-    """(key, text, terms with their places, entities) of each row of ``key, text, base, held``."""
+def _held_rows(batches):
+    """(key, text, base, entities) of each row of ``key, text, base, held``, few at a time."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 64):
-            for key, text, base, held in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns)):
-                places: dict[str, list] = {}
-                for term, s, e in line_terms(text, [(x["start"], x["end"]) for x in base]):
-                    places.setdefault(term, []).append({"start": s, "end": e})
-                yield key, text, places, held
+            yield from zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns))
+
+
+def _text_terms(batches):
+    """(key, text, terms with their places, entities) of each row of ``key, text, base, held``."""
+    for key, text, base, held in _held_rows(batches):
+        places: dict[str, list] = {}
+        for term, s, e in line_terms(text, [(x["start"], x["end"]) for x in base]):
+            places.setdefault(term, []).append({"start": s, "end": e})
+        yield key, text, places, held
 
 
-def _meet(min_support):
-    """Documents that hold an entity and a term, as partial counts with up to ``min_support`` of the different texts."""
+def _line_units(batches):
+    """(line hash, its terms, its entities among the row's) of each line that holds one of the row's entities."""
+    for _, text, base, held in _held_rows(batches):
+        for line, inside in _entity_lines(text, [(x["kind"], x["start"], x["end"]) for x in base]):
+            here = sorted({entity_key(kind, line[s:e]) for kind, s, e in inside}.intersection(held))
+            if here:
+                yield line_key(line), {t for t, _, _ in line_terms(line, [(s, e) for _, s, e in inside])}, here
+
+
+def _document_units(batches):
+    """(text hash, its terms, the row's entities) of each row."""
+    for _, text, places, held in _text_terms(batches):
+        yield line_key(text), places, held
+
+
+def _meet(units, min_support):
+    """Lines or documents that hold an entity and a term, as partial counts with up to ``min_support`` of the different
+    ones. A task holds at most FLUSH_PAIRS pairs, also within one line."""
     def run(batches):
         met: dict[tuple[str, str], tuple[list, set]] = {}
 
         def flush():
-            return pa.RecordBatch.from_arrays([
+            out = pa.RecordBatch.from_arrays([
                 pa.array([e for e, _ in met], pa.string()), pa.array([t for _, t in met], pa.string()),
                 pa.array([n[0] for n, _ in met.values()], pa.int64()),
                 pa.array([list(x) for _, x in met.values()], pa.list_(pa.int64()))], names=["entity", "term", "n", "texts"])
+            met.clear()
+            return out
 
-        for _, text, places, held in _text_terms(batches):
-            same = line_key(text)
-            for entity in held:
-                for term in places:
+        for same, terms, entities in units(batches):
+            for entity in entities:
+                for term in terms:
                     n, texts = met.setdefault((entity, term), ([0], set()))
                     n[0] += 1
                     if len(texts) < min_support:
                         texts.add(same)
                 if len(met) > FLUSH_PAIRS:
                     yield flush()
-                    met.clear()
         if met:
             yield flush()
 
@@ -279,28 +293,30 @@ def find_spans(docs: DataFrame, alpha: float = ALPHA, min_support: int = MIN_SUP
     found = store(src.mapInArrow(_find, _FOUND), "pii-found")
     n_lines, n_docs = (float(x or 0) for x in found.agg(F.sum("n_lines"), F.count_if(F.col("n_lines") > 0)).first())
 
-    seen = found.where("size(sights) > 0").select(F.inline("sights"))
-    entity = seen.where("term is null").groupBy("entity").agg(F.count("*").alias("n_e"))
-    pair = (seen.where("term is not null").groupBy("entity", "term")
-            .agg(F.sum(F.col("first").cast("bigint")).alias("n_et"), F.countDistinct("line").alias("support"))
-            .where(F.col("support") >= min_support).join(entity, "entity"))
-    pair = pair.select("entity", "term", "n_et", "n_e", F.lit(False).alias("whole"))
-
     held = found.where("size(base) > 0").select("key", "text", "base")
-    named = found.select("key", F.xxhash64("text").alias("same"), F.explode("entities").alias("entity"))
+    lines = found.select("key", F.inline("named"))
+    named = lines.groupBy("key", "entity").agg(F.count("*").alias("n"))
 
     def holders(entities: DataFrame) -> DataFrame:
         """Rows that hold some of the entities, and which."""
         return held.join(named.join(entities.select("entity"), "entity").groupBy("key").agg(
             F.collect_set("entity").alias("held")), "key")
 
+    def pairs(units, entities: DataFrame, whole: bool) -> DataFrame:
+        """Pairs that meet often enough, of entities that do; ``entities`` has n_e and different lines or texts."""
+        often = entities.where(F.col("support") >= min_support).select("entity", "n_e")
+        met = holders(often).mapInArrow(_meet(units, min_support),
+                                        "entity string, term string, n bigint, texts array<bigint>")
+        return met.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.size(F.array_distinct(F.flatten(
+            F.collect_list("texts")))).alias("support")).where(F.col("support") >= min_support).join(
+                often, "entity").select("entity", "term", "n_et", "n_e", F.lit(whole).alias("whole"))
+
+    pair = pairs(_line_units, lines.groupBy("entity").agg(
+        F.count("*").alias("n_e"), F.countDistinct("line").alias("support")), False)
     if by_document:
-        often = named.groupBy("entity").agg(F.count("*").alias("n_e"), F.countDistinct("same").alias("support")).where(
-            F.col("support") >= min_support).select("entity", "n_e")
-        met = holders(often).mapInArrow(_meet(min_support), "entity string, term string, n bigint, texts array<bigint>")
-        met = met.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.size(F.array_distinct(F.flatten(
-            F.collect_list("texts")))).alias("support")).where(F.col("support") >= min_support)
-        pair = pair.union(met.join(often, "entity").select("entity", "term", "n_et", "n_e", F.lit(True).alias("whole")))
+        texts = found.select(F.xxhash64("text").alias("same"), F.explode(F.array_distinct("named.entity")).alias("entity"))
+        pair = pair.union(pairs(_document_units, texts.groupBy("entity").agg(
+            F.count("*").alias("n_e"), F.countDistinct("same").alias("support")), True))
 
     def add_key(batches):
         for b in batches:
@@ -331,8 +347,9 @@ def sanitise(docs: DataFrame, alpha: float = ALPHA, min_support: int = MIN_SUPPO
     """``docs`` with personal data replaced by its kind; disclosing terms become ``[NUMBER]`` if they are digits
     (generalised) and go otherwise. Rows and the other columns stay as they are."""
     names = docs.columns
+    key, base_col, terms_col = fresh_names(docs, "key", "base", "terms")
     spans = find_spans(docs, alpha, min_support, id_col, text_col, by_document).where("size(base) > 0").groupBy("key").agg(
-        F.first("base").alias("_base"), F.first("terms").alias("_terms"))
+        F.first("base").alias(base_col), F.first("terms").alias(terms_col)).withColumnRenamed("key", key)
     schema = docs.schema
     at = names.index(text_col)
 
@@ -345,9 +362,8 @@ def sanitise(docs: DataFrame, alpha: float = ALPHA, min_support: int = MIN_SUPPO
             cols[at] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    keyed = docs.withColumn("_key", _row_key(id_col, text_col))
-    joined = keyed.join(spans.withColumnRenamed("key", "_key"), "_key", "left").select(*[F.col(f"`{c}`") for c in names], "_base", "_terms")
-    return joined.mapInArrow(rewrite, schema)
+    joined = docs.withColumn(key, _row_key(id_col, text_col)).join(spans, key, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in names], base_col, terms_col).mapInArrow(rewrite, schema)
 
 
 def _replace(text: str, base, terms) -> str:
@@ -367,7 +383,10 @@ def op6_pii(spark, sf_dir):
     kinds = F.array(*[F.lit(k) for k in KINDS])
     written = F.transform("base", lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["end"]))
     more = F.transform("terms", lambda s: F.concat_ws(":", F.lit("term"), s["start"], s["end"]))
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
-             for k, name in enumerate(KINDS)]
-    return found.select("doc_id", *count, F.sha2(F.array_join(written, ",").cast("binary"), 256).alias("base_sha256"),
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda span: span["kind"] == F.lit(kind))).cast("bigint")
+
+    counts = [count(kind).alias(f"n_{name}") for kind, name in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(F.array_join(written, ",").cast("binary"), 256).alias("base_sha256"),
                         F.array_join(F.concat(written, more), ",").alias("spans"))

@@ -44,6 +44,17 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that ``df`` does not have, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished steps now: it does so when the driver collects garbage,
     which a small driver may not do for long."""

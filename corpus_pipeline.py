@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skein.llm import bpe, decontaminate, jaccard_join, pii, quality
-from skein.llm.textops import documents, store
+from skein.llm.textops import documents, fresh_names, store
 
 #: Words of a shingle and similarity in percent of the near-duplicate stage; op5's query has its own.
 NEAR_SHINGLE = 5
@@ -28,8 +28,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     documents without words and rows without an id stay. Rows of one id but different texts are judged each by its own
     text; rows of a component that share its smallest id all stay, as do repeated rows of a document that stays."""
     linked = jaccard_join.linked_components(docs, NEAR_SHINGLE, NEAR_PERCENT, text_key=True)
-    gone = linked.where("component_id <> doc_id").select("doc_id", "text_key").distinct().toDF("_gone_id", "_gone_key")
-    same = (F.col("doc_id") == F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_key"))
+    gone_id, gone_key = fresh_names(docs, "gone_id", "gone_key")
+    gone = linked.where("component_id <> doc_id").select("doc_id", "text_key").distinct().toDF(gone_id, gone_key)
+    same = (F.col("doc_id") == F.col(gone_id)) & (F.xxhash64("text") == F.col(gone_key))
     return docs.join(gone, same, "left_anti").select(docs.columns)
 
 

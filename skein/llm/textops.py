@@ -7,6 +7,7 @@ its own), so the working memory of a task does not depend on the batch or the pa
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import uuid
 
@@ -44,6 +45,24 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def stored_steps(spark: SparkSession):
+    """``keep(df, label)`` writes a step as ``store`` does; when the block ends, the files of all steps but those kept with
+    ``result=True`` are replaced by empty tables."""
+    steps = []
+
+    def keep(df: DataFrame, label: str, result: bool = False) -> DataFrame:
+        path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        if not result:
+            steps.append((path, df.schema))
+        return spark.read.schema(df.schema).parquet(path)
+
+    yield keep
+    for path, schema in steps:
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
 def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
     """Column names that ``df`` does not have, in any case."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -137,23 +156,38 @@ def byte_hash(rows: np.ndarray) -> np.ndarray:
     return (_TABLE[rows] * powers(rows.shape[1])[0]).sum(1, dtype=np.uint64)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lower: bool = True):
-    """Words of each row: (hash, start, end, rows' first word index with the end appended)."""
-    b = LOWER_ASCII[data] if lower else data
-    inside = ~separators[b]
+def stretches(inside: np.ndarray, offsets: np.ndarray):
+    """Maximal stretches of marked bytes in each row: (start, end, rows' first stretch index with the end appended)."""
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offsets[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(b))]
+    cuts = cuts[(cuts > 0) & (cuts < len(inside))]
     first[cuts] |= inside[cuts]
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     last[cuts - 1] |= inside[cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    bounds = np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lower: bool = True):
+    """Words of each row: (hash, start, end, rows' first word index with the end appended)."""
+    b = LOWER_ASCII[data] if lower else data
+    starts, ends, bounds = stretches(~separators[b], offsets)
     return mix(span_hash(prefix_hash(b), starts, ends)), starts, ends, bounds
 
 
+def word_ids(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
+    """Exact numbers of the words that ``inside`` marks: (number of each word, the words by number, rows' first word index
+    with the end appended)."""
+    starts, ends, bounds = stretches(inside, offsets)
+    at = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=at[1:])
+    coded = pa.Array.from_buffers(pa.binary(), len(starts), [
+        None, pa.py_buffer(at), pa.py_buffer(data[inside])]).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, bounds
+
+
 def shingles(hashes: np.ndarray, bounds: np.ndarray, k: int):
     """Hashes of k consecutive words that lie in one row, and the index of each shingle's first word."""
     if len(hashes) < k:

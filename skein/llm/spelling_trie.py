@@ -6,7 +6,8 @@ at the root. One level is a join of the frontier with the edges of its nodes: a
 moves on with the same edits; a state without an edit may also take a label that is one edit away from the word's next
 code points (one replaced, or one of the word's deleted). States that reach a word's end at a node where another word ends,
 with one edit, are neighbours. Of a pair only one direction is walked (the longer word to the shorter, or to the larger in
-code-point order), the other is its mirror image. States die where no label fits, so the frontier shrinks quickly; it is
+code-point order), the other is its mirror image. States die where no label fits, where the words below a node have too
+many or too few code points left, or where none goes on with the word's next one, so the frontier shrinks quickly; it is
 written at every level, which ends its lineage.
 
 Joins are on the node, for states with an edit also on the label's first code point. The few nodes near the root, which
@@ -82,14 +83,13 @@ def word_counts(docs: DataFrame, min_chars: int = MIN_CHARS, drop_modulus: int |
                 if drop_modulus:
                     row = np.repeat(np.arange(hi - lo), np.diff(bounds))
                     pair, many = np.unique(row * len(names) + ids, return_counts=True)
-                    many = dict(zip(pair.tolist(), many.tolist()))
                     prefixes = [None if d is None else b"%d:" % d for d in batch.column(0).slice(lo, hi - lo).to_pylist()]
                     changed = list(_dropped_letters(pair % len(names), pair // len(names), names.to_pylist(), prefixes,
                                                     drop_modulus))
-                    lost = [many[r * len(names) + w] for r, w, _ in changed]
+                    lost = many[np.searchsorted(pair, [r * len(names) + w for r, w, _ in changed])]
                     np.subtract.at(n, [w for _, w, _ in changed], lost)
                     words = pa.concat_arrays([words, pa.array([t for _, _, t in changed], pa.string())])
-                    counts.append(np.array(lost, np.int64))
+                    counts.append(lost.astype(np.int64))
                 n = np.concatenate(counts)
                 keep = pa.array((n > 0) & (pc.utf8_length(words).to_numpy() >= min_chars))
                 yield pa.RecordBatch.from_arrays([words.filter(keep), pa.array(n).filter(keep)], names=["word", "n"])
@@ -102,7 +102,7 @@ ROOT = 0
 
 
 def _prefixes(batches):
-    """(word id, depth, node, next code point or -1 at the end) of every prefix of every word."""
+    """(word id, depth, node, next code point or -1 at the end, code points left) of every prefix of every word."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 1024):
             part = batch.slice(lo, 1024)
@@ -115,28 +115,35 @@ def _prefixes(batches):
                 node.append(np.append(np.uint64(ROOT), mix(c ^ mix(depth[-1][1:].astype(np.uint64)))).view(np.int64))
                 following.append(np.append(points, np.uint64(0)).astype(np.int32))
                 following[-1][-1] = -1
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (wid, depth, node, following)],
-                                             names=["wid", "depth", "node", "following"])
-
-
-def trie_edges(words: DataFrame) -> DataFrame:
-    """``node, depth, label, child, ends``: the compressed trie of ``wid, word``; ``depth`` is the node's, ``ends`` tells
-    whether a word ends at the child, and ``end_wid`` which."""
-    prefixes = words.select("wid", "word").mapInArrow(_prefixes, "wid bigint, depth int, node bigint, following int")
-    kept = prefixes.groupBy("node").agg(F.min("following").alias("lo"), F.max("following").alias("hi"),
-                                        F.min("depth").alias("d")).where("lo = -1 or lo < hi or d = 0")
+            left = [d[::-1] for d in depth]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c)) for c in (wid, depth, node, following, left)],
+                names=["wid", "depth", "node", "following", "left"])
+
+
+def trie_edges(words: DataFrame, keep) -> DataFrame:
+    """The compressed trie of ``wid, word`` as ``node, depth, label, child, child_depth`` (depths in code points), and of
+    each child: ``end_wid`` (the word that ends there, or null), ``least`` and ``most`` code points that its words have
+    left, and ``nexts``, the code points that go on from it."""
+    prefixes = keep(words.select("wid", "word").mapInArrow(
+        _prefixes, "wid bigint, depth int, node bigint, following int, left int"), "trie-prefixes")
+    kept = prefixes.groupBy("node").agg(
+        F.min("following").alias("lo"), F.max("following").alias("hi"), F.min("depth").alias("d"),
+        F.min("left").alias("least"), F.max("left").alias("most")).where("lo = -1 or lo < hi or d = 0")
     path = Window.partitionBy("wid").orderBy("depth")
-    steps = prefixes.join(kept.select("node", (F.col("lo") == -1).alias("ends")), "node").select(
+    steps = prefixes.drop("left").join(kept.select("node", "least", "most"), "node").select(
         "wid", F.lag("node").over(path).alias("node"), F.lag("depth").over(path).alias("depth"),
-        F.col("node").alias("child"), F.col("depth").alias("child_depth"), "ends", "following")
+        F.col("node").alias("child"), F.col("depth").alias("child_depth"), "following", "least", "most")
     # all words below a child name the same edge
     edges = steps.where("node is not null").groupBy("child").agg(
-        F.min("node").alias("node"), F.min("depth").alias("depth"), F.min("child_depth").alias("child_depth"),
-        F.max("ends").alias("ends"), F.min("wid").alias("wid"),
+        *[F.min(c).alias(c) for c in ("node", "depth", "child_depth", "least", "most", "wid")],
         F.min(F.when(F.col("following") == -1, F.col("wid"))).alias("end_wid"))
-    return edges.join(words.select("wid", "word"), "wid").select(
+    edges = keep(edges.join(words.select("wid", "word"), "wid").select(
         "node", "depth", F.substring("word", F.col("depth") + 1, F.col("child_depth") - F.col("depth")).alias("label"),
-        "child", "child_depth", "ends", "end_wid")
+        "child", "child_depth", "end_wid", "least", "most"), "trie-nodes")
+    nexts = edges.groupBy(F.col("node").alias("child")).agg(
+        F.array_join(F.collect_set(F.substring("label", 1, 1)), "").alias("nexts"))
+    return edges.join(nexts, "child", "left").fillna("", "nexts")
 
 
 def _salts():
@@ -145,44 +152,49 @@ def _salts():
 
 def one_edit_pairs(words: DataFrame, keep) -> DataFrame:
     """``wid, near_wid``, both directions, of all words of ``wid, word`` that one inserted, deleted or replaced code point
-    turns into each other. ``keep(df, label)`` writes a step and reads it back."""
-    edges = keep(trie_edges(words).withColumn("salt", F.explode(F.sequence(F.lit(0), _salts() - 1))), "trie-edges")
-    frontier = words.select("wid", "word", F.lit(0).alias("pos"), F.lit(ROOT).cast("bigint").alias("node"),
+    turns into each other. ``keep(df, label)`` writes a step and reads it back. A state's position is told by ``rest``, the
+    word's code points from there on."""
+    edges = keep(trie_edges(words, keep).withColumn("salt", F.explode(F.sequence(F.lit(0), _salts() - 1))), "trie-edges")
+    by_node = edges.hint("shuffle_hash")
+    by_first = edges.withColumn("first", F.substring("label", 1, 1)).hint("shuffle_hash")
+    frontier = words.select("wid", F.col("word").alias("rest"), F.lit(ROOT).cast("bigint").alias("node"),
                             F.lit(0).alias("depth"), F.lit(0).alias("edits"), F.lit(None).cast("bigint").alias("end_wid"))
     pairs = None
-    size = F.length("label")
-    here = F.substring("word", F.col("pos") + 1, size)
-    longer = F.substring("word", F.col("pos") + 1, size + 1)
-    whole = F.col("pos") + size + 1 == F.length("word")
+    label, rest, size = F.col("label"), F.col("rest"), F.length("label")
+    here, longer, left = F.substring("rest", F.lit(1), size), F.substring("rest", F.lit(1), size + 1), F.length("rest") - size
+    fits = F.startswith(rest, label)
+
+    def arrives(n, step):
+        """The child's words go on as the state with n code points left does, as far as its node tells."""
+        return (n >= F.col("least")) & (n <= F.col("most")) & F.contains(F.col("nexts"), F.substring("rest", size + step, F.lit(1)))
 
-    def moved(step, edits):
-        return F.struct(F.when(F.lit(step == "delete"), F.col("pos") + size + 1).otherwise(F.col("pos") + size).alias("pos"),
-                        F.lit(edits).alias("edits"))
+    def state(step, edits):
+        return F.struct(F.substring("rest", size + step, F.length("rest")).alias("rest"), F.lit(edits).alias("edits"))
 
+    moves = F.array(
+        F.when(fits & (left > 0) & (left >= F.col("least")) & (left - 1 <= F.col("most")), state(1, 0)),
+        F.when((label > here) & (left >= 0) & arrives(left, 1) & ((size == 1) | (F.levenshtein(label, here, 1) == 1)),
+               state(1, 1)),
+        # a deletion behind a label that fits belongs to the next label, unless the word ends there
+        F.when((left >= 1) & arrives(left - 1, 2) & (~fits | ((left == 1) & F.col("end_wid").isNotNull()))
+               & (F.levenshtein(label, longer, 1) == 1), state(2, 1)))
     while True:
         salted = frontier.withColumn("salt", F.pmod(F.xxhash64("wid"), _salts()).cast("int")).drop("end_wid", "depth")
-        clean = salted.where("edits = 0").join(edges, ["node", "salt"])
-        # a deletion behind a label that fits belongs to the next label, unless the word ends there
-        clean = clean.select("wid", "word", "child", "child_depth", "end_wid", F.explode(F.array_compact(F.array(
-            F.when(here == F.col("label"), moved("same", 0)),
-            F.when((F.length(here) == size) & (F.col("label") > here) & (F.levenshtein("label", here, 1) == 1),
-                   moved("replace", 1)),
-            F.when((F.length(longer) == size + 1) & (F.levenshtein("label", longer, 1) == 1)
-                   & ((here != F.col("label")) | (whole & F.col("ends"))), moved("delete", 1))))).alias("to")).select(
-                       "wid", "word", "to.*", "child", "child_depth", "end_wid")
-        first = F.substring("label", 1, 1)
-        edited = salted.where("edits = 1").withColumn("first", F.substring("word", F.col("pos") + 1, F.lit(1))).join(
-            edges.withColumn("first", first), ["node", "salt", "first"]).where(here == F.col("label")).select(
-                "wid", "word", (F.col("pos") + size).alias("pos"), F.lit(1).alias("edits"), "child", "child_depth", "end_wid")
+        clean = salted.where("edits = 0").drop("edits").join(by_node, ["node", "salt"]).select(
+            "wid", F.explode(moves).alias("to"), "child", "child_depth", "end_wid").where("to is not null").select(
+                "wid", "to.rest", "to.edits", "child", "child_depth", "end_wid")
+        edited = salted.where("edits = 1").withColumn("first", F.substring("rest", 1, 1)).join(
+            by_first, ["node", "salt", "first"]).where(fits & arrives(left, 1)).select(
+                "wid", F.substring("rest", size + 1, F.length("rest")).alias("rest"), F.lit(1).alias("edits"), "child",
+                "child_depth", "end_wid")
         frontier = keep(clean.union(edited).select(
-            "wid", "word", "pos", F.col("child").alias("node"), F.col("child_depth").alias("depth"), "edits", "end_wid"),
+            "wid", "rest", F.col("child").alias("node"), F.col("child_depth").alias("depth"), "edits", "end_wid"),
             "trie-frontier")
         if frontier.isEmpty():
             break
-        met = frontier.where((F.col("edits") == 1) & (F.col("pos") == F.length("word")) & F.col("end_wid").isNotNull()).select(
-            "wid", F.col("end_wid").alias("near_wid"))
+        met = frontier.where("edits = 1 and rest = ''").select("wid", F.col("end_wid").alias("near_wid"))
         pairs = met if pairs is None else pairs.union(met)
-        frontier = frontier.where((F.col("edits") == 0) | (F.col("pos") < F.length("word")))
+        frontier = frontier.where("rest <> ''")
     if pairs is None:
         return words.select("wid", F.col("wid").alias("near_wid")).limit(0)
     return pairs.union(pairs.select("near_wid", "wid")).distinct()

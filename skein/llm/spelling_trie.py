@@ -38,9 +38,8 @@ from skein.llm.textops import LOWER_ASCII, chunks, documents, mix, powers, store
 MIN_CHARS = 6
 MIN_COUNT = 5
 RATIO = 5
-#: Copies of the edges of the root and of the nodes one code point below it.
-SALT_ROOT = 64
-SALT_FIRST = 8
+#: Copies of the rows of the root and of the nodes one and two code points below it, which many words share.
+SALTS = (64, 16, 4)
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -121,6 +120,22 @@ def _prefixes(batches):
                 names=["wid", "depth", "node", "following", "left"])
 
 
+def _salts(depth="depth"):
+    out = F.lit(1)
+    for d, n in enumerate(SALTS):
+        out = F.when(F.col(depth) == d, F.lit(n)).otherwise(out)
+    return out
+
+
+def _salt(depth="depth"):
+    """Which copy a word's row meets."""
+    return F.pmod(F.col("wid"), _salts(depth)).cast("int")
+
+
+def _copies(df: DataFrame, depth="depth") -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts(depth) - 1)))
+
+
 def trie_edges(words: DataFrame, keep) -> DataFrame:
     """The compressed trie of ``wid, word`` as ``node, depth, label, child, child_depth`` (depths in code points), and of
     each child: ``end_wid`` (the word that ends there, or null), ``least`` and ``most`` code points that its words have
@@ -131,7 +146,9 @@ def trie_edges(words: DataFrame, keep) -> DataFrame:
         F.min("following").alias("lo"), F.max("following").alias("hi"), F.min("depth").alias("d"),
         F.min("left").alias("least"), F.max("left").alias("most")).where("lo = -1 or lo < hi or d = 0")
     path = Window.partitionBy("wid").orderBy("depth")
-    steps = prefixes.drop("left").join(kept.select("node", "least", "most"), "node").select(
+    met = prefixes.drop("left").withColumn("salt", _salt()).join(
+        _copies(kept, "d").select("node", "salt", "least", "most"), ["node", "salt"])
+    steps = met.select(
         "wid", F.lag("node").over(path).alias("node"), F.lag("depth").over(path).alias("depth"),
         F.col("node").alias("child"), F.col("depth").alias("child_depth"), "following", "least", "most")
     # all words below a child name the same edge
@@ -146,15 +163,11 @@ def trie_edges(words: DataFrame, keep) -> DataFrame:
     return edges.join(nexts, "child", "left").fillna("", "nexts")
 
 
-def _salts():
-    return F.when(F.col("depth") == 0, F.lit(SALT_ROOT)).when(F.col("depth") == 1, F.lit(SALT_FIRST)).otherwise(F.lit(1))
-
-
 def one_edit_pairs(words: DataFrame, keep) -> DataFrame:
     """``wid, near_wid``, both directions, of all words of ``wid, word`` that one inserted, deleted or replaced code point
     turns into each other. ``keep(df, label)`` writes a step and reads it back. A state's position is told by ``rest``, the
     word's code points from there on."""
-    edges = keep(trie_edges(words, keep).withColumn("salt", F.explode(F.sequence(F.lit(0), _salts() - 1))), "trie-edges")
+    edges = keep(_copies(trie_edges(words, keep)), "trie-edges")
     by_node = edges.hint("shuffle_hash")
     by_first = edges.withColumn("first", F.substring("label", 1, 1)).hint("shuffle_hash")
     frontier = words.select("wid", F.col("word").alias("rest"), F.lit(ROOT).cast("bigint").alias("node"),
@@ -179,7 +192,7 @@ def one_edit_pairs(words: DataFrame, keep) -> DataFrame:
         F.when((left >= 1) & arrives(left - 1, 2) & (~fits | ((left == 1) & F.col("end_wid").isNotNull()))
                & (F.levenshtein(label, longer, 1) == 1), state(2, 1)))
     while True:
-        salted = frontier.withColumn("salt", F.pmod(F.xxhash64("wid"), _salts()).cast("int")).drop("end_wid", "depth")
+        salted = frontier.withColumn("salt", _salt()).drop("end_wid", "depth")
         clean = salted.where("edits = 0").drop("edits").join(by_node, ["node", "salt"]).select(
             "wid", F.explode(moves).alias("to"), "child", "child_depth", "end_wid").where("to is not null").select(
                 "wid", "to.rest", "to.edits", "child", "child_depth", "end_wid")

@@ -9,15 +9,21 @@ only in the pieces that the edit touches).
 Texts are cut into pieces by the tokenizer's pattern; pieces are encoded separately. A piece that is itself in the
 vocabulary is that one token, as in the public encoder. A bounded cache of pieces spares repeated ones.
 
-Defined results: null texts count as empty, empty texts have no ids, repeated rows are encoded each on its own.
+The tokens that end at each byte come from an Aho-Corasick automaton over the vocabulary. Whether two tokens are stable
+neighbours is told from the ends they show each other while they are merged, and remembered.
+
+Defined results: null texts count as empty, empty texts have no ids, repeated rows are encoded each on its own, pieces and
+texts of any length are encoded whole.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -29,6 +35,8 @@ from skein.llm.textops import documents
 CACHE_SIZE = 200_000
 #: Pieces longer than this are not cached.
 CACHE_PIECE = 48
+#: Pairs of neighbouring tokens that are remembered.
+STABLE_SIZE = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,51 +51,99 @@ class PrefixEncoder:
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.prefixes = {t[:i] for t in ranks for i in range(1, len(t) + 1)}
         self.split = regex.compile(pattern)
-        self.stable: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, bytes] = {}
-        #: Tokens that their own bytes' merges do not give; they never appear inside a longer piece.
-        self.reachable = {r for t, r in ranks.items() if len(t) == 1 or self._merge(t) == [r]}
-
-    def _merge(self, data: bytes) -> list[int]:
-        """Ids of ``data`` by the merges: join the neighbours of lowest rank, leftmost first, until none can be."""
-        parts = [data[i:i + 1] for i in range(len(data))]
+        self.shift = max(self.bytes_of).bit_length()
+        self.stable: dict[int, bool] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # the two tokens that a token is merged from at last; a token that its own bytes' merges do not give never appears
+        # inside a longer piece and is left out
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        for t, r in ranks.items():
+            ids, halves = self._merge(t)
+            if ids == [r]:
+                self.halves[r] = halves
+        #: Merges then happen in order of rank, which the quick test of neighbours relies on.
+        self.rising = all(h is None or max((x for x in h if len(self.bytes_of[x]) > 1), default=-1) < r
+                          for r, h in self.halves.items())
+        self.edges: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
+        self.tokens = ahocorasick.Automaton()
+        for r in self.halves:
+            t = self.bytes_of[r]
+            self.tokens.add_word(t.decode("latin-1"), (r, len(t)))
+        self.tokens.make_automaton()
+
+    def _merge(self, data: bytes) -> tuple[list[int], tuple[int, int] | None]:
+        """Ids of ``data`` by the merges (join the neighbours of lowest rank, leftmost first, until none can be), and the
+        two tokens joined last."""
+        parts, halves = [data[i:i + 1] for i in range(len(data))], None
         while len(parts) > 1:
             rank, i = min(((self.ranks.get(parts[i] + parts[i + 1], 1 << 62), i) for i in range(len(parts) - 1)))
             if rank == 1 << 62:
                 break
+            halves = self.ranks[parts[i]], self.ranks[parts[i + 1]]
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        return [self.ranks[p] for p in parts], halves
+
+    def _edge(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """What stands at a token's left (0) or right (1) end while it is merged: (bytes, rank of the merge that ends it),
+        from the single byte on."""
+        found = self.edges.get((token, side))
+        if found is None:
+            found, until = [], 1 << 62
+            while True:
+                found.append((self.bytes_of[token], until))
+                if self.halves[token] is None:
+                    break
+                until, token = token, self.halves[token][side]
+            found.reverse()
+            self.edges[self.ranks[found[-1][0]], side] = found
+        return found
 
     def _may_follow(self, a: int, b: int) -> bool:
-        known = self.stable.get((a, b))
-        if known is None:
-            if len(self.stable) > 1_000_000:
-                self.stable.clear()
-            known = self.stable[a, b] = self._merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return known
+        """Whether the merges of a's and b's joined bytes leave a and b: no merge crosses the border while both sides'
+        ends grow. Of merges of one rank the leftmost comes first."""
+        if not self.rising:
+            return self._merge(self.bytes_of[a] + self.bytes_of[b])[0] == [a, b]
+        left, right, rank = self._edge(a, 1), self._edge(b, 0), self.ranks.get
+        i = j = 0
+        while True:
+            x, x_until = left[i]
+            y, y_until = right[j]
+            across = rank(x + y)
+            if across is not None and across < x_until and across <= y_until:
+                return False
+            if x_until <= y_until:
+                if x_until == 1 << 62:
+                    return True
+                i += 1
+            else:
+                j += 1
 
     def extend(self, last: list[int], data: bytes, start: int) -> None:
         """Fill ``last[i]`` (last token of the encoding of data[:i+1]) for i >= start; the entries before stay."""
         del last[start:]
-        n = len(data)
+        stable, shift = self.stable, self.shift
         # a token that ends at or after ``start`` may begin up to longest - 1 bytes before
-        options: list[list[tuple[int, int]]] = [[] for _ in range(n - start)]
-        for b in range(max(0, start - self.longest + 1), n):
-            for e in range(b + 1, min(n, b + self.longest) + 1):
-                token = data[b:e]
-                if token not in self.prefixes:
-                    break
-                if e > start and (rank := self.ranks.get(token)) is not None and rank in self.reachable:
-                    options[e - 1 - start].append((b, rank))
-        for e in range(start, n):
-            for b, rank in options[e - start]:
-                if b == 0 or (last[b - 1] >= 0 and self._may_follow(last[b - 1], rank)):
-                    last.append(rank)
-                    break
-            else:
-                raise ValueError("a byte is missing from the rank table")
+        begin = max(0, start - self.longest + 1)
+        for end, (token, size) in self.tokens.iter(data[begin:].decode("latin-1")):
+            end += begin
+            if len(last) != end:  # known already (the encoding of a prefix is unique), or before the start
+                continue
+            at = end - size
+            if at >= 0:
+                key = last[at] << shift | token
+                known = stable.get(key)
+                if known is None:
+                    if len(stable) >= STABLE_SIZE:
+                        for old in list(itertools.islice(stable, STABLE_SIZE // 2)):
+                            del stable[old]
+                    known = stable[key] = self._may_follow(last[at], token)
+                if not known:
+                    continue
+            last.append(token)
+        if len(last) != len(data):
+            raise ValueError("a byte is missing from the rank table")
 
     def walk_back(self, last: list[int]) -> list[int]:
         ids, at = [], len(last)
@@ -105,15 +161,19 @@ class PrefixEncoder:
 
     def packed(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        cache, out = self.cache, []
+        recent, older, out = self.recent, self.older, []
         for p in self.split.findall(text):
-            ids = cache.get(p)
+            ids = recent.get(p)
             if ids is None:
-                ids = np.array(self.piece(p.encode()), "<u4").tobytes()
+                ids = older.get(p)
+                if ids is None:
+                    ids = np.array(self.piece(p.encode()), "<u4").tobytes()
                 if len(p) <= CACHE_PIECE:
-                    if len(cache) >= CACHE_SIZE:
-                        cache.clear()
-                    cache[p] = ids
+                    if len(recent) >= CACHE_SIZE // 2:
+                        # pieces that were not met since the last turn go
+                        older = self.older = recent
+                        recent = self.recent = {}
+                    recent[p] = ids
             out.append(ids)
         return b"".join(out)
 

@@ -35,7 +35,7 @@ def test_bpe_is_the_public_encoding_and_round_trips(spark, edge, empty, texts):
         ids = np.array(ref.encode_ordinary(t or ""), "<u4")
         assert (got[d].n_tokens, got[d].ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
         assert got[d].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
-    small = edge.where("doc_id <> 8")
+    small = edge
     tokens = bpe.encode_documents(small, RANKS, P.PATTERN)
     back = sorted((r.doc_id or 0, bytes(r.data)) for r in bpe.decode_documents(tokens, RANKS, P.PATTERN).collect())
     assert back == sorted((r.doc_id or 0, (r.text or "").encode()) for r in small.collect())
@@ -58,6 +58,17 @@ def test_bpe_appends_and_edits_reencode_only_near_the_change():
     assert x.ids() == ref.encode_ordinary(text + " more") and x.encoded_pieces - before < 8
 
 
+def test_bpe_neighbours_are_those_of_the_merges():
+    enc, rng = bpe.PrefixEncoder(bpe.read_ranks(RANKS), P.PATTERN), random.Random(10)
+    tokens = list(enc.halves)
+    assert enc.rising
+    for _ in range(20_000):
+        a, b = rng.choice(tokens), rng.choice(tokens[:rng.choice([300, 3000, len(tokens)])])
+        assert enc._may_follow(a, b) == (enc._merge(enc.bytes_of[a] + enc.bytes_of[b])[0] == [a, b])
+    for piece in ("aaaaaaaaaaaa", "ababababab", "      ", "日本日本日本", "\u0301" * 9, "zzzz" * 50):
+        assert enc.piece(piece.encode()) == reference_bpe()._encode_single_piece(piece.encode())
+
+
 # --- token counts
 
 def test_token_counts_are_those_of_the_public_unigram_tokenizer(spark, edge, empty, texts):

@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import os
 from functools import lru_cache
 
 import ahocorasick
@@ -50,6 +51,7 @@ class PrefixEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
+        self.sizes = {r: len(t) for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
         self.split = regex.compile(pattern)
         self.shift = max(self.bytes_of).bit_length()
@@ -123,33 +125,34 @@ class PrefixEncoder:
     def extend(self, last: list[int], data: bytes, start: int) -> None:
         """Fill ``last[i]`` (last token of the encoding of data[:i+1]) for i >= start; the entries before stay."""
         del last[start:]
-        stable, shift = self.stable, self.shift
+        stable, shift, done = self.stable, self.shift, start
         # a token that ends at or after ``start`` may begin up to longest - 1 bytes before
         begin = max(0, start - self.longest + 1)
         for end, (token, size) in self.tokens.iter(data[begin:].decode("latin-1")):
             end += begin
-            if len(last) != end:  # known already (the encoding of a prefix is unique), or before the start
+            if end != done:  # known already (the encoding of a prefix is unique), or before the start
                 continue
-            at = end - size
-            if at >= 0:
-                key = last[at] << shift | token
+            # the longest comes first; where none of the longer is the last token, the single byte is
+            if size > 1 and end >= size:
+                key = last[end - size] << shift | token
                 known = stable.get(key)
                 if known is None:
                     if len(stable) >= STABLE_SIZE:
                         for old in list(itertools.islice(stable, STABLE_SIZE // 2)):
                             del stable[old]
-                    known = stable[key] = self._may_follow(last[at], token)
+                    known = stable[key] = self._may_follow(last[end - size], token)
                 if not known:
                     continue
             last.append(token)
-        if len(last) != len(data):
+            done += 1
+        if done != len(data):
             raise ValueError("a byte is missing from the rank table")
 
     def walk_back(self, last: list[int]) -> list[int]:
         ids, at = [], len(last)
         while at:
             ids.append(last[at - 1])
-            at -= len(self.bytes_of[last[at - 1]])
+            at -= self.sizes[last[at - 1]]
         return ids[::-1]
 
     def piece(self, data: bytes) -> list[int]:
@@ -161,21 +164,34 @@ class PrefixEncoder:
 
     def packed(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        recent, older, out = self.recent, self.older, []
-        for p in self.split.findall(text):
-            ids = recent.get(p)
-            if ids is None:
-                ids = older.get(p)
-                if ids is None:
-                    ids = np.array(self.piece(p.encode()), "<u4").tobytes()
-                if len(p) <= CACHE_PIECE:
-                    if len(recent) >= CACHE_SIZE // 2:
-                        # pieces that were not met since the last turn go
-                        older = self.older = recent
-                        recent = self.recent = {}
-                    recent[p] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.packed_all([text])[0]
+
+    def packed_all(self, texts: list[str]) -> list[bytes]:
+        """``packed`` of each text. Pieces that no text before had are taken in order, so that each extends the table of
+        the beginning that it shares with the one before."""
+        recent, older = self.recent, self.older
+        cut = [self.split.findall(text) for text in texts]
+        new: dict[str, bytes] = {}
+        for pieces in cut:
+            for p in pieces:
+                if p not in recent and p not in new:
+                    new[p] = older.get(p)
+        last: list[int] = []
+        before = b""
+        for data, p in sorted((p.encode(), p) for p, ids in new.items() if ids is None):
+            if (whole := self.ranks.get(data)) is not None:
+                new[p] = np.array([whole], "<u4").tobytes()
+                continue
+            same = len(os.path.commonprefix((before, data)))
+            self.extend(last, data, same)
+            before = data
+            new[p] = np.array(self.walk_back(last), "<u4").tobytes()
+        out = [b"".join([recent[p] if p in recent else new[p] for p in pieces]) for pieces in cut]
+        if len(recent) >= CACHE_SIZE // 2:
+            # pieces that were not met since the last turn go
+            self.older, self.recent = recent, {}
+        self.recent.update((p, ids) for p, ids in new.items() if len(p) <= CACHE_PIECE)
+        return out
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
@@ -256,9 +272,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc
     def run(batches):
         enc = _encoder(ranks_path, pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                blobs = [enc.packed(t or "") for t in part.column(1).to_pylist()]
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                blobs = enc.packed_all([t or "" for t in part.column(1).to_pylist()])
                 ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int32)
                 off = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -273,8 +289,8 @@ def decode_documents(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFr
     def run(batches):
         enc = _encoder(ranks_path, pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
                 data = [enc.decode(ids or []) for ids in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], names=["doc_id", "data"])
 
@@ -289,9 +305,9 @@ def encode_digest(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id
     def run(batches):
         enc = _encoder(ranks_path, pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                blobs = [enc.packed(t or "") for t in part.column(1).to_pylist()]
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                blobs = enc.packed_all([t or "" for t in part.column(1).to_pylist()])
                 back = [enc.decode(np.frombuffer(b, "<u4").tolist()) for b in blobs]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(b) // 4 for b in blobs], pa.int64()),

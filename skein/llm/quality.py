@@ -14,7 +14,8 @@ the unlabelled sample's quantiles. Both samples are bounded (``MAX_SAMPLE`` rows
 the id, outside the held-out fold); only their measures reach the driver. Scoring reads each whole text once, in place.
 
 Defined results: null and empty texts have zero measures and get a score like any text; repeated rows get equal
-scores; with fewer than two positives or texts all scores are 0.5. Extra columns are ignored.
+scores; texts of any length are read whole; with fewer than two positives or texts there is no model: all scores are 0.5,
+``predicted`` is 0, and ``keep_good`` keeps every row, as nothing speaks against any. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from skein.llm.textops import LOWER_ASCII, SPACE, chunks, crc_fold, documents, m
 MAX_SAMPLE = 12_000
 THRESHOLD = 0.7
 BINS = 20
+#: Further quantiles that are bin edges.
+TAILS = [0.002, 0.01, 0.02, 0.98, 0.99, 0.998]
 
 _CLASS = np.zeros((7, 256), np.float32)  # upper, lower, digit, symbol, mark, exclamation, other bytes
 _CLASS[0, 65:91] = _CLASS[1, 97:123] = _CLASS[2, 48:58] = 1
@@ -114,10 +117,9 @@ class Binned:
     """Additive model over binned measures."""
 
     def __init__(self, unlabelled: np.ndarray):
-        # fewer bins for few rows; with many, the tails are cut finer
-        q = np.linspace(0, 1, min(BINS, max(4, len(unlabelled) // 60)) + 1)[1:-1]
-        extra = np.array([0.002, 0.01, 0.02, 0.98, 0.99, 0.998]) if len(unlabelled) > 5_000 else np.zeros(0)
-        self.edges = [np.unique(np.quantile(unlabelled[:, j], np.unique(np.concatenate([q, extra]))))
+        # the same quantiles at every size, the tails cut finer; equal edges of few or tied rows fall together
+        q = np.concatenate([np.linspace(0, 1, BINS + 1)[1:-1], TAILS])
+        self.edges = [np.unique(np.quantile(unlabelled[:, j], np.sort(q)))
                       for j in range(unlabelled.shape[1])]
         self.begin = np.concatenate([[0], np.cumsum([len(e) + 1 for e in self.edges])])
         self.weights = np.zeros(self.begin[-1] + 1)
@@ -150,7 +152,8 @@ def _adam(size: int, gradient, rounds: int, l2: float, rate=0.05):
 
 
 def estimate_prior(score_p: np.ndarray, score_u: np.ndarray) -> float:
-    """Share of positives among the unlabelled: the smallest share_U / share_P above a score, plus one deviation."""
+    """Share of positives among the unlabelled: the share_U / share_P above the score where this ratio plus its
+    deviation is smallest."""
     cuts = np.unique(np.quantile(score_p, np.linspace(0.02, 0.95, 100)))
     p = np.maximum(1 - np.searchsorted(np.sort(score_p), cuts, "left") / len(score_p), 1e-9)
     u = 1 - np.searchsorted(np.sort(score_u), cuts, "left") / len(score_u)
@@ -213,7 +216,8 @@ def score(docs: DataFrame, model: Binned | None, threshold: float = THRESHOLD, i
 
 
 def keep_good(docs: DataFrame, model: Binned | None, threshold: float = THRESHOLD, text_col="text") -> DataFrame:
-    """Rows of ``docs`` whose text scores at least ``threshold``, all columns as they are, in one pass."""
+    """Rows of ``docs`` whose text scores at least ``threshold``, all columns as they are, in one pass; all
+    rows where there is no model."""
     at = docs.columns.index(text_col)
 
     def run(batches):

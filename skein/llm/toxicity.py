@@ -44,6 +44,9 @@ IDENTITY_GROUPS = (
     ("mujer", "hombre"), ("mujeres", "hombres"), ("musulmanes", "cristianos"),
 )
 
+#: A feature of fewer labelled toxic texts has no weight.
+MIN_TOXIC = 3
+
 
 def word_features(data: np.ndarray, offsets: np.ndarray):
     """Feature numbers of every word (word, 4-byte and 6-byte beginning) and the row of each."""
@@ -134,7 +137,7 @@ def fit(sample: DataFrame, counts: dict, groups=IDENTITY_GROUPS, l1: float = L1,
     # identity terms always stay
     positive = np.bincount(flat[y[row] == 1], minlength=1 << FEATURE_BITS)
     negative = np.bincount(flat[y[row] == 0], minlength=1 << FEATURE_BITS)
-    keep = (positive >= min(3, max(1, int(y.sum()) // 8))) & (
+    keep = (positive >= MIN_TOXIC) & (
         positive / y.sum() >= 3 * negative / (len(y) - y.sum()))
     swaps: dict[tuple[str, str], int] = {}
     members = {t: [u for u in g if u != t] for g in groups for t in g}

@@ -1,16 +1,16 @@
 """Aggregations and descriptive statistics (A1-A10) plus exact grouped quantiles.
 
-Exact quantiles never gather a group in one task: values are ranked with
-``with_positions`` (range partitioned), and only the rows at the needed ranks
-survive to a final tiny aggregate. ``exact=False`` uses ``percentile_approx``.
+Exact quantiles neither sort nor gather a group: counting passes narrow down the needed
+ranks (``quantiles.exact_quantiles``). ``exact=False`` uses ``percentile_approx``.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.operators.positions import with_positions
+from skein.operators.quantiles import exact_quantiles
 from skein.operators.sizing import bounded_collect, join_small
 from skein.spec import PanelSpec
 
@@ -28,26 +28,14 @@ def group_quantiles(df: DataFrame, group_cols, cols, probs, exact: bool = True,
     """(group..., column, prob, value): linear-interpolated quantiles, nulls ignored."""
     group_cols = list(group_cols)
     probs = [float(p) for p in probs]
-    long = melt(df, cols, group_cols)
     if not exact:
+        long = melt(df, cols, group_cols)
         q = long.groupBy(*group_cols, "column_name").agg(
             F.percentile_approx("value", probs, accuracy).alias("_qs"))
         return q.select(*group_cols, "column_name",
                         F.posexplode("_qs").alias("_i", "value")).select(
             *group_cols, "column_name", F.get(F.array(*[F.lit(p) for p in probs]), F.col("_i")).alias("prob"), "value")
-    ranked = with_positions(long, [*group_cols, "column_name"], ["value"], pos_col="_r", count_col="_n")
-    prob = F.explode(F.array(*[F.lit(p) for p in probs])).alias("prob")
-    staged = ranked.select(*group_cols, "column_name", "value", "_r", "_n", prob)
-    h = (F.col("_n") - 1) * F.col("prob")
-    lo, hi = F.floor(h), F.ceil(h)
-    picked = staged.where((F.col("_r") == lo) | (F.col("_r") == hi)).select(
-        *group_cols, "column_name", "prob", "value", "_r", h.alias("_h"), lo.alias("_lo"), hi.alias("_hi"))
-    agg = picked.groupBy(*group_cols, "column_name", "prob").agg(
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("value"))).alias("_xl"),
-        F.max(F.when(F.col("_r") == F.col("_hi"), F.col("value"))).alias("_xh"),
-        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"))
-    val = F.col("_xl") + (F.col("_h") - F.col("_lo")) * (F.col("_xh") - F.col("_xl"))
-    return agg.select(*group_cols, "column_name", "prob", val.alias("value"))
+    return exact_quantiles(df, group_cols, cols, probs)
 
 
 def _quartile_cols(names):
@@ -80,12 +68,16 @@ def time_span(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
 
 def describe(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     """A4: transposed describe: count, mean, std (ddof 1), min, 25/50/75 %, max per column."""
-    long = melt(df, cols)
-    moments = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    q = group_quantiles(df, [], cols, [0.25, 0.5, 0.75], exact=exact)
+    wide = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        moments = melt(wide, cols).groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
+            F.max("value").alias("max"))
+        moments = df.sparkSession.createDataFrame(moments.collect(), moments.schema)  # a row for each column
+        q = group_quantiles(wide, [], cols, [0.25, 0.5, 0.75], exact=exact)
+    finally:
+        wide.unpersist()
     qw = q.groupBy("column_name").agg(*_quartile_cols(["p25", "p50", "p75"]))
     return moments.join(qw, "column_name", "left").select(
         "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")

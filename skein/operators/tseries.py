@@ -11,7 +11,7 @@
 * T6: multi-step forecast: exogenous part scored per row in parallel, then a native
   ``aggregate`` fold over each market's horizon rows (bounded by ``steps``).
 
-Driver work grows with markets x k², never with rows.
+Solves run in tasks, one Gram row for a market (``_solve_rows``); the driver sees one number, the longest lag.
 """
 
 from __future__ import annotations
@@ -19,14 +19,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.operators.distributions import norm_cdf
 from skein.operators.gram import centred, grouped_gram, unpack
-from skein.operators.linear import solve_linear
-from skein.operators.sizing import bounded_collect, join_small
+from skein.operators.linear import RCOND, solve_linear
+from skein.operators.sizing import join_small
 from skein.operators.windows import window_features
+from skein.session import ensure_checkpoint_dir
 from skein.spec import PanelSpec
 
 # -- MacKinnon (1994) approximate p-value, regression with constant, one series. ---
@@ -90,61 +93,91 @@ def adf_by_market(df: DataFrame, spec: PanelSpec = PanelSpec(), col: str | None
     Lag order by AIC over 0..maxlag on a common sample (``fixed_lag`` skips the search).
     """
     col = col or spec.target
-    spark = df.sparkSession
     series = df.where(F.col(spec.market).isNotNull() & F.col(col).isNotNull())
-    counts = bounded_collect(series.groupBy(spec.market).count(), 20_000)
-    if counts is None:
-        raise ValueError("too many markets for the driver-side ADF solve")
-    maxlag = {r[0]: adf_maxlag(int(r[1])) for r in counts if adf_maxlag(int(r[1])) >= 0}
+    n = F.col("_rows")
+    by_size = F.least(F.ceil(12.0 * F.pow(n / 100.0, F.lit(0.25))), F.floor(n / 2) - 2).cast("int")
+    lags = series.groupBy(spec.market).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_ml", by_size).where("_ml >= 0")
     if fixed_lag is not None:
-        maxlag = {m: fixed_lag for m in maxlag}
-    if not maxlag:
-        return spark.createDataFrame([], f"{spec.market} string, adf_stat double, p_value double, "
-                                          "used_lag int, n_obs long, stationary boolean")
-    L = max(maxlag.values())
+        lags = lags.withColumn("_ml", F.lit(int(fixed_lag)))
+    lags = lags.select(spec.market, "_ml")
+    L = lags.agg(F.max("_ml")).first()[0]
+    if L is None:
+        return df.sparkSession.createDataFrame([], f"{_typed(df, spec)}, {_ADF}")
     frame = _lag_frame(series, spec, col, L, **window_kw)
-    lag_table = spark.createDataFrame(list(maxlag.items()), f"{spec.market} string, _ml int")
-    frame = join_small(frame, lag_table, [spec.market])
     cols = ["_ylag", *[f"_dl{j}" for j in range(1, L + 1)], "_dy"]
-    # Columns beyond a market's own max lag are zero there (outside every sub-block it uses).
-    zeroed = [F.when(F.lit(j) <= F.col("_ml"), F.col(f"_dl{j}")).otherwise(F.lit(0.0)).alias(f"_dl{j}")
-              for j in range(1, L + 1)]
-    common = frame.where(F.element_at("_ylags", F.col("_ml") + 1).isNotNull()).select(
-        spec.market, "_ylag", *zeroed, "_dy")
-    g1 = {} if fixed_lag is not None else {
-        r[spec.market]: unpack(r, L + 2) for r in grouped_gram(common, [spec.market], cols).collect()}
-    best = {m: fixed_lag for m in maxlag} if fixed_lag is not None else {}
-    for m, st in g1.items():
-        ml = maxlag[m]
-        n = st[0]
-        aics = []
-        for p in range(ml + 1):
-            r = _ols_sub(st, list(range(0, p + 1)), L + 1)
-            ssr = r["sse"]
-            aic = n * math.log(ssr / n) + n * (1 + math.log(2 * math.pi)) + 2 * (p + 2) if ssr > 0 else -math.inf
-            aics.append(aic)
-        best[m] = int(np.argmin(aics))
-    best_table = spark.createDataFrame(list(best.items()), f"{spec.market} string, _bl int")
-    refit = join_small(frame, best_table, [spec.market]).where(
-        F.element_at("_ylags", F.col("_bl") + 1).isNotNull())
-    zeroed2 = [F.when(F.lit(j) <= F.col("_bl"), F.col(f"_dl{j}")).otherwise(F.lit(0.0)).alias(f"_dl{j}")
-               for j in range(1, L + 1)]
-    g2 = grouped_gram(refit.select(spec.market, "_ylag", *zeroed2, "_dy"), [spec.market], cols).collect()
-    out = []
-    for row in g2:
-        m = row[spec.market]
-        st = unpack(row, L + 2)
-        p = best[m]
-        r = _ols_sub(st, list(range(0, p + 1)), L + 1)
-        n = r["n"]
-        dfr = n - r["rank"]
+
+    def gram_of(table: DataFrame, last: str) -> DataFrame:
+        """Gram of each market's rows that have all lags up to its ``last``; columns beyond are zero there, outside every
+        block that the market uses."""
+        rows = join_small(frame, table, [spec.market]).where(F.element_at("_ylags", F.col(last) + 1).isNotNull())
+        zeroed = [F.when(F.lit(j) <= F.col(last), F.col(f"_dl{j}")).otherwise(F.lit(0.0)).alias(f"_dl{j}")
+                  for j in range(1, L + 1)]
+        return join_small(grouped_gram(rows.select(spec.market, "_ylag", *zeroed, "_dy"), [spec.market], cols),
+                          table, [spec.market])
+
+    best = lags.withColumnRenamed("_ml", "_bl")
+    if fixed_lag is None:
+        def choose(row):
+            return [(row[spec.market], _aic_order(unpack(row, L + 2), int(row["_ml"])))]
+        best = _solve_rows(gram_of(lags, "_ml"), f"{_typed(df, spec)}, _bl int", choose)
+
+    def test(row):
+        stats, p = unpack(row, L + 2), int(row["_bl"])
+        r = _ols_sub(stats, list(range(0, p + 1)), L + 1)
+        n, dfr = r["n"], r["n"] - r["rank"]
         sigma2 = r["sse"] / dfr if dfr > 0 else float("nan")
         se = math.sqrt(max(sigma2 * r["P"][0, 0] / r["sx"][0] ** 2, 0.0)) if dfr > 0 else float("nan")
         tau = float(r["beta"][0] / se) if se and se > 0 else float("nan")
         pv = mackinnon_p(tau)
-        out.append((m, _f(tau), _f(pv), int(p), int(n), bool(pv < significance) if not math.isnan(pv) else None))
-    return spark.createDataFrame(out, f"{spec.market} string, adf_stat double, p_value double, "
-                                      "used_lag int, n_obs long, stationary boolean")
+        return [(row[spec.market], _f(tau), _f(pv), p, int(n), bool(pv < significance) if not math.isnan(pv) else None)]
+
+    return _solve_rows(gram_of(best, "_bl"), f"{_typed(df, spec)}, {_ADF}", test)
+
+
+_ADF = "adf_stat double, p_value double, used_lag int, n_obs long, stationary boolean"
+
+
+def _typed(df: DataFrame, spec: PanelSpec) -> str:
+    return f"`{spec.market}` {df.schema[spec.market].dataType.simpleString()}"
+
+
+def _solve_rows(gram: DataFrame, schema: str, solve) -> DataFrame:
+    """``solve(row)`` of every Gram row, in tasks: a market's solve never reaches the driver. The result is small (a few
+    rows for each market) and checkpointed, so that later plans read it instead of solving again."""
+    ensure_checkpoint_dir(gram.sparkSession)
+    names = T._parse_datatype_string(schema).names
+
+    def run(it):
+        for pdf in it:
+            out = [rec for row in pdf.to_dict("records") for rec in solve(row)]
+            if out:
+                yield pd.DataFrame(out, columns=names).astype(object).where(lambda x: x.notna(), None)
+
+    return gram.mapInPandas(run, schema).checkpoint(eager=True)
+
+
+def nested_factor(C: np.ndarray, k: int) -> np.ndarray:
+    """Cholesky factor of a centred Gram, grown column by column over the first ``k`` columns. Row i's entries up to column
+    j tell what the first j + 1 columns explain of column i: its remaining sum of squares is C[i, i] - sum of their squares,
+    so one factor serves every nested order. A column that the ones before explain is skipped (a zero column)."""
+    m = len(C)
+    out = np.zeros((m, k))
+    for j in range(k):
+        rest = C[j:, j] - out[j:, :j] @ out[j, :j]
+        if rest[0] > RCOND * max(C[j, j], 1e-300):
+            out[j:, j] = rest / math.sqrt(rest[0])
+    return out
+
+
+def _aic_order(stats, ml: int) -> int:
+    """Lag order of smallest AIC over 0..ml on one sample, from one factor of all lags."""
+    n, _, scale, _, _, s, G = stats
+    used = [*range(ml + 1), len(s) - 1]
+    C = centred(n, s, G)[np.ix_(used, used)]
+    left = np.maximum(C[-1, -1] - np.cumsum(nested_factor(C, ml + 1)[-1] ** 2), 0.0) * scale[-1] ** 2
+    aic = [n * math.log(v / n) + n * (1 + math.log(2 * math.pi)) + 2 * (p + 2) if v > 0 else -math.inf
+           for p, v in enumerate(left)]
+    return int(np.argmin(aic))
 
 
 def difference_if_needed(df: DataFrame, spec: PanelSpec = PanelSpec(), col: str | None = None,
@@ -181,37 +214,26 @@ def select_lag_order(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, m
     lagged, lag_cols = _lag_block(series, spec, endog, maxlags, **window_kw)
     sample = lagged.dropna(subset=lag_cols)
     cols = [*lag_cols, *endog]
-    rows = grouped_gram(sample, [spec.market], cols).collect()
-    out = []
-    for row in rows:
-        st = unpack(row, len(cols))
-        n, mean, scale, mn, mx, s, G = st
+
+    def orders(row):
+        n, _, scale, _, _, s, G = unpack(row, len(cols))
         C = centred(n, s, G)
-        yi = list(range(len(lag_cols), len(cols)))
-        Cyy = C[np.ix_(yi, yi)]
-        sy = scale[yi]
+        q = len(lag_cols)
+        factor, sy, out = nested_factor(C, q)[q:], scale[q:], []
         for p in range(maxlags + 1):
-            xi = list(range(p * k))
-            if xi:
-                Cxx = C[np.ix_(xi, xi)]
-                Cxy = C[np.ix_(xi, yi)]
-                resid = Cyy - Cxy.T @ np.linalg.pinv(Cxx, rcond=1e-12, hermitian=True) @ Cxy
-            else:
-                resid = Cyy
-            sigma = resid * np.outer(sy, sy) / n
-            sign, ld = np.linalg.slogdet(sigma)
+            resid = C[q:, q:] - factor[:, :p * k] @ factor[:, :p * k].T
+            sign, ld = np.linalg.slogdet(resid * np.outer(sy, sy) / n)
             if sign <= 0:
                 out.append((row[spec.market], p, None, None, None, None))
                 continue
-            free = p * k * k + k
-            dfm = k * p + 1
-            aic = ld + 2.0 / n * free
-            bic = ld + math.log(n) / n * free
-            hqic = ld + 2.0 * math.log(math.log(n)) / n * free
+            free, dfm = p * k * k + k, k * p + 1
             fpe = ((n + dfm) / (n - dfm)) ** k * math.exp(ld) if n > dfm else None
-            out.append((row[spec.market], p, _f(aic), _f(bic), _f(hqic), _f(fpe)))
-    return df.sparkSession.createDataFrame(
-        out, f"{spec.market} string, p int, aic double, bic double, hqic double, fpe double")
+            out.append((row[spec.market], p, _f(ld + 2.0 / n * free), _f(ld + math.log(n) / n * free),
+                        _f(ld + 2.0 * math.log(math.log(n)) / n * free), _f(fpe)))
+        return out
+
+    return _solve_rows(grouped_gram(sample, [spec.market], cols),
+                       f"{_typed(df, spec)}, p int, aic double, bic double, hqic double, fpe double", orders)
 
 
 # -- T5 ------------------------------------------------------------------------
@@ -235,48 +257,36 @@ def fit_varx(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, exog=VARX
     sample = lagged.dropna(subset=lag_cols)
     regs = [*lag_cols, *exog]
     cols = [*regs, *endog]
-    markets = [r[0] for r in series.select(spec.market).distinct().collect()]
-    rows = {r[spec.market]: r for r in grouped_gram(sample, [spec.market], cols).collect()}
-    coefs, models = [], []
     nr = len(regs)
-    for m in sorted(markets):
-        row = rows.get(m)
-        if row is None or row["n"] <= nr + 1:
-            models.append((m, "failed", int(row["n"]) if row is not None else 0, None, None))
-            continue
+
+    def solve(row):
+        """One record for a market: status, counts, criteria and its coefficients."""
+        m, n = row[spec.market], int(row["n"])
+        if n <= nr + 1:
+            return [(m, "failed", n, None, None, [])]
         st = unpack(row, len(cols))
-        n = st[0]
-        resid = np.zeros((k, k))
-        ok = True
-        eq_out = []
+        eqs = []
         for e in range(k):
             r = _ols_sub(st, list(range(nr)), nr + e)
             if r["rank"] < nr + 1:
-                ok = False
-                break
-            eq_out.append((endog[e], "const", float(r["intercept"])))
-            eq_out += [(endog[e], regs[j], float(b)) for j, b in enumerate(r["beta"])]
-        if not ok:
-            models.append((m, "failed", int(n), None, None))
-            continue
-        # Residual covariance from the same Gram.
-        n_, mean, scale, mn, mx, s, G = st
-        C = centred(n_, s, G)
-        xi = list(range(nr))
-        yi = list(range(nr, nr + k))
-        resid = C[np.ix_(yi, yi)] - C[np.ix_(xi, yi)].T @ np.linalg.pinv(C[np.ix_(xi, xi)], rcond=1e-12,
-                                                                         hermitian=True) @ C[np.ix_(xi, yi)]
-        sigma = resid * np.outer(scale[yi], scale[yi]) / n
-        sign, ld = np.linalg.slogdet(sigma)
+                return [(m, "failed", n, None, None, [])]
+            eqs.append((endog[e], "const", float(r["intercept"])))
+            eqs += [(endog[e], regs[j], float(b)) for j, b in enumerate(r["beta"])]
+        _, _, scale, _, _, s, G = st
+        C = centred(n, s, G)
+        factor = nested_factor(C, nr)[nr:]
+        resid = C[nr:, nr:] - factor @ factor.T
+        sign, ld = np.linalg.slogdet(resid * np.outer(scale[nr:], scale[nr:]) / n)
         n_params = k * (nr + 1) + k * (k + 1) // 2
         llf = -n / 2.0 * (k * math.log(2 * math.pi) + ld + k) if sign > 0 else float("nan")
-        models.append((m, "ok", int(n), _f(-2 * llf + 2 * n_params), _f(-2 * llf + math.log(n) * n_params)))
-        coefs += [(m, *c) for c in eq_out]
-    spark = df.sparkSession
-    coef_df = spark.createDataFrame(coefs, f"{spec.market} string, equation string, regressor string, coef double")
-    model_df = spark.createDataFrame(models, f"{spec.market} string, status string, n_obs long, "
-                                             "aic double, bic double")
-    return coef_df, model_df
+        return [(m, "ok", n, _f(-2 * llf + 2 * n_params), _f(-2 * llf + math.log(n) * n_params), eqs)]
+
+    solved = _solve_rows(grouped_gram(sample, [spec.market], cols),
+                         f"{_typed(df, spec)}, status string, n_obs long, aic double, bic double, "
+                         "coefs array<struct<equation:string,regressor:string,coef:double>>", solve)
+    models = series.select(spec.market).distinct().join(solved.drop("coefs"), spec.market, "left").withColumn(
+        "status", F.coalesce("status", F.lit("failed"))).fillna(0, "n_obs")
+    return solved.select(spec.market, F.inline("coefs")), models
 
 
 # -- T6 ------------------------------------------------------------------------

@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,6 +156,78 @@ def ols_summary(df: DataFrame, group_cols, features, target: str = "target",
     return _fit(df, group_cols, features, target, "ols", 0.0, const_rule, True)
 
 
+def residual_tests(df: DataFrame, group_cols, features, target: str = "target", order_cols=(),
+                   const_rule: bool = True) -> DataFrame:
+    """L2: residual diagnostics of the OLS fit per group: (group..., n_obs, durbin_watson, skew, kurtosis, jarque_bera,
+    jb_p_value).
+
+    Durbin-Watson needs neighbours in ``order_cols`` (which should order a group's rows totally). Rows are range
+    partitioned by group and order, so a large group spreads over many tasks; a task keeps one group's sums at a time and
+    reports its first and last residual, and the differences across tasks follow from that small table. A group with
+    residuals of zero has NULL tests.
+    """
+    group_cols, features, order_cols = list(group_cols), list(features), list(order_cols)
+    clean = df.dropna(subset=[*features, target])
+    coefs = fit_ols(clean, group_cols, features, target, const_rule)
+    scored = score_linear(clean, coefs, group_cols, features, pred="_pred")
+    names = [f"_g{i}" for i in range(len(group_cols))]
+    rows = scored.select(*[F.col(c).alias(n) for c, n in zip(group_cols, names)], *order_cols,
+                         (F.col(target).cast("double") - F.col("_pred")).alias("_e"))
+    keys = [F.col(c).asc_nulls_last() for c in [*names, *order_cols]]
+    if keys:
+        rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = rows.select(*names, "_e", F.spark_partition_id().alias("_part"))
+    parts_schema = T.StructType([T.StructField(n, df.schema[c].dataType) for c, n in zip(group_cols, names)] + [
+        T.StructField("_part", T.IntegerType()), T.StructField("_n", T.LongType())] + [
+        T.StructField(c, T.DoubleType()) for c in ("_s1", "_s2", "_s3", "_s4", "_d2", "_first", "_last")])
+    parts = rows.mapInPandas(_residual_sums(names), parts_schema)
+    order = (Window.partitionBy(*names) if names else Window.partitionBy()).orderBy("_part")
+    across = F.coalesce(F.pow(F.col("_first") - F.lag("_last").over(order), F.lit(2)), F.lit(0.0))
+    total = parts.withColumn("_d2", F.col("_d2") + across).groupBy(*names).agg(
+        F.sum("_n").alias("n_obs"), *[F.sum(c).alias(c) for c in ("_s1", "_s2", "_s3", "_s4", "_d2")])
+    n, mean = F.col("n_obs"), F.col("_s1") / F.col("n_obs")
+    raw = [F.col(f"_s{i}") / n for i in (2, 3, 4)]
+    m2 = raw[0] - mean * mean
+    m3 = raw[1] - 3 * mean * raw[0] + 2 * F.pow(mean, F.lit(3))
+    m4 = raw[2] - 4 * mean * raw[1] + 6 * mean * mean * raw[0] - 3 * F.pow(mean, F.lit(4))
+    out = total.withColumn("skew", F.when(m2 > 0, m3 / F.pow(m2, F.lit(1.5)))).withColumn(
+        "kurtosis", F.when(m2 > 0, m4 / (m2 * m2))).withColumn("durbin_watson", F.when(F.col("_s2") > 0, F.col("_d2") / F.col("_s2")))
+    jb = n / 6.0 * (F.col("skew") * F.col("skew") + F.pow(F.col("kurtosis") - 3, F.lit(2)) / 4)
+    return out.select(*[F.col(x).alias(c) for c, x in zip(group_cols, names)], "n_obs", "durbin_watson", "skew", "kurtosis",
+                      jb.alias("jarque_bera"), F.exp(-jb / 2).alias("jb_p_value"))
+
+
+def _residual_sums(names):
+    """Of each task's sorted rows, per group: count, power sums of the residual, squared differences of neighbours, and
+    the first and last residual."""
+    columns = [*names, "_part", "_n", "_s1", "_s2", "_s3", "_s4", "_d2", "_first", "_last"]
+
+    def run(it):
+        now = key = None
+        for pdf in it:
+            codes = pdf[names].apply(tuple, axis=1).tolist() if names else [()] * len(pdf)
+            e_all, part = pdf["_e"].to_numpy(dtype=np.float64), int(pdf["_part"].iloc[0]) if len(pdf) else 0
+            cut = [i for i in range(len(codes)) if not i or not _same(codes[i], codes[i - 1])]
+            for lo, hi in zip(cut, [*cut[1:], len(codes)]):
+                e = e_all[lo:hi]
+                sums = [hi - lo, *[(e ** p).sum() for p in (1, 2, 3, 4)], (np.diff(e) ** 2).sum()]
+                if now is not None and _same(codes[lo], key):
+                    sums[-1] += (e[0] - now[-1]) ** 2
+                    now = [a + b for a, b in zip(now[:6], sums)] + [now[6], e[-1]]
+                else:
+                    if now is not None:
+                        yield pd.DataFrame([[*key, part, *now]], columns=columns)
+                    key, now = codes[lo], [*sums, e[0], e[-1]]
+        if now is not None:
+            yield pd.DataFrame([[*key, part, *now]], columns=columns)
+
+    return run
+
+
+def _same(a: tuple, b: tuple) -> bool:
+    return all(x == y or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+
+
 def fit_ridge(df: DataFrame, group_cols, features, target: str = "target", alpha: float = 1.0) -> DataFrame:
     """L4: Ridge (penalty alpha * ||w||², features not scaled, intercept free) per group."""
     return _fit(df, group_cols, features, target, "ridge", float(alpha), False, False)

@@ -28,6 +28,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from skein.operators.evaluate import metric_exprs, null_inputs
 from skein.operators.positions import with_positions
+from skein.spec import KERNEL_GRID, SGD_GRID
 
 CONST = "const"
 
@@ -94,37 +95,36 @@ def _sum_partials(parts: DataFrame, n_parts: int, size: int) -> np.ndarray:
 
 def _solve_batch(prepared: DataFrame, k: int, alphas_eps, cuts, max_iter: int = 60, tol: float = 1e-7,
                  delta: float = 1e-9, featurize=None):
-    """Fit every model (alpha, eps, row range) together; returns thetas (M x (k+1)) and objectives."""
-    M = len(alphas_eps)
-    k1 = k + 1
-    thetas = np.zeros((M, k1))
+    """Fit every model (alpha, eps, row range) together. A model whose objective has settled leaves the later passes.
+
+    Returns thetas (M x (k+1)), objectives and whether each model settled within ``max_iter`` passes."""
+    M, k1 = len(alphas_eps), k + 1
+    thetas, obj = np.zeros((M, k1)), np.full(M, np.inf)
+    settled = np.zeros(M, bool)
     alphas = np.array([a for a, _ in alphas_eps], dtype=float)
-    D0 = np.eye(k1); D0[0, 0] = 0.0
-    prev = np.full(M, np.inf)
-    obj = np.full(M, np.inf)
-    first = True
-    for _ in range(max_iter):
-        run = _kernel(k, thetas, alphas_eps, cuts, delta, init=first, featurize=featurize)
-        parts = prepared.mapInPandas(run, "_v array<double>")
-        cells = _sum_partials(parts, prepared.rdd.getNumPartitions(), M * k1 * k1 + M * k1 + 2 * M)
-        o = 0
-        A = cells[o:o + M * k1 * k1].reshape(M, k1, k1); o += M * k1 * k1
-        B = cells[o:o + M * k1].reshape(M, k1); o += M * k1
-        loss = cells[o:o + M]; o += M
-        cnt = np.maximum(cells[o:o + M], 1.0)
-        if not first:
-            obj = loss / cnt + 0.5 * alphas * np.sum(thetas[:, 1:] ** 2, axis=1)
-            done = np.abs(prev - obj) <= tol * np.maximum(np.abs(obj), 1e-12)
-            prev = obj
-            if done.all():
+    D0 = np.eye(k1)
+    D0[0, 0] = 0.0
+    n_parts = prepared.rdd.getNumPartitions()
+    for step in range(max_iter):
+        live = np.flatnonzero(~settled)
+        m = len(live)
+        run = _kernel(k, thetas[live], [alphas_eps[i] for i in live], [cuts[i] for i in live], delta, init=step == 0,
+                      featurize=featurize)
+        cells = _sum_partials(prepared.mapInPandas(run, "_v array<double>"), n_parts, m * k1 * k1 + m * k1 + 2 * m)
+        A, B, loss, cnt = np.split(cells, np.cumsum([m * k1 * k1, m * k1, m]))
+        A, B, cnt = A.reshape(m, k1, k1), B.reshape(m, k1), np.maximum(cnt, 1.0)
+        going = np.ones(m, bool)
+        if step:
+            now = loss / cnt + 0.5 * alphas[live] * np.sum(thetas[live, 1:] ** 2, axis=1)
+            going = np.abs(obj[live] - now) > tol * np.maximum(np.abs(now), 1e-12)
+            obj[live] = now
+            settled[live[~going]] = True
+            if not going.any():
                 break
-        new = np.empty_like(thetas)
-        for m in range(M):
-            lhs = A[m] / cnt[m] + alphas[m] * D0
-            new[m] = np.linalg.lstsq(lhs, B[m] / cnt[m], rcond=None)[0]
-        thetas = new
-        first = False
-    return thetas, obj
+        for j in np.flatnonzero(going):
+            lhs = A[j] / cnt[j] + alphas[live[j]] * D0
+            thetas[live[j]] = np.linalg.lstsq(lhs, B[j] / cnt[j], rcond=None)[0]
+    return thetas, obj, settled
 
 
 def _prepare(df: DataFrame, features, target: str, order_cols):
@@ -148,7 +148,7 @@ def train_linear_svr(df: DataFrame, features, target: str = "target", alpha: flo
     features = list(features)
     prepared, n = _prepare(df, features, target, list(order_cols or [*features, target]))
     try:
-        thetas, _ = _solve_batch(prepared, len(features), [(alpha, epsilon)], [(0, n)], max_iter)
+        thetas, _, _ = _solve_batch(prepared, len(features), [(alpha, epsilon)], [(0, n)], max_iter)
     finally:
         prepared.unpersist()
     return _coef_table(df.sparkSession, features, thetas[0])
@@ -164,6 +164,12 @@ def time_series_folds(n: int, n_splits: int = 3):
     return out
 
 
+def _known_keys(grid: dict, known) -> None:
+    unknown = sorted(set(grid) - set(known))
+    if unknown:
+        raise ValueError(f"Unknown grid keys: {unknown}; known are {list(known)}")
+
+
 def grid_search(df: DataFrame, features, target: str = "target", param_grid: dict | None = None,
                 n_splits: int = 3, order_cols=None, max_iter: int = 60):
     """Grid × TimeSeriesSplit(n_splits), scored by MAE, best refit on all rows.
@@ -173,8 +179,8 @@ def grid_search(df: DataFrame, features, target: str = "target", param_grid: dic
     the optimum here). Returns (coefficients of the refit best model, cv table).
     """
     features = list(features)
-    grid = param_grid or {"alpha": [1e-5, 1e-4, 1e-3, 1e-2], "epsilon": [0.01, 0.05, 0.1, 0.5],
-                          "learning_rate": ["invscaling", "adaptive"], "eta0": [0.001, 0.01, 0.1]}
+    grid = param_grid or SGD_GRID
+    _known_keys(grid, ("alpha", "epsilon", "learning_rate", "eta0"))
     keys = list(grid)
     candidates = [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
     objectives = list(dict.fromkeys((float(c.get("alpha", 1e-4)), float(c.get("epsilon", 0.1)))
@@ -184,7 +190,8 @@ def grid_search(df: DataFrame, features, target: str = "target", param_grid: dic
         folds = time_series_folds(n, n_splits)
         ae = [ob for ob in objectives for _ in folds]
         cuts = [tr for _ in objectives for tr, _ in folds]
-        thetas, _ = _solve_batch(prepared, len(features), ae, cuts, max_iter)
+        thetas, _, settled = _solve_batch(prepared, len(features), ae, cuts, max_iter)
+        settled = settled.reshape(len(objectives), len(folds)).all(axis=1)
         # Score pass: MAE of each (objective, fold) model on its test rows, in one aggregate.
         th = F.array(*[F.array(*[F.lit(float(v)) for v in t]) for t in thetas])
         pred = [F.aggregate(F.zip_with(F.col("_x"), F.slice(th[m], 2, len(features)), lambda x, w: x * w),
@@ -205,17 +212,17 @@ def grid_search(df: DataFrame, features, target: str = "target", param_grid: dic
         scores = [mean_mae[oi] for _, oi in rows]
         best = int(np.argmin(scores))
         best_obj = objectives[rows[best][1]]
-        final, _ = _solve_batch(prepared, len(features), [best_obj], [(0, n)], max_iter)
+        final, _, _ = _solve_batch(prepared, len(features), [best_obj], [(0, n)], max_iter)
     finally:
         prepared.unpersist()
     ranks = pd.Series(scores).rank(method="min").astype(int).tolist()
     cv = [(str(c), float(c.get("alpha", 1e-4)), float(c.get("epsilon", 0.1)),
-           *[float(x) for x in mae[oi]], float(mean_mae[oi]), int(rk))
+           *[float(x) for x in mae[oi]], float(mean_mae[oi]), int(rk), bool(settled[oi]))
           for (c, oi), rk in zip(rows, ranks)]
     spark = df.sparkSession
     fold_cols = ", ".join(f"mae_fold{i} double" for i in range(len(folds)))
     cv_df = spark.createDataFrame(cv, f"params string, alpha double, epsilon double, {fold_cols}, "
-                                      "mean_mae double, rank int")
+                                      "mean_mae double, rank int, converged boolean")
     return _coef_table(spark, features, final[0]), cv_df
 
 
@@ -267,8 +274,8 @@ def train_rbf_svr(df: DataFrame, features, target: str = "target", C: float = 10
     prepared, n = _prepare(rows, features, target, list(order_cols or [*features, target]))
     try:
         alpha = 1.0 / (C * max(n, 1))
-        thetas, _ = _solve_batch(prepared, n_components, [(alpha, epsilon)], [(0, n)], max_iter,
-                                 featurize=fmap)
+        thetas, _, _ = _solve_batch(prepared, n_components, [(alpha, epsilon)], [(0, n)], max_iter,
+                                    featurize=fmap)
     finally:
         prepared.unpersist()
     return _coef_table(df.sparkSession, fmap.names, thetas[0]), fmap
@@ -294,6 +301,81 @@ def predict_mapped(df: DataFrame, features, fmap, coefs: DataFrame, pred: str =
     return df.mapInPandas(run, out_schema)
 
 
+def _fold_errors(prepared: DataFrame, thetas: np.ndarray, tests, featurize=None) -> np.ndarray:
+    """MAE of each model over its test positions, one pass; NaN where there are none."""
+    M = len(thetas)
+
+    def run(it):
+        total, count = np.zeros(M), np.zeros(M)
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = np.vstack(pdf["_x"].to_numpy()).astype(np.float64)
+            X = X if featurize is None else featurize(X)
+            pos = pdf["_pos"].to_numpy()[:, None]
+            inside = (pos >= np.array([t[0] for t in tests])) & (pos < np.array([t[1] for t in tests]))
+            err = np.abs(pdf["_y"].to_numpy(dtype=np.float64)[:, None] - thetas[:, 0] - X @ thetas[:, 1:].T)
+            total += np.where(inside, err, 0.0).sum(0)
+            count += inside.sum(0)
+        yield pd.DataFrame({"_v": [np.concatenate([total, count]).tolist()]})
+
+    cells = _sum_partials(prepared.mapInPandas(run, "_v array<double>"), prepared.rdd.getNumPartitions(), 2 * M)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return cells[:M] / cells[M:]
+
+
+def kernel_grid_search(df: DataFrame, features, target: str = "target", param_grid: dict | None = None,
+                       n_splits: int = 3, n_components: int = 100, seed: int = 42, order_cols=None, max_iter: int = 60):
+    """Grid over kernel, C, epsilon and gamma x TimeSeriesSplit(n_splits), scored by MAE, best refit on all rows.
+
+    Every gamma has one random Fourier map, shared by all its C, epsilon and folds, which are fitted in one batch of
+    passes; 'linear' is the batch without a map, and gamma does not move it. The penalty follows the fold's own training
+    rows (alpha = 1 / (C n)). Unknown grid keys and kernels raise. Returns (coefficients of the refit best model, its
+    feature map or None, cv table with ``converged``). Kernel values carry an error of about 1 / sqrt(n_components).
+    """
+    features, grid = list(features), dict(param_grid or KERNEL_GRID)
+    _known_keys(grid, ("kernel", "C", "epsilon", "gamma"))
+    defaults = {"kernel": ["rbf"], "C": [10.0], "epsilon": [0.1], "gamma": ["scale"]}
+    axes = {k: list(grid.get(k, v)) for k, v in defaults.items()}
+    if bad := sorted(set(axes["kernel"]) - {"rbf", "linear"}):
+        raise ValueError(f"Unknown kernels: {bad}")
+    candidates = [dict(zip(axes, v)) for v in itertools.product(*axes.values())]
+    rows = df.dropna(subset=[*features, target])
+    gammas = {g: resolve_gamma(rows, features, g) for g in axes["gamma"]} if "rbf" in axes["kernel"] else {}
+    maps = {None: None} | {g: RandomFourierMap(len(features), n_components, v, seed) for g, v in gammas.items()}
+    prepared, n = _prepare(rows, features, target, list(order_cols or [*features, target]))
+    try:
+        folds, scored = time_series_folds(n, n_splits), {}
+        for g, fmap in maps.items():
+            mine = list(dict.fromkeys((c["C"], c["epsilon"]) for c in candidates
+                                      if (None if c["kernel"] == "linear" else c["gamma"]) == g))
+            if not mine:
+                continue
+            models = [(1.0 / (C * max(train[1] - train[0], 1)), eps) for C, eps in mine for train, _ in folds]
+            width = len(features) if fmap is None else n_components
+            thetas, _, settled = _solve_batch(prepared, width, models, [train for _ in mine for train, _ in folds], max_iter,
+                                              featurize=fmap)
+            mae = _fold_errors(prepared, thetas, [test for _ in mine for _, test in folds], fmap).reshape(-1, len(folds))
+            settled = settled.reshape(-1, len(folds)).all(axis=1)
+            scored |= {(g, *ce): (mae[i], bool(settled[i])) for i, ce in enumerate(mine)}
+        keys = [(None if c["kernel"] == "linear" else c["gamma"], c["C"], c["epsilon"]) for c in candidates]
+        means = np.array([scored[k][0].mean() for k in keys])
+        best = int(np.nanargmin(means))
+        g, C, eps = keys[best]
+        width = len(features) if maps[g] is None else n_components
+        final, _, _ = _solve_batch(prepared, width, [(1.0 / (C * max(n, 1)), eps)], [(0, n)], max_iter, featurize=maps[g])
+    finally:
+        prepared.unpersist()
+    ranks = pd.Series(means).rank(method="min").astype(int)
+    table = [(c["kernel"], float(c["C"]), float(c["epsilon"]), str(c["gamma"]), *[float(x) for x in scored[k][0]], float(m),
+              int(r), scored[k][1]) for c, k, m, r in zip(candidates, keys, means, ranks)]
+    fold_cols = ", ".join(f"mae_fold{i} double" for i in range(len(folds)))
+    cv = df.sparkSession.createDataFrame(
+        table, f"kernel string, C double, epsilon double, gamma string, {fold_cols}, mean_mae double, rank int, "
+               "converged boolean")
+    return _coef_table(df.sparkSession, features if maps[g] is None else maps[g].names, final[0]), maps[g], cv
+
+
 # -- L11 -----------------------------------------------------------------------
 
 def predict_linear(df: DataFrame, coefs: DataFrame, pred: str = "pred") -> DataFrame:

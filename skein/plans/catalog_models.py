@@ -89,6 +89,27 @@ def l2_ols_summary_k(spark, sf):
     return linear.ols_summary(_train(spark, sf), ["market"], P2F, "target")
 
 
+_RESIDUALS = (
+    f"fit AS (SELECT market, regr_intercept(target, {X1C}) AS c0, regr_slope(target, {X1C}) AS c1 FROM {_TR} WHERE {_ONE}"
+    f" GROUP BY market), res AS (SELECT t.market, t.delivery_start, t.id, t.target - f.c0 - f.c1 * t.{X1C} AS e"
+    f" FROM (SELECT * FROM {_TR} WHERE {_ONE}) t JOIN fit f ON t.market = f.market),"
+    " steps AS (SELECT market, e, e - lag(e) OVER (PARTITION BY market ORDER BY delivery_start, id) AS d FROM res),"
+    " centred AS (SELECT market, e, d, e - avg(e) OVER (PARTITION BY market) AS z FROM steps),"
+    " mom AS (SELECT market, count(*) AS n_obs, sum(d * d) / sum(e * e) AS dw, avg(z * z) AS m2, avg(z * z * z) AS m3,"
+    " avg(z * z * z * z) AS m4 FROM centred GROUP BY market),"
+    " jb AS (SELECT market, n_obs, dw, m3 / (m2 * sqrt(m2)) AS skew, m4 / (m2 * m2) AS kurtosis FROM mom)")
+
+
+@query("l2_residual_tests", with_p2(
+    f"SELECT market, n_obs, {rnd('dw')} AS durbin_watson, {rnd('skew')} AS skew, {rnd('kurtosis')} AS kurtosis,"
+    " floor(n_obs / 6.0 * (skew * skew + (kurtosis - 3) * (kurtosis - 3) / 4) * 100 + 0.5) / 100 AS jarque_bera FROM jb",
+    extra=_RESIDUALS))
+def l2_residual_tests(spark, sf):
+    t = linear.residual_tests(_train(spark, sf), ["market"], [X1C], "target", ["delivery_start", "id"])
+    return t.select("market", "n_obs", r4("durbin_watson").alias("durbin_watson"), r4("skew").alias("skew"),
+                    r4("kurtosis").alias("kurtosis"), (F.floor(F.col("jarque_bera") * 100 + 0.5) / 100).alias("jarque_bera"))
+
+
 def _l3_sql(grouped: bool) -> str:
     if grouped:
         coefs = (f"SELECT market, {rnd(f'regr_intercept(target, {X1C})')} AS c0, {rnd(f'regr_slope(target, {X1C})')} AS c1"
@@ -109,7 +130,9 @@ def l3_score_named_coefs(spark, sf):
     return linear.score_linear(test, coefs, ["market"], [X1C]).select("id", "market", "pred")
 
 
-@query("l3_unmodelled_report")
+@query("l3_unmodelled_report", with_p2(
+    f"SELECT market, count(*) AS n_rows FROM p2_test WHERE market NOT IN (SELECT market FROM {_TR} WHERE {_ONE}"
+    " AND market = '1-URGENT') GROUP BY market"))
 def l3_unmodelled_report(spark, sf):
     """Markets of the test rows without a model (here: models fitted on the 1-URGENT market only)."""
     train, test = fx.orders_train_test(spark, sf)
@@ -234,6 +257,13 @@ def l10_rbf_svr(spark, sf):
                              order_cols=["delivery_start", "id"])[0]
 
 
+@query("l10_kernel_grid_search")
+def l10_kernel_grid_search(spark, sf):
+    """The whole default grid: 36 candidates x 3 folds."""
+    return svr.kernel_grid_search(_scaled_train(spark, sf), P2F, "target", n_splits=3,
+                                  order_cols=["delivery_start", "market", "id"])[2]
+
+
 @query("l11_train_evaluate")
 def l11_train_evaluate(spark, sf):
     train = _train(spark, sf).dropna(subset=[*P2F, "target"])

@@ -116,10 +116,10 @@ MONTH_NAMES = ["JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE",
 PRIME_MORNING_HOURS = [7, 8, 9]
 PRIME_NIGHT_HOURS = [17, 18, 19]
 
-# Validation constants of the original submission format (parameters here).
-SUBMISSION_ROWS = 13098
-SUBMISSION_MIN_ID = 133627
-SUBMISSION_MAX_ID = 146778
+# Default search grids.
+SGD_GRID = {"alpha": [1e-5, 1e-4, 1e-3, 1e-2], "epsilon": [0.01, 0.05, 0.1, 0.5],
+            "learning_rate": ["invscaling", "adaptive"], "eta0": [0.001, 0.01, 0.1]}
+KERNEL_GRID = {"kernel": ["rbf", "linear"], "C": [1, 10, 100], "epsilon": [0.01, 0.1, 0.5], "gamma": ["scale", "auto"]}
 
 
 @dataclass(frozen=True)

@@ -71,7 +71,7 @@ def _own_mean_kernel(group_cols, cols, flush_bytes):
     return run
 
 
-def _written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """``df`` as a table below the checkpoint folder: later reads do not run its plan again."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/gram-{uuid.uuid4().hex}"
@@ -99,7 +99,7 @@ def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True, fixed=Non
     schema = T.StructType([f for f in base.schema.fields if f.name in group_cols] + [
         T.StructField("_n", T.LongType()), T.StructField("_m", arr), T.StructField("_c", arr),
         T.StructField("_lo", arr), T.StructField("_hi", arr)])
-    parts = _written(base.mapInPandas(_own_mean_kernel(group_cols, cols, FLUSH_BYTES), schema))
+    parts = written(base.mapInPandas(_own_mean_kernel(group_cols, cols, FLUSH_BYTES), schema))
     idx = F.sequence(F.lit(0), F.lit(k - 1))
     # Group totals: n, mean (n-weighted), min, max.
     tot = parts.groupBy(*group_cols).agg(

@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.operators.distributions import f_sf, t_two_sided_p
-from skein.operators.encode import fit_categories, one_hot
-from skein.operators.gram import centred, grouped_gram, unpack
+from skein.operators.gram import centred, grouped_gram, unpack, written
 from skein.operators.sizing import join_small
 
 CONST = "const"
@@ -234,15 +233,105 @@ def fit_ridge(df: DataFrame, group_cols, features, target: str = "target", alpha
 
 
 def fit_ridge_pooled(df: DataFrame, market: str, features, target: str = "target", alpha: float = 1.0,
-                     categories=None):
-    """One Ridge over all markets with ``market_{v}`` dummies (categories fitted once).
-
-    Returns (coefficients, categories) so the same dummies can be built on other frames.
+                     categories=None) -> DataFrame:
+    """One Ridge over all markets with a dummy ``market_{v}`` for each -> (feature, coef, n_obs).
+
+    No dummy column is built: given the slopes w and the intercept b0, a market's dummy is
+    d = n / (n + alpha) * (mean(y) - b0 - mean(x) w), so the dummies are eliminated from the normal equations. What is
+    left is a k x k system: the cross-products within markets plus those of the market means, weighted by
+    h = n * alpha / (n + alpha). One Gram pass by market gives both, a partial sum per task brings them together, and the
+    dummies follow from the Gram table row by row, so any number of markets is a table.
+
+    Rows whose market is null (or not in ``categories``, where given) have no dummy; a category without rows has a
+    dummy of 0, as penalised least squares gives it. ``alpha=0`` takes the limit of small penalties. No rows, no
+    coefficients.
     """
-    cats = list(categories) if categories is not None else fit_categories(df, market)
-    enc = one_hot(df, market, cats)
-    dummies = [f"{market}_{v}" for v in cats]
-    return fit_ridge(enc, [], [*features, *dummies], target, alpha), cats
+    features = list(features)
+    kf, cols = len(features), [*features, target]
+    known = F.col(market).isNotNull()
+    if categories is not None:
+        known = known & F.col(market).isin(list(categories))
+    keyed = df.dropna(subset=cols).select(
+        known.alias("_dummy"), F.when(known, F.col(market).cast("string")).otherwise("").alias("_market"), *cols)
+    gram = written(grouped_gram(keyed, ["_dummy", "_market"], cols))
+    sums = gram.mapInPandas(_pooled_sums(kf, alpha), "n long, h double, mean array<double>, within array<double>, between array<double>")
+    w, b0, n_obs = _pooled_solution([r.asDict() for r in sums.collect()], kf, alpha)  # one row for each task
+    spark = df.sparkSession
+    schema = "feature string, coef double, n_obs long"
+    if not n_obs:
+        return spark.createDataFrame([], schema)
+    shared = spark.createDataFrame([(n, float(v), n_obs) for n, v in zip([CONST, *features], [b0, *w])], schema)
+    gap = F.col("mean")[kf] - F.lit(float(b0))
+    for i, v in enumerate(w):
+        gap = gap - F.col("mean")[i] * F.lit(float(v))
+    dummies = gram.where("_dummy").select(F.concat(F.lit(f"{market}_"), "_market").alias("feature"),
+                                          (F.col("n") / (F.col("n") + F.lit(float(alpha))) * gap).alias("coef"),
+                                          F.lit(n_obs).alias("n_obs"))
+    if categories is not None:
+        names = spark.createDataFrame([(f"{market}_{v}",) for v in categories], "feature string")
+        dummies = names.join(dummies, "feature", "left").select(
+            "feature", F.coalesce("coef", F.lit(0.0)).alias("coef"), F.lit(n_obs).alias("n_obs"))
+    return shared.unionByName(dummies)
+
+
+def _pooled_sums(kf: int, alpha: float):
+    """Of a task's Gram rows: cross-products within markets, and the weighted mean and cross-products of the market
+    means. Rows without a dummy weigh n, markets n / (n + alpha) times the penalty (times 1 where that is 0)."""
+    def run(it):
+        n_all, h_all, mean, within, between = 0, 0.0, np.zeros(kf + 1), np.zeros((kf + 1,) * 2), np.zeros((kf + 1,) * 2)
+        for pdf in it:
+            for _, row in pdf.iterrows():
+                n, m, scale, _, _, s, G = unpack(row, kf + 1)
+                m = m + scale * s / n
+                within += centred(n, s, G) * np.outer(scale, scale)
+                h = n * (alpha or 1e-9) / (n + alpha) if row["_dummy"] else float(n)
+                d = m - mean
+                between += np.outer(d, d) * (h_all * h / (h_all + h))
+                mean, h_all, n_all = mean + d * (h / (h_all + h)), h_all + h, n_all + n
+        if n_all:
+            yield pd.DataFrame({"n": [n_all], "h": [h_all], "mean": [mean], "within": [within.ravel()],
+                                "between": [between.ravel()]})
+
+    return run
+
+
+def _pooled_solution(parts: list[dict], kf: int, alpha: float):
+    """Slopes, intercept and row count from the tasks' sums."""
+    if not parts:
+        return np.zeros(0), 0.0, 0
+    h_all, mean = 0.0, np.zeros(kf + 1)
+    within, between = np.zeros((kf + 1,) * 2), np.zeros((kf + 1,) * 2)
+    for r in parts:
+        d, h = np.array(r["mean"]) - mean, r["h"]
+        within += np.array(r["within"]).reshape(within.shape)
+        between += np.array(r["between"]).reshape(within.shape) + np.outer(d, d) * (h_all * h / (h_all + h))
+        mean, h_all = mean + d * (h / (h_all + h)), h_all + h
+    C = within + between
+    size = np.sqrt(np.where(np.diag(C)[:kf] > 0, np.diag(C)[:kf], 1.0))  # scaled, so that ranks are told safely
+    A = C[:kf, :kf] / np.outer(size, size) + np.diag(alpha / size ** 2)
+    rhs = C[:kf, kf] / size
+    w = (np.linalg.solve(A, rhs) if alpha > 0 else np.linalg.pinv(A, rcond=RCOND, hermitian=True) @ rhs) / size
+    return w, float(mean[kf] - mean[:kf] @ w), int(sum(r["n"] for r in parts))
+
+
+def score_pooled(df: DataFrame, coefs: DataFrame, market: str, features, pred: str = "pred") -> DataFrame:
+    """Predictions of ``fit_ridge_pooled``'s model: shared coefficients as literals, a market's dummy by a lookup. A null
+    market, or one without a dummy, adds nothing."""
+    features = list(features)
+    shared = coefs.where(F.col("feature").isin([CONST, *features]))
+    key = fresh_name(df, "dummy_of")
+    dummies = coefs.where(~F.col("feature").isin([CONST, *features])).select(
+        F.col("feature").alias(key), F.col("coef").alias(f"{key}_coef"))
+    named = df.withColumn(key, F.concat(F.lit(f"{market}_"), F.col(market).cast("string")))
+    scored = score_linear(join_small(named, dummies, [key], how="left"), shared, [], features, pred)
+    return scored.withColumn(pred, F.col(pred) + F.coalesce(f"{key}_coef", F.lit(0.0))).select(*df.columns, pred)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as make it new among the columns of ``df``."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name = f"_{name}"
+    return name
 
 
 def coef_wide(coefs: DataFrame, group_cols, features) -> DataFrame:

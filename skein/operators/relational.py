@@ -133,5 +133,5 @@ def above(df: DataFrame, col: str, threshold: float) -> DataFrame:
 
 def seeded_sample(df: DataFrame, n: int, id_col: str = "id", seed: int = 42) -> DataFrame:
     """At most ``n`` rows chosen by a seeded hash of the id (same rows on any partitioning)."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
+    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
     return df.orderBy(h, F.col(id_col)).limit(n)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.operators.gram import centred, grouped_gram, unpack
+from skein.operators.gram import centred, grouped_gram, unpack, written
 from skein.operators.positions import with_positions
 from skein.operators.stats import corr_long
 
@@ -117,34 +117,57 @@ def vif_table(df: DataFrame, features) -> DataFrame:
     return df.sparkSession.createDataFrame([(f, float(x)) for f, x in zip(features, v)], "feature string, vif double")
 
 
+def null_pattern_grams(df: DataFrame, features) -> DataFrame:
+    """``pattern, n, cells``: for each pattern of missing values (a string of one digit a feature, 1 where it is missing)
+    its rows and the uncentred cross-products of its rows, missing values as 0. The rows are read once; the Gram of the
+    rows that are complete in any subset of the features is the sum over the patterns without a 1 in the subset."""
+    features = list(features)
+    k = len(features)
+    absent = [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in features]
+    rows = df.select(F.concat(*[F.when(a, "1").otherwise("0") for a in absent]).alias("pattern"),
+                     *[F.when(a, 0.0).otherwise(F.col(c).cast("double")).alias(c) for a, c in zip(absent, features)])
+    g = grouped_gram(rows, ["pattern"], features, center=False)
+    cells = F.transform("g", lambda v, i: v * F.col("scale")[F.floor(i / k).cast("int")] * F.col("scale")[(i % k).cast("int")])
+    return written(g.select("pattern", "n", cells.alias("cells")))
+
+
+def _subset_gram(patterns: DataFrame, k: int, subset: list[int]) -> np.ndarray | None:
+    """The Gram of the ``subset`` of ``k`` features over the rows complete in it; None where there are no such rows."""
+    whole = patterns
+    for i in subset:
+        whole = whole.where(F.substring("pattern", i + 1, 1) == "0")
+    cells = whole.select(F.posexplode("cells").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()  # k²
+    if not cells:
+        return None
+    G = np.zeros(k * k)
+    for r in cells:
+        G[r["i"]] = r["v"]
+    return G.reshape(k, k)[np.ix_(subset, subset)]
+
+
 def vif_filter(df: DataFrame, features, vif_threshold: float = 10.0) -> list[str]:
     """Drop the feature with the highest VIF until every VIF <= threshold.
 
-    Each round uses the rows complete in the *remaining* columns, so when a dropped
-    column had nulls the Gram is recomputed; otherwise sub-blocks are reused.
+    Each round uses the rows complete in the *remaining* columns; its Gram is a sum over the table of null patterns, so
+    the rows are read once however many rounds there are.
     """
-    remaining = list(features)
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in remaining]).first().asDict()
-    base_G = None
-    base_cols = None
-    while True:
-        if len(remaining) <= 1:
-            break
-        need_new = base_G is None or any(nulls[c] > 0 for c in base_cols if c not in remaining)
-        if need_new:
-            rows = df.dropna(subset=remaining)
-            g = grouped_gram(rows, [], remaining, center=False).first()
-            if g is None:
+    features = list(features)
+    patterns = null_pattern_grams(df, features)
+    missing = patterns.agg(*[F.max(F.substring("pattern", i + 1, 1)).alias(f"m{i}") for i in range(len(features))]).first()
+    remaining, G = list(range(len(features))), None
+    while len(remaining) > 1:
+        if G is None:
+            G = _subset_gram(patterns, len(features), remaining)
+            if G is None:
                 break
-            _, _, scale, _, _, _, G = unpack(g, len(remaining))
-            base_G, base_cols = G, list(remaining)
-        idx = [base_cols.index(c) for c in remaining]
-        v = _vifs(base_G[np.ix_(idx, idx)])
+        v = _vifs(G)
         worst = int(np.argmax(v))
         if not (v[worst] > vif_threshold):
             break
-        remaining.pop(worst)
-    return remaining
+        gone = remaining.pop(worst)
+        # without missing values in the dropped feature the remaining rows are the same
+        G = None if missing[gone] == "1" else np.delete(np.delete(G, worst, 0), worst, 1)
+    return [features[i] for i in remaining]
 
 
 # -- X3 -----------------------------------------------------------------------

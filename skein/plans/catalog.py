@@ -7,6 +7,7 @@ fitted values) are rounded identically on both sides with ``rnd``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 from skein.functions import features as feat
 from skein.operators import encode, ensemble, evaluate, impute, relational as rel, stats, windows
 from skein.plans.oracle_sql import rnd, with_p1, with_p2
+from skein.session import ensure_checkpoint_dir
 from skein.sources import fixtures as fx
 from skein.sources import panel_io
-from skein.spec import DROP_COLS, LAG_HOURS, MONTH_NAMES, PRIME_MORNING_HOURS, PRIME_NIGHT_HOURS, ROLLING_WINDOWS
+from skein.spec import DROP_COLS, LAG_HOURS, MONTH_NAMES, PRIME_MORNING_HOURS, PRIME_NIGHT_HOURS, ROLLING_WINDOWS, panel_schema
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,10 +56,86 @@ P1L = "p1l AS (SELECT * FROM p1 WHERE target IS NOT NULL)"
 
 # -- S ------------------------------------------------------------------------
 
+def _table_path(spark, label: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 @query("s1_load_panel", with_p2("SELECT * FROM p2"))
 def s1_load_panel(spark, sf):
-    from skein.spec import clean_numeric
-    return clean_numeric(fx.orders_panel(spark, sf), [P2.target, *P2F])
+    """The panel written as CSV and read back with its schema."""
+    path = _table_path(spark, "panel")
+    panel_io.write_panel(fx.orders_panel(spark, sf), path, P2)
+    return panel_io.read_panel(spark, path, P2).select("id", "market", "delivery_start", "delivery_end", "target", *P2F)
+
+
+@query("s2_text_dates", with_p1("SELECT * FROM p1"))
+def s2_text_dates(spark, sf):
+    """The hourly panel, with its gaps, written as CSV and read back with dates as text."""
+    path = _table_path(spark, "panel")
+    panel_io.write_panel(fx.hourly_events_panel(spark, sf), path, P1)
+    return panel_io.read_panel_text_dates(spark, path, P1).select(
+        "id", "market", "delivery_start", "delivery_end", "target", *P1F)
+
+
+@query("s3_s4_prediction_round_trip", with_p2("SELECT id, target FROM p2"))
+def s3_s4_prediction_round_trip(spark, sf):
+    """Predictions written as CSV part files and read back."""
+    path = _table_path(spark, "predictions")
+    panel_io.write_predictions(fx.orders_panel(spark, sf), path)
+    return panel_io.read_predictions(spark, path)
+
+
+def _damaged_panel(spark, sf):
+    """The order panel as lines of text with known damage: by id, a wrong number, a wrong time, a line cut short, a line
+    with a field too many and an absent id. Read back with its rejects."""
+    names = [f.name for f in panel_schema(P2).fields]
+    p = fx.orders_panel(spark, sf)
+    every = lambda n: F.pmod("id", F.lit(n)) == 0
+    text = {c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c in (P2.time, P2.end) else F.col(c).cast("string"), F.lit(""))
+            for c in names}
+    text["target"] = F.when(every(97), "n/a").otherwise(text["target"])
+    text["load_forecast"] = F.when(every(89), "1.2.3").when(every(7), "NaN").otherwise(text["load_forecast"])
+    text[P2.time] = F.when(every(83), "2001-13-45").otherwise(text[P2.time])
+    text["id"] = F.when(every(101), "").otherwise(text["id"])
+    line = F.concat_ws(",", *[text[c] for c in names])
+    line = F.when(every(79), F.concat(line, F.lit(",9"))).when(every(73), F.substring_index(line, ",", len(names) - 1)).otherwise(line)
+    path = _table_path(spark, "damaged")
+    # each part file starts with the header line, as a directory of CSV files does
+    with_header = p.select(line.alias("value")).mapInArrow(_with_header(",".join(names)), "value string")
+    with_header.write.text(path)
+    return panel_io.read_panel_checked(spark, path, P2)
+
+
+def _with_header(header: str):
+    def run(batches):
+        import pyarrow as pa
+        for i, batch in enumerate(batches):
+            if not i:
+                yield pa.RecordBatch.from_arrays([pa.array([header])], schema=batch.schema)
+            yield batch
+    return run
+
+
+_DAMAGE = "damage AS (" + " UNION ALL ".join(
+    f"SELECT id, '{field}' AS field FROM p2 WHERE {rule}" for field, rule in (
+        ("_row", "id % 79 = 0 OR id % 73 = 0"), ("id", "id % 101 = 0"), ("target", "id % 97 = 0"),
+        ("load_forecast", "id % 89 = 0"), (P2.time, "id % 83 = 0"))) + ")"
+
+
+@query("s1_reject_report", with_p2(
+    "SELECT field, count(*) AS n_rows, min(CASE WHEN id % 101 <> 0 THEN id END) AS min_id,"
+    " max(CASE WHEN id % 101 <> 0 THEN id END) AS max_id FROM damage GROUP BY field",
+    extra=_DAMAGE))
+def s1_reject_report(spark, sf):
+    return panel_io.reject_report(_damaged_panel(spark, sf))
+
+
+@query("s1_accepted_rows", with_p2(
+    "SELECT id, market, delivery_start, delivery_end, target,"
+    " CASE WHEN id % 7 <> 0 THEN load_forecast END AS load_forecast, wind_forecast, solar_forecast, air_temperature_2m,"
+    " wind_speed_10m FROM p2 WHERE id NOT IN (SELECT id FROM damage)", extra=_DAMAGE))
+def s1_accepted_rows(spark, sf):
+    return panel_io.accepted_rows(_damaged_panel(spark, sf))
 
 
 @query("s5_prediction_report", with_p2(
@@ -474,7 +552,7 @@ def o3_threshold(spark, sf):
     return rel.above(fx.orders_panel(spark, sf), "wind_forecast", 100.0)
 
 
-@query("o4_seeded_sample")
+@query("o4_seeded_sample", with_p2("SELECT * FROM p2 ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id LIMIT 500"))
 def o4_seeded_sample(spark, sf):
     return rel.seeded_sample(fx.orders_panel(spark, sf), 500, "id", seed=42)
 

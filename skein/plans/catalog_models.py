@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skein.functions import features as feat
 from skein.operators import encode, impute, linear, relational as rel, select, svr, tseries, windows
 from skein.plans.catalog import P1, P2, P1F, P2F, W, _p1l, query, r4
-from skein.plans.oracle_sql import rnd, with_p1, with_p2
+from skein.plans import flows
+from skein.plans.oracle_sql import qr_coefs, rnd, with_p1, with_p2, with_vol
 from skein.sources import fixtures as fx
 from skein.spec import ARX_LAG_HOURS, ROLLING_WINDOWS
 
@@ -67,9 +67,14 @@ def l1_ols_two_features(spark, sf):
     return _coef_rounded(linear.fit_ols(_train(spark, sf), ["market"], [X1C, X2C], "target"))
 
 
-@query("l1_ols_k_features")
+def _qr(with_panel, *args, **kw):
+    ctes, body = qr_coefs(*args, **kw)
+    return with_panel(body, extra=ctes)
+
+
+@query("l1_ols_k_features", _qr(with_p2, _TR, P2F))
 def l1_ols_k_features(spark, sf):
-    return linear.fit_ols(_train(spark, sf), ["market"], P2F, "target")
+    return _coef_rounded(linear.fit_ols(_train(spark, sf), ["market"], P2F, "target"))
 
 
 @query("l2_ols_inference", with_p2(
@@ -145,23 +150,31 @@ def l4_ridge_two_features(spark, sf):
     return _coef_rounded(linear.fit_ridge(_train(spark, sf), ["market"], [X1C, X2C], "target", alpha=1.0))
 
 
-@query("l4_ridge_k_features")
+@query("l4_ridge_k_features", _qr(with_p2, _TR, P2F, alpha=1.0))
 def l4_ridge_k_features(spark, sf):
-    return linear.fit_ridge(_train(spark, sf), ["market"], P2F, "target", alpha=1.0)
+    return _coef_rounded(linear.fit_ridge(_train(spark, sf), ["market"], P2F, "target", alpha=1.0))
+
+
+#: The markets of the order panel, for SQL that writes a dummy for each.
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _pooled_sql():
+    dummies = [f"market_{v}" for v in _PRIORITIES]
+    ctes, body = qr_coefs("pooled", [*P2F, *[f'"{d}"' for d in dummies]], key="0", alpha=1.0)
+    source = "pooled AS (SELECT *, " + ", ".join(
+        f"CASE WHEN market = '{v}' THEN 1.0 ELSE 0.0 END AS \"{d}\"" for v, d in zip(_PRIORITIES, dummies)) + f" FROM {_TR})"
+    return with_p2(body.replace("\"", ""), extra=f"{source},\n{ctes}")
 
 
-@query("l5_pooled_ridge")
+@query("l5_pooled_ridge", _pooled_sql())
 def l5_pooled_ridge(spark, sf):
-    return linear.fit_ridge_pooled(_train(spark, sf), "market", P2F, "target", alpha=1.0)[0]
+    return _coef_rounded(linear.fit_ridge_pooled(_train(spark, sf), "market", P2F, "target", alpha=1.0))
 
 
 def _arx_frame(spark, sf):
     p = impute.impute_missing(fx.hourly_events_panel(spark, sf), P1, "ffill")
-    p = rel.drop_null_rows(p, ["target"])
-    p = feat.add_temporal_features(p, P1)
-    p = windows.window_features(p, P1, lags={"target": ARX_LAG_HOURS}, rolling={"target": ROLLING_WINDOWS})
-    p = feat.add_squared_features(p, ["wind_speed_10m", "solar_forecast"], missing="skip")
-    return feat.add_interaction_features(p, [("wind_forecast", "wind_speed_10m")])
+    return flows.arx_features(rel.drop_null_rows(p, ["target"]), P1)
 
 
 def _arx_sql():
@@ -368,10 +381,10 @@ def t6_forecast(spark, sf):
 
 # -- Volume: order-free operators over every lineitem row ---------------------------
 
-@query("v1_lineitem_ridge_by_market")
+@query("v1_lineitem_ridge_by_market", _qr(with_vol, "vol", fx.VOLUME_FEATURES, alpha=1.0))
 def v1_lineitem_ridge_by_market(spark, sf):
     """L4 over the line-item panel: one Gram pass over all rows, 6 markets, 5 features."""
-    return linear.fit_ridge(fx.lineitem_panel(spark, sf), ["market"], list(fx.VOLUME_FEATURES), "target", 1.0)
+    return _coef_rounded(linear.fit_ridge(fx.lineitem_panel(spark, sf), ["market"], list(fx.VOLUME_FEATURES), "target", 1.0))
 
 
 def _vol_describe_sql():

@@ -69,10 +69,8 @@ def flow_arx(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, val_mon
         "metrics_by_market": evaluate.metrics_by_market(val_pred, spec.target, "pred", spec.market),
     }
     if pooled:
-        pooled_coefs, cats = linear.fit_ridge_pooled(tr, spec.market, feats, spec.target, alpha)
-        dummies = [f"{spec.market}_{v}" for v in cats]
-        pooled_pred = linear.score_linear(encode.one_hot(va, spec.market, cats), pooled_coefs, [],
-                                          [*feats, *dummies])
+        pooled_coefs = linear.fit_ridge_pooled(tr, spec.market, feats, spec.target, alpha)
+        pooled_pred = linear.score_pooled(va, pooled_coefs, spec.market, feats)
         out["pooled_metrics"] = evaluate.metrics(pooled_pred, spec.target, "pred")
     if not test_predictions:
         return out

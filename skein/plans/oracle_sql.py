@@ -83,3 +83,43 @@ def rnd(expr: str, digits: int = 4) -> str:
     """Rounding used identically on both sides: floor(x * 10^d + 0.5) / 10^d."""
     scale = f"1e{digits}"
     return f"(floor(({expr}) * {scale} + 0.5) / {scale})"
+
+
+def qr_coefs(source: str, features, target: str = "target", key: str = "market", alpha: float = 0.0,
+             unpenalised=(), digits: int = 4) -> tuple[str, str]:
+    """Least squares of any width in SQL, by orthogonalising one column after the other (modified Gram-Schmidt on centred
+    columns), which shares nothing with a solver of normal equations. A ridge penalty adds one row of sqrt(alpha) for
+    each penalised column. Returns (CTEs, query): ``feature, coef, n_obs`` by ``key``; complete rows only."""
+    features = list(features)
+    k, a = len(features), [f"a{j}" for j in range(len(features))]
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in [*features, target])
+    ctes = [f"qr_x AS MATERIALIZED (SELECT {key} AS k, "
+            + ", ".join(f"CAST({c} AS DOUBLE) AS {n}" for c, n in zip([*features, target], [*a, "b"]))
+            + f" FROM {source} WHERE {complete})",
+            "qr_m AS MATERIALIZED (SELECT k, count(*) AS n, "
+            + ", ".join(f"avg({n}) AS m_{n}" for n in [*a, "b"]) + " FROM qr_x GROUP BY k)"]
+    rows = "SELECT x.k, " + ", ".join(f"x.{n} - m.m_{n} AS {n}" for n in [*a, "b"]) + " FROM qr_x x JOIN qr_m m ON x.k = m.k"
+    if alpha:
+        for j, f in enumerate(features):
+            if f not in unpenalised:
+                rows += " UNION ALL SELECT k, " + ", ".join(
+                    f"{'sqrt(' + repr(float(alpha)) + ')' if i == j else '0.0'}" for i in range(k)) + ", 0.0 FROM qr_m"
+    ctes.append(f"qr_c0 AS MATERIALIZED ({rows})")
+    for j in range(k):
+        later = [*a[j + 1:], "b"]
+        ctes.append(f"qr_q{j} AS MATERIALIZED (SELECT k, " + ", ".join(
+            f"sum({a[j]} * {n}) / sum({a[j]} * {a[j]}) AS r_{n}" for n in later) + f" FROM qr_c{j} GROUP BY k)")
+        ctes.append(f"qr_c{j + 1} AS MATERIALIZED (SELECT c.k, " + ", ".join(
+            f"c.{n} - q.r_{n} * c.{a[j]} AS {n}" for n in later) + f" FROM qr_c{j} c JOIN qr_q{j} q ON c.k = q.k)")
+    # back substitution, from the last column to the first
+    done = "SELECT k FROM qr_m"
+    for j in reversed(range(k)):
+        known = "".join(f" - q.r_{a[i]} * w.w{i}" for i in range(j + 1, k))
+        ctes.append(f"qr_w{j} AS MATERIALIZED (SELECT w.*, q.r_b{known} AS w{j} FROM ({done}) w JOIN qr_q{j} q ON w.k = q.k)")
+        done = f"SELECT * FROM qr_w{j}"
+    const = "m.m_b" + "".join(f" - w.w{j} * m.m_{a[j]}" for j in range(k))
+    ctes.append(f"qr_out AS MATERIALIZED (SELECT w.*, {const} AS w_const, m.n FROM qr_w0 w JOIN qr_m m ON w.k = m.k)")
+    name = "" if key == "0" else f"k AS {key}, "
+    body = " UNION ALL ".join(f"SELECT {name}'{f}' AS feature, {rnd(c, digits)} AS coef, n AS n_obs FROM qr_out"
+                              for f, c in [("const", "w_const"), *[(f, f"w{j}") for j, f in enumerate(features)]])
+    return ",\n".join(ctes), body

@@ -36,6 +36,49 @@ def read_panel(spark: SparkSession, path: str, spec: PanelSpec = PanelSpec(),
     return clean_numeric(df, numeric)
 
 
+def read_panel_checked(spark: SparkSession, path: str, spec: PanelSpec = PanelSpec(), with_target: bool = True,
+                       rejects: str = "rejects") -> DataFrame:
+    """S1/S2 for CSV files that may hold malformed rows: the panel plus ``rejects``, an array with the name of each field
+    that could not be read ('_row' for a line with too few or too many fields). No row is dropped and no job fails.
+
+    All fields are read as text and cast with ``try_cast``, so that a bad field turns NULL by itself. An id is the row's
+    key: an absent one is a reject too. Empty fields are NULL, which is not malformed; so is NaN, the missing marker.
+    """
+    schema = panel_schema(spec, with_target)
+    bad = "_bad_line"
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(bad, T.StringType())])
+    # a bad line is told from all fields of the file, not from those that a later step happens to need
+    raw = (spark.read.schema(text).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+           .option("columnPruning", False).option("columnNameOfCorruptRecord", bad).csv(path))
+    fields, found = [], [F.when(F.col(bad).isNotNull(), F.lit("_row"))]
+    for f in schema.fields:
+        value = F.trim(F.col(f.name))
+        read = F.col(f.name) if isinstance(f.dataType, T.StringType) else value.try_cast(f.dataType)
+        if isinstance(f.dataType, T.DoubleType):
+            read = F.when(~F.isnan(read), read)
+        fields.append(read.alias(f.name))
+        unread = (value != "") & (F.lower(value) != "nan") & value.try_cast(f.dataType).isNull()
+        found.append(F.when(unread | (F.col(f.name).isNull() if f.name == spec.id else F.lit(False)), F.lit(f.name)))
+    return raw.select(*fields, F.array_compact(F.array(*found)).alias(rejects))
+
+
+def accepted_rows(checked: DataFrame, rejects: str = "rejects") -> DataFrame:
+    """The rows of a checked panel that were read whole, with the panel's columns."""
+    return checked.where(F.size(rejects) == 0).drop(rejects)
+
+
+def reject_report(checked: DataFrame, rejects: str = "rejects") -> DataFrame:
+    """``field, n_rows, min_id, max_id``: how many rows of a checked panel had each field malformed."""
+    return checked.select("id", F.explode(rejects).alias("field")).groupBy("field").agg(
+        F.count("*").alias("n_rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"))
+
+
+def write_panel(df: DataFrame, path: str, spec: PanelSpec = PanelSpec(), with_target: bool = True) -> None:
+    """A panel as CSV part files with a header, in the columns and formats that ``read_panel`` takes."""
+    (df.select(*[f.name for f in panel_schema(spec, with_target).fields]).write.mode("overwrite").option("header", True)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+
+
 def load_train_test(spark: SparkSession, train_path: str, test_path: str,
                     spec: PanelSpec = PanelSpec(), fmt: str = "csv"):
     """S1 for both files: the test panel has no target column."""

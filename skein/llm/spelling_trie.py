@@ -210,7 +210,9 @@ def one_edit_pairs(words: DataFrame, keep) -> DataFrame:
         frontier = frontier.where("rest <> ''")
     if pairs is None:
         return words.select("wid", F.col("wid").alias("near_wid")).limit(0)
-    return pairs.union(pairs.select("near_wid", "wid")).distinct()
+    # the levels are read once for both directions
+    both = F.array(F.struct("wid", "near_wid"), F.struct(F.col("near_wid").alias("wid"), F.col("wid").alias("near_wid")))
+    return pairs.select(F.inline(both)).distinct()
 
 
 def _roots(forms: DataFrame, keep) -> DataFrame:

@@ -426,6 +426,53 @@ def f9_engineer_features(spark, sf):
     return df.select(*[r4(c).alias(c) if c in std_cols else F.col(c) for c in keep])
 
 
+#: Rows of a bucket in the queries below: markets of the hourly panel have up to 720 rows, so each spans several.
+_SMALL_BUCKET = {"strategy": "bucketed", "bucket_rows": 200}
+
+
+@query("i1_ffill_bfill_bucketed", ORACLE["i1_ffill_bfill"])
+def i1_ffill_bfill_bucketed(spark, sf):
+    return windows.fill_forward_backward(fx.hourly_events_panel(spark, sf), P1, **_SMALL_BUCKET)
+
+
+@query("w1_target_lags_bucketed", ORACLE["w1_target_lags"])
+def w1_target_lags_bucketed(spark, sf):
+    df = windows.add_lag_features(_p1l(spark, sf), P1, **_SMALL_BUCKET)
+    return df.select("id", "market", "delivery_start", "target", *[f"target_lag_{n}h" for n in LAG_HOURS])
+
+
+@query("w2_rolling_mean_bucketed", ORACLE["w2_rolling_mean"])
+def w2_rolling_mean_bucketed(spark, sf):
+    df = windows.add_rolling_features(_p1l(spark, sf), P1, **_SMALL_BUCKET)
+    return df.select("id", "market", *[f"target_roll_mean_{k}h" for k in ROLLING_WINDOWS])
+
+
+@query("w3_rolling_std_bucketed", ORACLE["w3_rolling_std"])
+def w3_rolling_std_bucketed(spark, sf):
+    df = windows.add_rolling_features(_p1l(spark, sf), P1, **_SMALL_BUCKET)
+    return df.select("id", "market", *[r4(f"target_roll_std_{k}h").alias(f"target_roll_std_{k}h") for k in ROLLING_WINDOWS])
+
+
+@query("w4_weather_lags_bucketed", ORACLE["w4_weather_lags"])
+def w4_weather_lags_bucketed(spark, sf):
+    df = windows.add_weather_lags(fx.hourly_events_panel(spark, sf), P1, **_SMALL_BUCKET)
+    return df.select("id", "market", *[f"wind_speed_10m_lag_{n}h" for n in LAG_HOURS])
+
+
+@query("w5_variable_lags_bucketed", ORACLE["w5_variable_lags"])
+def w5_variable_lags_bucketed(spark, sf):
+    return rel.drop_null_rows(windows.add_variable_lags(fx.orders_panel(spark, sf), P2, {"wind_forecast": [1, 24]}, **_SMALL_BUCKET))
+
+
+@query("f9_engineer_features_bucketed", ORACLE["f9_engineer_features"])
+def f9_engineer_features_bucketed(spark, sf):
+    p = rel.drop_null_rows(windows.fill_forward_backward(fx.hourly_events_panel(spark, sf), P1, **_SMALL_BUCKET), ["target"])
+    df = feat.engineer_features(p, P1, squared=_F9_SQ, interactions=_F9_IX, **_SMALL_BUCKET)
+    std_cols = {f"target_roll_std_{k}h" for k in ROLLING_WINDOWS}
+    keep = [c for c in df.columns if c not in ("delivery_start", "delivery_end", *P1F)]
+    return df.select(*[r4(c).alias(c) if c in std_cols else F.col(c) for c in keep])
+
+
 @query("f10_clip", with_p1(
     "SELECT id, CASE WHEN wind_speed_10m IS NOT NULL THEN least(greatest(wind_speed_10m, -100.0), 200.0) END"
     " AS wind_speed_10m_clipped, CASE WHEN target IS NOT NULL THEN least(greatest(target, -100.0), 200.0) END"

@@ -356,9 +356,48 @@ def _varx(spark, sf):
     return tseries.fit_varx(s, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"], order=24)
 
 
-@query("t5_varx_fit")
+_VARX_EXOG = ["solar_forecast", "wind_forecast", "load_forecast"]
+
+
+def _varx_ctes(order: int, rows: str) -> tuple[str, str]:
+    """The filled series, its lags over ``rows`` and the regression of each market on lags and exogenous columns."""
+    from skein.plans.catalog import _ffill_sql
+    lags = [f"target_lag_{n}h" for n in range(1, order + 1)]
+    ctes, body = qr_coefs("lagged", [*lags, *_VARX_EXOG])
+    return (f"filled AS (SELECT id, market, delivery_start, target, {', '.join(_ffill_sql(c) for c in _VARX_EXOG)} FROM p1),"
+            " s AS MATERIALIZED (SELECT * FROM filled WHERE target IS NOT NULL),"
+            " cut AS (SELECT max(delivery_start) - INTERVAL 48 HOUR AS limit_time FROM s),"
+            f" history AS MATERIALIZED ({rows}), lagged AS (SELECT *, "
+            + ", ".join(f"lag(target, {n}) OVER ({W}) AS {c}" for n, c in enumerate(lags, 1)) + f" FROM history),\n{ctes}"), body
+
+
+def _varx_fit_sql():
+    ctes, body = _varx_ctes(24, "SELECT * FROM s")
+    return with_p1(f"SELECT market, 'target' AS equation, feature AS regressor, coef FROM ({body})", extra=ctes)
+
+
+def _forecast_sql(order: int = 24, steps: int = 48):
+    """The fit on the history, then one forecast after the other in a recursive query that carries the last values."""
+    ctes, _ = _varx_ctes(order, "SELECT * FROM s WHERE delivery_start <= (SELECT limit_time FROM cut)")
+    exog = "".join(f" + coalesce({c}, 0.0) * w{order + i}" for i, c in enumerate(_VARX_EXOG))
+    ctes += (f", horizon AS MATERIALIZED (SELECT f.*, o.w_const{exog} AS base FROM (SELECT *, row_number() OVER ({W}) AS step"
+             " FROM s WHERE delivery_start > (SELECT limit_time FROM cut)) f JOIN qr_out o ON f.market = o.k),"
+             f" seed AS (SELECT market, list_slice(list(target ORDER BY delivery_start DESC, id DESC), 1, {order}) AS state"
+             " FROM history GROUP BY market),"
+             f" ar AS (SELECT k AS market, [{', '.join(f'w{i}' for i in range(order))}] AS ar FROM qr_out),"
+             " walk AS (SELECT market, CAST(0 AS BIGINT) AS step, state, CAST(NULL AS DOUBLE) AS forecast FROM seed UNION ALL"
+             f" SELECT market, step, list_prepend(forecast, list_slice(state, 1, {order - 1})), forecast FROM"
+             " (SELECT w.market, h.step, w.state, h.base + list_dot_product(ar.ar, w.state) AS forecast FROM walk w"
+             " JOIN horizon h ON h.market = w.market AND h.step = w.step + 1 JOIN ar ON ar.market = w.market"
+             f" WHERE h.step <= {steps}) n)")
+    sql = with_p1("SELECT h.market, h.id, h.delivery_start, CAST(h.step AS INTEGER) AS step, " + rnd("w.forecast") + " AS forecast"
+                  " FROM walk w JOIN horizon h ON h.market = w.market AND h.step = w.step", extra=ctes)
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("t5_varx_fit", _varx_fit_sql())
 def t5_varx_fit(spark, sf):
-    return _varx(spark, sf)[0]
+    return _coef_rounded(_varx(spark, sf)[0])
 
 
 @query("t5_varx_models")
@@ -366,7 +405,7 @@ def t5_varx_models(spark, sf):
     return _varx(spark, sf)[1]
 
 
-@query("t6_forecast")
+@query("t6_forecast", _forecast_sql())
 def t6_forecast(spark, sf):
     """Fit on all but the last 48 hours of each market, forecast those 48 hours."""
     s = _series(spark, sf)
@@ -375,8 +414,9 @@ def t6_forecast(spark, sf):
     hist = s.where(F.col("delivery_start") <= F.lit(cut - timedelta(hours=48)))
     fut = s.where(F.col("delivery_start") > F.lit(cut - timedelta(hours=48)))
     coefs, _ = tseries.fit_varx(hist, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"], order=24)
-    return tseries.forecast_varx(hist, fut, coefs, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"],
-                                 order=24, steps=48)
+    out = tseries.forecast_varx(hist, fut, coefs, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"],
+                                order=24, steps=48)
+    return out.withColumn("forecast", r4("forecast"))
 
 
 # -- Volume: order-free operators over every lineitem row ---------------------------

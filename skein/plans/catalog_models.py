@@ -287,10 +287,39 @@ def l11_train_evaluate(spark, sf):
 
 # -- X ------------------------------------------------------------------------------
 
-@query("x1_correlation_filter")
+def _correlation_filter_sql(feats, threshold=0.05, inter=0.95):
+    """The scan over pairs of the list, one CTE for each row of it; s{i} tells whether feature i still stands."""
+    n = len(feats)
+    first = [f"abs(corr({f}, target)) AS a{i}" for i, f in enumerate(feats)]
+    first += [f"coalesce(abs(corr({feats[i]}, {feats[j]})) > {inter}, false) AS c{i}_{j}" for i in range(n) for j in range(i + 1, n)]
+    ctes = ["x0 AS (SELECT " + ", ".join(first) + " FROM p2)",
+            "x1 AS (SELECT *, " + ", ".join(f"coalesce(a{i} >= {threshold}, false) AS s{i}" for i in range(n)) + " FROM x0)"]
+    for i in range(n - 1):
+        later = range(i + 1, n)
+        beaten = " OR ".join(f"(c{i}_{j} AND s{j} AND a{j} > a{i})" for j in later)
+        change = [f"(s{i} AND NOT ({beaten})) AS s{i}"] + [f"(s{j} AND NOT (s{i} AND c{i}_{j} AND a{j} <= a{i})) AS s{j}" for j in later]
+        ctes.append(f"x{i + 2} AS (SELECT * REPLACE ({', '.join(change)}) FROM x{i + 1})")
+    body = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CASE WHEN a{i} IS NULL OR isnan(a{i}) THEN 'undefined' WHEN a{i} < {threshold} THEN 'weak'"
+        f" WHEN s{i} THEN 'kept' ELSE 'collinear' END AS status, {rnd(f'a{i}')} AS abs_corr_target FROM x{n}"
+        for i, f in enumerate(feats))
+    return with_p2(body, extra=", ".join(ctes))
+
+
+#: Thresholds under which the order panel has weak, collinear and kept features.
+_LOOSE = (0.02, 0.6)
+
+
+@query("x1_correlation_filter", _correlation_filter_sql(["id", *P2F]))
 def x1_correlation_filter(spark, sf):
-    return select.correlation_filter_table(fx.orders_panel(spark, sf), "target", 0.05, 0.95,
-                                           cols=["id", "target", *P2F])
+    out = select.correlation_filter_table(fx.orders_panel(spark, sf), "target", 0.05, 0.95, cols=["id", "target", *P2F])
+    return out.withColumn("abs_corr_target", r4("abs_corr_target"))
+
+
+@query("x1_correlation_filter_loose", _correlation_filter_sql(["id", *P2F], *_LOOSE))
+def x1_correlation_filter_loose(spark, sf):
+    out = select.correlation_filter_table(fx.orders_panel(spark, sf), "target", *_LOOSE, cols=["id", "target", *P2F])
+    return out.withColumn("abs_corr_target", r4("abs_corr_target"))
 
 
 @query("x2_vif_two", with_p2(
@@ -446,7 +475,39 @@ def v2_lineitem_describe(spark, sf):
     return d.select("column_name", "count", "mean", r4("std").alias("std"), "min", "p25", "p50", "p75", "max")
 
 
-@query("t6_forecast_varx_two_series")
+def _two_series_sql(order: int = 24, steps: int = 48):
+    """As ``_forecast_sql`` for two series: two regressions on both series' lags, a state of pairs."""
+    from skein.plans.catalog import _ffill_sql
+    lags = [(c, n) for n in range(1, order + 1) for c in ("target", "load_forecast")]
+    names = [f"{c}_lag_{n}h" for c, n in lags] + ["solar_forecast"]
+    fits = [qr_coefs("lagged", names, target=t, prefix=p)[0] for t, p in (("target", "fit_t"), ("load_forecast", "fit_l"))]
+    ar = [f"[{', '.join(f'{p}.w{i}' for i in range(2 * order))}]" for p in ("t", "l")]
+    ctes = (f"filled AS (SELECT id, market, delivery_start, target, {_ffill_sql('solar_forecast')}, {_ffill_sql('load_forecast')}"
+            " FROM p1), s AS MATERIALIZED (SELECT * FROM filled WHERE target IS NOT NULL AND load_forecast IS NOT NULL),"
+            " cut AS (SELECT max(delivery_start) - INTERVAL 48 HOUR AS limit_time FROM s),"
+            " history AS MATERIALIZED (SELECT * FROM s WHERE delivery_start <= (SELECT limit_time FROM cut)),"
+            " lagged AS MATERIALIZED (SELECT *, " + ", ".join(f"lag({c}, {n}) OVER ({W}) AS {c}_lag_{n}h" for c, n in lags)
+            + " FROM history), " + ", ".join(fits)
+            + f", model AS MATERIALIZED (SELECT t.k AS market, t.w_const AS ct, l.w_const AS cl, t.w{2 * order} AS bt,"
+              f" l.w{2 * order} AS bl, {ar[0]} AS art, {ar[1]} AS arl FROM fit_t_out t JOIN fit_l_out l ON t.k = l.k),"
+              f" horizon AS MATERIALIZED (SELECT *, row_number() OVER ({W}) AS step FROM s"
+              " WHERE delivery_start > (SELECT limit_time FROM cut)),"
+              " seed AS (SELECT market, flatten(list_slice(list([target, load_forecast] ORDER BY delivery_start DESC, id DESC),"
+              f" 1, {order})) AS state FROM history GROUP BY market),"
+              " walk AS (SELECT market, CAST(0 AS BIGINT) AS step, state, CAST(NULL AS DOUBLE) AS ft, CAST(NULL AS DOUBLE) AS fl"
+              f" FROM seed UNION ALL SELECT market, step, list_concat([ft, fl], list_slice(state, 1, {2 * order - 2})), ft, fl FROM"
+              " (SELECT w.market, h.step, w.state,"
+              " m.ct + m.bt * coalesce(h.solar_forecast, 0.0) + list_dot_product(m.art, w.state) AS ft,"
+              " m.cl + m.bl * coalesce(h.solar_forecast, 0.0) + list_dot_product(m.arl, w.state) AS fl FROM walk w"
+              " JOIN horizon h ON h.market = w.market AND h.step = w.step + 1 JOIN model m ON m.market = w.market"
+              f" WHERE h.step <= {steps}) n)")
+    sql = with_p1("SELECT h.market, h.id, h.delivery_start, CAST(h.step AS INTEGER) AS step, " + rnd("w.ft")
+                  + " AS forecast_target, " + rnd("w.fl") + " AS forecast_load_forecast"
+                  " FROM walk w JOIN horizon h ON h.market = w.market AND h.step = w.step", extra=ctes)
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("t6_forecast_varx_two_series", _two_series_sql())
 def t6_forecast_varx_two_series(spark, sf):
     """VARX(24) on (target, load_forecast) with solar_forecast as exogenous; forecast the last 48 hours."""
     from datetime import timedelta
@@ -456,4 +517,5 @@ def t6_forecast_varx_two_series(spark, sf):
     fut = s.where(F.col("delivery_start") > F.lit(cut - timedelta(hours=48)))
     endog, exog = ["target", "load_forecast"], ["solar_forecast"]
     coefs, _ = tseries.fit_varx(hist, P1, endog, exog, order=24)
-    return tseries.forecast_varx(hist, fut, coefs, P1, endog, exog, order=24, steps=48)
+    out = tseries.forecast_varx(hist, fut, coefs, P1, endog, exog, order=24, steps=48)
+    return out.withColumns({f"forecast_{e}": r4(f"forecast_{e}") for e in endog})

@@ -86,10 +86,11 @@ def rnd(expr: str, digits: int = 4) -> str:
 
 
 def qr_coefs(source: str, features, target: str = "target", key: str = "market", alpha: float = 0.0,
-             unpenalised=(), digits: int = 4) -> tuple[str, str]:
+             unpenalised=(), digits: int = 4, prefix: str = "qr") -> tuple[str, str]:
     """Least squares of any width in SQL, by orthogonalising one column after the other (modified Gram-Schmidt on centred
     columns), which shares nothing with a solver of normal equations. A ridge penalty adds one row of sqrt(alpha) for
-    each penalised column. Returns (CTEs, query): ``feature, coef, n_obs`` by ``key``; complete rows only."""
+    each penalised column. Returns (CTEs, query): ``feature, coef, n_obs`` by ``key``; complete rows only. ``prefix``
+    names the CTEs, for several fits in one query."""
     features = list(features)
     k, a = len(features), [f"a{j}" for j in range(len(features))]
     complete = " AND ".join(f"{c} IS NOT NULL" for c in [*features, target])
@@ -122,4 +123,4 @@ def qr_coefs(source: str, features, target: str = "target", key: str = "market",
     name = "" if key == "0" else f"k AS {key}, "
     body = " UNION ALL ".join(f"SELECT {name}'{f}' AS feature, {rnd(c, digits)} AS coef, n AS n_obs FROM qr_out"
                               for f, c in [("const", "w_const"), *[(f, f"w{j}") for j, f in enumerate(features)]])
-    return ",\n".join(ctes), body
+    return ",\n".join(ctes).replace("qr_", f"{prefix}_"), body.replace("qr_", f"{prefix}_")

@@ -42,13 +42,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only invent one when it is unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``. Where it is unset a local session (tests) gets a temporary folder; a
+    cluster, whose executors could not see one, gets an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="skein-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

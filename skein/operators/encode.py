@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import NumericType
 
+from skein.operators.positions import with_positions
 from skein.operators.sizing import bounded_collect, join_small
 
 MAX_INLINE_CATEGORIES = 10_000
@@ -19,7 +21,7 @@ def fit_categories(df: DataFrame, col: str, max_categories: int = MAX_INLINE_CAT
     """Sorted distinct non-null values of ``col`` (a small set, size checked)."""
     rows = bounded_collect(df.where(F.col(col).isNotNull()).select(col).distinct(), max_categories)
     if rows is None:
-        raise ValueError(f"{col} has more than {max_categories} categories")
+        raise ValueError(f"{col} has more than {max_categories} categories, one column each; label_encode takes any number")
     return sorted(r[0] for r in rows)
 
 
@@ -35,17 +37,32 @@ def one_hot(df: DataFrame, col: str, categories=None, prefix: str | None = None)
                             for v in cats])
 
 
+def category_ranks(df: DataFrame, col: str, name: str) -> DataFrame:
+    """(``col``, ``name``): the distinct non-null values of ``col`` with their ranks in sorted order, from 0. Ranked by
+    range partitions, so the number of values has no limit."""
+    values = df.where(F.col(col).isNotNull()).select(col).distinct()
+    return with_positions(values, [], [col], "_rank").select(col, F.col("_rank").cast("int").alias(name))
+
+
 def label_encode(df: DataFrame, col: str, categories=None, name: str | None = None) -> DataFrame:
-    """Rank of the value in sorted categories, from 0; unseen or NULL -> NULL."""
+    """Rank of the value in sorted categories, from 0; unseen or NULL -> NULL.
+
+    ``categories``: a list, or a table as ``category_ranks`` makes it (``col``, ``name``), e.g. fitted on train; default:
+    the values of ``df`` itself, however many.
+    """
     name = name or f"{col}_label"
     if categories is None:
-        categories = fit_categories(df, col)
-    cats = list(categories)
-    if len(cats) <= MAX_INLINE_CATEGORIES:
-        pos = F.array_position(F.array(*[F.lit(v) for v in cats]), F.col(col))
-        return df.select("*", F.when(pos > 0, pos - 1).cast("int").alias(name))
-    table = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(cats)], f"{col} string, {name} int")
-    return join_small(df, table, [col], how="left")
+        categories = category_ranks(df, col, name)
+    if isinstance(categories, DataFrame):
+        table = categories.select(F.col(col), F.col(name))
+    else:
+        cats = list(categories)
+        if len(cats) <= MAX_INLINE_CATEGORIES:
+            pos = F.array_position(F.array(*[F.lit(v) for v in cats]), F.col(col))
+            return df.select("*", F.when(pos > 0, pos - 1).cast("int").alias(name))
+        kind = T.StructType([T.StructField(col, df.schema[col].dataType), T.StructField(name, T.IntegerType())])
+        table = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(cats)], kind)
+    return join_small(df, table, [col], how="left").select(*df.columns, name)
 
 
 def encode_market(df: DataFrame, col: str = "market", method: str = "onehot", categories=None) -> DataFrame:

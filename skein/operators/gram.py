@@ -141,6 +141,60 @@ def grouped_gram(df: DataFrame, group_cols, cols, center: bool = True, fixed=Non
                       ) / (F.col("scale")[i(t)] * F.col("scale")[(t % k).cast("int")])).alias("g"))
 
 
+def classed_gram(df: DataFrame, group_cols, indicators, numeric) -> DataFrame:
+    """``grouped_gram`` of (indicators..., numeric...) from sums per class: rows of a group that agree in every 0/1 column of
+    ``indicators`` form a class. The data pass sums the ``numeric`` columns of each class only; the products of indicators
+    with each other and with numeric columns follow from the classes' counts and means, one row a class.
+
+    For indicators of a fixed calendar (month, hour class, weekend), whose combinations are few whatever the number of
+    rows: a group's classes are put together in one record. Values that are not 0 or 1 raise.
+    """
+    group_cols, indicators, numeric = list(group_cols), list(indicators), list(numeric)
+    by_name = {f.name: f for f in df.schema.fields}
+    q, k = len(indicators), len(indicators) + len(numeric)
+    flags = [F.when(F.col(c) == 1, F.lit("1")).when(F.col(c) == 0, F.lit("0"))
+             .when(F.col(c).isNotNull(), F.raise_error(F.lit(f"{c} holds values other than 0 and 1"))) for c in indicators]
+    classes = df.dropna(subset=[*group_cols, *indicators, *numeric]).select(
+        *group_cols, F.concat(*flags).alias("_class"), *numeric)
+    cells = grouped_gram(classes, [*group_cols, "_class"], numeric)
+    packed = cells.groupBy(*group_cols).agg(
+        F.collect_list(F.struct("_class", "n", "mean", "scale", "min", "max", "s", "g")).alias("_cells"))
+    arr = T.ArrayType(T.DoubleType())
+    schema = T.StructType([T.StructField(c, by_name[c].dataType) for c in group_cols] + [
+        T.StructField("n", T.LongType())] + [T.StructField(c, arr) for c in ("mean", "scale", "min", "max", "s", "g")])
+
+    def run(it):
+        for pdf in it:
+            out = []
+            for _, row in pdf.iterrows():
+                cells = sorted(row["_cells"], key=lambda c: c["_class"])
+                out.append([*(row[c] for c in group_cols), *_merged_classes(cells, q, len(numeric))])
+            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+
+    return packed.mapInPandas(run, schema)
+
+
+def _merged_classes(cells, q: int, k: int):
+    """n, mean, scale, min, max, s, g of (q indicators, k numeric columns) from a group's classes."""
+    stats = [unpack(c, k) for c in cells]
+    n = np.array([st[0] for st in stats], float)
+    # A row a class: its indicators, then its numeric means.
+    rows = np.array([[*map(float, c["_class"]), *(st[1] + st[2] * st[5] / st[0])] for c, st in zip(cells, stats)])
+    total = n.sum()
+    mean = n @ rows / total
+    away = rows - mean
+    C = (away * n[:, None]).T @ away
+    for st in stats:
+        C[q:, q:] += centred(st[0], st[5], st[6]) * np.outer(st[2], st[2])
+    flags = rows[:, :q]
+    lo = np.concatenate([flags.min(0), np.min([st[3] for st in stats], axis=0)])
+    hi = np.concatenate([flags.max(0), np.max([st[4] for st in stats], axis=0)])
+    varies = (np.diag(C) > 0) & (lo < hi)
+    scale = np.where(varies, np.sqrt(np.where(varies, np.diag(C), 1.0) / total), 1.0)
+    return [int(total), mean.tolist(), scale.tolist(), lo.tolist(), hi.tolist(), [0.0] * len(mean),
+            (C / np.outer(scale, scale)).ravel().tolist()]
+
+
 def unpack(row, k: int):
     """(n, mean, scale, min, max, s, G) numpy views of one Gram row."""
     return (int(row["n"]), np.array(row["mean"], float), np.array(row["scale"], float),

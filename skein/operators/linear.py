@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.operators.distributions import f_sf, t_two_sided_p
-from skein.operators.gram import centred, grouped_gram, unpack, written
+from skein.operators.gram import centred, classed_gram, grouped_gram, unpack, written
 from skein.operators.sizing import join_small
 
 CONST = "const"
@@ -77,11 +77,15 @@ def solve_linear(n, mean, scale, mn, mx, s, G, kf: int, alpha: float = 0.0, kind
             "carrier": carrier}
 
 
-def _fit(df: DataFrame, group_cols, features, target, kind, alpha, const_rule, with_stats):
+def _fit(df: DataFrame, group_cols, features, target, kind, alpha, const_rule, with_stats, indicators=()):
     group_cols, features = list(group_cols), list(features)
-    cols = [*features, target]
-    clean = df.dropna(subset=cols)
-    gram = grouped_gram(clean, group_cols, cols)
+    flags = [f for f in features if f in set(indicators)]
+    if flags:
+        features = flags + [f for f in features if f not in set(flags)]
+        gram = classed_gram(df, group_cols, flags, [*features[len(flags):], target])
+    else:
+        cols = [*features, target]
+        gram = grouped_gram(df.dropna(subset=cols), group_cols, cols)
     kf = len(features)
     gfields = _group_fields(df, group_cols)
     stat_fields = [T.StructField(n, T.DoubleType(), True) for n in
@@ -139,14 +143,18 @@ def _inference(r) -> dict:
             "aic": -2 * llf + 2 * rank, "bic": -2 * llf + math.log(n) * rank}
 
 
-def fit_ols(df: DataFrame, group_cols, features, target: str = "target", const_rule: bool = True) -> DataFrame:
+def fit_ols(df: DataFrame, group_cols, features, target: str = "target", const_rule: bool = True,
+            indicators=()) -> DataFrame:
     """L1: OLS with intercept per group -> (group..., feature, coef, n_obs).
 
+    ``indicators``: those of the features that are 0/1 columns of a fixed calendar. They are summed by class
+    (``gram.classed_gram``) and stay out of the data pass; the coefficients are the same up to rounding.
+
     ``const_rule``: a group whose features include a non-zero constant column gets
     no separate intercept (the constant column carries it), as ``add_constant``
     with ``has_constant='skip'`` does.
     """
-    return _fit(df, group_cols, features, target, "ols", 0.0, const_rule, False)
+    return _fit(df, group_cols, features, target, "ols", 0.0, const_rule, False, tuple(indicators))
 
 
 def ols_summary(df: DataFrame, group_cols, features, target: str = "target",

@@ -83,18 +83,34 @@ def describe(df: DataFrame, cols, exact: bool = True) -> DataFrame:
         "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+#: Columns that a pivot may have.
+MAX_PIVOT_COLUMNS = 10_000
+
+
 # -- A5 -----------------------------------------------------------------------
 
+def mean_profile(df: DataFrame, spec: PanelSpec = PanelSpec(), by: str = "hour", col: str | None = None) -> DataFrame:
+    """A5 as rows: (market, ``by``, mean, n) for every market and hour (or month) with a value; any number of markets."""
+    col = col or spec.target
+    key = {"hour": F.hour, "month": F.month}[by](F.col(spec.time)).alias(by)
+    return df.where(F.col(spec.market).isNotNull() & F.col(col).isNotNull()).groupBy(spec.market, key).agg(
+        F.avg(col).alias("mean"), F.count(F.lit(1)).alias("n"))
+
+
 def mean_pivot(df: DataFrame, spec: PanelSpec = PanelSpec(), by: str = "hour",
                col: str | None = None, markets=None) -> DataFrame:
-    """A5: mean of ``col`` by hour (or month) with one column per market."""
+    """A5: mean of ``col`` by hour (or month) with one column per market; ``mean_profile`` has the same means as rows.
+
+    Without ``markets`` they are read from the data; more of them than ``MAX_PIVOT_COLUMNS`` make no table that a reader
+    or Spark's planner could use, and raise.
+    """
     col = col or spec.target
     key = {"hour": F.hour, "month": F.month}[by](F.col(spec.time)).alias(by)
     base = df.where(F.col(spec.market).isNotNull() & F.col(col).isNotNull())
     if markets is None:
-        rows = bounded_collect(base.select(spec.market).distinct(), 10_000)
+        rows = bounded_collect(base.select(spec.market).distinct(), MAX_PIVOT_COLUMNS)
         if rows is None:
-            raise ValueError("too many markets for a pivot; pass markets explicitly")
+            raise ValueError(f"more than {MAX_PIVOT_COLUMNS} markets, one column each; mean_profile takes any number")
         markets = sorted(r[0] for r in rows)
     return base.groupBy(key).pivot(spec.market, list(markets)).agg(F.avg(col))
 

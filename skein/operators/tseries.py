@@ -9,7 +9,8 @@
 * T5: conditional least squares VARX per market (re-aimed from a state-space fit),
   one Gram pass, coefficient table + status per market.
 * T6: multi-step forecast: exogenous part scored per row in parallel, then a native
-  ``aggregate`` fold over each market's horizon rows (bounded by ``steps``).
+  ``aggregate`` fold over each market's horizon rows (at most ``FORECAST_BLOCK`` steps), or, for horizons without such
+  a bound, blocks of rows joined by powers of the companion matrix.
 
 Solves run in tasks, one Gram row for a market (``_solve_rows``); the driver sees one number, the longest lag.
 """
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 from skein.operators.distributions import norm_cdf
 from skein.operators.gram import centred, grouped_gram, unpack
 from skein.operators.linear import RCOND, solve_linear
+from skein.operators.positions import with_positions
 from skein.operators.sizing import join_small
 from skein.operators.windows import window_features
 from skein.session import ensure_checkpoint_dir
@@ -241,6 +243,15 @@ def select_lag_order(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, m
 VARX_EXOG = ("solar_forecast", "wind_forecast", "load_forecast")
 
 
+def _required(df: DataFrame, cols) -> list[str]:
+    """``cols`` as a list; a column that ``df`` lacks is an error, not a smaller model."""
+    cols = list(cols or [])
+    absent = [c for c in cols if c not in df.columns]
+    if absent:
+        raise KeyError(f"columns not found: {absent}")
+    return cols
+
+
 def fit_varx(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, exog=VARX_EXOG, order: int = 24,
              **window_kw):
     """T5: conditional least squares VARX(order) with constant per market.
@@ -250,7 +261,7 @@ def fit_varx(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, exog=VARX
     (too few rows, singular design) gets status 'failed' and no coefficients.
     """
     endog = list(endog or [spec.target])
-    exog = [c for c in (exog or []) if c in df.columns]
+    exog = _required(df, exog)
     k = len(endog)
     series = df.where(F.col(spec.market).isNotNull()).dropna(subset=[*endog, *exog])
     lagged, lag_cols = _lag_block(series, spec, endog, order, **window_kw)
@@ -291,19 +302,31 @@ def fit_varx(df: DataFrame, spec: PanelSpec = PanelSpec(), endog=None, exog=VARX
 
 # -- T6 ------------------------------------------------------------------------
 
+#: Horizon rows of a market that one task recurses over at a time.
+FORECAST_BLOCK = 5_000
+
+
 def forecast_varx(history: DataFrame, future: DataFrame, coefs: DataFrame, spec: PanelSpec = PanelSpec(),
                   endog=None, exog=VARX_EXOG, order: int = 24, steps: int | None = None) -> DataFrame:
     """Recursive multi-step forecast per market for a single endogenous series.
 
     ``history``: observed rows (the last ``order`` values seed the recursion);
     ``future``: the horizon rows with their exogenous values (first ``steps`` per
-    market, in time order). Output: market, id, time, step, forecast.
+    market, in time order). Output: market, id, time, step, forecast (several endogenous series:
+    forecast_{endog}...). A market without a model or without history has no rows; one with fewer
+    than ``order`` observations gets NULL.
+
+    At most ``FORECAST_BLOCK`` steps run as one fold per market; longer horizons, and all rows of
+    ``future`` where ``steps`` is not given, run in blocks (``_forecast_blocks``): the same numbers
+    up to rounding, and no market's horizon in one record.
     """
     endog = list(endog or [spec.target])
+    exog = _required(future, exog)
+    if steps is None or steps > FORECAST_BLOCK:
+        return _forecast_blocks(history, future, coefs, spec, endog, exog, order, steps)
     if len(endog) != 1:
         return _forecast_multi(history, future, coefs, spec, endog, exog, order, steps)
     y = endog[0]
-    exog = [c for c in (exog or []) if c in future.columns]
     # Coefficients to one row per market: const, exog coefficients, AR coefficient array (lag 1 first).
     c = coefs.where(F.col("equation") == y)
     ar_names = [f"{y}_lag_{p}h" for p in range(1, order + 1)]
@@ -324,9 +347,7 @@ def forecast_varx(history: DataFrame, future: DataFrame, coefs: DataFrame, spec:
     # Horizon rows: exogenous part of the forecast per row, in parallel.
     w_asc = Window.partitionBy(spec.market).orderBy(F.col(spec.time).asc_nulls_last(), F.col(spec.id))
     fut = future.where(F.col(spec.market).isNotNull()).select(
-        spec.market, spec.time, spec.id, *exog, F.row_number().over(w_asc).alias("step"))
-    if steps is not None:
-        fut = fut.where(F.col("step") <= steps)
+        spec.market, spec.time, spec.id, *exog, F.row_number().over(w_asc).alias("step")).where(F.col("step") <= steps)
     fut = join_small(fut, wide, [spec.market])
     base = F.col("_const")
     for e in exog:
@@ -356,7 +377,7 @@ def forecast_varx(history: DataFrame, future: DataFrame, coefs: DataFrame, spec:
 
 
 def _forecast_multi(history: DataFrame, future: DataFrame, coefs: DataFrame, spec: PanelSpec, endog, exog,
-                    order: int, steps: int | None) -> DataFrame:
+                    order: int, steps: int) -> DataFrame:
     """T6 for several endogenous series: one group per market holding only its horizon rows
     (at most ``steps``) plus its model and last ``order`` observations; the recursion runs in
     numpy inside ``applyInPandas``. Output: market, id, time, step, forecast_{endog}..."""
@@ -364,7 +385,6 @@ def _forecast_multi(history: DataFrame, future: DataFrame, coefs: DataFrame, spe
     from pyspark.sql import types as T
 
     k = len(endog)
-    exog = [c for c in (exog or []) if c in future.columns]
     regs = ["const", *[f"{e}_lag_{p}h" for p in range(1, order + 1) for e in endog], *exog]
     # One row per market: the coefficient matrix flattened equation-major (k x len(regs)).
     cells = [F.max(F.when((F.col("equation") == e) & (F.col("regressor") == r), F.col("coef")))
@@ -378,9 +398,7 @@ def _forecast_multi(history: DataFrame, future: DataFrame, coefs: DataFrame, spe
     seed = seed.select(spec.market, F.col("_s.v").alias("_seed"))  # newest first, each an array of k
     w_asc = Window.partitionBy(spec.market).orderBy(F.col(spec.time).asc_nulls_last(), F.col(spec.id))
     fut = future.where(F.col(spec.market).isNotNull()).select(
-        spec.market, spec.id, spec.time, *exog, F.row_number().over(w_asc).alias("step"))
-    if steps is not None:
-        fut = fut.where(F.col("step") <= steps)
+        spec.market, spec.id, spec.time, *exog, F.row_number().over(w_asc).alias("step")).where(F.col("step") <= steps)
     fut = join_small(join_small(fut, model, [spec.market]), seed, [spec.market])
     out_fields = [T.StructField(spec.market, T.StringType()), T.StructField(spec.id, T.LongType()),
                   T.StructField(spec.time, T.TimestampNTZType()), T.StructField("step", T.IntegerType())]
@@ -403,3 +421,102 @@ def _forecast_multi(history: DataFrame, future: DataFrame, coefs: DataFrame, spe
         return pd.DataFrame(rows, columns=[f.name for f in out_fields])
 
     return fut.groupBy(spec.market).applyInPandas(run, T.StructType(out_fields))
+
+
+def _recurse(ar: np.ndarray, state: np.ndarray, base: np.ndarray):
+    """(forecasts, last state) of y_t = base_t + ar @ state; ``state`` holds the last values, newest first."""
+    k = len(ar)
+    out = np.empty_like(base)
+    for t in range(len(base)):
+        out[t] = base[t] + ar @ state
+        state = np.concatenate([out[t], state[:-k]])
+    return out, state
+
+
+def _companion(ar: np.ndarray) -> np.ndarray:
+    """The matrix that takes a state to the next one where ``base`` is zero."""
+    k, width = ar.shape
+    return np.vstack([ar, np.eye(width)[:width - k]])
+
+
+def _forecast_blocks(history: DataFrame, future: DataFrame, coefs: DataFrame, spec: PanelSpec, endog, exog,
+                     order: int, steps: int | None, block: int = FORECAST_BLOCK) -> DataFrame:
+    """T6 for horizons of any length. The recursion is linear in its state, so a market's horizon is cut into blocks of
+    ``block`` rows: every block recurses from a zero state at once; a market's chain of blocks, one short record each,
+    then gives the state that each block starts from (companion matrix to the power of the block's length, plus the
+    block's own end); every block recurses again from that. No task holds more than a block's rows, or one state per
+    block of a market.
+    """
+    k, width = len(endog), len(endog) * order
+    key = [spec.market, "_block"]
+    market = future.schema[spec.market]
+
+    def coef(e, r):
+        return F.coalesce(F.max(F.when((F.col("equation") == e) & (F.col("regressor") == r), F.col("coef"))), F.lit(0.0))
+
+    lags = [f"{e}_lag_{p}h" for p in range(1, order + 1) for e in endog]
+    model = coefs.groupBy(spec.market).agg(
+        F.array(*[coef(e, r) for e in endog for r in lags]).alias("_ar"),
+        *[coef(e, r).alias(f"_b{i}_{j}") for i, e in enumerate(endog) for j, r in enumerate(["const", *exog])])
+    newest = Window.partitionBy(spec.market).orderBy(F.col(spec.time).desc(), F.col(spec.id).desc())
+    tail = (history.where(F.col(spec.market).isNotNull()).dropna(subset=endog)
+            .select(spec.market, *endog, F.row_number().over(newest).alias("_rk")).where(F.col("_rk") <= order))
+    seed = tail.groupBy(spec.market).agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("_rk", F.array(*[F.col(e).cast("double") for e in endog]).alias("v")))),
+        lambda s: s["v"])).alias("_seed"))
+    start = model.select(spec.market, "_ar").join(seed, spec.market)
+    # Horizon rows with their number and the part of the forecast that needs no state.
+    numbered = with_positions(future.where(F.col(spec.market).isNotNull()).select(spec.market, spec.id, spec.time, *exog),
+                              [spec.market], [spec.time, spec.id])
+    if steps is not None:
+        numbered = numbered.where(F.col("_pos") < steps)
+    base = [sum((F.coalesce(F.col(x).cast("double"), F.lit(0.0)) * F.col(f"_b{i}_{j}") for j, x in enumerate(exog, 1)),
+                F.col(f"_b{i}_0")) for i in range(k)]
+    rows = join_small(numbered, model.drop("_ar"), [spec.market]).select(
+        spec.market, spec.id, spec.time, (F.col("_pos") + 1).cast("int").alias("step"),
+        F.floor(F.col("_pos") / block).cast("long").alias("_block"), F.array(*base).alias("_base"))
+
+    def ends(left, right):
+        if left.empty or right.empty:
+            return pd.DataFrame()
+        left = left.sort_values("step")
+        ar = np.array(right["_ar"].iloc[0], float).reshape(k, width)
+        _, state = _recurse(ar, np.zeros(width), np.array(left["_base"].tolist(), float))
+        return pd.DataFrame([[left[spec.market].iloc[0], left["_block"].iloc[0], len(left), state.tolist()]])
+
+    def chain(left, right):
+        if left.empty or right.empty:
+            return pd.DataFrame()
+        ar = np.array(right["_ar"].iloc[0], float).reshape(k, width)
+        seeds = np.array(right["_seed"].iloc[0], float)
+        state = np.concatenate([seeds, np.full(width - len(seeds), np.nan)])
+        step, powers, out = _companion(ar), {}, []
+        for _, b in left.sort_values("_block").iterrows():
+            out.append([b[spec.market], b["_block"], ar.ravel().tolist(), state.tolist()])
+            if b["_rows"] not in powers:
+                powers[b["_rows"]] = np.linalg.matrix_power(step, b["_rows"])
+            state = powers[b["_rows"]] @ state + np.array(b["_end"], float)
+        return pd.DataFrame(out)
+
+    def forecasts(left, right):
+        if left.empty or right.empty:
+            return pd.DataFrame()
+        left = left.sort_values("step")
+        ar = np.array(right["_ar"].iloc[0], float).reshape(k, width)
+        y, _ = _recurse(ar, np.array(right["_state"].iloc[0], float), np.array(left["_base"].tolist(), float))
+        out = left[[spec.market, spec.id, spec.time, "step"]].reset_index(drop=True)
+        for e, name in enumerate(names):
+            out[name] = y[:, e]
+        return out
+
+    arr, number = T.ArrayType(T.DoubleType()), T.StructField("_block", T.LongType())
+    names = ["forecast"] if k == 1 else [f"forecast_{e}" for e in endog]
+    fields = [market, future.schema[spec.id], future.schema[spec.time], T.StructField("step", T.IntegerType())]
+    fields += [T.StructField(n, T.DoubleType()) for n in names]
+    blocks = rows.select(*key).distinct().join(start.select(spec.market, "_ar"), spec.market).select(
+        F.col(spec.market).alias("_m"), F.col("_block").alias("_b"), "_ar")  # names apart: both sides come from ``rows``
+    ended = rows.groupBy(*key).cogroup(blocks.groupBy("_m", "_b")).applyInPandas(
+        ends, T.StructType([market, number, T.StructField("_rows", T.LongType()), T.StructField("_end", arr)]))
+    begun = ended.groupBy(spec.market).cogroup(start.groupBy(spec.market)).applyInPandas(
+        chain, T.StructType([market, number, T.StructField("_ar", arr), T.StructField("_state", arr)]))
+    return rows.groupBy(*key).cogroup(begun.groupBy(*key)).applyInPandas(forecasts, T.StructType(fields))

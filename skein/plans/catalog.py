@@ -659,6 +659,13 @@ def a5_monthly_pivot(spark, sf):
     return stats.mean_pivot(fx.orders_panel(spark, sf), P2, by="month")
 
 
+@query("a5_mean_profile", with_p2(
+    "SELECT market, CAST(month(delivery_start) AS INTEGER) AS month, avg(target) AS mean, count(*) AS n"
+    " FROM p2 WHERE market IS NOT NULL AND target IS NOT NULL GROUP BY 1, 2"))
+def a5_mean_profile(spark, sf):
+    return stats.mean_profile(fx.orders_panel(spark, sf), P2, by="month")
+
+
 def _hist_sql(src: str, expr: str) -> str:
     return (
         f"b AS (SELECT min(v) AS lo0, max(v) AS hi0 FROM (SELECT {expr} AS v FROM {src} WHERE target IS NOT NULL)),"

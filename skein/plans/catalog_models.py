@@ -174,7 +174,7 @@ def l5_pooled_ridge(spark, sf):
 
 def _arx_frame(spark, sf):
     p = impute.impute_missing(fx.hourly_events_panel(spark, sf), P1, "ffill")
-    return flows.arx_features(rel.drop_null_rows(p, ["target"]), P1)
+    return flows.arx_features(rel.drop_null_rows(p, ["target"]), P1, missing="skip")
 
 
 def _arx_sql():
@@ -285,6 +285,14 @@ def l11_train_evaluate(spark, sf):
     return svr.train_and_evaluate(trs, vas, P2F, "target", method="sgd")[2]
 
 
+@query("l11_train_evaluate_kernel")
+def l11_train_evaluate_kernel(spark, sf):
+    train = _train(spark, sf).dropna(subset=[*P2F, "target"])
+    tr, va = rel.temporal_split(train, P2, val_months=3)
+    _, trs, vas, _ = encode.scale_features(tr, va, None, P2F)
+    return svr.train_and_evaluate(trs, vas, P2F, "target", method="svr")[2]
+
+
 # -- X ------------------------------------------------------------------------------
 
 def _correlation_filter_sql(feats, threshold=0.05, inter=0.95):
@@ -434,8 +442,7 @@ def t5_varx_models(spark, sf):
     return _varx(spark, sf)[1]
 
 
-@query("t6_forecast", _forecast_sql())
-def t6_forecast(spark, sf):
+def _last_hours(spark, sf, **horizon):
     """Fit on all but the last 48 hours of each market, forecast those 48 hours."""
     s = _series(spark, sf)
     cut = s.agg(F.max("delivery_start")).first()[0]
@@ -444,10 +451,21 @@ def t6_forecast(spark, sf):
     fut = s.where(F.col("delivery_start") > F.lit(cut - timedelta(hours=48)))
     coefs, _ = tseries.fit_varx(hist, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"], order=24)
     out = tseries.forecast_varx(hist, fut, coefs, P1, ["target"], ["solar_forecast", "wind_forecast", "load_forecast"],
-                                order=24, steps=48)
+                                order=24, **horizon)
     return out.withColumn("forecast", r4("forecast"))
 
 
+@query("t6_forecast", _forecast_sql())
+def t6_forecast(spark, sf):
+    return _last_hours(spark, sf, steps=48)
+
+
+@query("t6_forecast_blocks", _forecast_sql())
+def t6_forecast_blocks(spark, sf):
+    """The horizon in blocks, as for one without a bound."""
+    return _last_hours(spark, sf)
+
+
 # -- Volume: order-free operators over every lineitem row ---------------------------
 
 @query("v1_lineitem_ridge_by_market", _qr(with_vol, "vol", fx.VOLUME_FEATURES, alpha=1.0))

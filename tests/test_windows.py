@@ -83,7 +83,7 @@ def test_row_position_no_gaps_and_no_single_partition_exchange(spark):
     vals = sorted(r["row_pos"] for r in pos.select("row_pos").collect())
     assert vals == list(range(p.count()))
     plan = pos._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan or "_pid" in plan  # only the small offset table is windowed globally
+    assert "SinglePartition" not in plan
 
 
 def test_engineered_features_use_one_market_exchange(spark):

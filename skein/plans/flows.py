@@ -150,18 +150,21 @@ def calendar_indicators(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c in names]
 
 
-def flow_ols(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, include_id: bool = True) -> dict:
+def flow_ols(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, include_id: bool = True,
+             class_sums: bool = False) -> dict:
     """Flow C: every column but market/target/times is a regressor (``id`` too, as the
     original workflow does; ``include_id=False`` leaves it out). Returns coefficients and test
     predictions (id, target) - a market without a model gets NULL.
 
-    The calendar columns are summed by their combinations, so the data pass reads the numeric columns only."""
+    ``class_sums``: sum the calendar columns by their combinations, so that the data pass reads the numeric columns only;
+    the same coefficients up to rounding."""
     tr, te = ols_design(train_raw, spec), ols_design(test_raw, spec)
     drop = set(DROP_COLS) | {spec.market, spec.target, spec.time, spec.end}
     if not include_id:
         drop.add(spec.id)
     regs = [c for c in tr.columns if c not in drop]
-    coefs = linear.fit_ols(tr, [spec.market], regs, spec.target, const_rule=True, indicators=calendar_indicators(tr))
+    coefs = linear.fit_ols(tr, [spec.market], regs, spec.target, const_rule=True,
+                           indicators=calendar_indicators(tr) if class_sums else ())
     preds = linear.score_linear(te, coefs, [spec.market], regs)
     return {"coefficients": coefs, "test_predictions": preds.select(spec.id, F.col("pred").alias("target"))}
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skein.operators.forest import forest_importance
 from skein.operators.gram import centred, grouped_gram, unpack, written
 from skein.operators.positions import with_positions
 from skein.operators.stats import corr_long
@@ -174,21 +175,13 @@ def vif_filter(df: DataFrame, features, vif_threshold: float = 10.0) -> list[str
 
 def rf_importance(df: DataFrame, features, target_col: str = "target", n_estimators: int = 200,
                   max_depth: int = 12, seed: int = 42, top_k: int | None = None) -> DataFrame:
-    """Random-forest impurity importances (MLlib, every feature considered at each split).
+    """Random-forest impurity importances (every feature considered at each split).
 
-    (feature, importance) sorted descending; ``top_k`` keeps the first k. MLlib bins
-    continuous features, so values differ from an exact-split forest; the ranking is the product.
+    (feature, importance) sorted descending; ``top_k`` keeps the first k. Continuous features are binned, as MLlib does
+    it, so values differ from an exact-split forest; the ranking is the product.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-
     features = list(features)
-    subset = df.select(*features, target_col).dropna()
-    assembled = VectorAssembler(inputCols=features, outputCol="_x").transform(subset)
-    rf = RandomForestRegressor(featuresCol="_x", labelCol=target_col, numTrees=n_estimators,
-                               maxDepth=max_depth, seed=seed, featureSubsetStrategy="all")
-    model = rf.fit(assembled)
-    imp = model.featureImportances.toArray()
+    imp = forest_importance(df, features, target_col, n_estimators, max_depth, seed)
     rows = sorted(zip(features, (float(x) for x in imp)), key=lambda t: (-t[1], features.index(t[0])))
     if top_k is not None:
         rows = rows[:top_k]

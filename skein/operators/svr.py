@@ -21,6 +21,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,45 +34,63 @@ from skein.spec import KERNEL_GRID, SGD_GRID
 CONST = "const"
 
 
+#: Rows that a task weighs at once, so that they stay in the processor's cache.
+STEP_ROWS = 2048
+#: Rows of a task of a pass, where that gives more tasks than twice the cores.
+TASK_ROWS = 200_000
+
+
+def _arrays(batch):
+    """Features, target and positions of an Arrow batch of prepared rows, a few at a time."""
+    x, y, pos = (batch.column(batch.schema.get_field_index(c)) for c in ("_x", "_y", "_pos"))
+    y, pos = y.to_numpy(zero_copy_only=False), pos.to_numpy(zero_copy_only=False)
+    X = x.flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1) if len(y) else np.zeros((0, 0))
+    for lo in range(0, len(y), STEP_ROWS):
+        yield X[lo:lo + STEP_ROWS], y[lo:lo + STEP_ROWS], pos[lo:lo + STEP_ROWS]
+
+
+def _cells(values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([values], pa.list_(pa.float64()))], ["_v"])
+
+
 def _kernel(k: int, thetas: np.ndarray, alphas_eps, cuts, delta: float, init: bool = False, featurize=None):
     """Per-partition weighted Gram of every model. ``cuts[m]`` = (lo, hi) row-position range
     of model m's training rows."""
     M = thetas.shape[0]
     k1 = k + 1
     eps = np.array([e for _, e in alphas_eps], dtype=float)
+    ranges = {}
+    for m, cut in enumerate(cuts):
+        ranges.setdefault(tuple(cut), []).append(m)
 
     def run(it):
         A = np.zeros((M, k1, k1)); B = np.zeros((M, k1)); loss = np.zeros(M); cnt = np.zeros(M)
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = np.vstack(pdf["_x"].to_numpy()).astype(np.float64)
+        for X, y, pos in (part for batch in it for part in _arrays(batch)):
             if featurize is not None:
                 X = featurize(X)
             X1 = np.hstack([np.ones((X.shape[0], 1)), X])
-            y = pdf["_y"].to_numpy(dtype=np.float64)
-            pos = pdf["_pos"].to_numpy()
-            R = y[:, None] - X1 @ thetas.T
-            absr = np.abs(R)
-            out = absr > eps
-            if init:  # plain least squares start
-                u, c = np.ones_like(R), np.zeros_like(R)
-            else:
-                u = np.where(out, 1.0 / np.maximum(absr - eps, delta), 0.5 / np.maximum(eps - absr, delta))
-                c = np.where(out, eps * np.sign(R), R)
-            for m in range(M):
-                lo, hi = cuts[m]
+            for (lo, hi), models in ranges.items():
                 mask = (pos >= lo) & (pos < hi)
                 if not mask.any():
                     continue
-                um = u[mask, m]
-                Xm = X1[mask]
-                A[m] += (Xm * um[:, None]).T @ Xm
-                B[m] += Xm.T @ (um * (y[mask] - c[mask, m]))
-                loss[m] += np.maximum(absr[mask, m] - eps[m], 0.0).sum()
-                cnt[m] += mask.sum()
-        cells = np.concatenate([A.ravel(), B.ravel(), loss, cnt])
-        yield pd.DataFrame({"_v": [cells.tolist()]})
+                Xm, ym = (X1, y) if mask.all() else (X1[mask], y[mask])
+                e = eps[models]
+                R = ym[:, None] - Xm @ thetas[models].T
+                absr = np.abs(R)
+                out = absr > e
+                if init:  # plain least squares start
+                    u, c = np.ones_like(R), np.zeros_like(R)
+                else:
+                    u = np.where(out, 1.0 / np.maximum(absr - e, delta), 0.5 / np.maximum(e - absr, delta))
+                    c = np.where(out, e * np.sign(R), R)
+                root = np.sqrt(u)
+                for i, m in enumerate(models):
+                    S = Xm * root[:, i, None]
+                    A[m] += S.T @ S  # one array times itself: half the products
+                B[models] += (u * (ym[:, None] - c)).T @ Xm
+                loss[models] += np.maximum(absr - e, 0.0).sum(axis=0)
+                cnt[models] += len(ym)
+        yield _cells(np.concatenate([A.ravel(), B.ravel(), loss, cnt]))
 
     return run
 
@@ -110,7 +129,7 @@ def _solve_batch(prepared: DataFrame, k: int, alphas_eps, cuts, max_iter: int =
         m = len(live)
         run = _kernel(k, thetas[live], [alphas_eps[i] for i in live], [cuts[i] for i in live], delta, init=step == 0,
                       featurize=featurize)
-        cells = _sum_partials(prepared.mapInPandas(run, "_v array<double>"), n_parts, m * k1 * k1 + m * k1 + 2 * m)
+        cells = _sum_partials(prepared.mapInArrow(run, "_v array<double>"), n_parts, m * k1 * k1 + m * k1 + 2 * m)
         A, B, loss, cnt = np.split(cells, np.cumsum([m * k1 * k1, m * k1, m]))
         A, B, cnt = A.reshape(m, k1, k1), B.reshape(m, k1), np.maximum(cnt, 1.0)
         going = np.ones(m, bool)
@@ -132,9 +151,13 @@ def _prepare(df: DataFrame, features, target: str, order_cols):
     ranked = with_positions(rows, [], order_cols, pos_col="_pos", count_col="_n")
     prepared = ranked.select(F.array(*[F.col(c).cast("double") for c in features]).alias("_x"),
                              F.col(target).cast("double").alias("_y"), "_pos", "_n")
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    n = prepared.select("_n").first()
-    return prepared, (int(n[0]) if n else 0)
+    first = prepared.select("_n").first()
+    n = int(first[0]) if first else 0
+    # Many passes read few numbers a row: no more tasks than keep the cores busy and a task's rows few.
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-n // TASK_ROWS))
+    if tasks < prepared.rdd.getNumPartitions():
+        prepared = prepared.coalesce(tasks)
+    return prepared.persist(StorageLevel.MEMORY_AND_DISK), n
 
 
 def _coef_table(spark, features, theta):
@@ -307,19 +330,15 @@ def _fold_errors(prepared: DataFrame, thetas: np.ndarray, tests, featurize=None)
 
     def run(it):
         total, count = np.zeros(M), np.zeros(M)
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = np.vstack(pdf["_x"].to_numpy()).astype(np.float64)
-            X = X if featurize is None else featurize(X)
-            pos = pdf["_pos"].to_numpy()[:, None]
+        for X, y, pos in (part for batch in it for part in _arrays(batch)):
+            X, pos = X if featurize is None else featurize(X), pos[:, None]
             inside = (pos >= np.array([t[0] for t in tests])) & (pos < np.array([t[1] for t in tests]))
-            err = np.abs(pdf["_y"].to_numpy(dtype=np.float64)[:, None] - thetas[:, 0] - X @ thetas[:, 1:].T)
+            err = np.abs(y[:, None] - thetas[:, 0] - X @ thetas[:, 1:].T)
             total += np.where(inside, err, 0.0).sum(0)
             count += inside.sum(0)
-        yield pd.DataFrame({"_v": [np.concatenate([total, count]).tolist()]})
+        yield _cells(np.concatenate([total, count]))
 
-    cells = _sum_partials(prepared.mapInPandas(run, "_v array<double>"), prepared.rdd.getNumPartitions(), 2 * M)
+    cells = _sum_partials(prepared.mapInArrow(run, "_v array<double>"), prepared.rdd.getNumPartitions(), 2 * M)
     with np.errstate(invalid="ignore", divide="ignore"):
         return cells[:M] / cells[M:]
 

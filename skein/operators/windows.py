@@ -26,7 +26,7 @@ from skein.operators.positions import with_positions
 from skein.operators.sizing import join_small
 from skein.spec import LAG_HOURS, ROLLING_WINDOWS, WEATHER_LAGS, PanelSpec
 
-DEFAULT_BUCKET_ROWS = 5_000_000
+DEFAULT_BUCKET_ROWS = 250_000
 _POS = "_pos"
 _BUCKET = "_bucket"
 _HALO = "_halo"

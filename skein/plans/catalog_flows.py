@@ -4,13 +4,19 @@ The order panel lacks some columns of the fixed feature lists, so its flows allo
 
 from __future__ import annotations
 
+from skein.operators.gram import written
 from skein.plans import flows
 from skein.plans.catalog import query
 from skein.sources import fixtures as fx
 
 
+def _panels(spark, sf):
+    """The order panels as tables below the checkpoint folder: the flows read them several times, the join runs once."""
+    return [written(df) for df in fx.orders_train_test(spark, sf)]
+
+
 def _b(spark, sf, **kw):
-    train, test = fx.orders_train_test(spark, sf)
+    train, test = _panels(spark, sf)
     return flows.flow_arx(train, test, fx.P2_SPEC, missing="skip", **kw)
 
 
@@ -44,7 +50,7 @@ def flow_c_ols_test_predictions(spark, sf):
 @query("flow_d_ensemble")
 def flow_d_ensemble(spark, sf):
     """Blend of the flow-B and flow-C predictions, weighted by the inverse MAE of both models on the same last months."""
-    train, test = fx.orders_train_test(spark, sf)
+    train, test = _panels(spark, sf)
     b = flows.flow_arx(train, test, fx.P2_SPEC, pooled=False, missing="skip")
     c = flows.flow_ols(train, test, fx.P2_SPEC)
     mae_b = b["metrics"].first()["mae"]

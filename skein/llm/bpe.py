@@ -19,6 +19,7 @@ texts of any length are encoded whole.
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import itertools
 import os
@@ -31,11 +32,13 @@ import regex
 
 from pyspark.sql import DataFrame
 
-from skein.llm.textops import documents
+from skein.llm.textops import chunks, documents
 
 CACHE_SIZE = 200_000
 #: Pieces longer than this are not cached.
 CACHE_PIECE = 48
+#: Bytes of text that are cut into pieces at a time.
+PART_BYTES = 1 << 20
 #: Pairs of neighbouring tokens that are remembered.
 STABLE_SIZE = 1_000_000
 
@@ -55,9 +58,6 @@ class PrefixEncoder:
         self.longest = max(map(len, ranks))
         self.split = regex.compile(pattern)
         self.shift = max(self.bytes_of).bit_length()
-        self.stable: dict[int, bool] = {}
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         # the two tokens that a token is merged from at last; a token that its own bytes' merges do not give never appears
         # inside a longer piece and is left out
         self.halves: dict[int, tuple[int, int] | None] = {}
@@ -68,13 +68,20 @@ class PrefixEncoder:
         #: Merges then happen in order of rank, which the quick test of neighbours relies on.
         self.rising = all(h is None or max((x for x in h if len(self.bytes_of[x]) > 1), default=-1) < r
                           for r, h in self.halves.items())
-        self.edges: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
+        self.forget()
         self.tokens = ahocorasick.Automaton()
         for r in self.halves:
             t = self.bytes_of[r]
             self.tokens.add_word(t.decode("latin-1"), (r, len(t)))
         self.tokens.make_automaton()
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts."""
+        self.stable: dict[int, bool] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.edges: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
+
     def _merge(self, data: bytes) -> tuple[list[int], tuple[int, int] | None]:
         """Ids of ``data`` by the merges (join the neighbours of lowest rank, leftmost first, until none can be), and the
         two tokens joined last."""
@@ -267,13 +274,23 @@ def _encoder(path: str, pattern: str) -> PrefixEncoder:
     return PrefixEncoder(read_ranks(path), pattern)
 
 
+@contextlib.contextmanager
+def _in_task(path: str, pattern: str):
+    """The encoder, which a worker keeps for its next tasks; what it remembers of texts goes when the task ends, as the
+    worker then waits, or runs other stages, with whatever it holds."""
+    encoder = _encoder(path, pattern)
+    try:
+        yield encoder
+    finally:
+        encoder.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text_col="text") -> DataFrame:
     """``doc_id, ids`` (array of the token ids) for every whole text; the rank file must exist on the executors."""
     def run(batches):
-        enc = _encoder(ranks_path, pattern)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+        with _in_task(ranks_path, pattern) as enc:
+            for part in _parts(batches):
                 blobs = enc.packed_all([t or "" for t in part.column(1).to_pylist()])
                 ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int32)
                 off = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])]).astype(np.int32)
@@ -297,22 +314,26 @@ def decode_documents(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFr
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, data binary")
 
 
+def _parts(batches):
+    """The rows of ``batches``, texts in the second column, so many at a time that their pieces need little memory."""
+    for batch in batches:
+        for lo, hi, _, _ in chunks(batch.column(1), PART_BYTES):
+            yield batch.slice(lo, hi - lo)
+
+
 DIGEST_SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def encode_digest(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text_col="text") -> DataFrame:
     """Token count and hashes of the packed ids and of the bytes that decoding these ids gives, in one pass."""
     def run(batches):
-        enc = _encoder(ranks_path, pattern)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+        with _in_task(ranks_path, pattern) as enc:
+            for part in _parts(batches):
                 blobs = enc.packed_all([t or "" for t in part.column(1).to_pylist()])
-                back = [enc.decode(np.frombuffer(b, "<u4").tolist()) for b in blobs]
+                back = [hashlib.sha256(enc.decode(np.frombuffer(b, "<u4").tolist())).hexdigest() for b in blobs]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(b) // 4 for b in blobs], pa.int64()),
-                    pa.array([hashlib.sha256(b).hexdigest() for b in blobs]),
-                    pa.array([hashlib.sha256(b).hexdigest() for b in back]),
+                    pa.array([hashlib.sha256(b).hexdigest() for b in blobs]), pa.array(back),
                 ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(

@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from skein.llm.components import components
-from skein.llm.textops import SPACE, chunks, documents, mix, release, shingles, signed, store, words
+from skein.llm.textops import (
+    ROW_CHUNK_BYTES, SPACE, chunks, documents, mix, release, shingles, signed, store, words)
 
 SHINGLE = 4
 PERCENT = 85
@@ -39,7 +40,7 @@ BLOCK = 512
 #: Token records in one bucket, about.
 BUCKET_RECORDS = 1_000_000
 #: Records a task gathers before it sends them.
-FLUSH_RECORDS = 500_000
+FLUSH_RECORDS = 200_000
 
 _TOKEN = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -106,7 +107,7 @@ def _describe(k):
                 pa.array(cells, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n", "node", "bitmap", "cells"])
 
         for batch in batches:
-            for lo, hi, data, off in chunks(batch.column(1)):
+            for lo, hi, data, off in chunks(batch.column(1), ROW_CHUNK_BYTES):
                 sets = shingle_sets(data, off, k)
                 flat = np.concatenate(sets)
                 sketch += np.bincount((flat >> np.uint64(48)).astype(np.int64), minlength=SKETCH_CELLS)
@@ -137,7 +138,7 @@ def _tokens(k, percent, levels, n_buckets):
                 names=["bucket", "records"])
 
         for batch in batches:
-            for lo, hi, data, off in chunks(batch.column(1)):
+            for lo, hi, data, off in chunks(batch.column(1), ROW_CHUNK_BYTES):
                 for doc, s in zip(batch.column(0)[lo:hi].to_pylist(), shingle_sets(data, off, k)):
                     n = len(s)
                     if doc is None or not n or (node := set_id(s)) in seen:
@@ -308,7 +309,7 @@ def _exact(percent):
 def _members(k):
     def run(batches):
         for batch in batches:
-            for lo, hi, data, off in chunks(batch.column(1)):
+            for lo, hi, data, off in chunks(batch.column(1), ROW_CHUNK_BYTES):
                 rows = [(node, s) for node, s in zip(batch.column(0)[lo:hi].to_pylist(), shingle_sets(data, off, k))
                         if set_id(s) == node]
                 yield pa.RecordBatch.from_arrays([

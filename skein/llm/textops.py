@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skein.session import ensure_checkpoint_dir
 
 CHUNK_BYTES = 2 << 20
+#: For passes that need more memory for a byte and gain nothing by larger chunks.
+ROW_CHUNK_BYTES = 256 << 10
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15

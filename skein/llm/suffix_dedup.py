@@ -11,7 +11,8 @@ anchor need a common sort.
    documents hold first); back come the grams that at least two documents hold.
 2. An anchor stands for the windows of which it is the first smallest gram. Around each shared anchor the bytes of its
    windows, its context, go to buckets by gram. Equal ones are combined first: all but the smallest id's are then
-   decided. A gram so common that its bucket would grow without bound is split: its windows go out by their own content.
+   decided. A gram so common that its bucket would grow without bound is split: its windows go out by their own content,
+   equal ones combined first as well.
 3. A bucket's equal contexts are combined. Windows that different contexts of a gram share follow from the pairs' common
    extensions, by prefix hashes and binary search, where a gram has few (``PAIRS``), and else from a suffix sort of the
    windows; a window is repeated if a smaller id has it.
@@ -34,7 +35,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, functions as F
 
-from skein.llm.textops import CHUNK_BYTES, byte_hash, chunks, documents, mix, powers, prefix_hash, release, store
+from skein.llm.textops import ROW_CHUNK_BYTES, byte_hash, chunks, documents, mix, powers, prefix_hash, release, store
 
 LENGTH = 50
 GRAM = 20
@@ -58,6 +59,7 @@ _MARK = np.dtype([("uid", "<i8"), ("pos", "<u4"), ("mask", "<u4")])
 #: A gram that other documents hold as well, for one of its documents: the low 40 bits of its hash.
 _PLACE = np.dtype([("uid", "<i8"), ("low", "<u4"), ("high", "u1")])
 _LOW40 = np.uint64((1 << 40) - 1)
+_AT = np.arange(WIDE, dtype=np.uint8)
 #: Up to so many different contexts of a gram are compared pair by pair; more are suffix-sorted window by window.
 PAIRS = 48
 
@@ -112,9 +114,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
     return row, at, grams[at], first, last
 
 
+def _by_bucket(bucket: np.ndarray) -> np.ndarray:
+    """Stable order by bucket; numpy sorts 16 bits by digits."""
+    small = len(bucket) and bucket.max() < 1 << 16
+    return np.argsort(bucket.astype(np.uint16) if small else bucket, kind="stable")
+
+
 def _pack(records: np.ndarray, bucket: np.ndarray, first: int = 0, kind: int = 0):
     """Rows (bucket, kind, bytes) of records by bucket."""
-    order = np.argsort(bucket, kind="stable")
+    order = _by_bucket(bucket)
     records, bucket = records[order], bucket[order]
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
     return ([int(b) + first for b in bucket[cut]], [kind] * len(cut),
@@ -135,7 +143,7 @@ _COUNT = np.dtype([("key", "<u8"), ("n", "<i8")])
 
 def _pack_grams(key, uid, bucket, first=0):
     """Gram records by bucket in columns: 40 bits of the gram, and the document once for a run."""
-    order = np.argsort(bucket, kind="stable")
+    order = _by_bucket(bucket)
     key, uid, bucket = key[order], uid[order], bucket[order]
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
     low, high = _split40(key)
@@ -172,13 +180,13 @@ def _places(key, uid):
 
 def _shared(key: np.ndarray, uid: np.ndarray):
     """(order by key, begin of each key's run, run of each element, whether the run has two different uids)."""
-    order = np.lexsort((uid, key))
+    order = np.argsort(key)
     k, u = key[order], uid[order]
     new = np.append(True, k[1:] != k[:-1]) if len(k) else np.zeros(0, bool)
     begin = np.flatnonzero(new)
     run = np.cumsum(new) - 1
-    end = np.append(begin[1:], len(k)) - 1 if len(k) else begin
-    return order, begin, run, u[begin] != u[end] if len(k) else np.zeros(0, bool)
+    many = np.minimum.reduceat(u, begin) != np.maximum.reduceat(u, begin) if len(k) else np.zeros(0, bool)
+    return order, begin, run, many
 
 
 def _send_anchors(n_gram, n_doc):
@@ -205,7 +213,7 @@ def _send_anchors(n_gram, n_doc):
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for lo, hi, data, off in chunks(batch.column(1)):
+            for lo, hi, data, off in chunks(batch.column(1), ROW_CHUNK_BYTES):
                 row, _, key, _, _ = anchors(data, off)
                 held.append((ids[lo:hi][row], key))
                 size += len(key)
@@ -308,7 +316,14 @@ def _unzip(blob: bytes) -> bytes:
 
 
 def _grouped(table: pa.Table):
-    """Yield (ids, uids, bytes, offsets) of packed documents, about CHUNK_BYTES at a time."""
+    """Yield (ids, uids, bytes, offsets) of packed documents, about ROW_CHUNK_BYTES at a time: the more tasks sent records to
+    a bucket, the smaller these are, so small ones are joined."""
+    held, size = [], 0
+
+    def joined():
+        docs, uids, text, length = (np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*held))
+        return docs, uids, text, np.concatenate([[0], np.cumsum(length)])
+
     for blob in table.column("data"):
         raw = _unzip(blob.as_py())
         n = int(np.frombuffer(raw, "<i8", 1)[0])
@@ -316,9 +331,16 @@ def _grouped(table: pa.Table):
         off = np.concatenate([[0], np.cumsum(length)])
         text, lo = np.frombuffer(raw, "u1", -1, 8 + 24 * n), 0
         while lo < n:
-            hi = min(n, max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK_BYTES, "right")) - 1))
-            yield docs[lo:hi], uids[lo:hi], text[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+            hi = min(n, max(lo + 1, int(np.searchsorted(off, off[lo] + ROW_CHUNK_BYTES - size, "right")) - 1))
+            if held and size + off[hi] - off[lo] > ROW_CHUNK_BYTES:
+                yield joined()
+                held, size = [], 0
+                continue
+            held.append((docs[lo:hi], uids[lo:hi], text[off[lo]:off[hi]], length[lo:hi]))
+            size += off[hi] - off[lo]
             lo = hi
+    if held:
+        yield joined()
 
 
 def _send_contexts(n_gram, n_doc, split):
@@ -330,6 +352,8 @@ def _send_contexts(n_gram, n_doc, split):
         kept, marks = [], []
         for ids, uids, data, off in _grouped(docs) if len(docs) and len(place) else ():
             row, at, gram, first, last = anchors(data, off)
+            padded = np.concatenate([np.zeros(SPAN, np.uint8), data, np.zeros(WIDE, np.uint8)])
+            around = np.lib.stride_tricks.sliding_window_view(padded, WIDE)  # row i: from byte i - SPAN on
             look = _pair_hash(uids[row], gram & _LOW40)
             hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, look), len(wanted) - 1)] == look)
             for a in range(0, len(hit), PIECE):
@@ -338,18 +362,23 @@ def _send_contexts(n_gram, n_doc, split):
                 rec["key"], rec["uid"], rec["doc"] = gram[h], uids[row[h]], ids[row[h]]
                 rec["pos"] = at[h] - off[row[h]]
                 rec["lo"], rec["hi"] = SPAN + first[h] - at[h], SPAN + last[h] - at[h] + LENGTH
-                around = data[np.clip(at[h, None] + np.arange(-SPAN, WIDE - SPAN), 0, len(data) - 1)]
-                inside = (np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])
-                rec["bytes"] = np.where(inside, around, 0)
+                rec["bytes"] = around[at[h]] * _inside(rec)
                 rec, decided = _combine(rec)
                 kept.append(rec)
                 marks.append(decided)
         if not kept:
             return pa.Table.from_batches([_rows()])
-        rec, marks = np.concatenate(kept), np.concatenate(marks)
+        rec = np.concatenate(kept)
         common = np.isin(rec["key"], split)
+        apart = rec[common]
+        apart, packed = apart[np.argsort(apart["key"], kind="stable")], []
+        for a in range(0, len(apart), PIECE):
+            part, decided = _windows_apart(apart[a:a + PIECE])
+            packed.append(_pack_contexts(part, _bucket(part["key"], n_gram), _WINDOWS))
+            marks.append(decided)
+        marks = np.concatenate(marks)
         return pa.Table.from_batches([_rows(
-            _pack_contexts(rec[~common], _bucket(rec["key"][~common], n_gram)), *_windows_apart(rec[common], n_gram),
+            _pack_contexts(rec[~common], _bucket(rec["key"][~common], n_gram)), *packed,
             _pack(marks, marks["uid"] % n_doc, n_gram, _MARKS))])
 
     return run
@@ -362,10 +391,10 @@ def _pair_hash(uid, key):
 def _pack_contexts(rec: np.ndarray, bucket: np.ndarray, kind: int = _CONTEXTS):
     """Contexts by bucket, in columns and compressed, without the bytes outside their windows; keys follow from the
     bytes."""
-    order = np.argsort(bucket, kind="stable")
+    order = _by_bucket(bucket)
     rec, bucket = rec[order], bucket[order]
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-    inside = (np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])
+    inside = _inside(rec)
     out = []
     for a, b in zip(cut, np.append(cut[1:], len(rec))):
         part = rec[a:b]
@@ -374,30 +403,46 @@ def _pack_contexts(rec: np.ndarray, bucket: np.ndarray, kind: int = _CONTEXTS):
     return [int(b) for b in bucket[cut]], [kind] * len(cut), out
 
 
-def _unpack_contexts(blob: bytes, kind: int) -> np.ndarray:
-    blob = _unzip(blob)
-    n, at = int(np.frombuffer(blob, "<u4", 1)[0]), 4
-    rec = np.zeros(n, _CONTEXT)
-    for c in ("doc", "uid", "pos", "lo", "hi"):
-        rec[c] = np.frombuffer(blob, _CONTEXT[c], n, at)
-        at += n * _CONTEXT[c].itemsize
-    full = np.zeros((n, WIDE), np.uint8)
-    full[(np.arange(WIDE) >= rec["lo"][:, None]) & (np.arange(WIDE) < rec["hi"][:, None])] = np.frombuffer(blob, "u1", -1, at)
-    rec["bytes"] = full
-    rec["key"] = context_hash(rec) if kind == _WINDOWS else mix(byte_hash(full[:, SPAN:SPAN + GRAM]))
-    return rec
-
-
-def _windows_apart(rec: np.ndarray, n_gram: int):
-    """Contexts of a split gram as one record for each window, with the window's own hash as its key."""
+def _inside(rec: np.ndarray) -> np.ndarray:
+    """Of a context's bytes those that its windows cover."""
+    return (_AT >= rec["lo"][:, None]) & (_AT < rec["hi"][:, None])
+
+
+def _unpack_contexts(blobs, kind: int):
+    """Yield the contexts of packed records of one kind, about PIECE at a time: records are small where the buckets are
+    many."""
+    raws, sizes, total = [], [], 0
+    for i, blob in enumerate(blobs):
+        raws.append(_unzip(blob))
+        sizes.append(int.from_bytes(raws[-1][:4], "little"))
+        total += sizes[-1]
+        if total < PIECE and i + 1 < len(blobs):
+            continue
+        rec, at = np.zeros(total, _CONTEXT), [4] * len(raws)
+        for c in ("doc", "uid", "pos", "lo", "hi"):
+            rec[c] = np.concatenate([np.frombuffer(r, _CONTEXT[c], n, a) for r, n, a in zip(raws, sizes, at)])
+            at = [a + n * _CONTEXT[c].itemsize for a, n in zip(at, sizes)]
+        full = np.zeros((len(rec), WIDE), np.uint8)
+        full[_inside(rec)] = np.concatenate([np.frombuffer(r, "u1", -1, a) for r, a in zip(raws, at)])
+        rec["bytes"] = full
+        rec["key"] = context_hash(rec) if kind == _WINDOWS else mix(byte_hash(full[:, SPAN:SPAN + GRAM]))
+        yield rec
+        raws, sizes, total = [], [], 0
+
+
+def _windows_apart(rec: np.ndarray):
+    """Contexts of split grams as one record for each window, with the window's own hash as its key; equal ones are combined:
+    (windows left, marks)."""
+    kept, marks = [np.zeros(0, _CONTEXT)], [np.zeros(0, _MARK)]
     for o in range(SPAN + 1):
         part = rec[(rec["lo"] <= o) & (rec["hi"] >= o + LENGTH)].copy()
-        if len(part):
-            part["lo"], part["hi"] = o, o + LENGTH
-            outside = (np.arange(WIDE) < o) | (np.arange(WIDE) >= o + LENGTH)
-            part["bytes"][:, outside] = 0
-            part["key"] = context_hash(part)
-            yield _pack_contexts(part, _bucket(part["key"], n_gram), _WINDOWS)
+        part["lo"], part["hi"] = o, o + LENGTH
+        part["bytes"][:, :o] = part["bytes"][:, o + LENGTH:] = 0
+        part["key"] = context_hash(part)
+        part, decided = _combine(part)
+        kept.append(part)
+        marks.append(decided)
+    return np.concatenate(kept), np.concatenate(marks)
 
 
 def context_hash(rec: np.ndarray) -> np.ndarray:
@@ -405,8 +450,12 @@ def context_hash(rec: np.ndarray) -> np.ndarray:
     out = np.empty(len(rec), np.uint64)
     for at in range(0, len(rec), PIECE):
         part = rec[at:at + PIECE]
-        out[at:at + PIECE] = byte_hash(part["bytes"]) + part["lo"] * np.uint64(257) + part["hi"]
-    return mix(out)
+        words = np.ascontiguousarray(part["bytes"]).view("<u8")
+        h = part["lo"] * np.uint64(257) + part["hi"]
+        for j in range(words.shape[1]):
+            h = mix(h ^ words[:, j], j + 1)
+        out[at:at + PIECE] = h
+    return out
 
 
 def _full_mask(rec: np.ndarray) -> np.ndarray:
@@ -566,6 +615,15 @@ def _paired_windows(ctx: np.ndarray, group: np.ndarray, some: np.ndarray) -> np.
     return out
 
 
+def _met_again(hashes: np.ndarray) -> np.ndarray:
+    """Whether another element has the same hash."""
+    order = np.argsort(hashes)
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    out = np.zeros(len(hashes), bool)
+    out[order[1:][equal]] = out[order[:-1][equal]] = True
+    return out
+
+
 def _sorted_windows(ctx: np.ndarray, group: np.ndarray) -> np.ndarray:
     """For distinct contexts: bits of the windows that a context of the same gram and a smaller id has."""
     data = np.ascontiguousarray(ctx["bytes"]).reshape(-1)
@@ -573,6 +631,10 @@ def _sorted_windows(ctx: np.ndarray, group: np.ndarray) -> np.ndarray:
     i, o = np.nonzero((offset >= ctx["lo"][:, None]) & (offset + LENGTH <= ctx["hi"][:, None]))
     starts, segment = i * WIDE + o, group[i] * (SPAN + 1) + o
     suffixes = Suffixes(data, LENGTH)
+    # a window that is alone in its segment by its whole hash has no equal
+    again = _met_again(mix((suffixes.c[starts + LENGTH] - suffixes.c[starts]) * suffixes.q[starts])
+                       + segment.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    i, o, starts, segment = i[again], o[again], starts[again], segment[again]
     order = suffixes.sort(starts, segment)
     s, seg, doc = starts[order], segment[order], ctx["doc"][i[order]]
     same = np.zeros(len(s), bool)
@@ -596,8 +658,10 @@ def _meet_contexts(n_gram, n_doc):
         data = table.column("data").to_pylist()
         if bucket >= n_gram:
             return pa.Table.from_batches([_rows(([bucket - n_gram], [_MARKS], [b"".join(data)]))])
-        kinds = table.column("kind").to_pylist()
-        marks = repeated_windows(np.concatenate([_unpack_contexts(d, k) for d, k in zip(data, kinds)]))
+        by_kind = {}
+        for kind, blob in zip(table.column("kind").to_pylist(), data):
+            by_kind.setdefault(kind, []).append(blob)
+        marks = repeated_windows(np.concatenate([r for k in by_kind for r in _unpack_contexts(by_kind[k], k)]))
         return pa.Table.from_batches([_rows(_pack(marks, marks["uid"] % n_doc, 0, _MARKS))])
 
     return run

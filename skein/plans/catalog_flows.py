@@ -11,8 +11,9 @@ from skein.sources import fixtures as fx
 
 
 def _panels(spark, sf):
-    """The order panels as tables below the checkpoint folder: the flows read them several times, the join runs once."""
-    return [written(df) for df in fx.orders_train_test(spark, sf)]
+    """The order panels, read from a table below the checkpoint folder: the flows read them several times, the join runs
+    once."""
+    return fx.split_orders(written(fx.orders_panel(spark, sf)))
 
 
 def _b(spark, sf, **kw):
@@ -37,7 +38,7 @@ def flow_b_arx_test_predictions(spark, sf):
 
 @query("flow_a_svr_test_predictions")
 def flow_a_svr_test_predictions(spark, sf):
-    train, test = fx.orders_train_test(spark, sf)
+    train, test = _panels(spark, sf)
     return flows.flow_svr(train, test, fx.P2_SPEC, missing="skip")["test_predictions"]
 
 

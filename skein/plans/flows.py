@@ -113,7 +113,7 @@ def flow_svr(train_raw: DataFrame, test_raw: DataFrame, spec: PanelSpec, rf_tree
     ix = _pairs_present(train, INTERACTIONS, missing)
     tr = feat.engineer_features(train, spec, squared=sq, interactions=ix)
     te = feat.engineer_features(test, spec, include_lags=False, include_rolling=False, squared=sq, interactions=ix)
-    cats = encode.fit_categories(tr, spec.market)
+    cats = encode.fit_categories(train, spec.market)  # the same rows, without their windows
     tr, te = encode.one_hot(tr, spec.market, cats), encode.one_hot(te, spec.market, cats)
     excluded = {spec.id, spec.target, spec.market, spec.time, spec.end}
     test_cols = set(te.columns)

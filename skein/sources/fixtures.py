@@ -101,7 +101,11 @@ def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_train_test(spark: SparkSession, sf_dir: str):
     """P2 split: train before 2001-01-01, test from then on with the target hidden."""
-    panel = orders_panel(spark, sf_dir)
+    return split_orders(orders_panel(spark, sf_dir))
+
+
+def split_orders(panel: DataFrame):
+    """Train and test rows of an orders panel."""
     cut = F.lit(P2_TEST_START).cast("timestamp_ntz")
     train = panel.where(F.col("delivery_start") < cut)
     test = panel.where(F.col("delivery_start") >= cut).drop("target")
